@@ -6,6 +6,7 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text worked on at once inside a task; longer texts make a slice of their own.
@@ -37,7 +38,7 @@ def held_out(doc_id, n: int, r: int):
 def text_slices(batches, column: str):
     """Cut Arrow batches into runs of rows whose text stays below SLICE_BYTES."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+        lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for i, n in enumerate(lengths):
             if i > start and total + n > SLICE_BYTES:
@@ -50,7 +51,7 @@ def text_slices(batches, column: str):
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of all rows, and each row's offsets; null counts as empty."""
-    column = pa.compute.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column, "").cast(pa.large_string())
     column = pa.concat_arrays([column])
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
@@ -90,3 +91,42 @@ NOT_SPACE = byte_class([(0x20, 0x20), (0x09, 0x0D)])
 #: A-Z to a-z, all other bytes unchanged.
 ASCII_LOWER = np.arange(256, dtype=np.uint8)
 ASCII_LOWER[65:91] += 32
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _powers(n: int, base: np.uint64 = _BASE) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 20) -> np.ndarray:
+    """A 64-bit polynomial hash of each word's bytes. Good for finding; matches are to be verified."""
+    out = np.empty(len(starts), np.uint64)
+    table = np.arange(256, dtype=np.uint64) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(0x94D049BB133111EB)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + block)))
+        lengths = ends[i:j] - starts[i:j]
+        first = np.cumsum(lengths) - lengths
+        at = np.arange(lengths.sum())
+        within = at - np.repeat(first, lengths)
+        values = table[data[np.repeat(starts[i:j], lengths) + within]] * _powers(int(lengths.max()))[within]
+        out[i:j] = np.add.reduceat(values, first)
+        i = j
+    out ^= out >> np.uint64(29)
+    return out * np.uint64(0xBF58476D1CE4E5B9)
+
+
+def window_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """A hash for each run of k words."""
+    n = len(words) - k + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.zeros(n, np.uint64)
+    for p, w in zip(_powers(k), range(k)):
+        out += words[w : w + n] * p
+    out ^= out >> np.uint64(31)
+    return out * np.uint64(0x94D049BB133111EB)

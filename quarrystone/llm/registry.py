@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import quality_rules
+from quarrystone.llm import decontaminate, line_dedup, quality_rules
 
 MODULES = {
+    "op8_line_dedup": line_dedup,
     "op9_quality_rules": quality_rules,
+    "op10_decontaminate": decontaminate,
 }
 
 
