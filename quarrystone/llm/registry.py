@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontaminate, line_dedup, quality_rules
+from quarrystone.llm import decontaminate, line_dedup, quality_rules, simhash
 
 MODULES = {
+    "op2_simhash": simhash,
     "op8_line_dedup": line_dedup,
     "op9_quality_rules": quality_rules,
     "op10_decontaminate": decontaminate,
