@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontaminate, line_dedup, quality_rules, simhash
+from quarrystone.llm import decontaminate, line_dedup, packing, quality_rules, simhash, token_counts
 
 MODULES = {
+    "op1_token_counts": token_counts,
     "op2_simhash": simhash,
+    "op4_packing": packing,
     "op8_line_dedup": line_dedup,
     "op9_quality_rules": quality_rules,
     "op10_decontaminate": decontaminate,
