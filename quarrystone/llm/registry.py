@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontaminate, language_id, line_dedup, packing, quality_rules, simhash, token_counts
+from quarrystone.llm import decontaminate, language_id, line_dedup, packing, quality_fm, quality_rules, simhash, token_counts, toxicity, warc
 
 MODULES = {
     "op1_token_counts": token_counts,
     "op2_simhash": simhash,
+    "op3_toxicity": toxicity,
     "op4_packing": packing,
+    "op5_quality_fm": quality_fm,
+    "op6_warc": warc,
     "op7_language_id": language_id,
     "op8_line_dedup": line_dedup,
     "op9_quality_rules": quality_rules,

@@ -278,23 +278,30 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, place_rows: int = PLACE_R
 
 
 def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (signed bigint) and component_id (smallest doc_id reachable) for every row."""
-    docs = checkpointed(fingerprints(df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), "text", shingle))
+    """doc_id, ver (Spark's xxhash64 of the text), fp (signed bigint), root (a fingerprint that names
+    the component) and component_id (smallest doc_id reachable) for every row."""
+    rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("ver", F.xxhash64(F.coalesce("text", F.lit(""))))
+    docs = checkpointed(fingerprints(rows, "text", shingle))
     nodes = checkpointed(docs.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     roots = connected_components(near_links(nodes, radius))
     nodes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     names = nodes.groupBy("root").agg(F.min("rep").alias("component_id"))
-    nodes = checkpointed(nodes.join(names, "root").select("fp", "component_id"))
-    return docs.join(nodes, "fp").select("doc_id", "fp", "component_id")
+    nodes = checkpointed(nodes.join(names, "root").select("fp", "root", "component_id"))
+    return docs.join(nodes, "fp").select("doc_id", "ver", "fp", "root", "component_id")
 
 
 def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """One document of each component stays: that with the smallest doc_id; columns as before.
 
-    Rows whose doc_id is null stay only if their component has no other id.
+    Rows without an id stay only if nothing in their component has one; then, as among
+    rows of one id, the text with the smallest hash stays.
     """
-    kept = components(df, doc_id, text, radius, shingle).filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return df.join(kept, F.col(doc_id).eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([doc_id])
+    found = components(df, doc_id, text, radius, shingle)
+    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("d"), F.col("ver").alias("v"))).alias("k"))
+    kept = kept.select(F.col("k.n").alias("_n"), F.col("k.d").alias("_d"), F.col("k.v").alias("_v"))
+    key = ["_n", "_d", "_v"]
+    rows = df.withColumns({"_n": F.col(doc_id).isNull(), "_d": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)), "_v": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    return rows.join(kept, key, "left_semi").dropDuplicates(key).select(*df.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
