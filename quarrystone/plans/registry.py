@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+from quarrystone.plans.catalog import QUERIES, SQL
+
+PLANS = ["cleaning"]
+for _name in PLANS:
+    import_module(f"quarrystone.plans.{_name}")
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
