@@ -6,7 +6,7 @@ from importlib import import_module
 
 from quarrystone.plans.catalog import QUERIES, SQL
 
-PLANS = ["cleaning", "fairness"]
+PLANS = ["cleaning", "fairness", "masking"]
 for _name in PLANS:
     import_module(f"quarrystone.plans.{_name}")
 
