@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text worked on at once inside a task; longer texts make a slice of their own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,7 @@ def text_slices(batches, column: str):
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
+        pa.default_memory_pool().release_unused()  # workers live on from task to task
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
