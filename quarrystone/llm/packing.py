@@ -84,15 +84,15 @@ class _Stock:
 
 def _best_pairs(stock: _Stock, j: int, room: int, above: int) -> int:
     """The largest sum within room of two items, both larger than ``above``, beside one of length j; 0 if none."""
-    order = [x for x in stock.order if above < x <= room]
     has = lambda x: stock.n[x] - (x == j)
+    order = [x for x in stock.order if above < x <= room and has(x)]
     best, lo, hi = 0, 0, len(order) - 1
     while lo <= hi:
         a, b = order[lo], order[hi]
         if a + b > room:
             hi -= 1
             continue
-        if has(a) and has(b) and (lo != hi or has(a) > 1):
+        if lo != hi or has(a) > 1:
             best = max(best, a + b)
         lo += 1
     return best
