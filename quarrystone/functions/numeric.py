@@ -18,7 +18,7 @@ def erfc(z: Column) -> Column:
 
 
 def format_4g(x: Column) -> Column:
-    """Four significant digits, trailing zeros left out, as %.4g writes it."""
+    """Four significant digits, trailing zeros left out, as %.4g writes it; a tie of the shortest decimal form rounds up."""
     a = F.abs(x)
     e = F.when(a > 0, F.floor(F.log10(a))).otherwise(0)
     rounded = F.abs(F.format_string("%.3e", x).cast("double"))
