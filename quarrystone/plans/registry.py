@@ -6,7 +6,7 @@ from importlib import import_module
 
 from quarrystone.plans.catalog import QUERIES, SQL
 
-PLANS = ["cleaning", "fairness", "masking", "combining", "reports", "fidelity"]
+PLANS = ["cleaning", "fairness", "masking", "combining", "reports", "fidelity", "storing"]
 for _name in PLANS:
     import_module(f"quarrystone.plans.{_name}")
 
