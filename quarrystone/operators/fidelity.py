@@ -264,3 +264,11 @@ def hit_rate(real: DataFrame, syn: DataFrame, categorical: list[str], numeric: l
     hits = a.join(b, on).select("model", key).distinct().groupBy("model").agg(F.count("*").alias("n"))
     total = real.agg(F.count("*").alias("_all"))
     return syn.select("model").distinct().join(hits, "model", "left").crossJoin(F.broadcast(total)).select("model", (F.coalesce("n", F.lit(0)) / F.col("_all")).alias("value"))
+
+
+def max_mean_discrepancy(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
+    """Squared distance of the means (the linear kernel's discrepancy) on the real side's deviations."""
+    s = real.agg(*(x for c in numeric for x in (F.avg(c).alias(f"_m_{c}"), F.stddev_pop(c).alias(f"_s_{c}"))))
+    g = syn.groupBy("model").agg(*(F.avg(c).alias(c) for c in numeric)).crossJoin(F.broadcast(s))
+    z = lambda c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(1.0)
+    return g.select("model", reduce(lambda a, b: a + b, [z(c) * z(c) for c in numeric]).alias("value"))

@@ -115,3 +115,104 @@ def gmm_generate(df: DataFrame, columns: list[str], n: int, k: int = 3, seed: in
             value = x if value is None else F.when(F.col("_u") <= float(cut), x).otherwise(value)
         out.append(value.alias(c))
     return rows.select("id", *out)
+
+
+def relabel_by_classifier(syn: DataFrame, real: DataFrame, target: str, columns: list[str], name: str = "forest") -> DataFrame:
+    """Candidates with the class that a model fitted on real rows gives them."""
+    index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(real)
+    prep = _features(real, columns).fit(real)
+    model = learner(name, len(columns), len(index.labels)).fit(index.transform(prep.transform(real)))
+    got = model.transform(prep.transform(syn.drop(target)))
+    return got.withColumn(target, F.get(F.array(*map(F.lit, index.labels)), F.col("prediction").cast("int"))).select(*[c for c in syn.columns if c != target], target)
+
+
+def oversample_then_subsample(real: DataFrame, target: str, columns: list[str], n: int, seed: int = 7) -> DataFrame:
+    """Generate n x largest share x classes rows, label them, and resample to the real shares."""
+    from quarrystone.operators.split import proportional_resample
+
+    shares = {str(r[0]): r[1] for r in real.groupBy(target).agg((F.count("*")).alias("n")).collect()}
+    total = sum(shares.values())
+    shares = {k: v / total for k, v in shares.items()}
+    made = gmm_generate(real, columns, int(n * max(shares.values()) * len(shares)) + 1, seed=seed).withColumn("key", F.col("id").cast("string"))
+    labelled = relabel_by_classifier(made, real, target, columns)
+    present = {r[0] for r in labelled.select(target).distinct().collect()}
+    shares = {k: v for k, v in shares.items() if k in present}
+    return proportional_resample(labelled, target, {k: v / sum(shares.values()) for k, v in shares.items()}, n, "key", seed)
+
+
+def membership_attack(train: DataFrame, holdout: DataFrame, syn: DataFrame, columns: list[str], key: str, rounds: int = 5) -> DataFrame:
+    """Recall and precision of telling training rows from held-out ones, mean over hash rounds.
+
+    The attacker fits candidates against half of the held-out rows and is judged on training rows
+    against the other half.
+    """
+    rows = []
+    for i in range(rounds):
+        out = holdout.withColumn("_h", unit_hash(F.col(key).cast("string"), "mia", i) < 0.5)
+        known = syn.select(*columns, F.lit(1.0).alias("label")).unionByName(out.filter("_h").select(*columns, F.lit(0.0).alias("label")))
+        asked = train.select(*columns, F.lit(1.0).alias("label")).unionByName(out.filter("NOT _h").select(*columns, F.lit(0.0).alias("label")))
+        prep = _features(known, columns).fit(known)
+        got = learner("forest", len(columns)).fit(prep.transform(known)).transform(prep.transform(asked))
+        r = got.agg(F.count_if(F.expr("prediction = 1 AND label = 1")).alias("tp"), F.count_if(F.expr("label = 1")).alias("p"), F.count_if(F.expr("prediction = 1")).alias("s")).first()
+        rows.append((r["tp"] / max(r["p"], 1), r["tp"] / max(r["s"], 1)))
+    mean = lambda k: round(sum(r[k] for r in rows) / rounds, 6)
+    return train.sparkSession.createDataFrame([(mean(0), mean(1))], "mia_recall double, mia_precision double")
+
+
+def domias(train: DataFrame, holdout: DataFrame, syn: DataFrame, columns: list[str], key: str, k: int = 4) -> DataFrame:
+    """AUC of the density ratio of candidates over other held-out rows, members against non-members.
+
+    Densities are Gaussian mixtures; half of the held-out rows make the reference density, the
+    other half are the non-members.
+    """
+    import numpy as np
+    from pyspark.sql.functions import pandas_udf
+
+    half = unit_hash(F.col(key).cast("string"), "domias") < 0.5
+    ref, rest = holdout.filter(half), holdout.filter(~half)
+    prep = _features(ref, columns).fit(ref)
+
+    def density(df):
+        m = GaussianMixture(k=k, seed=7, featuresCol="features").fit(prep.transform(df))
+        parts = [(w, g["mean"].toArray(), g["cov"].toArray() + 1e-6 * np.eye(len(columns))) for w, g in zip(m.weights, m.gaussiansDF.collect())]
+
+        @pandas_udf("double")
+        def logp(v):
+            import pandas as pd
+
+            x = np.array(v.tolist())
+            terms = []
+            for w, mu, cov in parts:
+                d = x - mu
+                q = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+                terms.append(np.log(max(w, 1e-12)) - 0.5 * (q + np.linalg.slogdet(cov)[1]))
+            top = np.max(terms, axis=0)
+            return pd.Series(top + np.log(np.exp(np.array(terms) - top).sum(axis=0)))
+
+        return logp
+
+    a, b = density(syn), density(ref)
+    x = prep.transform(train.select(*columns, F.lit(1.0).alias("label")).unionByName(rest.select(*columns, F.lit(0.0).alias("label"))))
+    got = x.withColumn("_v", vector_to_array("features")).withColumn("rawPrediction", a("_v") - b("_v"))
+    auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(got)
+    return train.sparkSession.createDataFrame([(round(auc, 6),)], "auc double")
+
+
+def auroc_difference(train: DataFrame, holdout: DataFrame, syn: DataFrame, target: str, positive: str, columns: list[str]) -> DataFrame:
+    """AUROC on held-out rows of the model fitted on real rows less that of the one fitted on candidates."""
+    label = lambda df: df.withColumn("label", (F.col(target) == positive).cast("double"))
+    prep = _features(train, columns).fit(train)
+    score = lambda df: BinaryClassificationEvaluator(labelCol="label").evaluate(learner("linear", len(columns)).fit(label(prep.transform(df))).transform(label(prep.transform(holdout))))
+    return train.sparkSession.createDataFrame([(round(score(train) - score(syn), 6),)], "value double")
+
+
+def grid_trials(specs: list[dict], score, study: str, done: DataFrame) -> list[tuple]:
+    """(study, number, state, value, params) of the specs not done yet; a failing trial is recorded and passed over."""
+    start = done.filter(F.col("study") == study).count()
+    out = []
+    for i, spec in enumerate(specs[start:], start):
+        try:
+            out.append((study, i, "COMPLETE", float(score(spec)), {k: str(v) for k, v in spec.items()}))
+        except (ValueError, ArithmeticError) as e:
+            out.append((study, i, f"FAIL: {e}"[:200], None, {k: str(v) for k, v in spec.items()}))
+    return out

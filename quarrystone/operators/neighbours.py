@@ -103,3 +103,33 @@ def prdc(syn: DataFrame, real: DataFrame, key: str, vector: str, k: int = 5) ->
     ball = distances(real, real, key, vector, k, True).groupBy("q").agg(F.max("distance").alias("r"))
     near = distances(real, syn, key, vector).select("q", "distance")
     return ball.join(near, "q").agg(F.avg((F.col("distance") <= F.col("r")).cast("double")).alias("coverage"))
+
+
+def attribute_disclosure(real: DataFrame, syn: DataFrame, key: str, vector: str, attribute: str) -> DataFrame:
+    """Share of real rows whose attribute the nearest candidate (on what is known) gives away."""
+    near = nn_join(real.withColumnRenamed(key, "q"), syn.withColumnRenamed(key, "n"), "q", "n", vector).select("q", "n")
+    both = near.join(real.select(F.col(key).alias("q"), F.col(attribute).alias("_t")), "q").join(syn.select(F.col(key).alias("n"), F.col(attribute).alias("_g")), "n")
+    return both.agg(F.avg(F.col("_t").eqNullSafe(F.col("_g")).cast("double")).alias("value"))
+
+
+def _from_centre(df: DataFrame, centre: DataFrame, vector: str) -> DataFrame:
+    d = F.aggregate(F.zip_with(F.col(vector).cast("array<double>"), F.col("_c"), lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda a, x: a + x)
+    return df.crossJoin(F.broadcast(centre)).select(F.sqrt(d).alias("d"))
+
+
+def alpha_precision(real: DataFrame, syn: DataFrame, vector: str, alpha: float = 0.9) -> DataFrame:
+    """Shares of candidates within the real side's alpha ball, and of real rows within the candidates'."""
+    def ball(a, b):
+        parts = a.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"))
+        centre = parts.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("_c"))  # one vector
+        radius = _from_centre(a, centre, vector).agg(F.percentile("d", alpha).alias("r"))
+        return _from_centre(b, centre, vector).crossJoin(F.broadcast(radius)).agg(F.avg((F.col("d") <= F.col("r")).cast("double")).alias("s"))
+
+    return ball(real, syn).withColumnRenamed("s", "alpha_precision").crossJoin(ball(syn, real).withColumnRenamed("s", "beta_recall"))
+
+
+def authenticity(real: DataFrame, syn: DataFrame, key: str, vector: str) -> DataFrame:
+    """Share of candidates farther from their nearest real row than that row is from its own nearest."""
+    near = nn_join(syn.withColumnRenamed(key, "q"), real.withColumnRenamed(key, "n"), "q", "n", vector).select("q", "n", F.col("distance").alias("d"))
+    own = distances(real, real, key, vector, 1, True).select(F.col("q").alias("n"), F.col("distance").alias("own"))
+    return near.join(own, "n").agg(F.avg((F.col("d") > F.col("own")).cast("double")).alias("value"))

@@ -294,3 +294,29 @@ def _(s, d):
     g = x.groupBy("lang").agg(F.avg(hit).alias("pr"), F.avg(F.when(F.col("toxic") == 1, hit)).alias("tpr"), F.avg(F.when(F.col("toxic") == 0, hit)).alias("fpr"))
     gap = lambda c: F.max(c) - F.min(c)
     return _r(g.agg(gap("pr").alias("statistical_parity"), F.greatest(gap("tpr"), gap("fpr")).alias("equalized_odds"), gap("tpr").alias("equal_opportunity")), "statistical_parity", "equalized_odds", "equal_opportunity")
+
+
+@query("max_mean_discrepancy", f"WITH {SIDES} SELECT model, round(pow((avg(l_quantity) - (SELECT avg(l_quantity) FROM rl)) / (SELECT stddev_pop(l_quantity) FROM rl), 2) + pow((avg(l_discount) - (SELECT avg(l_discount) FROM rl)) / (SELECT stddev_pop(l_discount) FROM rl), 2), 9) AS value FROM cand GROUP BY model")
+def _(s, d):
+    return f.max_mean_discrepancy(real(s, d), cand(s, d), NUMS).withColumn("value", F.round("value", 9))
+
+
+@query("att_discl", f"WITH {EMB} SELECT round(avg((er.label = es.label)::INT), 6) AS value FROM (SELECT q, min_by(n, d) AS n FROM rs GROUP BY q) m JOIN er ON er.vec_id = m.q JOIN es ON es.vec_id = m.n")
+def _(s, d):
+    return _r(nn.attribute_disclosure(emb(s, d, 0), emb(s, d, 1), "vec_id", "embedding", "label"))
+
+
+@query("authenticity", f"WITH {EMB} SELECT round(avg((m.d > w.d)::INT), 6) AS value FROM (SELECT n, min_by(q, d) AS q, min(d) AS d FROM rs GROUP BY n) m JOIN (SELECT q, min(d) AS d FROM rr GROUP BY q) w USING (q)")
+def _(s, d):
+    return _r(nn.authenticity(emb(s, d, 0), emb(s, d, 1), "vec_id", "embedding"))
+
+
+def _ball(a: str, b: str) -> str:
+    c = f"(SELECT list(m ORDER BY i) FROM (SELECT i, avg(v[i]) AS m FROM {a}, range(1, 65) AS r(i) GROUP BY i))"
+    d = f"sqrt(list_sum(list_transform(list_zip(v, {c}), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))"
+    return f"(SELECT round(avg((d <= (SELECT quantile_cont(d, 0.9) FROM (SELECT {d} AS d FROM {a})))::INT), 6) FROM (SELECT {d} AS d FROM {b}))"
+
+
+@query("alpha_precision", f"WITH {EMB} SELECT {_ball('er', 'es')} AS alpha_precision, {_ball('es', 'er')} AS beta_recall")
+def _(s, d):
+    return _r(nn.alpha_precision(emb(s, d, 0), emb(s, d, 1), "embedding"), "alpha_precision", "beta_recall")

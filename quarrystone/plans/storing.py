@@ -197,3 +197,51 @@ def _(s, d):
 
     x = lnu(s, d).select("row_id", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
     return im.impute(x, "row_id", ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"], "model", refine=["l_extendedprice", "l_returnflag"])
+
+
+def _halves(s, d):
+    r, c = _sides(s, d)
+    r = sp.split_by_threshold(r, "row_id", 0.5, 1)
+    return r.filter("split = 'train'"), r.filter("split = 'test'"), c
+
+
+@query("relabel_by_classifier", f"WITH {LI} SELECT count(*)::BIGINT AS n, true AS known FROM li WHERE l_orderkey % 2 = 1 AND NOT (l_returnflag = 'R' AND l_orderkey % 3 = 0)")
+def _(s, d):
+    r, c = _sides(s, d)
+    x = le.relabel_by_classifier(c.select("row_id", "l_returnflag", *_COLS), r, "l_returnflag", _COLS)
+    return x.agg(F.count("*").alias("n"), F.bool_and(F.col("l_returnflag").isin("A", "N", "R")).alias("known"))
+
+
+@query("oversample_then_subsample")
+def _(s, d):
+    x = real(s, d)
+    return le.oversample_then_subsample(x, "l_linestatus", _COLS, x.count()).select("l_linestatus", *_COLS)
+
+
+@query("mia")
+def _(s, d):
+    return le.membership_attack(*_halves(s, d), _COLS, "row_id", 2)
+
+
+@query("DomiasMIA_prior")
+def _(s, d):
+    return le.domias(*_halves(s, d), _COLS, "row_id")
+
+
+@query("auroc_diff")
+def _(s, d):
+    return le.auroc_difference(*_halves(s, d), "l_linestatus", "F", _COLS)
+
+
+@query("grid_trials")
+def _(s, d):
+    from quarrystone.operators import fidelity as fi
+
+    x = real(s, d)
+    done = s.createDataFrame([], "study string, number int, state string, value double, params map<string,string>")
+
+    def score(spec):
+        made = le.gmm_generate(x, _COLS, 2000, spec["k"]).withColumn("model", F.lit("gmm"))
+        return fi.wasserstein_dist(x, made, _COLS[:1]).first()["value"]
+
+    return s.createDataFrame(le.grid_trials([{"k": 2}, {"k": 3}], score, "gmm", done), done.schema)
