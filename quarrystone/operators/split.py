@@ -18,12 +18,16 @@ def unit_hash(key: Column, *seed: object) -> Column:
     return (F.conv(F.substring(h, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
-def take_smallest(df: DataFrame, group: list[str], order: str, key: str, k: DataFrame) -> DataFrame:
-    """For each group the rows with the smallest ``order`` (in [0, 1)), as many as ``k`` (group, take) says."""
+def take_smallest(df: DataFrame, group: list[str], order: str, key: str, k) -> DataFrame:
+    """For each group the rows with the smallest ``order`` (in [0, 1)).
+
+    How many: ``k`` is a table (group, take), or a function from a group's count to that number.
+    """
     df = df.withColumn("_s", F.floor(F.col(order) * SLICES).cast("int"))
     counts = df.groupBy(*group, "_s").agg(F.count("*").alias("_n"))
     before = W.partitionBy(*group).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
-    counts = counts.withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0))).join(F.broadcast(k), group)
+    counts = counts.withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    counts = counts.withColumn("take", k(F.sum("_n").over(W.partitionBy(*group)))) if callable(k) else counts.join(F.broadcast(k), group)
     slices = counts.filter("_b < take").withColumn("_left", F.col("take") - F.col("_b")).drop("_b", "take")
     rows = df.join(F.broadcast(slices), [*group, "_s"])
     whole = rows.filter("_n <= _left")
@@ -97,27 +101,29 @@ def artificial_mask(df: DataFrame, key: str, features: list[str], sensitive: lis
         raise ValueError(f"unknown mechanism {mechanism!r}")
     from quarrystone.operators.clean import is_numeric, label_encode
 
-    out = None
-    for c in [c for c in features if c not in sensitive]:
-        source = None
-        if mechanism == "mar":
-            source = next((x for x in features if x != c and is_numeric(df, x)), None)
-        elif mechanism == "mnar":
-            source = c
-        rows = df.filter(F.col(c).isNotNull()).select(key, *([F.col(source).alias("_x")] if source else []))
-        rows = rows.withColumns({"column": F.lit(c), "_u": unit_hash(F.col(key), c, seed)})
-        if source:
-            if not is_numeric(df, source):
-                rows = label_encode(rows, ["_x"])
-            s = rows.agg(F.avg("_x").alias("_m"), F.stddev_pop("_x").alias("_d"), F.count_if(F.col("_x").isNull()).alias("_nulls"))
-            z = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (F.col("_x") - F.col("_m")) / F.col("_d")))
-            even = (F.col("_nulls") > 0) | (F.coalesce(F.col("_d"), F.lit(0.0)) == 0)
-            weight = F.when(even, 1.0).otherwise(1 / (1 + F.exp(-z)))
-            rows = rows.crossJoin(F.broadcast(s)).withColumn("_u", 1 - F.pow(F.col("_u"), 1 / weight))
-        rows = rows.select("column", key, "_u")
-        out = rows if out is None else out.unionByName(rows)
-    k = out.groupBy("column").agg(mask_count(F.count("*"), fraction).alias("take"))
-    return take_smallest(out, ["column"], "_u", key, k).select("column", key)
+    columns, numeric = [c for c in features if c not in sensitive], [x for x in features if is_numeric(df, x)]
+    source = {c: None if mechanism == "mcar" else c if mechanism == "mnar" else next((x for x in numeric if x != c), None) for c in columns}
+    text = [x for x in {*source.values()} - {None} if x not in numeric]
+    rows = df.select(key, *features)
+    if text:
+        rows = label_encode(rows.withColumns({f"_code_{x}": F.col(x) for x in text}), [f"_code_{x}" for x in text])
+    value = lambda c: F.col(f"_code_{source[c]}" if source[c] in text else source[c])
+    seen = lambda c, x: F.when(F.col(c).isNotNull(), x)
+    stats = [x for c in columns if source[c] for x in (F.avg(seen(c, value(c))).alias(f"_m_{c}"), F.stddev_pop(seen(c, value(c))).alias(f"_d_{c}"), F.count_if(F.col(c).isNotNull() & value(c).isNull()).alias(f"_n_{c}"))]
+    if stats:
+        rows = rows.crossJoin(F.broadcast(rows.agg(*stats)))
+
+    def place(c):
+        u = unit_hash(F.col(key), c, seed)
+        if not source[c]:
+            return u
+        z = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (value(c) - F.col(f"_m_{c}")) / F.col(f"_d_{c}")))
+        even = (F.col(f"_n_{c}") > 0) | (F.coalesce(F.col(f"_d_{c}"), F.lit(0.0)) == 0)
+        return 1 - F.pow(u, 1 / F.when(even, 1.0).otherwise(1 / (1 + F.exp(-z))))
+
+    cells = F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column"), place(c).alias("_u"))) for c in columns))
+    out = rows.select(key, F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("_x")).select("_x.column", key, "_x._u")
+    return take_smallest(out, ["column"], "_u", key, lambda n: mask_count(n, fraction)).select("column", key)
 
 
 def mask_grid(df: DataFrame, key: str, features: list[str], mechanisms: list[str], n_masks: int, seed: int = 0, fraction: float = 0.2, sensitive: list[str] = ()) -> DataFrame:
