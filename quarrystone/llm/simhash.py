@@ -290,13 +290,12 @@ def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
     return docs.join(nodes, "fp").select("doc_id", "ver", "fp", "root", "component_id")
 
 
-def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
-    """One document of each component stays: that with the smallest doc_id; columns as before.
+def keep_first(df: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One document of each root in ``found`` (doc_id, ver, root) stays: that with the smallest doc_id; columns as before.
 
     Rows without an id stay only if nothing in their component has one; then, as among
     rows of one id, the text with the smallest hash stays.
     """
-    found = components(df, doc_id, text, radius, shingle)
     kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("d"), F.col("ver").alias("v"))).alias("k"))
     kept = kept.select(F.col("k.n").alias("_n"), F.col("k.d").alias("_d"), F.col("k.v").alias("_v"))
     key = ["_n", "_d", "_v"]
@@ -304,6 +303,11 @@ def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return rows.join(kept, key, "left_semi").dropDuplicates(key).select(*df.columns)
 
 
+def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
+    """One document of each component stays, as ``keep_first`` says; columns as before."""
+    return keep_first(df, components(df, doc_id, text, radius, shingle), doc_id, text)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     found = components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
