@@ -47,6 +47,30 @@ def train_test_score(train: DataFrame, test: DataFrame, target: str, columns: li
     return train.sparkSession.createDataFrame([(name, round(score("accuracy"), 6), round(score("f1"), 6))], "learner string, accuracy double, f1 double")
 
 
+def log_density(df: DataFrame, n_features: int, k: int = 4):
+    """A column function: the log density, but for a constant, of a Gaussian mixture fitted on df's features."""
+    import numpy as np
+    from pyspark.sql.functions import pandas_udf
+
+    m = GaussianMixture(k=k, seed=7, featuresCol="features").fit(df)
+    parts = [(w, g["mean"].toArray(), g["cov"].toArray() + 1e-6 * np.eye(n_features)) for w, g in zip(m.weights, m.gaussiansDF.collect())]
+
+    @pandas_udf("double")
+    def logp(v):
+        import pandas as pd
+
+        x = np.array(v.tolist())
+        terms = []
+        for w, mu, cov in parts:
+            d = x - mu
+            q = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
+            terms.append(np.log(max(w, 1e-12)) - 0.5 * (q + np.linalg.slogdet(cov)[1]))
+        top = np.max(terms, axis=0)
+        return pd.Series(top + np.log(np.exp(np.array(terms) - top).sum(axis=0)))
+
+    return logp
+
+
 def detection(real: DataFrame, syn: DataFrame, columns: list[str], key: str, name: str = "linear") -> DataFrame:
     """AUC of telling real from candidate rows, on a held-out third."""
     both = real.select(key, *columns, F.lit(0.0).alias("label")).unionByName(syn.select(key, *columns, F.lit(1.0).alias("label")))
@@ -55,11 +79,8 @@ def detection(real: DataFrame, syn: DataFrame, columns: list[str], key: str, nam
     x = prep.transform(both)
     train, test = x.filter("NOT _test"), x.filter("_test")
     if name == "gmm":
-        model = GaussianMixture(k=4, seed=7, featuresCol="features").fit(train.filter("label = 1"))
-        base = GaussianMixture(k=4, seed=7, featuresCol="features").fit(train.filter("label = 0"))
-        p = lambda m, c: m.setProbabilityCol(c)
-        got = p(base, "_pb").setPredictionCol("_cb").transform(p(model, "_pa").setPredictionCol("_ca").transform(test))
-        got = got.withColumn("rawPrediction", F.array_max(vector_to_array("_pa")) - F.array_max(vector_to_array("_pb")))
+        a, b = (log_density(train.filter(F.col("label") == side), len(columns)) for side in (1, 0))
+        got = test.withColumn("_v", vector_to_array("features")).withColumn("rawPrediction", a("_v") - b("_v"))
     else:
         got = learner(name, len(columns)).fit(train).transform(test)
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(got)
@@ -165,33 +186,11 @@ def domias(train: DataFrame, holdout: DataFrame, syn: DataFrame, columns: list[s
     Densities are Gaussian mixtures; half of the held-out rows make the reference density, the
     other half are the non-members.
     """
-    import numpy as np
-    from pyspark.sql.functions import pandas_udf
-
     half = unit_hash(F.col(key).cast("string"), "domias") < 0.5
     ref, rest = holdout.filter(half), holdout.filter(~half)
     prep = _features(ref, columns).fit(ref)
 
-    def density(df):
-        m = GaussianMixture(k=k, seed=7, featuresCol="features").fit(prep.transform(df))
-        parts = [(w, g["mean"].toArray(), g["cov"].toArray() + 1e-6 * np.eye(len(columns))) for w, g in zip(m.weights, m.gaussiansDF.collect())]
-
-        @pandas_udf("double")
-        def logp(v):
-            import pandas as pd
-
-            x = np.array(v.tolist())
-            terms = []
-            for w, mu, cov in parts:
-                d = x - mu
-                q = np.einsum("ij,jk,ik->i", d, np.linalg.inv(cov), d)
-                terms.append(np.log(max(w, 1e-12)) - 0.5 * (q + np.linalg.slogdet(cov)[1]))
-            top = np.max(terms, axis=0)
-            return pd.Series(top + np.log(np.exp(np.array(terms) - top).sum(axis=0)))
-
-        return logp
-
-    a, b = density(syn), density(ref)
+    a, b = (log_density(prep.transform(x), len(columns), k) for x in (syn, ref))
     x = prep.transform(train.select(*columns, F.lit(1.0).alias("label")).unionByName(rest.select(*columns, F.lit(0.0).alias("label"))))
     got = x.withColumn("_v", vector_to_array("features")).withColumn("rawPrediction", a("_v") - b("_v"))
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction").evaluate(got)
