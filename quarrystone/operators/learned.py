@@ -47,6 +47,37 @@ def train_test_score(train: DataFrame, test: DataFrame, target: str, columns: li
     return train.sparkSession.createDataFrame([(name, round(score("accuracy"), 6), round(score("f1"), 6))], "learner string, accuracy double, f1 double")
 
 
+def hash_folds(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
+    """df with _fold, 0 to folds - 1, by a hash of the key."""
+    return df.withColumn("_fold", F.floor(unit_hash(F.col(key).cast("string"), "folds") * folds).cast("int"))
+
+
+def f1_difference(real: DataFrame, syn: DataFrame, target: str, columns: list[str], key: str, names: list[str], folds: int = 5) -> DataFrame:
+    """(learner, f1_real, f1_syn, value): micro F1 of models fitted on real rows and on candidates, and real less candidates.
+
+    Each hash fold of the real rows is predicted by models fitted on the other real rows and on the
+    candidates' other folds; hits are counted over all folds. Micro F1 of single labels is the share of hits.
+    """
+    index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(real.select(target).unionByName(syn.select(target)))
+    rows = []
+    real, syn = (hash_folds(index.transform(x), key, folds).select(*columns, "label", "_fold").persist() for x in (real, syn))
+    for name in names:
+        hits, n = [0, 0], 0
+        for i in range(folds):
+            test = real.filter(F.col("_fold") == i)
+            for side, source in enumerate((real, syn)):
+                train = source.filter(F.col("_fold") != i)
+                prep = _features(train, columns).fit(train)
+                got = learner(name, len(columns), len(index.labels)).fit(prep.transform(train)).transform(prep.transform(test))
+                r = got.agg(F.count_if(F.expr("prediction = label")).alias("hits"), F.count("*").alias("n")).first()
+                hits[side] += r["hits"]
+            n += r["n"]
+        a, b = (h / max(n, 1) for h in hits)
+        rows.append((name, round(a, 6), round(b, 6), round(a - b, 6)))
+    real.unpersist(), syn.unpersist()
+    return real.sparkSession.createDataFrame(rows, "learner string, f1_real double, f1_syn double, value double")
+
+
 def log_density(df: DataFrame, n_features: int, k: int = 4):
     """A column function: the log density, but for a constant, of a Gaussian mixture fitted on df's features."""
     import numpy as np

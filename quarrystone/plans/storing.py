@@ -181,8 +181,7 @@ def _(s, d):
 @query("cls_acc")
 def _(s, d):
     r, c = _sides(s, d)
-    parts = [le.train_test_score(c, r, "l_returnflag", _COLS, n) for n in ("forest", "linear", "svm")]
-    return functools.reduce(lambda a, b: a.unionByName(b), parts)
+    return le.f1_difference(r, c, "l_returnflag", _COLS, "row_id", ["forest", "xgb", "svm", "linear"])
 
 
 @query("gmm_generate")

@@ -11,3 +11,13 @@ def test_mixture_detection_sees_outlying_rows(spark):
     real = spark.createDataFrame([(f"r{i}", rng.gauss(0, 1), rng.gauss(0, 1)) for i in range(600)], "key string, a double, b double")
     syn = spark.createDataFrame([(f"s{i}", rng.gauss(0, 6), rng.gauss(0, 6)) for i in range(600)], "key string, a double, b double")
     assert le.detection(real, syn, ["a", "b"], "key", "gmm").first()["auc"] > 0.85
+
+
+def test_f1_difference_compares_real_and_candidate_models(spark):
+    """Candidates with swapped labels teach the opposite: real models are right, theirs are wrong."""
+    rng = random.Random(2)
+    rows = [(f"k{i}", x := rng.uniform(-1, 1), rng.gauss(0, 1), "p" if x > 0 else "n") for i in range(200)]
+    real = spark.createDataFrame(rows, "key string, a double, b double, y string")
+    syn = spark.createDataFrame([(k, a, b, "n" if y == "p" else "p") for k, a, b, y in rows], real.schema)
+    r = le.f1_difference(real, syn, "y", ["a", "b"], "key", ["linear"]).first()
+    assert r["learner"] == "linear" and r["f1_real"] > 0.9 and r["f1_syn"] < 0.1 and r["value"] > 0.8
