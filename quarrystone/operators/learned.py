@@ -118,12 +118,20 @@ def detection(real: DataFrame, syn: DataFrame, columns: list[str], key: str, nam
     return real.sparkSession.createDataFrame([(name, round(auc, 6))], "learner string, auc double")
 
 
-def p_mse(real: DataFrame, syn: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean squared distance of the real-or-candidate probability from one half."""
-    both = real.select(*columns, F.lit(0.0).alias("label")).unionByName(syn.select(*columns, F.lit(1.0).alias("label")))
-    x = _features(both, columns).fit(both).transform(both)
+def p_mse(real: DataFrame, syn: DataFrame, columns: list[str], key: str, folds: int = 5) -> DataFrame:
+    """Mean squared distance of the real-or-candidate probability from one half, each row predicted by a model of the other hash folds."""
+    both = real.select(key, *columns, F.lit(0.0).alias("label")).unionByName(syn.select(key, *columns, F.lit(1.0).alias("label")))
+    both = hash_folds(both, key, folds).persist()
     p = vector_to_array(F.col("probability"))[1]
-    return learner("linear", len(columns)).fit(x).transform(x).agg(F.round(F.avg((p - 0.5) * (p - 0.5)), 6).alias("value"))
+    total, n = 0.0, 0
+    for i in range(folds):
+        train = both.filter(F.col("_fold") != i)
+        prep = _features(train, columns).fit(train)
+        model = LogisticRegression(labelCol="label", maxIter=100).fit(prep.transform(train))
+        r = model.transform(prep.transform(both.filter(F.col("_fold") == i))).agg(F.sum((p - 0.5) * (p - 0.5)).alias("s"), F.count("*").alias("n")).first()
+        total, n = total + (r["s"] or 0.0), n + r["n"]
+    both.unpersist()
+    return real.sparkSession.createDataFrame([(round(total / n, 6) if n else None,)], "value double")
 
 
 def pca_difference(real: DataFrame, syn: DataFrame, columns: list[str], k: int = 2) -> DataFrame:

@@ -165,7 +165,7 @@ for _learner in ("linear", "mlp", "xgb", "gmm"):
 
 @query("p_mse")
 def _(s, d):
-    return le.p_mse(*_sides(s, d), _COLS)
+    return le.p_mse(*_sides(s, d), _COLS, "row_id")
 
 
 @query("pca")
@@ -219,7 +219,7 @@ def _(s, d):
 
 @query("mia")
 def _(s, d):
-    return le.membership_attack(*_halves(s, d), _COLS, "row_id", 2)
+    return le.membership_attack(*_halves(s, d), _COLS, "row_id")
 
 
 @query("DomiasMIA_prior")
@@ -237,10 +237,11 @@ def _(s, d):
     from quarrystone.operators import fidelity as fi
 
     x = real(s, d)
+    n = x.count()
     done = s.createDataFrame([], "study string, number int, state string, value double, params map<string,string>")
 
     def score(spec):
-        made = le.gmm_generate(x, _COLS, 2000, spec["k"]).withColumn("model", F.lit("gmm"))
-        return fi.wasserstein_dist(x, made, _COLS[:1]).first()["value"]
+        made = le.gmm_generate(x, _COLS, n, spec["k"]).withColumn("model", F.lit("gmm"))
+        return fi.wasserstein_dist(x, made, _COLS).first()["value"]
 
     return s.createDataFrame(le.grid_trials([{"k": 2}, {"k": 3}], score, "gmm", done), done.schema)

@@ -1,5 +1,6 @@
 """Learned metrics on small tables with known answers."""
 
+import inspect
 import random
 
 from quarrystone.operators import learned as le
@@ -21,3 +22,34 @@ def test_f1_difference_compares_real_and_candidate_models(spark):
     syn = spark.createDataFrame([(k, a, b, "n" if y == "p" else "p") for k, a, b, y in rows], real.schema)
     r = le.f1_difference(real, syn, "y", ["a", "b"], "key", ["linear"]).first()
     assert r["learner"] == "linear" and r["f1_real"] > 0.9 and r["f1_syn"] < 0.1 and r["value"] > 0.8
+
+
+def test_p_mse_predicts_out_of_fold(spark, monkeypatch):
+    rng = random.Random(3)
+    make = lambda p: spark.createDataFrame([(f"{p}{i}", rng.gauss(0, 1)) for i in range(100)], "key string, a double")
+    fitted, fit = [], le.LogisticRegression.fit
+    monkeypatch.setattr(le.LogisticRegression, "fit", lambda self, df: fitted.append(df.count()) or fit(self, df))
+    value = le.p_mse(make("r"), make("s"), ["a"], "key").first()["value"]
+    assert len(fitted) == 5 and sum(fitted) == 4 * 200 and max(fitted) < 200
+    assert 0 <= value < 0.05
+
+
+def test_mia_and_grid_trials_do_the_operators_whole_job(spark, monkeypatch):
+    from quarrystone.operators import fidelity as fi
+    from quarrystone.plans import catalog, registry, storing
+
+    d, asked = "/root/testdata/sf0.001", {}
+    bind = inspect.signature(le.membership_attack).bind
+
+    def attack(*a, **k):
+        b = bind(*a, **k)
+        b.apply_defaults()
+        asked["rounds"] = b.arguments["rounds"]
+
+    monkeypatch.setattr(le, "membership_attack", attack)
+    registry.queries()["mia"](spark, d)
+    assert asked["rounds"] == 5
+    score, sizes, columns = fi.wasserstein_dist, [], []
+    monkeypatch.setattr(fi, "wasserstein_dist", lambda x, made, c: (sizes.append(made.count()), columns.append(c)) and score(x, made, c))
+    assert registry.queries()["grid_trials"](spark, d).count() == 2
+    assert sizes == [catalog.real(spark, d).count()] * 2 and columns == [storing._COLS] * 2
