@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import re
 import tempfile
 
 import numpy as np
@@ -10,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 #: Bytes of text worked on at once inside a task; longer texts make a slice of their own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,23 +22,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (tests, local mode) a temporary folder is taken.
+    The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a
+    temporary folder serves a session in local mode; elsewhere it's an error.
     """
-    spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(folder)
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
     return df.checkpoint(eager=True)
 
 
+def spare(columns: list[str], *names: str) -> list[str]:
+    """Names like ``names`` that no column has, in any case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_key(df: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, list[str]]:
+    """df with three more columns that tell a document by its id, of any type, and its text; and their names.
+
+    They are: no id, the id as a string, Spark's xxhash64 of the text (null as empty).
+    """
+    key = spare(df.columns, "_n", "_d", "_v")
+    values = [F.col(doc_id).isNull(), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text), F.lit("")))]
+    return df.withColumns(dict(zip(key, values))), key
+
+
 def held_out(doc_id, n: int, r: int):
     """True where crc32 of the id as text leaves ``r`` modulo ``n``; null ids are never held out."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n == r, F.lit(False))
 
 
+def _give_back() -> None:
+    """Return freed memory to the system: Python workers live on from task to task, side by side."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim:
+        trim(0)
+
+
 def text_slices(batches, column: str):
-    """Cut Arrow batches into runs of rows whose text stays below SLICE_BYTES."""
+    """Cut Arrow batches into runs of rows whose text (or bytes) stays below SLICE_BYTES."""
     for batch in batches:
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
@@ -47,7 +80,7 @@ def text_slices(batches, column: str):
             total += n
         if start < batch.num_rows:
             yield batch.slice(start)
-        pa.default_memory_pool().release_unused()  # workers live on from task to task
+        _give_back()
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -79,6 +112,17 @@ def word_spans(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tu
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def packed_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, is_word: np.ndarray) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words, each followed by one space, and where each begins and ends there."""
+    lengths = ends - starts + 1
+    place = np.cumsum(lengths) - lengths
+    packed = np.full(int(lengths.sum()), 32, np.uint8)
+    mask = np.ones(len(packed), bool)
+    mask[place + lengths - 1] = False
+    packed[mask] = data[is_word[data]]
+    return packed.tobytes(), place, place + lengths - 1
+
+
 def byte_class(excluded: list[tuple[int, int]]) -> np.ndarray:
     """256 booleans, false in the given inclusive ranges."""
     out = np.ones(256, bool)
