@@ -5,6 +5,7 @@ sums over the histogram hold, for each length L, how many documents and tokens l
 L or above. From them follow totals, quantiles and the tokens left after truncation at
 any limit, without touching the documents again. Suffix sums are taken inside blocks
 of BLOCK lengths and carried over by block totals, so no task gets the whole histogram.
+The counts (a row for each length) are checkpointed, so texts are encoded once.
 
 Defined results: null and empty texts have length 0 and are counted. Repeated rows
 count as often as they occur. An empty table gives an empty histogram. Only the text
@@ -17,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from quarrystone.llm._base import table
+from quarrystone.llm._base import checkpointed, table
 from quarrystone.llm.tokens import encoder
 
-BLOCK = 1024
+BLOCK = 64
 
 
 def lengths(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
@@ -31,7 +32,7 @@ def lengths(df: DataFrame, text: str = "text", path: str | None = None) -> DataF
 
 def length_histogram(df: DataFrame, text: str = "text", path: str | None = None) -> DataFrame:
     """n_tokens, n_docs, and the suffix sums docs_from, tokens_from (documents of that length or longer)."""
-    counts = lengths(df, text, path).groupBy("n_tokens").agg(F.count("*").alias("n_docs"))
+    counts = checkpointed(lengths(df, text, path).groupBy("n_tokens").agg(F.count("*").alias("n_docs")))
     counts = counts.withColumns({"tokens": F.col("n_tokens") * F.col("n_docs"), "block": F.floor(F.col("n_tokens") / BLOCK)})
     blocks = counts.groupBy("block").agg(F.sum("n_docs").alias("d"), F.sum("tokens").alias("t"))
     later = W.orderBy(F.col("block").desc()).rowsBetween(W.unboundedPreceding, -1)
