@@ -11,7 +11,8 @@ every text, whole, in tasks that hold the model (a table of fixed size).
 
 Defined results: null and empty texts have no words; their bins score them. Without
 labels, or with one class, every score is the share of good labels (0.5 without labels).
-Repeated rows are scored each. A null n_chars has a bin of its own. Extra columns pass
+Repeated rows are scored each; in learning, a document counts once for each distinct label
+it has. A null n_chars has a bin of its own. Extra columns pass
 through ``score_texts``; ``score`` of the input is replaced.
 """
 
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from quarrystone.llm._base import NOT_SPACE, held_out, table, text_bytes, text_slices, word_hashes, word_spans
 from quarrystone.llm.toxicity import labelled_sample
@@ -165,7 +167,8 @@ def learn(sample: DataFrame) -> Machine:
                 lists = lambda x, t: pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(x, t))
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), lists(slot, pa.int32()), lists(value, pa.float32())], names=["doc_id", "y", "slot", "value"])
 
-    found = sample.mapInArrow(features, "doc_id bigint, y int, slot array<int>, value array<float>").toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    schema = StructType([sample.schema["doc_id"], *StructType.fromDDL("y int, slot array<int>, value array<float>")])
+    found = sample.mapInArrow(features, schema).toArrow().combine_chunks().sort_by([("doc_id", "ascending"), ("y", "ascending")])  # sample_rows rows
     if not found.num_rows:
         return fit(np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0))
     slots, values = found.column("slot").combine_chunks(), found.column("value").combine_chunks()

@@ -1,20 +1,24 @@
 """Toxicity: a weighted lexicon, matched by Aho-Corasick on folded text.
 
 Folding undoes disguises: compatibility forms, Cyrillic and Greek look-alikes, digits
-and signs inside words. A lexicon entry is a whole word or a word's beginning with a
-weight (its log odds in toxic against other texts); the longest entry at a word counts,
-unless the word and its neighbour are an exception phrase. Weights are summed, set
-against the text's length, and a logistic curve turns that into a probability.
+and signs inside words. A lexicon entry is a whole word of MIN_LETTERS or more, or a
+word's beginning of MIN_LETTERS + 1 to MAX_LETTERS letters (longer beginnings would only
+repeat the whole words), with a weight (its log odds in toxic against other texts); the
+longest entry at a word counts, unless the word and its neighbour are an exception
+phrase. Weights are summed, set against the text's length, and a logistic curve turns
+that into a probability.
 
 Lexicon, exception phrases and curve are learned from at most ``sample_rows`` labelled
 rows, taken in the order of a hash of the id; entries must be likelier than chance after
-testing all candidates. Scoring goes over every text, whole.
+testing all candidates. The sample is folded once and checkpointed. Scoring goes over
+every text, whole.
 
 Defined results: null and empty texts and texts without words score like a text without
 hits of length zero. Without labels, or with one class only, the lexicon is empty and
 every score is the share of toxic labels (0 without labels). Repeated rows are scored
-each; repeated labels of one document count as often as they occur. Extra columns pass
-through ``score_texts``; ``score`` of the input is replaced.
+each. In learning, a document counts once for each distinct label it has, and the
+smallest text stands for rows that share an id. Extra columns pass through
+``score_texts``; ``score`` of the input is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from quarrystone.llm._base import held_out, table, text_slices
+from quarrystone.llm._base import checkpointed, held_out, table, text_slices
 
 SAMPLE_ROWS = 20_000
 MIN_LETTERS, MAX_LETTERS = 3, 12
@@ -38,21 +42,32 @@ LOOKS = str.maketrans(
     "aeopcxyijsdqwhkmtbhaeopuikvtxnilo" + "ag",
 )
 SIGNS = str.maketrans("013457@$!|8", "oieastasilb")
-_IN_WORD = re.compile(r"(?:[013457@$!|8]+(?=[^\W\d_]))|(?<=[^\W\d_])[0134578](?![\d])")
+#: Zero-width and soft-hyphen characters that split words unseen.
+_FOLDS = LOOKS | dict.fromkeys([0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+_ODD = re.compile(f"[{''.join(map(chr, _FOLDS))}]")
+_SIGN_RUN = re.compile(r"[013457@$!|8]+")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
+def _in_word(m: re.Match) -> str:
+    """A run of digits and signs as letters if a letter follows; a digit that ends a word likewise."""
+    s, a, b = m.string, m.start(), m.end()
+    letter = lambda i: 0 <= i < len(s) and s[i].isalnum() and not s[i].isdecimal()
+    if letter(b):
+        return m[0].translate(SIGNS)
+    if letter(a - 1) and m[0][0].isdigit() and not s[a + 1 : a + 2].isdecimal():
+        return m[0][0].translate(SIGNS) + m[0][1:]
+    return m[0]
+
+
 def fold(text: str) -> str:
     """Lower case, with disguised letters undone."""
     if not text.isascii():
-        text = unicodedata.normalize("NFKC", text).translate(_INVISIBLE).lower().translate(LOOKS)
+        text = unicodedata.normalize("NFKC", text).lower()
+        text = text.translate(_FOLDS) if _ODD.search(text) else text
     else:
         text = text.lower()
-    return _IN_WORD.sub(lambda m: m[0].translate(SIGNS), text)
-
-
-#: Zero-width and soft-hyphen characters that split words unseen.
-_INVISIBLE = dict.fromkeys([0x00AD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF])
+    return _SIGN_RUN.sub(_in_word, text)
 
 
 def folded_words(text: str | None) -> list[str]:
@@ -64,7 +79,7 @@ def entries_of(words) -> set[str]:
     out = set()
     for w in set(words):
         if len(w) >= MIN_LETTERS:
-            out.add(f" {w[:40]} ")
+            out.add(f" {w} ")
             out.update(f" {w[:k]}" for k in range(MIN_LETTERS + 1, min(len(w), MAX_LETTERS) + 1))
     return out
 
@@ -126,45 +141,57 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, sample_rows: int, *more: str) -> DataFrame:
-    """doc_id, text, y (and ``more`` columns) of at most ``sample_rows`` labelled training rows, in the order of a hash of doc_id."""
-    y = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & train).select("doc_id", F.col(label).cast("int").alias("y"))
+    """doc_id, y, text (and ``more`` columns) of at most ``sample_rows`` pairs of a labelled training document and its label.
+
+    They are taken in the order of a hash of doc_id. A document counts once for each distinct
+    label; where rows share an id, the smallest (text, more) stands for them.
+    """
+    y = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & train).select("doc_id", F.col(label).cast("int").alias("y")).distinct()
     y = y.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(sample_rows)
-    return docs.select("doc_id", "text", *more).join(F.broadcast(y), "doc_id")  # sample_rows pairs of numbers
+    rows = docs.select("doc_id", F.struct("text", *more).alias("row")).join(F.broadcast(y), "doc_id")  # sample_rows pairs of numbers
+    return rows.groupBy("doc_id", "y").agg(F.min("row").alias("row")).select("doc_id", "y", "row.*")
 
 
 def learn(sample: DataFrame, max_entries: int = 5000, min_docs: int = 4) -> Lexicon:
     """Lexicon, exceptions and curve from rows (text, y)."""
 
+    def folded(batches):
+        for whole in batches:
+            for b in text_slices([whole], "text"):
+                yield pa.RecordBatch.from_arrays([pa.array([" ".join(folded_words(t)) for t in b.column("text").to_pylist()], pa.string()), b.column("y")], names=["words", "y"])
+
+    sample = checkpointed(sample.select("text", "y").mapInArrow(folded, "words string, y int"))
+
     def count(batches):
         n: Counter = Counter()
         for b in batches:
-            for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-                n.update((e, y) for e in entries_of(folded_words(text)))
-                n["", y] += 1
+            for words, y in zip(b.column("words").to_pylist(), b.column("y").to_pylist()):
+                n.update((e, y) for e in entries_of(words.split()))
         yield pa.RecordBatch.from_arrays([pa.array([k for (k, _) in n], pa.string()), pa.array([y for (_, y) in n], pa.int32()), pa.array(list(n.values()), pa.int64())], names=["entry", "y", "n"])
 
-    counts = sample.mapInArrow(count, "entry string, y int, n bigint").groupBy("entry").agg(
-        F.coalesce(F.sum(F.when(F.col("y") == 1, F.col("n"))), F.lit(0)).alias("bad"), F.coalesce(F.sum(F.when(F.col("y") == 0, F.col("n"))), F.lit(0)).alias("good")
-    )
-    total = counts.filter("entry = ''").first()
-    bad, good = (total["bad"], total["good"]) if total else (0, 0)
+    classes = {r["y"]: r["n"] for r in sample.groupBy("y").agg(F.count("*").alias("n")).collect()}  # as many as labels have values
+    bad, good = classes.get(1, 0), classes.get(0, 0)
     if not bad or not good:
         share = min(max(bad / max(bad + good, 1), 1e-12), 1 - 1e-12)
         return Lexicon({}, set(), (float(np.log(share / (1 - share))), 0.0, 0.0, 0.0))
+    counts = sample.mapInArrow(count, "entry string, y int, n bigint").groupBy("entry").agg(
+        F.coalesce(F.sum(F.when(F.col("y") == 1, F.col("n"))), F.lit(0)).alias("bad"), F.coalesce(F.sum(F.when(F.col("y") == 0, F.col("n"))), F.lit(0)).alias("good")
+    )
+    counts = checkpointed(counts.filter(F.col("bad") + F.col("good") >= min_docs))
     weight = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
     # log likelihood ratio of the entry's label share against the overall one
     share, rate = bad / (bad + good), F.col("bad") / (F.col("bad") + F.col("good"))
     ratio = F.col("bad") * F.log(rate / share) + F.when(F.col("good") > 0, F.col("good") * F.log((1 - rate) / (1 - share))).otherwise(0.0)
-    tested = F.lit(float(np.log(max(counts.filter(F.col("bad") + F.col("good") >= min_docs).count(), 1))))
-    chosen = counts.filter((F.col("entry") != "") & (F.col("bad") >= min_docs)).select("entry", weight.alias("w"), ratio.alias("r")).filter((F.col("w") > 1) & (F.col("r") > tested))
+    tested = F.lit(float(np.log(max(counts.count(), 1))))
+    chosen = counts.filter(F.col("bad") >= min_docs).select("entry", weight.alias("w"), ratio.alias("r")).filter((F.col("w") > 1) & (F.col("r") > tested))
     rows = chosen.orderBy(F.desc("r"), "entry").limit(max_entries).collect()
     lexicon = Lexicon({r["entry"]: r["w"] for r in rows})
 
     def neighbours(batches):
         a, n = lexicon.automaton(), Counter()
         for b in batches:
-            for text, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist()):
-                words, seen = folded_words(text), set()
+            for line, y in zip(b.column("words").to_pylist(), b.column("y").to_pylist()):
+                words, seen = line.split(), set()
                 for i, _ in lexicon.hits(a, words):
                     seen.update(" ".join(words[k : k + 2]) for k in (i - 1, i) if k >= 0 and k + 1 < len(words))
                 n.update((p, y) for p in seen)
@@ -176,7 +203,7 @@ def learn(sample: DataFrame, max_entries: int = 5000, min_docs: int = 4) -> Lexi
     def measure(batches):
         a = lexicon.automaton()
         for b in batches:
-            x = [lexicon.features(a, folded_words(t)) for t in b.column("text").to_pylist()]
+            x = [lexicon.features(a, line.split()) for line in b.column("words").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in x], pa.float64()) for i in range(3)), b.column("y")], names=["x0", "x1", "x2", "y"])
 
     m = sample.mapInArrow(measure, "x0 double, x1 double, x2 double, y int").toPandas().to_numpy(float)  # sample_rows of four numbers
