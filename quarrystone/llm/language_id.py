@@ -12,7 +12,8 @@ side by side. A document's language is the one with the most letters in its span
 Defined results: null texts and texts without letters are ``und`` with score 0. With no
 training rows every text is ``und``. Training rows with a null language are passed over.
 Ties go to the first language in sorted order. Repeated rows count in training as often
-as they occur. Extra columns pass through ``detect``; lang_pred, score and spans are replaced.
+as they occur. Extra columns pass through ``detect``; those named like its outputs are
+replaced, and the outputs can be given other names.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from quarrystone.llm._base import byte_class, held_out, table, text_bytes, text_slices, word_spans
 
@@ -212,15 +214,15 @@ def label_words(scores: np.ndarray, codes: np.ndarray, bounds: np.ndarray, switc
     return out
 
 
-def detect(df: DataFrame, model: Model, text: str = "text", switch: float = SWITCH, spans: bool = False) -> DataFrame:
+def detect(df: DataFrame, model: Model, text: str = "text", switch: float = SWITCH, spans: bool = False, names: tuple[str, str, str] = ("lang_pred", "score", "spans")) -> DataFrame:
     """Add lang_pred and score (share of letters in that language), and if asked ``spans``:
     (first word, end word, language) over the text's words of letters."""
     shared = df.sparkSession.sparkContext.broadcast(model)  # languages x BUCKETS doubles
-    df = df.drop("lang_pred", "score", "spans")
-    names = df.columns
-    schema = type(df.schema)([*df.schema.fields]).add("lang_pred", "string").add("score", "double")
+    df = df.drop(*names)
+    kept, more_names = df.columns, list(names[: 2 + spans])
+    schema = StructType([*df.schema.fields]).add(names[0], "string").add(names[1], "double")
     if spans:
-        schema = df.limit(0).selectExpr("*", "'' lang_pred", "0d score", "cast(null as array<struct<a:int,b:int,lang:string>>) spans").schema
+        schema = schema.add(names[2], ArrayType(StructType.fromDDL("a int, b int, lang string")))
 
     def run(batches):
         model = shared.value
@@ -246,7 +248,7 @@ def detect(df: DataFrame, model: Model, text: str = "text", switch: float = SWIT
                 more = [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
                 if spans:
                     more.append(pa.array(found, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("lang", pa.string())]))))
-                yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*names, "lang_pred", "score", *["spans"] * spans])
+                yield pa.RecordBatch.from_arrays([*b.columns, *more], names=[*kept, *more_names])
 
     return df.mapInArrow(run, schema)
 

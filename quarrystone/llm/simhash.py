@@ -17,8 +17,9 @@ task holds more than two blocks. No link between different fingerprints is lost.
 
 Defined results: null and empty texts, and texts without words, have fingerprint
 zero and are linked like any other. Repeated rows and ties share their component.
-A null doc_id takes part but never names a component (null if all are null).
-Extra columns pass through ``drop_near_duplicates``.
+A null doc_id takes part but never names a component (null if all are null). Ids may
+be of any type that sorts. Extra columns, whatever their names, pass through
+``drop_near_duplicates``. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from quarrystone.llm._base import ASCII_LOWER, NOT_SPACE, checkpointed, table, text_bytes, text_slices, word_spans
+from quarrystone.llm._base import ASCII_LOWER, NOT_SPACE, checkpointed, packed_words, row_key, table, text_bytes, text_slices, word_spans
 from quarrystone.llm.components import connected_components
 
 RADIUS, SHINGLE = 3, 3
@@ -57,16 +58,8 @@ def _fingerprints(text: pa.Array, shingle: int) -> np.ndarray:
     data, offsets = text_bytes(text)
     data = ASCII_LOWER[data]
     starts, ends, at = word_spans(data, offsets, NOT_SPACE)
-    # the words of all rows, each followed by one space
-    lengths = ends - starts + 1
-    place = np.cumsum(lengths) - lengths
-    packed = np.full(int(lengths.sum()), 32, np.uint8)
-    inside = NOT_SPACE[data]
-    mask = np.ones(len(packed), bool)
-    mask[place + lengths - 1] = False
-    packed[mask] = data[inside]
-    raw, stops = packed.tobytes(), (place + lengths - 1).tolist()
-    place = place.tolist()
+    raw, place, stops = packed_words(data, starts, ends, NOT_SPACE)
+    place, stops = place.tolist(), stops.tolist()
     digest, out = xxhash.xxh64_intdigest, np.zeros(len(at) - 1, np.uint64)
     for r, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
         if b > a:
@@ -132,25 +125,48 @@ def group_bits(n: int, both: np.ndarray, parts: int) -> list[list[int]]:
     return groups
 
 
+def distances(both: np.ndarray, group: list[int]) -> np.ndarray:
+    """Chances that two fingerprints differ in 0, 1, ... bits of the group, from the shares of each bit and pair of bits.
+
+    Bits are put in a chain, each next to the one it goes with most, and whether the two
+    fingerprints agree in a bit depends on the bit before it.
+    """
+    p = np.diag(both)
+    same = p**2 + (1 - p) ** 2
+    cov = np.abs(both - np.outer(p, p))
+    order, left = [group[0]], set(group[1:])
+    while left:
+        order.append(max(sorted(left), key=lambda i: cov[order[-1], i]))
+        left.discard(order[-1])
+    at = np.zeros((len(group) + 1, 2))  # by number of differing bits, and whether the last one differs
+    at[0, 0], at[1, 1] = same[order[0]], 1 - same[order[0]]
+    for a, b in zip(order, order[1:]):
+        pab = both[a, b]
+        agree = pab**2 + (p[a] - pab) ** 2 + (p[b] - pab) ** 2 + (1 - p[a] - p[b] + pab) ** 2
+        stay = agree / max(same[a], 1e-12)  # agree in b if they do in a
+        turn = (same[b] - agree) / max(1 - same[a], 1e-12)
+        new = np.zeros_like(at)
+        new[:, 0] = at[:, 0] * stay + at[:, 1] * turn
+        new[1:, 1] = at[:-1, 0] * (1 - stay) + at[:-1, 1] * (1 - turn)
+        at = np.clip(new, 0, 1)
+    return at.sum(axis=1)
+
+
 def allocate(n: int, both: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
     """Partitions with thresholds: the cheapest plan by expected rows sent and pairs compared.
 
     For each number of partitions a dynamic program over (partition, threshold left) picks
     thresholds t >= -1 (-1: unused) with sum radius - partitions + 1. A partition's cost at t
     is a row for each node and value within t, and the pairs expected within distance t there,
-    from each bit's share of ones among all fingerprints.
+    from the counts of bits and of pairs of bits among all fingerprints.
     """
-    p = np.diag(both) / max(n, 1)
-    differ = 2 * p * (1 - p)
     row_cost, pair_cost = 200.0, 1.0
     best = (float("inf"), [])
     for parts in range(2, radius + 4):
         groups = group_bits(n, both, parts)
         costs = []
         for g in groups:
-            dist = np.array([1.0])
-            for b in g:
-                dist = np.convolve(dist, [1 - differ[b], differ[b]])
+            dist = distances(both / max(n, 1), g)
             at = {-1: 0.0}
             for t in range(radius + 1):
                 values = sum(comb(len(g), d) for d in range(t + 1))
@@ -296,10 +312,10 @@ def keep_first(df: DataFrame, found: DataFrame, doc_id: str = "doc_id", text: st
     Rows without an id stay only if nothing in their component has one; then, as among
     rows of one id, the text with the smallest hash stays.
     """
-    kept = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce(F.col("doc_id").cast("bigint"), F.lit(0)).alias("d"), F.col("ver").alias("v"))).alias("k"))
-    kept = kept.select(F.col("k.n").alias("_n"), F.col("k.d").alias("_d"), F.col("k.v").alias("_v"))
-    key = ["_n", "_d", "_v"]
-    rows = df.withColumns({"_n": F.col(doc_id).isNull(), "_d": F.coalesce(F.col(doc_id).cast("bigint"), F.lit(0)), "_v": F.xxhash64(F.coalesce(F.col(text), F.lit("")))})
+    rows, key = row_key(df, doc_id, text)
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("ver").alias("v"))).alias("k")
+    kept = found.groupBy("root").agg(smallest)
+    kept = kept.select(F.col("k.n").alias(key[0]), F.coalesce(F.col("k.d").cast("string"), F.lit("")).alias(key[1]), F.col("k.v").alias(key[2]))
     return rows.join(kept, key, "left_semi").dropDuplicates(key).select(*df.columns)
 
 
