@@ -8,12 +8,13 @@ fits with; a pair that fills the sequence, or that no two items could replace; a
 triple likewise), and best-fit decreasing places the rest, whole runs of equal pieces
 at a time. The plan says which ranks of each length go to which sequences; its size is
 bounded by the capacity, not by the data. Pieces find their rank by a salted row
-number: SALTS buckets a length, each numbered alone, then shifted by bucket counts.
+number: each length has a bucket for every BUCKET_PIECES of its pieces, each numbered
+alone, then shifted by bucket counts.
 
 Defined results: null text is an empty document, whose piece is the end id alone.
 Repeated rows are documents of their own; ties between equal lengths go by doc_id.
 A null doc_id stays null and is packed. Empty tables give no sequences. Extra columns
-aren't read.
+aren't read. A text of any length is encoded whole (see ``tokens``).
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from quarrystone.llm._base import checkpointed, table
 from quarrystone.llm.tokens import encoder
 
 CAPACITY, END_ID = 4096, 1
-SALTS = 512
+BUCKET_PIECES = 200_000
 
 
 def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -195,11 +196,13 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> dict[str
     return plan
 
 
-def place(df: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
-    """Add sequence_id and offset to pieces (doc_id, piece, length, ids_crc32, with lineage cut)."""
-    salted = df.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(salts)).cast("int"))
+def place(df: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
+    """Add sequence_id and offset to pieces (doc_id, piece, length, ids_crc32 and maybe more, with lineage cut)."""
+    sizes = df.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most `capacity` rows
+    histogram = {r["length"]: r["n"] for r in sizes}
+    buckets = df.sparkSession.createDataFrame([(n, -(-m // bucket_pieces)) for n, m in histogram.items()], "length bigint, salts bigint")
+    salted = df.join(F.broadcast(buckets), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts")).cast("int")).drop("salts")
     counts = checkpointed(salted.groupBy("length", "salt").agg(F.count("*").alias("n")))
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     plan = pack_histogram(histogram, capacity)
     shared = df.sparkSession.sparkContext.broadcast(plan)  # rows bounded by the capacity
     before = W.partitionBy("length").orderBy("salt").rowsBetween(W.unboundedPreceding, -1)
@@ -234,10 +237,10 @@ def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str |
     return place(checkpointed(pieces(df, doc_id, text, path, capacity, end_id)), capacity)
 
 
-def sequences(df: DataFrame, placed: DataFrame, path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """The packed sequences: sequence_id, ids, and the doc_ids in order. doc_id is to be unique."""
-    ids = pieces(df, path=path, capacity=capacity, end_id=end_id, with_ids=True).select("doc_id", "piece", "ids")
-    rows = placed.join(ids, ["doc_id", "piece"]).groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "doc_id"))).alias("p"))
+def sequences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """The packed sequences: sequence_id, ids, and the doc_ids in order. Every row's pieces are there once, whatever its id."""
+    placed = place(checkpointed(pieces(df, doc_id, text, path, capacity, end_id, with_ids=True)), capacity)
+    rows = placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "doc_id"))).alias("p"))
     return rows.select("sequence_id", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids"))
 
 

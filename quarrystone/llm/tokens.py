@@ -8,16 +8,20 @@ other characters, which may compose). ASCII capitals are folded as the tokenizer
 itself, but for those before a non-ASCII character. Texts with the strings of special
 tokens are cut at white space only. Chunks are dictionary-encoded for a slice of rows,
 only unseen ones go through the tokenizer, and ids are gathered by index. The cache of
-chunks lives in the Python worker, is bounded, and changes speed only.
+chunks lives in the Python worker, is bounded, and changes speed only. A text longer than
+a slice is encoded in parts cut at white space, so only a chunk without any needs memory
+in proportion to its own length.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 
+from quarrystone.llm import _base
 from quarrystone.llm._base import text_bytes, text_slices
 
 CACHE_CHUNKS = 200_000
@@ -32,6 +36,7 @@ _KIND[0x30:0x3A] = 2
 _KIND[0x80:] = 4
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
+_SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
 def chunk_starts(data: np.ndarray, offsets: np.ndarray, plain: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -99,6 +104,19 @@ class ChunkTokenizer:
         out = flat[np.arange(total) + np.repeat((np.cumsum(sizes) - sizes)[index] - (ends - n), n)]
         return out, np.concatenate([[0], ends])[np.searchsorted(starts, offsets)]
 
+    def encode_long(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode``, for a slice of rows that may be one long text."""
+        if len(column) != 1 or not column[0].is_valid or (raw := column[0].as_buffer()).size <= _base.SLICE_BYTES:
+            return self.encode(column)
+        raw, ids, start = memoryview(raw), [], 0
+        while start < len(raw):
+            space = _SPACE.search(raw, start + _base.SLICE_BYTES)
+            end = space.end() if space else len(raw)
+            ids.append(self.encode(pa.array([str(raw[start:end], "utf-8")]))[0])
+            start = end
+        ids = np.concatenate(ids)
+        return ids, np.array([0, len(ids)])
+
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """Two generations of cached chunks: what the older one still gives moves to the newer."""
         if len(self.seen) > CACHE_CHUNKS:
@@ -128,6 +146,6 @@ def encoder(path: str | None, text: str, make):
         tokenizer = ChunkTokenizer.of(path)
         for whole in batches:
             for batch in text_slices([whole], text):
-                yield make(batch, *tokenizer.encode(batch.column(text)))
+                yield make(batch, *tokenizer.encode_long(batch.column(text)))
 
     return run
