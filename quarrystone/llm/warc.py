@@ -11,7 +11,13 @@ Defined results: null and empty bodies give an empty conversion; a null URL give
 without a target URI. Damaged records (no WARC or HTTP head) give one metadata record with
 ``error`` and no conversion. Repeated rows give repeated records with equal identifiers.
 Payload text that isn't UTF-8 is read as declared, else with replacement characters.
-Extra columns pass through where ``key`` lists them.
+``key`` is one column or several, which pass through; other columns don't. Empty tables
+give empty results.
+
+Files are a data source of their own: ``write_warc`` gives each record a gzip member, as
+the format asks for, and names files when the job commits, so a task that runs again
+leaves nothing behind; ``read_warc`` reads record after record, so a task holds one record
+and one Arrow batch, however large the file is.
 """
 
 from __future__ import annotations
@@ -24,11 +30,15 @@ import json
 import re
 import uuid
 import zlib
+from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from quarrystone.llm._base import table, text_slices
+from quarrystone.llm._base import SLICE_BYTES, table, text_slices
 
 NAMESPACE = uuid.UUID("6f1c1f2e-7f43-5d0b-9a55-3a8f6c1d2b10")
 DATE = "2000-01-01T00:00:00Z"
@@ -54,12 +64,12 @@ def build_record(headers: list[tuple[str, str | None]], block: bytes) -> bytes:
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block
 
 
-def build_response(url: str | None, body: str | None, key: object) -> bytes:
+def build_response(url: str | None, body: str | None, *key: object) -> bytes:
     """A response record for a page that was stored without its headers."""
     payload = (body or "").encode()
     block = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode() + payload
     head = [
-        ("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", key, url, digest(payload))), ("WARC-Date", DATE), ("WARC-Target-URI", url),
+        ("WARC-Type", "response"), ("WARC-Record-ID", record_id("response", *key, url, digest(payload))), ("WARC-Date", DATE), ("WARC-Target-URI", url),
         ("WARC-Payload-Digest", digest(payload)), ("WARC-Block-Digest", digest(block)), ("Content-Type", "application/http; msgtype=response"),
     ]
     return build_record(head, block)
@@ -163,62 +173,187 @@ def derive(response: bytes | None) -> list[dict]:
 
 
 _FIELDS = pa.schema([(n, pa.int64() if n == "content_length" else pa.binary() if n == "record" else pa.string()) for n in ("warc_type", "record_id", "refers_to", "concurrent_to", "target_uri", "block_digest", "content_length", "source_payload_digest", "record")])
-_DDL = ", ".join(f"{f.name} {'bigint' if f.type == pa.int64() else 'binary' if f.type == pa.binary() else 'string'}" for f in _FIELDS)
+_TYPES = StructType([StructField(f.name, LongType() if f.type == pa.int64() else BinaryType() if f.type == pa.binary() else StringType()) for f in _FIELDS])
+
+
+def _keys(df: DataFrame, key: str | list[str]) -> tuple[list[str], list]:
+    names = [key] if isinstance(key, str) else list(key)
+    clash = {n.lower() for n in names} & {"response", *_FIELDS.names}
+    if clash:
+        raise ValueError(f"key columns are named like outputs: {sorted(clash)}")
+    return names, [df.schema[n] for n in names]
 
 
-def responses(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
-    """key and ``response``, a WARC response record for each stored page."""
+def responses(pages: DataFrame, key: str | list[str] = "page_id", url: str = "url", body: str = "html") -> DataFrame:
+    """The key columns and ``response``, a WARC response record for each stored page."""
+    names, fields = _keys(pages, key)
+    url_at, body_at = len(names), len(names) + 1
 
     def run(batches):
         for whole in batches:
             for b in text_slices([whole], "body"):
-                rows = [build_response(u, x, k) for k, u, x in zip(*(b.column(n).to_pylist() for n in ("key", "url", "body")))]
-                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(rows, pa.binary())], names=["key", "response"])
+                ids = zip(*(b.column(i).to_pylist() for i in range(len(names))))
+                rows = [build_response(u, x, *k) for k, u, x in zip(ids, b.column(url_at).to_pylist(), b.column(body_at).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(names))), pa.array(rows, pa.binary())], names=[*names, "response"])
 
-    found = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.col(body).alias("body"))
-    return found.mapInArrow(run, f"key {found.schema['key'].dataType.simpleString()}, response binary").withColumnRenamed("key", key)
+    found = pages.select(*(F.col(n).alias(f"key{i}") for i, n in enumerate(names)), F.col(url).alias("url"), F.col(body).alias("body"))
+    return found.mapInArrow(run, StructType([*fields]).add("response", "binary"))
 
 
-def derivatives(df: DataFrame, key: str = "page_id", response: str = "response") -> DataFrame:
-    """key with one row for each derivative record: its fields and the record itself."""
+def derivatives(df: DataFrame, key: str | list[str] = "page_id", response: str = "response") -> DataFrame:
+    """The key columns with one row for each derivative record: its fields and the record itself."""
+    names, fields = _keys(df, key)
 
     def run(batches):
-        for b in batches:
-            for i in range(0, b.num_rows, 200):
-                part = b.slice(i, 200)
-                keys, cols = [], {n: [] for n in _FIELDS.names}
-                for k, r in zip(part.column("key").to_pylist(), part.column("response").to_pylist()):
+        for whole in batches:
+            for b in text_slices([whole], "response"):
+                at, cols = [], {n: [] for n in _FIELDS.names}
+                for i, r in enumerate(b.column("response").to_pylist()):
                     for row in derive(r):
-                        keys.append(k)
+                        at.append(i)
                         for n in cols:
                             cols[n].append(row[n])
-                yield pa.RecordBatch.from_arrays([pa.array(keys, part.schema.field("key").type), *(pa.array(cols[f.name], f.type) for f in _FIELDS)], names=["key", *_FIELDS.names])
+                keys = [b.column(i).take(pa.array(at, pa.int64())) for i in range(len(names))]
+                yield pa.RecordBatch.from_arrays([*keys, *(pa.array(cols[f.name], f.type) for f in _FIELDS)], names=[*names, *_FIELDS.names])
+
+    found = df.select(*(F.col(n).alias(f"key{i}") for i, n in enumerate(names)), F.col(response).cast("binary").alias("response"))
+    return found.mapInArrow(run, StructType([*fields, *_TYPES.fields]))
+
+
+def _file_system(path: str) -> tuple[fs.FileSystem, str]:
+    """Of a folder that all executors share: a URI, or a path of mounted storage."""
+    return fs.FileSystem.from_uri(path) if re.match(r"[a-z][a-z0-9+.-]*://|file:", path) else (fs.LocalFileSystem(), path)
+
+
+def read_records(stream):
+    """The records of an open WARC file, plain or gzipped, one by one and without their closing line ends."""
+    unzip, held, ended, size = None, bytearray(), False, 1 << 20
+
+    def more() -> bool:
+        """Another piece of the file; several gzip members follow one another."""
+        nonlocal unzip, ended
+        piece = stream.read(size)
+        ended = not piece
+        if unzip is None:
+            unzip = zlib.decompressobj(31) if piece[:2] == b"\x1f\x8b" else False
+        while piece and unzip:
+            held.extend(unzip.decompress(piece))
+            piece = unzip.unused_data
+            if piece:
+                unzip = zlib.decompressobj(31)
+        held.extend(piece if not unzip else b"")
+        return not ended
+
+    while True:
+        while (end := held.find(b"\r\n\r\n")) < 0 and more():
+            pass
+        if end < 0:
+            return
+        n = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", bytes(held[:end]))
+        stop = end + 4 + (int(n[1]) if n else 0)
+        while len(held) < stop + 4 and more():
+            pass
+        yield bytes(held[:stop])
+        del held[: stop + 4]
+
+
+class WarcFile(InputPartition):
+    def __init__(self, path: str):
+        super().__init__(path)
+
+
+class WarcReader(DataSourceReader):
+    """A partition for each file, since gzip can't be entered in the middle."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def partitions(self):
+        system, at = _file_system(self.path)
+        found = system.get_file_info(at)
+        files = [found] if found.is_file else system.get_file_info(fs.FileSelector(at, recursive=True))
+        return [WarcFile(f.path) for f in files if f.is_file and not f.base_name.startswith(("_", "."))]
+
+    def read(self, partition):
+        system, _ = _file_system(self.path)
+        with system.open_input_stream(partition.value, compression=None) as stream:
+            rows, held = [], 0
+            for record in read_records(stream):
+                rows.append(record)
+                held += len(record)
+                if held > SLICE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
+                    rows, held = [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["record"])
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    name: str
+
+
+class WarcWriter(DataSourceArrowWriter):
+    """A file for each partition, one gzip member for each record; files get their names on commit."""
+
+    def __init__(self, path: str, overwrite: bool):
+        self.path, self.overwrite, self.job = path, overwrite, uuid.uuid4().hex
+
+    def write(self, batches):
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        system, at = _file_system(self.path)
+        system.create_dir(f"{at}/_{self.job}", recursive=True)
+        name = f"part-{task.partitionId():05d}-{task.taskAttemptId()}.warc.gz"
+        with system.open_output_stream(f"{at}/_{self.job}/{name}", compression=None) as out:
+            for b in batches:
+                for i in range(b.num_rows):
+                    out.write(gzip.compress(b.column(0)[i].as_py() + b"\r\n\r\n", 6, mtime=0))
+        return Written(name)
+
+    def commit(self, messages):
+        system, at = _file_system(self.path)
+        old = [f.path for f in system.get_file_info(fs.FileSelector(at, allow_not_found=True)) if f.is_file] if self.overwrite else []
+        for m in messages:
+            if m is not None:
+                system.move(f"{at}/_{self.job}/{m.name}", f"{at}/{m.name}")
+        for path in old:
+            system.delete_file(path)
+        self.abort(messages)
+
+    def abort(self, messages):
+        system, at = _file_system(self.path)
+        if system.get_file_info(f"{at}/_{self.job}").type != fs.FileType.NotFound:
+            system.delete_dir(f"{at}/_{self.job}")
+
+
+class WarcSource(DataSource):
+    """``spark.read.format("warc")`` and ``df.write.format("warc")``: one binary column, record."""
+
+    @classmethod
+    def name(cls):
+        return "warc"
+
+    def schema(self):
+        return "record binary"
+
+    def reader(self, schema):
+        return WarcReader(self.options["path"])
 
-    found = df.select(F.col(key).alias("key"), F.col(response).cast("binary").alias("response"))
-    return found.mapInArrow(run, f"key {found.schema['key'].dataType.simpleString()}, {_DDL}").withColumnRenamed("key", key)
+    def writer(self, schema, overwrite):
+        return WarcWriter(self.options["path"], overwrite)
 
 
-def write_warc(records: DataFrame, path: str, compression: str = "gzip") -> None:
-    """Write derivative records (UTF-8 throughout) as WARC files, one for each partition."""
-    records.select(F.col("record").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", compression).text(path)
+def write_warc(records: DataFrame, path: str) -> None:
+    """Append the records as WARC files to a folder, one file for each partition."""
+    records.sparkSession.dataSource.register(WarcSource)
+    records.select(F.col("record").cast("binary").alias("record")).write.format("warc").mode("append").save(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """``record`` rows of WARC files; a file is read by one task, so keep files of ordinary size."""
-
-    def run(batches):
-        for b in batches:
-            for data in b.column("content").to_pylist():
-                data = gzip.decompress(data) if data[:2] == b"\x1f\x8b" else data
-                at, out = 0, []
-                while (end := data.find(b"\r\n\r\n", at)) >= 0:
-                    n = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", data[at:end])
-                    stop = end + 4 + (int(n[1]) if n else 0)
-                    out.append(data[at:stop])
-                    at = stop + 4
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "record binary")
+    """``record`` rows of the WARC files in a folder, or of one file."""
+    spark.dataSource.register(WarcSource)
+    return spark.read.format("warc").load(path)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

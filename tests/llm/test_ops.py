@@ -104,9 +104,19 @@ def test_sequences_hold_the_documents(make):
     rng = random.Random(3)
     df = make([(i, prose(rng, rng.randrange(1, 40))) for i in range(30)])
     placed = packing.pack(df, capacity=64)
-    found = packing.sequences(df, placed, capacity=64).collect()
+    found = packing.sequences(df, capacity=64).collect()
     assert sorted(sum((list(r.doc_ids) for r in found), [])) == sorted(r.doc_id for r in placed.collect())
     assert all(len(r.ids) <= 64 for r in found)
+    rows = [(None, "one two"), (None, "one two"), (None, None), (7, "three"), (7, "four " * 100)]
+    found, whole = packing.sequences(make(rows), capacity=16).collect(), word_ids()
+    assert sum(len(r.ids) for r in found) == sum(len(whole(t)) + 1 for _, t in rows)
+    assert sum(r.doc_ids.count(None) for r in found) == 3 and all(len(r.ids) <= 16 for r in found)
+
+
+def test_place_with_many_buckets_a_length(make, spark):
+    rows = [(i, "word " * (i % 3)) for i in range(60)]
+    out = packing.place(packing.pieces(make(rows)), 8, bucket_pieces=4).collect()
+    assert len(out) == 60 and check_packed(out, 8) == -(-sum(r.length for r in out) // 8)
 
 
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 40), min_size=1, max_size=12))
@@ -199,7 +209,8 @@ def test_simhash_components(make):
             low[c] = min(d, low.get(c, d))
     want = Counter((d, f - (1 << 64) if f >> 63 else f, low.get(c)) for (d, _), f, c in zip(rows, fps, label))
     assert Counter((r.doc_id, r.fp, r.component_id) for r in out) == want
-    kept = simhash.drop_near_duplicates(make(rows, "fp")).collect()
+    kept = simhash.drop_near_duplicates(make(rows, "fp", "_n", "_d", "_v", "root")).collect()
+    assert all(r._n == r._d == r._v == r.fp == r.root == "x" for r in kept)
     assert len(kept) == len(set(label.tolist())) and {r.doc_id for r in kept if r.doc_id is not None} == set(low.values())
     assert simhash.components(make([])).count() == 0
 
@@ -290,6 +301,7 @@ def test_line_dedup(make, spark, partitions):
         assert got == brute_lines(rows)
         cut = line_dedup.apply_keep(df, keeps)
         assert cut.columns == df.columns and cut.count() == len(rows)
+        assert cut.filter("keep = 'x' AND n_dropped = 'x' AND ver = 'x' AND h1 = 'x'").count() == len(rows)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert line_dedup.line_keeps(make([])).count() == 0
@@ -309,7 +321,8 @@ def test_quality_rules(make):
     good = "\n".join(prose(rng, 12) + "." for _ in range(6))
     rep = "one two three four five six. " * 4
     rows = [*awkward(rng), (20, good), (21, good + "\nHome | About | Contact | Login | Help"), (22, rep), (23, "\n".join(["### $$$ %%% ***"] * 9) + "\n" + prose(rng, 12)), (24, good + "\n" + good)]
-    out = {r.doc_id: r for r in quality_rules.quality_rules(make(rows, "kept", "_words")).collect()}
+    out = {r.doc_id: r for r in quality_rules.quality_rules(make(rows, "kept", "_words", "_Lines")).collect()}
+    assert all(r._words == r._Lines == "x" for r in out.values())
     for d, t in rows:
         r, w = out[d], re.findall(r"[^\x20\x09-\x0D]+", t or "")
         if d is None or d == 4:
