@@ -1,8 +1,12 @@
 """Nearest neighbours and the distance metrics built on them.
 
-``nn_join`` finds exact neighbours. The base side is dealt into blocks, each query block
-meets each base block in one task as a matrix product in Arrow batches, and only the k
-best of each block go on, to be merged by query. No pair of rows ever becomes a row.
+``nn_join`` finds exact neighbours. Both sides are dealt to the nearest of some base rows
+(pivots), cells are cut into blocks, and pairs of blocks that can't hold a neighbour, by
+the triangle inequality on the cells' radii, never meet. Two blocks meet in one task in
+Arrow batches: a matrix product around the cell's centre gives distances with a known
+error, whatever lies within that error of the k-th is computed again difference by
+difference, and only the k best go on. No pair of rows ever becomes a row, and the result
+doesn't depend on how rows were dealt. Rows without a vector are left out.
 """
 
 from __future__ import annotations
@@ -10,46 +14,188 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
+
+from quarrystone.functions.session import checkpointed
+from quarrystone.operators.order import quantiles
+from quarrystone.operators.split import unit_hash_of
 
 #: Rows of a block: two blocks of 64 doubles stay below 5 MB.
 BLOCK_ROWS = 4096
+#: Pivots at most, so that they can be broadcast (0.5 MB at 64 doubles) and their pairs looked at on the driver.
+MAX_PIVOTS = 1024
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    column = pa.concat_arrays([column]) if isinstance(column, pa.Array) else column.combine_chunks()
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.zeros((0, 0))
+
+
+def products(q: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared distances of all rows of q and x by matrix products, and for each row of q what they may be off by."""
+    qq, xx = (q * q).sum(axis=1), (x * x).sum(axis=1)
+    error = 16 * (q.shape[1] + 8) * np.finfo(float).eps * (qq + xx.max(initial=0))
+    return np.maximum(qq[:, None] + xx[None, :] - 2 * (q @ x.T), 0), error
+
+
+def exact(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """Squared distances of the given pairs, from their differences."""
+    out = np.empty(len(rows))
+    for i in range(0, len(rows), 1 << 16):
+        d = q[rows[i : i + (1 << 16)]] - x[cols[i : i + (1 << 16)]]
+        out[i : i + (1 << 16)] = (d * d).sum(axis=1)
+    return out
+
+
+def nearest(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int, exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, squared distance) of the k nearest rows of x, ties by x_id."""
+    centre = x[0]
+    near, error = products(q - centre, x - centre)
+    if exclude_self:
+        near[q_id[:, None] == x_id[None, :]] = np.inf
+    limit = np.partition(near, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1] + 2 * error
+    rows, cols = np.nonzero((near <= limit[:, None]) & np.isfinite(near))
+    d = exact(q, x, rows, cols)
+    order = np.lexsort((x_id[cols], d, rows))
+    rows, cols, d = rows[order], cols[order], d[order]
+    first = np.searchsorted(rows, rows)
+    keep = np.arange(len(rows)) - first < k
+    return rows[keep], cols[keep], d[keep]
+
+
+def _sides(df: DataFrame, key: str, vector: str) -> DataFrame:
+    return df.filter(F.col(vector).isNotNull()).select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
+
+
+def _celled(df: DataFrame, pivots) -> DataFrame:
+    """id, v, the nearest pivot and the distance to it."""
+
+    def run(batches):
+        p = pivots.value
+        for b in batches:
+            v = _matrix(b.column("v"))
+            cell, far = np.zeros(len(v), np.int32), np.zeros(len(v))
+            for i in range(0, len(v), 512):
+                q = v[i : i + 512] - p[0]
+                cell[i : i + 512] = products(q, p - p[0])[0].argmin(axis=1) if len(p) else 0
+            if len(v):
+                far = np.sqrt(exact(v, p, np.arange(len(v)), cell))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("v"), pa.array(cell), pa.array(far)], names=["id", "v", "cell", "far"])
+
+    schema = StructType().add("id", LongType()).add("v", ArrayType(DoubleType())).add("cell", IntegerType()).add("far", DoubleType())
+    return df.mapInArrow(run, schema)
+
+
+def _blocked(cells: DataFrame, stats: DataFrame, block_rows: int, names: tuple[str, str, str]) -> DataFrame:
+    """Blocks of a side: (cell and block under names[0], ids, vectors)."""
+    parts = stats.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("_parts"))
+    rows = cells.join(parts, "cell").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    return rows.groupBy(F.struct("cell", F.col("_b").alias("b")).alias(names[0])).agg(F.collect_list("id").alias(names[1]), F.collect_list("v").alias(names[2]))
+
+
+def block_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, block_rows: int = BLOCK_ROWS, k: int | None = None, reach: DataFrame | None = None) -> DataFrame:
+    """Pairs of blocks (qs, qv, xs, xv: ids and vectors) that may hold one of the k nearest, or a pair within reach; without both, all pairs.
+
+    ``reach`` (id, reach) gives each row of a its radius instead of k; it then comes with the block as ``qr``.
+    """
+    left, right = _sides(a, a_id, vector), _sides(b, b_id, vector)
+    n = right.count()
+    spark = a.sparkSession
+    extra = ["qr"] if reach is not None else []
+    if n <= block_rows:  # one cell: there's nothing to prune
+        stats_a, stats_b = (spark.createDataFrame([(0, m)], "cell int, n bigint") for m in (left.count(), n))
+        left, right = (x.withColumn("cell", F.lit(0)) for x in (left, right))
+        left = left if reach is None else left.join(reach, "id")
+        q, x = _blocked(left, stats_a, block_rows, ("q", "qs", "qv")), _blocked(right, stats_b, block_rows, ("x", "xs", "xv"))
+        q = q if reach is None else q.join(_reaches(left, stats_a, block_rows), "q")
+        return q.crossJoin(F.broadcast(x)).select("qs", "qv", *extra, "xs", "xv")  # x is a single block
+    chosen = right.orderBy(F.xxhash64("id"), "id").limit(min(MAX_PIVOTS, -(-n // block_rows))).toArrow()  # MAX_PIVOTS rows
+    pivots = _matrix(chosen.column("v"))
+    shared = spark.sparkContext.broadcast(pivots)
+    left, right = checkpointed(_celled(left, shared)), checkpointed(_celled(right, shared))
+    if reach is not None:
+        left = left.join(reach, "id")
+    of = lambda side, *more: side.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r"), *more)
+    stats_a, stats_b = of(left, *([F.max("reach").alias("reach")] if reach is not None else [])), of(right)
+    la, lb = ({r["cell"]: r for r in s.collect()} for s in (stats_a, stats_b))  # MAX_PIVOTS rows each
+    pairs = [np.zeros((0, 2), np.int32)]
+    cells_b = np.array(sorted(lb), np.int64)
+    rb, nb = np.array([lb[c]["r"] for c in cells_b]), np.array([lb[c]["n"] for c in cells_b])
+    for c, row in la.items():
+        d = np.sqrt(((pivots[cells_b] - pivots[c]) ** 2).sum(axis=1)) if len(cells_b) else np.zeros(0)
+        slack = 1e-9 * (1 + d.max(initial=0) + row["r"])
+        if reach is None and k is None:
+            bound = np.inf
+        elif reach is None:
+            upper = d + rb + row["r"]
+            order = np.argsort(upper)
+            enough = np.flatnonzero(np.cumsum(nb[order]) >= k + 1)  # one more, as a row may be left out of its own neighbours
+            bound = upper[order][enough[0]] if len(enough) else np.inf
+        else:
+            bound = row["reach"]
+        met = cells_b[d - rb - row["r"] <= bound + slack]
+        pairs.append(np.column_stack([np.full(len(met), c), met]).astype(np.int32))
+    pairs = np.concatenate(pairs)  # MAX_PIVOTS x MAX_PIVOTS at most
+    wanted = spark.createDataFrame(pa.table({"c1": pairs[:, 0], "c2": pairs[:, 1]}))
+    q = _blocked(left, stats_a, block_rows, ("q", "qs", "qv"))
+    q = q if reach is None else q.join(_reaches(left, stats_a, block_rows), "q")
+    x = _blocked(right, stats_b, block_rows, ("x", "xs", "xv"))
+    # the query blocks are copied once for each block they meet, not each row for each row
+    sides = q.join(wanted, F.col("q.cell") == F.col("c1")).join(x, F.col("x.cell") == F.col("c2"))
+    return sides.select("qs", "qv", *extra, "xs", "xv")
+
+
+def _reaches(cells: DataFrame, stats: DataFrame, block_rows: int) -> DataFrame:
+    parts = stats.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("_parts"))
+    rows = cells.join(parts, "cell").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    return rows.groupBy(F.struct("cell", F.col("_b").alias("b")).alias("q")).agg(F.map_from_entries(F.collect_list(F.struct("id", "reach"))).alias("qr"))
 
 
 def nn_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, k: int = 1, exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(a_id, rank, b_id, distance): the k nearest rows of b for each row of a, Euclidean; ties by b_id.
 
-    With ``exclude_self`` a row isn't its own neighbour (equal ids).
+    With ``exclude_self`` a row isn't its own neighbour (equal ids). Ids are numbers and unique.
     """
-    count = lambda df: max(1, -(-df.count() // block_rows))
-    na, nb = count(a), count(b)
-    block = lambda df, i, n: df.select(F.col(i).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.pmod(F.xxhash64(i), F.lit(n)).cast("int").alias("b")).groupBy("b").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))
-    left = block(a, a_id, na)
-    right = block(b, b_id, nb).select(F.col("b").alias("b2"), F.col("ids").alias("ids2"), F.col("vs").alias("vs2"))
-    # the query blocks are copied once for each base block, not each row for each row
-    pairs = left.withColumn("b2", F.explode(F.sequence(F.lit(0), F.lit(nb - 1)))).join(right, "b2")
+    pairs = block_pairs(a, b, a_id, b_id, vector, block_rows, k)
 
     def best(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                col = lambda n: batch.column(n)[r]
-                qi, bi = np.array(col("ids").as_py(), np.int64), np.array(col("ids2").as_py(), np.int64)
-                q, x = np.array(col("vs").as_py(), float), np.array(col("vs2").as_py(), float)
-                order = np.argsort(bi)
-                bi, x = bi[order], x[order]
-                for s in range(0, len(qi), 512):
-                    d = ((q[s : s + 512, None, :] - x[None, :, :]) ** 2).sum(-1) if len(x) * q.shape[1] < 200_000 else np.maximum(0, (q[s : s + 512] ** 2).sum(1)[:, None] + (x**2).sum(1)[None] - 2 * q[s : s + 512] @ x.T)
-                    if exclude_self:
-                        d[qi[s : s + 512, None] == bi[None]] = np.inf
-                    top = np.argsort(d, axis=1, kind="stable")[:, :k]
-                    dist = np.take_along_axis(d, top, 1)
-                    ok = np.isfinite(dist).ravel()
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(qi[s : s + 512], top.shape[1])[ok]), pa.array(bi[top].ravel()[ok]), pa.array(np.sqrt(dist).ravel()[ok])], names=["q", "n", "d"])
+                q_id, x_id = (batch.column(c)[r].values.to_numpy() for c in ("qs", "xs"))
+                q, x = (_matrix(batch.column(c)[r].values) for c in ("qv", "xv"))
+                for s in range(0, len(q), 512):
+                    rows, cols, d = nearest(q[s : s + 512], q_id[s : s + 512], x, x_id, k, exclude_self)
+                    yield pa.RecordBatch.from_arrays([pa.array(q_id[s : s + 512][rows]), pa.array(x_id[cols]), pa.array(np.sqrt(d))], names=["q", "n", "d"])
 
     found = pairs.mapInArrow(best, "q bigint, n bigint, d double")
     merged = found.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "n"))), 1, k).alias("t"))
     return merged.select(F.col("q").alias(a_id), F.posexplode("t").alias("p", "t")).select(a_id, (F.col("p") + 1).alias("rank"), F.col("t.n").alias(b_id if b_id != a_id else f"{b_id}_near"), F.col("t.d").alias("distance"))
 
 
+def ball_counts(centres: DataFrame, points: DataFrame, key: str, vector: str, radius: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(n, balls): for each point that lies in a ball, how many; ``radius`` (q, r) gives each centre's radius, its edge included."""
+    pairs = block_pairs(centres, points, key, key, vector, block_rows, reach=radius.select(F.col("q").alias("id"), F.col("r").alias("reach")))
+
+    def count(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                q_id, x_id = (batch.column(c)[i].values.to_numpy() for c in ("qs", "xs"))
+                q, x = (_matrix(batch.column(c)[i].values) for c in ("qv", "xv"))
+                reach = dict(batch.column("qr")[i].as_py())
+                r = np.array([reach[k] for k in q_id.tolist()])
+                total = np.zeros(len(x), np.int64)
+                for s in range(0, len(q), 512):
+                    near, error = products(q[s : s + 512] - x[0], x - x[0])
+                    rows, cols = np.nonzero(near <= (r[s : s + 512] ** 2 + 2 * error + 1e-12 * r[s : s + 512] ** 2)[:, None])
+                    inside = np.sqrt(exact(q[s : s + 512], x, rows, cols)) <= r[s : s + 512][rows]
+                    total += np.bincount(cols[inside], minlength=len(x))
+                hit = total > 0
+                yield pa.RecordBatch.from_arrays([pa.array(x_id[hit]), pa.array(total[hit])], names=["n", "balls"])
+
+    return pairs.mapInArrow(count, "n bigint, balls bigint").groupBy("n").agg(F.sum("balls").alias("balls"))
+
+
 def relabel_by_neighbour(syn: DataFrame, real: DataFrame, syn_id: str, real_id: str, vector: str, label: str) -> DataFrame:
     """Candidates with the label of the nearest real row, and whether it changed."""
     near = nn_join(syn.withColumnRenamed(syn_id, "_s"), real.withColumnRenamed(real_id, "_r"), "_s", "_r", vector).select("_s", "_r")
@@ -76,40 +222,111 @@ def nndr(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
 
 
 def dcr(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
-    """Median distance to the closest record, candidate to real over real to real."""
-    m = lambda x, y, s, n: distances(x, y, key, vector, 1, s).agg(F.percentile("distance", 0.5).alias(n))
-    return m(syn, real, False, "a").crossJoin(m(real, real, True, "b")).select((F.col("a") / F.col("b")).alias("value"))
+    """Median distance to the closest record, candidate to real over real to real; null if half the real rows have copies."""
+    m = lambda x, y, s, n: quantiles(distances(x, y, key, vector, 1, s), "distance", [0.5]).select(F.col("value").alias(n))
+    return m(syn, real, False, "a").crossJoin(m(real, real, True, "b")).select(F.when(F.col("b") > 0, F.col("a") / F.col("b")).alias("value"))
 
 
-def nnaa(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
-    """Nearest-neighbour adversarial accuracy: how often a row's nearest is of its own side."""
-    def side(x, y):
-        own = distances(x, x, key, vector, 1, True).select("q", F.col("distance").alias("own"))
-        other = distances(x, y, key, vector).select("q", F.col("distance").alias("other"))
-        return own.join(other, "q").agg(F.avg((F.col("other") > F.col("own")).cast("double")).alias("s"))
-
-    return side(real, syn).crossJoin(side(syn, real).withColumnRenamed("s", "s2")).select(((F.col("s") + F.col("s2")) / 2).alias("value"))
+def nearest_in_rounds(a: DataFrame, b: DataFrame, key: str, vector: str, share: float, rounds: int, own: bool) -> DataFrame:
+    """(i, q, distance): for each round i the nearest row of b among those that the round's hashes choose (a ``share`` of b on average).
 
+    With ``own`` both sides are the same table: a row isn't its own neighbour, and only chosen rows ask.
+    All rounds share one pass over the pairs of blocks.
+    """
+    pairs = block_pairs(a, b, key, key, vector)
+    chosen = lambda ids: np.array([[unit_hash_of(f"{x}|nnaa|{i}") < share for x in ids.tolist()] for i in range(rounds)]).reshape(rounds, -1)
 
-def identifiability(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
-    """Share of real rows nearer to a candidate than to another real row."""
+    def best(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                q_id, x_id = (batch.column(c)[r].values.to_numpy() for c in ("qs", "xs"))
+                q, x = (_matrix(batch.column(c)[r].values) for c in ("qv", "xv"))
+                asks, gives = chosen(q_id) if own else np.ones((rounds, len(q_id)), bool), chosen(x_id)
+                for s in range(0, len(q), 512):
+                    near, error = products(q[s : s + 512] - x[0], x - x[0])
+                    if own:
+                        near[q_id[s : s + 512, None] == x_id[None, :]] = np.inf
+                    for i in range(rounds):
+                        here = np.where(gives[i][None, :] & asks[i][s : s + 512, None], near, np.inf)
+                        rows, cols = np.nonzero((here <= here.min(axis=1, initial=np.inf)[:, None] + 2 * error[:, None]) & np.isfinite(here))
+                        d = np.full(len(near), np.inf)
+                        np.minimum.at(d, rows, exact(q[s : s + 512], x, rows, cols))
+                        found = np.flatnonzero(np.isfinite(d))
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), i, np.int32)), pa.array(q_id[s : s + 512][found]), pa.array(np.sqrt(d[found]))], names=["i", "q", "d"])
+
+    return pairs.mapInArrow(best, "i int, q bigint, d double").groupBy("i", "q").agg(F.min("d").alias("distance"))
+
+
+def nnaa(syn: DataFrame, real: DataFrame, key: str, vector: str, rounds: int = 30) -> DataFrame:
+    """Nearest-neighbour adversarial accuracy: how often a row's nearest is of its own side.
+
+    Sides of unequal size are balanced: in each of ``rounds`` rounds the larger one is cut to a
+    hash share of the smaller one's size, and the mean is taken. Equal sides need one round.
+    """
+    n_syn, n_real = syn.count(), real.count()
+    if not n_syn or not n_real:
+        return syn.sparkSession.createDataFrame([(None,)], "value double")
+    share = min(n_syn, n_real) / max(n_syn, n_real)
+    rounds = rounds if share < 1 else 1
+    large, little = (syn, real) if n_syn > n_real else (real, syn)
+    far = lambda x, y, same, name: distances(x, y, key, vector, 1, same).select("q", F.col("distance").alias(name))
+    rate = lambda df: df.groupBy("i").agg(F.avg((F.col("other") > F.col("own")).cast("double")).alias("s"))
+    mine = nearest_in_rounds(large, large, key, vector, share, rounds, True).withColumnRenamed("distance", "own")
+    theirs = nearest_in_rounds(little, large, key, vector, share, rounds, False).withColumnRenamed("distance", "other")
+    first = rate(mine.join(far(large, little, False, "other"), "q"))
+    second = rate(theirs.join(far(little, little, True, "own"), "q")).withColumnRenamed("s", "s2")
+    return first.join(second, "i").agg(F.avg((F.col("s") + F.col("s2")) / 2).alias("value"))
+
+
+def entropy_weights(real: DataFrame, vector: str) -> list[float]:
+    """For each place of the vector one over the entropy of its values, rounded to whole numbers; entropies below 1e-6 count as that."""
+    values = real.filter(F.col(vector).isNotNull()).select(F.posexplode(vector).alias("i", "x")).groupBy("i", F.round("x").alias("x")).agg(F.count("*").alias("n"))
+    total = values.groupBy("i").agg(F.sum("n").alias("t"), F.sum(F.col("n") * F.ln("n")).alias("s"))
+    rows = {r["i"]: r["h"] for r in total.select("i", (F.ln("t") - F.col("s") / F.col("t")).alias("h")).collect()}  # as many as places
+    return [1 / max(rows[i], 1e-6) for i in sorted(rows)]
+
+
+def identifiability(syn: DataFrame, real: DataFrame, key: str, vector: str, weighted: bool = True) -> DataFrame:
+    """Share of real rows nearer to a candidate than to another real row, places weighted by their entropy."""
+    if weighted:
+        w = F.array(*map(F.lit, entropy_weights(real, vector)))
+        scale = lambda df: df.withColumn(vector, F.zip_with(F.col(vector).cast("array<double>"), w, lambda x, y: x * y))
+        syn, real = scale(syn), scale(real)
     own = distances(real, real, key, vector, 1, True).select("q", F.col("distance").alias("own"))
     other = distances(real, syn, key, vector).select("q", F.col("distance").alias("other"))
     return own.join(other, "q").agg(F.avg((F.col("other") < F.col("own")).cast("double")).alias("value"))
 
 
 def prdc(syn: DataFrame, real: DataFrame, key: str, vector: str, k: int = 5) -> DataFrame:
-    """Coverage: share of real rows with a candidate inside the ball of their k-th real neighbour."""
-    ball = distances(real, real, key, vector, k, True).groupBy("q").agg(F.max("distance").alias("r"))
+    """Precision, recall, density and coverage on the balls that reach to each row's k-th neighbour on its own side.
+
+    precision: share of candidates in a real ball; recall: share of real rows in a candidate's ball;
+    density: real balls around a candidate over k, on average; coverage: share of real balls with a candidate.
+    """
+    ball = lambda df: distances(df, df, key, vector, k, True).groupBy("q").agg(F.max("distance").alias("r"))
+    balls = checkpointed(ball(real))
     near = distances(real, syn, key, vector).select("q", "distance")
-    return ball.join(near, "q").agg(F.avg((F.col("distance") <= F.col("r")).cast("double")).alias("coverage"))
+    coverage = balls.join(near, "q").agg(F.avg((F.col("distance") <= F.col("r")).cast("double")).alias("coverage"))
+    of = lambda df, n: df.agg(F.count("*").alias(n))
+    covered = ball_counts(real, syn, key, vector, balls).agg(F.count("*").alias("_in"), F.sum("balls").alias("_balls")).crossJoin(of(syn, "_syn"))
+    back = ball_counts(syn, real, key, vector, ball(syn)).agg(F.count("*").alias("_back")).crossJoin(of(real, "_real"))
+    share = lambda a, b: F.when(F.col(b) > 0, F.coalesce(F.col(a), F.lit(0)) / F.col(b))
+    return covered.crossJoin(back).crossJoin(coverage).select(share("_in", "_syn").alias("precision"), share("_back", "_real").alias("recall"), (share("_balls", "_syn") / k).alias("density"), "coverage")
 
 
-def attribute_disclosure(real: DataFrame, syn: DataFrame, key: str, vector: str, attribute: str) -> DataFrame:
-    """Share of real rows whose attribute the nearest candidate (on what is known) gives away."""
+def attribute_disclosure(real: DataFrame, syn: DataFrame, key: str, vector: str, attribute: str, tolerance: float | None = None) -> DataFrame:
+    """Share of real rows whose attribute the nearest candidate (on what is known) gives away.
+
+    A category must be met; with ``tolerance`` (1/30 is usual) the attribute is a number and may be off by that share of the real side's range.
+    """
     near = nn_join(real.withColumnRenamed(key, "q"), syn.withColumnRenamed(key, "n"), "q", "n", vector).select("q", "n")
     both = near.join(real.select(F.col(key).alias("q"), F.col(attribute).alias("_t")), "q").join(syn.select(F.col(key).alias("n"), F.col(attribute).alias("_g")), "n")
-    return both.agg(F.avg(F.col("_t").eqNullSafe(F.col("_g")).cast("double")).alias("value"))
+    if tolerance is None:
+        hit = F.col("_t").eqNullSafe(F.col("_g"))
+    else:
+        both = both.crossJoin(F.broadcast(real.agg(((F.max(attribute) - F.min(attribute)) * tolerance).alias("_w"))))
+        hit = F.coalesce(F.abs(F.col("_t") - F.col("_g")) <= F.col("_w"), F.col("_t").isNull() & F.col("_g").isNull())
+    return both.agg(F.avg(hit.cast("double")).alias("value"))
 
 
 def _from_centre(df: DataFrame, centre: DataFrame, vector: str) -> DataFrame:
@@ -122,7 +339,7 @@ def alpha_precision(real: DataFrame, syn: DataFrame, vector: str, alpha: float =
     def ball(a, b):
         parts = a.select(F.posexplode(vector).alias("i", "x")).groupBy("i").agg(F.avg(F.col("x").cast("double")).alias("m"))
         centre = parts.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda s: s["m"]).alias("_c"))  # one vector
-        radius = _from_centre(a, centre, vector).agg(F.percentile("d", alpha).alias("r"))
+        radius = quantiles(_from_centre(a, centre, vector), "d", [alpha]).select(F.col("value").alias("r"))
         return _from_centre(b, centre, vector).crossJoin(F.broadcast(radius)).agg(F.avg((F.col("d") <= F.col("r")).cast("double")).alias("s"))
 
     return ball(real, syn).withColumnRenamed("s", "alpha_precision").crossJoin(ball(syn, real).withColumnRenamed("s", "beta_recall"))
