@@ -8,8 +8,14 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from quarrystone.functions.numeric import erfc
+from quarrystone.functions.session import checkpointed
+from quarrystone.operators.order import quantiles, running
+
 
 def frequencies(df: DataFrame, column: str, keys: list[str] = ()) -> DataFrame:
     """Counts and shares of a column's values; null is left out."""
@@ -89,19 +95,25 @@ def stack_sources(sources: dict[str, DataFrame], columns: list[str]) -> DataFram
 
 
 def marginals(real: DataFrame, syn: DataFrame, categorical: list[str], numeric: list[str], bins: int = 10) -> DataFrame:
-    """model, column, value, p (real share), q (candidate share); numeric columns cut at the real side's even bins."""
+    """model, column, value, p (real share), q (candidate share), n (the candidates' cells); numeric columns cut at the real side's even bins.
+
+    A column that is constant on the real side has its value in the first bin and all above it in the last.
+    """
     stats = real.agg(*(x for c in numeric for x in (F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"))))
 
     def cells(df, *keys):
-        cut = lambda c: F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor((F.col(c) - F.col(f"_lo_{c}")) / ((F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) / bins)))).cast("int").cast("string")
+        even = lambda c: F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor((F.col(c) - F.col(f"_lo_{c}")) / ((F.col(f"_hi_{c}") - F.col(f"_lo_{c}")) / bins))))
+        cut = lambda c: F.when(F.col(f"_hi_{c}") > F.col(f"_lo_{c}"), even(c)).when(F.col(c) > F.col(f"_hi_{c}"), bins - 1).when(F.col(c).isNotNull(), 0).cast("int").cast("string")
         wide = (df.crossJoin(F.broadcast(stats)) if numeric else df).select(*keys, *(F.col(c).cast("string").alias(c) for c in categorical), *(cut(c).alias(c) for c in numeric))
         long = wide.unpivot(list(keys), [*categorical, *numeric], "column", "value").filter("value IS NOT NULL")
         counts = long.groupBy(*keys, "column", "value").agg(F.count("*").alias("n"))
-        return counts.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy(*keys, "column"))).drop("n")
+        whole = F.sum("n").over(W.partitionBy(*keys, "column"))
+        return counts.withColumns({"share": F.col("n") / whole, "n": whole})
 
-    a, b = cells(real).withColumnRenamed("share", "p"), cells(syn, "model").withColumnRenamed("share", "q")
+    a, b = cells(real).drop("n").withColumnRenamed("share", "p"), cells(syn, "model").withColumnRenamed("share", "q")
     base = a.crossJoin(F.broadcast(syn.select("model").distinct()))
-    return base.join(b, ["model", "column", "value"], "full_outer").fillna(0.0, ["p", "q"])
+    both = base.join(b, ["model", "column", "value"], "full_outer").fillna(0.0, ["p", "q"])
+    return both.withColumn("n", F.coalesce(F.max("n").over(W.partitionBy("model", "column")), F.lit(0)))
 
 
 def _per_model(m: DataFrame, term: Column, final=lambda s: s) -> DataFrame:
@@ -132,15 +144,33 @@ def chi_squared_statistic(m: DataFrame) -> DataFrame:
     return _per_model(m, F.when(F.col("p") > 0, (F.col("q") - F.col("p")) * (F.col("q") - F.col("p")) / F.col("p")).otherwise(0.0))
 
 
+def chi_squared_p(statistic: Column, freedom: Column) -> Column:
+    """Upper tail of the chi-squared distribution by the cube-root normal form (Wilson and Hilferty), good to about 1e-3."""
+    t = 2 / (9 * freedom)
+    z = (F.cbrt(statistic / freedom) - (1 - t)) / F.sqrt(t) / F.sqrt(F.lit(2.0))
+    tail = erfc(F.abs(z)) / 2
+    return F.when((freedom < 1) | (statistic <= 0), 1.0).otherwise(F.when(z >= 0, tail).otherwise(1 - tail))
+
+
+def chi_squared_test(m: DataFrame) -> DataFrame:
+    """Mean over columns of the p value that candidates were drawn from the real side's shares; a value the real side lacks gives 0."""
+    gap = F.col("q") - F.col("p")
+    one = m.groupBy("model", "column").agg(
+        F.sum(F.when(F.col("p") > 0, F.col("n") * gap * gap / F.col("p")).otherwise(0.0)).alias("s"), (F.count_if(F.col("p") > 0) - 1).alias("k"), F.max((F.col("p") == 0) & (F.col("q") > 0)).alias("new")
+    )
+    return one.groupBy("model").agg(F.avg(F.when(F.col("new"), 0.0).otherwise(chi_squared_p(F.col("s"), F.col("k")))).alias("value"))
+
+
 def _cumulative(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
     """model, column, v with both cumulative shares and the next value, on distinct values with counts."""
     long = lambda df, *k: df.select(*k, *(F.col(c).cast("double").alias(c) for c in numeric)).unpivot(list(k), numeric, "column", "v").filter("v IS NOT NULL").groupBy(*k, "column", "v").agg(F.count("*").alias("n"))
     a = long(real).crossJoin(F.broadcast(syn.select("model").distinct())).select("model", "column", "v", F.col("n").alias("a"), F.lit(0).cast("bigint").alias("b"))
     b = long(syn, "model").select("model", "column", "v", F.lit(0).cast("bigint").alias("a"), F.col("n").alias("b"))
     both = a.unionByName(b).groupBy("model", "column", "v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    w, whole = W.partitionBy("model", "column").orderBy("v"), W.partitionBy("model", "column")
-    share = lambda c: F.sum(c).over(w.rowsBetween(W.unboundedPreceding, 0)) / F.sum(c).over(whole)
-    return both.select("model", "column", "v", share("a").alias("fa"), share("b").alias("fb"), F.lead("v").over(w).alias("next"))
+    rows = running(both, ["model", "column"], "v", ["a", "b"])
+    whole = both.groupBy("model", "column").agg(F.sum("a").alias("_a"), F.sum("b").alias("_b"))
+    share = lambda c: F.when(F.col(f"_{c}") > 0, F.col(f"cum_{c}") / F.col(f"_{c}")).otherwise(0.0)
+    return rows.join(F.broadcast(whole), ["model", "column"]).select("model", "column", "v", share("a").alias("fa"), share("b").alias("fb"), "next")
 
 
 def ks_test(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
@@ -151,8 +181,8 @@ def ks_test(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
 
 def wasserstein_dist(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
     """The sum over columns of one-dimensional Wasserstein distances."""
-    c = _cumulative(real, syn, numeric).filter("next IS NOT NULL")
-    return c.groupBy("model").agg(F.sum(F.abs(F.col("fa") - F.col("fb")) * (F.col("next") - F.col("v"))).alias("value"))
+    c = _cumulative(real, syn, numeric)
+    return c.groupBy("model").agg(F.coalesce(F.sum(F.abs(F.col("fa") - F.col("fb")) * (F.col("next") - F.col("v"))), F.lit(0.0)).alias("value"))
 
 
 def data_mismatch(real: DataFrame, syn: DataFrame) -> DataFrame:
@@ -181,40 +211,129 @@ def cio(real: DataFrame, syn: DataFrame, numeric: list[str], z: float = 1.959963
     g = syn.groupBy("model").agg(*(x for c in numeric for x in ends(c, "s"))).crossJoin(F.broadcast(real.agg(*(x for c in numeric for x in ends(c, "r")))))
     def overlap(c):
         low, high = F.greatest(f"rl_{c}", f"sl_{c}"), F.least(f"rh_{c}", f"sh_{c}")
-        return F.greatest(F.lit(0.0), (high - low) / (F.col(f"rh_{c}") - F.col(f"rl_{c}")) / 2 + (high - low) / (F.col(f"sh_{c}") - F.col(f"sl_{c}")) / 2)
+        # an interval without width (a constant column) is covered or not
+        part = lambda p: F.when(F.col(f"{p}h_{c}") > F.col(f"{p}l_{c}"), (high - low) / (F.col(f"{p}h_{c}") - F.col(f"{p}l_{c}"))).when(high >= low, 1.0).otherwise(-1.0)
+        return F.greatest(F.lit(0.0), part("r") / 2 + part("s") / 2)
     return g.select("model", (reduce(lambda a, b: a + b, map(overlap, numeric)) / len(numeric)).alias("value"))
 
 
-def corr_diff(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
-    """Sum of absolute differences of the Pearson correlations of all pairs."""
-    pairs = [(a, b) for i, a in enumerate(numeric) for b in numeric[i + 1 :]]
-    corr = lambda p: [F.coalesce(F.corr(a, b), F.lit(0.0)).alias(f"{p}{i}") for i, (a, b) in enumerate(pairs)]
-    g = syn.groupBy("model").agg(*corr("s")).crossJoin(F.broadcast(real.agg(*corr("r"))))
-    return g.select("model", reduce(lambda a, b: a + b, [F.abs(F.col(f"s{i}") - F.col(f"r{i}")) for i in range(len(pairs))]).alias("value"))
+def pair_sums(df: DataFrame, keys: list[str], numeric: list[str]) -> DataFrame:
+    """(keys, i, j, n, sx, sy, sxx, syy, sxy) for i < j: sums over the rows where both numeric columns are there, about the columns' means.
 
-
-def mutual_information(df: DataFrame, a: str, b: str, keys: list[str] = ()) -> DataFrame:
-    """Mutual information of two columns over the root of their entropies' product, for each key."""
-    joint = df.groupBy(*keys, F.col(a).cast("string").alias("_a"), F.col(b).cast("string").alias("_b")).agg(F.count("*").alias("n"))
-    all_, wa, wb = W.partitionBy(*keys), W.partitionBy(*keys, "_a"), W.partitionBy(*keys, "_b")
-    rows = joint.select(*keys, (F.col("n") / F.sum("n").over(all_)).alias("p"), (F.sum("n").over(wa) / F.sum("n").over(all_)).alias("pa"), (F.sum("n").over(wb) / F.sum("n").over(all_)).alias("pb"))
+    A task sums matrix products, so the plan and the shuffle don't grow with rows times pairs.
+    """
+    means = df.agg(*(F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in numeric)).first()
+    centred = df.select(*keys, F.array(*((F.col(c) - F.lit(float(means[c]))).cast("double") for c in numeric)).alias("_v"))
+    d, names = len(numeric), ["n", "sx", "sy", "sxx", "syy", "sxy"]
+    at = np.triu_indices(d, 1)
+
+    def run(batches):
+        sums: dict[tuple, list[np.ndarray]] = {}
+        for b in batches:
+            of = list(zip(*(b.column(k).to_pylist() for k in keys))) if keys else [()] * b.num_rows
+            kinds = [b.schema.field(k).type for k in keys]
+            v = pa.concat_arrays([b.column("_v")]).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
+            known = sorted(set(of), key=str)
+            which = np.array([known.index(x) for x in of]) if len(known) > 1 else np.zeros(len(of), int)
+            for i, key in enumerate(known):
+                x = v[which == i]
+                there = ~np.isnan(x)
+                x, m = np.where(there, x, 0), there.astype(float)
+                part = [m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x]
+                sums[key] = [a + p for a, p in zip(sums[key], part)] if key in sums else part
+        for key, parts in sums.items():
+            columns = [pa.array([k] * len(at[0]), t) for k, t in zip(key, kinds)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(at[0].astype(np.int32)), pa.array(at[1].astype(np.int32)), *(pa.array(p[at]) for p in parts)], names=[*keys, "i", "j", *names])
+
+    schema = ", ".join([*(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys), "i int", "j int", *(f"{n} double" for n in names)])
+    return centred.mapInArrow(run, schema).groupBy(*keys, "i", "j").agg(*(F.sum(n).alias(n) for n in names))
+
+
+def correlations(df: DataFrame, keys: list[str], numeric: list[str]) -> DataFrame:
+    """(keys, i, j, r): Pearson's correlation of each pair of columns, 0 where one is constant."""
+    n = F.col("n")
+    a, b = F.col("sxx") - F.col("sx") * F.col("sx") / n, F.col("syy") - F.col("sy") * F.col("sy") / n
+    r = (F.col("sxy") - F.col("sx") * F.col("sy") / n) / F.sqrt(a * b)
+    tiny = 1e-12  # what rounding leaves of a constant column
+    return pair_sums(df, keys, numeric).select(*keys, "i", "j", F.when((n > 1) & (a > tiny * F.col("sxx")) & (b > tiny * F.col("syy")) & (a > 0) & (b > 0), r).otherwise(0.0).alias("r"))
+
+
+def pair_counts(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
+    """(keys, i, j, a, b, n) for i < j: how often values of two columns stand together, all pairs in one grouping; nulls count as a value."""
+    k = len(categorical)
+    cells = F.array(*(F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in categorical))
+    rows = df.select(*keys, cells.alias("_c"))
+    places = F.sequence(F.lit(0), F.lit(k - 2))
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"), F.get("_c", i).alias("a"), F.get("_c", j).alias("b"))
+    pairs = F.flatten(F.transform(places, lambda i: F.transform(F.sequence(i + 1, F.lit(k - 1)), lambda j: pair(i, j))))
+    return rows.select(*keys, F.explode(pairs).alias("_p")).groupBy(*keys, F.col("_p.i").alias("i"), F.col("_p.j").alias("j"), F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(F.count("*").alias("n"))
+
+
+def _pair_shares(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
+    """Pair counts with shares: p of the pair, pa and pb of its values."""
+    whole, a, b = W.partitionBy(*keys, "i", "j"), W.partitionBy(*keys, "i", "j", "a"), W.partitionBy(*keys, "i", "j", "b")
+    total = F.sum("n").over(whole)
+    return pair_counts(df, keys, categorical).select(*keys, "i", "j", "a", "b", "n", (F.col("n") / total).alias("p"), (F.sum("n").over(a) / total).alias("pa"), (F.sum("n").over(b) / total).alias("pb"))
+
+
+def cramers_v(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
+    """(keys, i, j, r): Cramer's V of each pair of categorical columns, 0 where one has a single value."""
+    rows = _pair_shares(df, keys, categorical)
+    # phi squared is the sum of p^2 / (pa pb) less 1; pairs that never occur add nothing to the sum
+    one = rows.groupBy(*keys, "i", "j").agg((F.sum(F.col("p") * F.col("p") / (F.col("pa") * F.col("pb"))) - 1).alias("phi"), (F.least(F.count_distinct("a"), F.count_distinct("b")) - 1).alias("k"))
+    return one.select(*keys, "i", "j", F.when(F.col("k") > 0, F.sqrt(F.greatest(F.col("phi"), F.lit(0.0)) / F.col("k"))).otherwise(0.0).alias("r"))
+
+
+def correlation_ratios(df: DataFrame, keys: list[str], categorical: list[str], numeric: list[str]) -> DataFrame:
+    """(keys, i, j, r): the correlation ratio of each categorical column i and numeric column j."""
+    long = df.select(*keys, *(F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(categorical)), *(F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(numeric)))
+    cells = F.array(*(F.struct(F.lit(i).alias("i"), F.coalesce(F.col(f"_c{i}"), F.lit("\0null")).alias("a")) for i in range(len(categorical))))
+    sums = [x for j in range(len(numeric)) for x in (F.count(f"_x{j}").alias(f"_n{j}"), F.sum(f"_x{j}").alias(f"_s{j}"), F.sum(F.col(f"_x{j}") * F.col(f"_x{j}")).alias(f"_q{j}"))]
+    rows = long.withColumn("_c", F.explode(cells)).groupBy(*keys, F.col("_c.i").alias("i"), F.col("_c.a").alias("a")).agg(*sums)
+    rows = rows.select(*keys, "i", F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"_n{j}").alias("n"), F.col(f"_s{j}").alias("s"), F.col(f"_q{j}").alias("q")) for j in range(len(numeric))))).alias("_y")).select(*keys, "i", "_y.*")
+    one = rows.groupBy(*keys, "i", "j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.when(F.col("n") > 0, F.col("s") * F.col("s") / F.col("n"))).alias("g"))
+    all_, between = F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("g") - F.col("s") * F.col("s") / F.col("n")
+    return one.select(*keys, "i", "j", F.when((F.col("n") > 0) & (all_ > 1e-12 * F.col("q")), F.sqrt(F.greatest(between, F.lit(0.0)) / all_)).otherwise(0.0).alias("r"))
+
+
+def _pair_difference(real: DataFrame, syn: DataFrame, value: str = "r") -> DataFrame:
+    """model, value: the sum over pairs of absolute differences of two (i, j, r) tables."""
+    return syn.join(real.select("i", "j", F.col(value).alias("_r")), ["i", "j"]).groupBy("model").agg(F.sum(F.abs(F.col(value) - F.col("_r"))).alias("value"))
+
+
+def corr_diff(real: DataFrame, syn: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """Sum of absolute differences of the correlations of all pairs: Pearson's, Cramer's V, and the correlation ratio of mixed ones."""
+    parts = []
+    if len(numeric) > 1:
+        parts.append(_pair_difference(correlations(real, [], numeric), correlations(syn, ["model"], numeric)))
+    if len(categorical) > 1:
+        parts.append(_pair_difference(cramers_v(real, [], categorical), cramers_v(syn, ["model"], categorical)))
+    if numeric and categorical:
+        parts.append(_pair_difference(correlation_ratios(real, [], categorical, numeric), correlation_ratios(syn, ["model"], categorical, numeric)))
+    return reduce(DataFrame.unionByName, parts).groupBy("model").agg(F.sum("value").alias("value"))
+
+
+def mutual_information(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
+    """(keys, i, j, r): mutual information of each pair of columns over the root of their entropies' product, 0 where one has a single value."""
+    rows = _pair_shares(df, keys, categorical)
     h = lambda x: -F.sum(F.col("p") * F.ln(x))
     mi = F.sum(F.col("p") * F.ln(F.col("p") / (F.col("pa") * F.col("pb"))))
     both = h("pa") * h("pb")
-    return rows.groupBy(*keys).agg(F.when(both > 0, mi / F.sqrt(both)).otherwise(0.0).alias("mi"))
+    return rows.groupBy(*keys, "i", "j").agg(F.when(both > 0, mi / F.sqrt(both)).otherwise(0.0).alias("r"))
 
 
 def mi_diff(real: DataFrame, syn: DataFrame, categorical: list[str]) -> DataFrame:
-    pairs = [(a, b) for i, a in enumerate(categorical) for b in categorical[i + 1 :]]
-    parts = [mutual_information(syn, a, b, ["model"]).crossJoin(F.broadcast(mutual_information(real, a, b).withColumnRenamed("mi", "r"))) for a, b in pairs]
-    return reduce(DataFrame.unionByName, parts).groupBy("model").agg(F.sum(F.abs(F.col("mi") - F.col("r"))).alias("value"))
+    """Sum over pairs of absolute differences of the normalised mutual information."""
+    return _pair_difference(mutual_information(real, [], categorical), mutual_information(syn, ["model"], categorical))
 
 
 def q_mse(real: DataFrame, syn: DataFrame, numeric: list[str], n: int = 10) -> DataFrame:
     """Squared error of candidate shares in the real side's quantile bins, averaged over bins and columns."""
-    cuts = real.agg(*(F.percentile(c, F.array(*(F.lit(k / n) for k in range(1, n)))).alias(f"_q_{c}") for c in numeric))
-    place = lambda c: F.size(F.filter(F.col(f"_q_{c}"), lambda q: q < F.col(c)))
-    long = lambda df, *k: df.crossJoin(F.broadcast(cuts)).select(*k, *(place(c).alias(c) for c in numeric)).unpivot(list(k), numeric, "column", "bin").groupBy(*k, "column", "bin").agg(F.count("*").alias("n"))
+    cells = real.select(*(F.col(c).cast("double").alias(c) for c in numeric)).unpivot([], numeric, "column", "v")
+    found = quantiles(cells, "v", [k / n for k in range(1, n)], ["column"]).collect()  # n numbers a column
+    cuts = {c: sorted(r["value"] for r in found if r["column"] == c) for c in numeric}
+    place = lambda c: F.size(F.filter(F.array(*map(F.lit, cuts[c])), lambda q: q < F.col(c)))
+    long = lambda df, *k: df.select(*k, *(place(c).alias(c) for c in numeric)).unpivot(list(k), numeric, "column", "bin").groupBy(*k, "column", "bin").agg(F.count("*").alias("n"))
     share = lambda df, *k: df.withColumn("share", F.col("n") / F.sum("n").over(W.partitionBy(*k, "column"))).drop("n")
     a = share(long(real)).withColumnRenamed("share", "p").crossJoin(F.broadcast(syn.select("model").distinct()))
     both = a.join(share(long(syn, "model"), "model").withColumnRenamed("share", "q"), ["model", "column", "bin"], "full_outer").fillna(0.0, ["p", "q"])
@@ -245,30 +364,72 @@ def delta_presence(real: DataFrame, syn: DataFrame, quasi: list[str]) -> DataFra
     return b.join(a, quasi).groupBy("model").agg(F.max(F.col("n") / F.col("r")).alias("value"))
 
 
-def hit_rate(real: DataFrame, syn: DataFrame, categorical: list[str], numeric: list[str], key: str, share: float = 1 / 30) -> DataFrame:
+def hit_rate(real: DataFrame, syn: DataFrame, categorical: list[str], numeric: list[str], key: str, share: float = 1 / 30, bucketed: int = 3) -> DataFrame:
     """Share of real rows with a candidate row equal on categories and within a share of each numeric range.
 
-    Rows meet in buckets of the first numeric column, as wide as the tolerance: a real row looks
-    into its own bucket and both neighbours.
+    Rows meet in buckets of the first ``bucketed`` numeric columns, as wide as the tolerance: a real
+    row looks into its own bucket and its neighbours in each. It's a semi join, so a row stops at its first hit.
     """
     s = real.agg(*(((F.max(c) - F.min(c)) * share).alias(f"_t_{c}") for c in numeric))
-    first = numeric[0]
-    bucket = lambda: F.floor(F.col(first) / F.col(f"_t_{first}"))
-    b = syn.crossJoin(F.broadcast(s)).select("model", *(F.col(c).alias(f"_{c}") for c in [*categorical, *numeric]), bucket().alias("_b")).distinct()
-    a = real.crossJoin(F.broadcast(s)).withColumn("_a", F.explode(F.array(bucket() - 1, bucket(), bucket() + 1)))
-    on = (F.col("_a") == F.col("_b"))
+    cut = numeric[:bucketed]
+    # a column without a range has a tolerance of 0 and one bucket; equality is left to the comparison
+    bucket = lambda c: F.when(F.col(f"_t_{c}") > 0, F.floor(F.col(c) / F.col(f"_t_{c}"))).otherwise(0).cast("bigint")
+    b = syn.crossJoin(F.broadcast(s)).select(F.col("model").alias("_model"), *(F.col(c).alias(f"_{c}") for c in [*categorical, *numeric]), *(bucket(c).alias(f"_b_{c}") for c in cut)).distinct()
+    a = real.crossJoin(F.broadcast(s)).crossJoin(F.broadcast(syn.select("model").distinct()))
+    on = F.col("model") == F.col("_model")
+    for c in cut:
+        a = a.withColumn(f"_a_{c}", F.explode(F.array(bucket(c) - 1, bucket(c), bucket(c) + 1)))
+        on = on & (F.col(f"_a_{c}") == F.col(f"_b_{c}"))
     for c in categorical:
         on = on & F.col(c).eqNullSafe(F.col(f"_{c}"))
     for c in numeric:
         on = on & (F.abs(F.col(c) - F.col(f"_{c}")) <= F.col(f"_t_{c}"))
-    hits = a.join(b, on).select("model", key).distinct().groupBy("model").agg(F.count("*").alias("n"))
+    hits = a.join(b, on, "left_semi").select("model", key).distinct().groupBy("model").agg(F.count("*").alias("n"))
     total = real.agg(F.count("*").alias("_all"))
-    return syn.select("model").distinct().join(hits, "model", "left").crossJoin(F.broadcast(total)).select("model", (F.coalesce("n", F.lit(0)) / F.col("_all")).alias("value"))
+    rate = F.when(F.col("_all") > 0, F.coalesce("n", F.lit(0)) / F.col("_all"))
+    return syn.select("model").distinct().join(hits, "model", "left").crossJoin(F.broadcast(total)).select("model", rate.alias("value"))
+
 
+def max_mean_discrepancy(real: DataFrame, syn: DataFrame, numeric: list[str], block_rows: int = 4096) -> DataFrame:
+    """model, value and linear: the squared discrepancies of a Gaussian and of the linear kernel, on the real side's deviations.
 
-def max_mean_discrepancy(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
-    """Squared distance of the means (the linear kernel's discrepancy) on the real side's deviations."""
+    The Gaussian kernel is exp(-|x - y|^2 / (2 d)), d the number of columns. It's exact over all
+    rows: equal rows are one point with a count, points are dealt into blocks, and blocks meet
+    pairwise as matrix products in Arrow batches. Rows with a null are left out.
+    """
     s = real.agg(*(x for c in numeric for x in (F.avg(c).alias(f"_m_{c}"), F.stddev_pop(c).alias(f"_s_{c}"))))
-    g = syn.groupBy("model").agg(*(F.avg(c).alias(c) for c in numeric)).crossJoin(F.broadcast(s))
     z = lambda c: (F.col(c) - F.col(f"_m_{c}")) / F.when(F.col(f"_s_{c}") > 0, F.col(f"_s_{c}")).otherwise(1.0)
-    return g.select("model", reduce(lambda a, b: a + b, [z(c) * z(c) for c in numeric]).alias("value"))
+    g = syn.groupBy("model").agg(*(F.avg(c).alias(c) for c in numeric)).crossJoin(F.broadcast(s))
+    linear = g.select("model", reduce(lambda a, b: a + b, [z(c) * z(c) for c in numeric]).alias("linear"))
+
+    # sides are named 'r' and 'c' with the model's name
+    sides = real.select(F.lit("r").alias("side"), *numeric).unionByName(syn.select(F.concat(F.lit("c"), F.col("model").cast("string")).alias("side"), *numeric))
+    points = sides.dropna(subset=numeric).crossJoin(F.broadcast(s)).select("side", F.array(*(z(c).cast("double") for c in numeric)).alias("v")).groupBy("side", "v").agg(F.count("*").alias("n"))
+    sizes = checkpointed(points.groupBy("side").agg(F.sum("n").alias("rows"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")))  # a row for each side
+    dealt = points.join(F.broadcast(sizes.select("side", "blocks")), "side")
+    blocks = dealt.withColumn("b", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")).groupBy("side", "b").agg(F.collect_list("v").alias("v"), F.collect_list("n").alias("n"))
+    end = lambda i: [F.col("side").alias(f"s{i}"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(f"b{i}")]
+    wanted = sizes.select(*end(1)).crossJoin(sizes.select(*end(2))).filter("s1 = s2 OR s1 = 'r'")  # within each side, and real against candidates
+    side = lambda i: blocks.select(F.col("side").alias(f"s{i}"), F.col("b").alias(f"b{i}"), F.col("v").alias(f"v{i}"), F.col("n").alias(f"n{i}"))
+    met = side(1).join(wanted, ["s1", "b1"]).join(side(2), ["s2", "b2"])
+    width = 2.0 * len(numeric)
+
+    def kernel(batches):
+        for batch in batches:
+            out = []
+            for r in range(batch.num_rows):
+                side = [np.array(batch.column(c)[r].as_py(), float) for c in ("v1", "n1", "v2", "n2")]
+                total = 0.0
+                for i in range(0, len(side[0]), 512):
+                    d = ((side[0][i : i + 512, None, :] - side[2][None, :, :]) ** 2).sum(axis=2)
+                    total += float(side[1][i : i + 512] @ np.exp(-d / width) @ side[3])
+                out.append(total)
+            yield pa.RecordBatch.from_arrays([batch.column("s1"), batch.column("s2"), pa.array(out, pa.float64())], names=["s1", "s2", "k"])
+
+    sums = met.mapInArrow(kernel, "s1 string, s2 string, k double").groupBy("s1", "s2").agg(F.sum("k").alias("k"))
+    at = lambda i: F.broadcast(sizes.select(F.col("side").alias(f"s{i}"), F.col("rows").alias(f"_n{i}")))
+    means = sums.join(at(1), "s1").join(at(2), "s2").select("s1", "s2", (F.col("k") / F.col("_n1") / F.col("_n2")).alias("k"))
+    own = means.filter("s1 = 'r' AND s2 = 'r'").select(F.col("k").alias("_own"))
+    rows = means.filter("s2 <> 'r'").groupBy(F.substring("s2", 2, 1 << 30).alias("model")).agg(F.sum(F.when(F.col("s1") == "r", -2 * F.col("k")).otherwise(F.col("k"))).alias("_rest"))
+    rbf = rows.crossJoin(F.broadcast(own)).select("model", F.greatest(F.lit(0.0), F.col("_own") + F.col("_rest")).alias("value"))
+    return linear.join(rbf, "model", "left").select("model", "value", "linear")

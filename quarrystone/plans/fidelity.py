@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from quarrystone.operators import fidelity as f, impute as im, neighbours as nn
 from quarrystone.plans.catalog import CAND, LI, REAL, cand, li, query, real, t
-from quarrystone.plans.masking import _FILLED, _LN1, CAT, NUM, filled, lnu
+from quarrystone.plans.fairness import _poly
+from quarrystone.plans.masking import _FILLED, _LN1, CAT, NUM, filled, lnu, u
 
 SIDES = f"{LI}, {REAL}, {CAND}"
 CATS, NUMS = ["l_returnflag", "l_linestatus"], ["l_quantity", "l_discount"]
@@ -123,6 +124,18 @@ def _(s, d):
     return _r(f.total_variation(marg(s, d)))
 
 
+_MARGN = MARG.replace("AS p, coalesce(q, 0) AS q FROM", 'AS p, coalesce(q, 0) AS q, (SELECT count(*) FROM cand c2 WHERE c2.model = coalesce(x.model, cb.model)) AS n FROM')
+_T = "(2.0 / (9 * k))"
+_ERFC = f"(t * exp(-z * z + {_poly}))"
+_Z = f"((cbrt(s / k) - (1 - {_T})) / sqrt({_T}) / sqrt(2.0))"
+
+
+@query("chi_squared_test", f"""WITH {_MARGN}, st AS (SELECT model, "column", sum(CASE WHEN p > 0 THEN n * (q - p) * (q - p) / p ELSE 0 END) AS s, count(*) FILTER (p > 0) - 1 AS k, bool_or(p = 0 AND q > 0) AS new FROM mg GROUP BY ALL),
+zz AS (SELECT *, abs({_Z}) AS z, 1 / (1 + abs({_Z}) / 2) AS t, {_Z} >= 0 AS up FROM st) SELECT model, round(avg(CASE WHEN new THEN 0.0 WHEN k < 1 OR s <= 0 THEN 1.0 WHEN up THEN {_ERFC} / 2 ELSE 1 - {_ERFC} / 2 END), 6) AS value FROM zz GROUP BY model""")
+def _(s, d):
+    return _r(f.chi_squared_test(marg(s, d)))
+
+
 @query("chi_squared_statistic", _metric("CASE WHEN p > 0 THEN (q - p) * (q - p) / p ELSE 0 END"))
 def _(s, d):
     return _r(f.chi_squared_statistic(marg(s, d)))
@@ -178,6 +191,29 @@ def _(s, d):
     return _r(f.corr_diff(real(s, d), cand(s, d), ["l_quantity", "l_discount", "l_extendedprice"]))
 
 
+def _eta(src: str, key: str) -> str:
+    """The correlation ratio of return flag and quantity."""
+    return f"(SELECT {key} AS model, sqrt(sum(n * (m - mm) * (m - mm)) / any_value(v)) AS r FROM (SELECT {key}, count(*) AS n, avg(l_quantity) AS m FROM {src} GROUP BY {key}, l_returnflag) g JOIN (SELECT {key} AS k2, avg(l_quantity) AS mm, var_pop(l_quantity) * count(*) AS v FROM {src} GROUP BY {key}) w ON g.{key} = w.k2 GROUP BY {key})"
+
+
+def _cv(src: str, key: str) -> str:
+    """Cramer's V of return flag and line status, from the classic sum of squares over expected counts."""
+    return f"""(SELECT {key} AS model, sqrt(sum((coalesce(o, 0) - e) * (coalesce(o, 0) - e) / e) / any_value(t) / least(count(DISTINCT a) - 1, count(DISTINCT b) - 1)) AS r FROM
+  (SELECT x.{key}, x.a, y.b, x.n * y.n / t AS e, t FROM (SELECT {key}, l_returnflag AS a, count(*)::DOUBLE AS n FROM {src} GROUP BY ALL) x JOIN (SELECT {key}, l_linestatus AS b, count(*)::DOUBLE AS n FROM {src} GROUP BY ALL) y ON x.{key} = y.{key} JOIN (SELECT {key}, count(*)::DOUBLE AS t FROM {src} GROUP BY ALL) z ON x.{key} = z.{key})
+  LEFT JOIN (SELECT {key}, l_returnflag AS a, l_linestatus AS b, count(*)::DOUBLE AS o FROM {src} GROUP BY ALL) USING ({key}, a, b) GROUP BY {key})"""
+
+
+_K1 = "r1 AS (SELECT 'r' AS k, * FROM rl), c1 AS (SELECT model AS k, * EXCLUDE (model) FROM cand)"
+
+
+@query("corr_diff_mixed", f"WITH {SIDES}, {_K1} SELECT e.model, round(abs(e.r - f.r) + abs(g.r - h.r), 6) AS value FROM {_eta('c1', 'k')} e JOIN {_cv('c1', 'k')} g ON e.model = g.model, {_eta('r1', 'k')} f, {_cv('r1', 'k')} h")
+def _(s, d):
+    r, c = real(s, d), cand(s, d)
+    mixed = f._pair_difference(f.correlation_ratios(r, [], ["l_returnflag"], ["l_quantity"]), f.correlation_ratios(c, ["model"], ["l_returnflag"], ["l_quantity"]))
+    both = mixed.unionByName(f._pair_difference(f.cramers_v(r, [], CATS), f.cramers_v(c, ["model"], CATS)))
+    return _r(both.groupBy("model").agg(F.sum("value").alias("value")))
+
+
 def _mi(src: str, key: str) -> str:
     return f"(SELECT {key} AS model, sum(p * ln(p / (pa * pb))) / sqrt(sum(p * ln(pa)) * sum(p * ln(pb))) AS mi FROM (SELECT {key} AS model, p / sum(p) OVER w AS p, sum(p) OVER (PARTITION BY {key}, a) / sum(p) OVER w AS pa, sum(p) OVER (PARTITION BY {key}, b) / sum(p) OVER w AS pb, {key} FROM (SELECT {key}, l_returnflag AS a, l_linestatus AS b, count(*)::DOUBLE AS p FROM {src} GROUP BY ALL) WINDOW w AS (PARTITION BY {key})) GROUP BY 1)"
 
@@ -242,6 +278,10 @@ def emb(s, d, side):
     return t(s, d, "embeddings").filter(f"vec_id % 2 = {side}")
 
 
+#: A third of the rows against the rest.
+_EMB3 = f"e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), el AS (SELECT * FROM e WHERE vec_id % 3 > 0), es AS (SELECT * FROM e WHERE vec_id % 3 = 0)"
+
+
 @query("nn_join", f"WITH {EMB} SELECT n AS s, row_number() OVER (PARTITION BY n ORDER BY d, q)::INT AS rank, q AS r, round(d, 6) AS distance FROM rs QUALIFY row_number() OVER (PARTITION BY n ORDER BY d, q) <= 3")
 def _(s, d):
     return _r(nn.nn_join(emb(s, d, 1).withColumnRenamed("vec_id", "s"), emb(s, d, 0).withColumnRenamed("vec_id", "r"), "s", "r", "embedding", 3), "distance")
@@ -267,19 +307,33 @@ def _(s, d):
     return _r(nn.dcr(emb(s, d, 1), emb(s, d, 0), "vec_id", "embedding"))
 
 
-@query("nnaa", f"""WITH {EMB} SELECT round(((SELECT avg((o.d > w.d)::INT) FROM (SELECT q, min(d) AS d FROM rs GROUP BY q) o JOIN (SELECT q, min(d) AS d FROM rr GROUP BY q) w USING (q)) + (SELECT avg((o.d > w.d)::INT) FROM (SELECT n AS q, min(d) AS d FROM rs GROUP BY n) o JOIN (SELECT q, min(d) AS d FROM ss GROUP BY q) w USING (q))) / 2, 6) AS value""")
+_SHARE = "(SELECT count(*) FROM es) / (SELECT count(*) FROM el)"
+
+
+@query("nnaa", f"""WITH {_EMB3}, rd AS (SELECT i, vec_id FROM el, range(30) AS r(i) WHERE {u("vec_id::VARCHAR || '|nnaa|' || i")} < {_SHARE}),
+ll AS (SELECT a.vec_id AS a, b.vec_id AS b, {_D} AS d FROM el a JOIN el b ON a.vec_id <> b.vec_id), ls AS (SELECT a.vec_id AS a, b.vec_id AS b, {_D} AS d FROM el a, es b), ss AS (SELECT a.vec_id AS a, min({_D}) AS d FROM es a JOIN es b ON a.vec_id <> b.vec_id GROUP BY 1),
+lo AS (SELECT x.i, x.vec_id, min(ll.d) AS own FROM rd x JOIN rd y USING (i) JOIN ll ON ll.a = x.vec_id AND ll.b = y.vec_id GROUP BY ALL), lx AS (SELECT a AS vec_id, min(d) AS other FROM ls GROUP BY 1),
+s1 AS (SELECT i, avg((other > own)::INT) AS s FROM lo JOIN lx USING (vec_id) GROUP BY i), s2 AS (SELECT i, avg((other > ss.d)::INT) AS s FROM (SELECT i, b AS vec_id, min(d) AS other FROM rd JOIN ls ON rd.vec_id = ls.a GROUP BY ALL) JOIN ss ON ss.a = vec_id GROUP BY i)
+SELECT round(avg((s1.s + s2.s) / 2), 6) AS value FROM s1 JOIN s2 USING (i)""")
 def _(s, d):
-    return _r(nn.nnaa(emb(s, d, 1), emb(s, d, 0), "vec_id", "embedding"))
+    e = t(s, d, "embeddings")
+    return _r(nn.nnaa(e.filter("vec_id % 3 = 0"), e.filter("vec_id % 3 > 0"), "vec_id", "embedding"))
 
 
-@query("identifiability_score", f"WITH {EMB} SELECT round(avg((o.d < w.d)::INT), 6) AS value FROM (SELECT q, min(d) AS d FROM rs GROUP BY q) o JOIN (SELECT q, min(d) AS d FROM rr GROUP BY q) w USING (q)")
+_W = "wt AS (SELECT list(1 / greatest(h, 1e-6) ORDER BY i) AS w FROM (SELECT i, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS h FROM (SELECT i, round(v[i]) AS x, count(*) AS n FROM er0, range(1, 65) AS r(i) GROUP BY ALL) GROUP BY i))"
+_WEMB = f"e0 AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), er0 AS (SELECT * FROM e0 WHERE vec_id % 2 = 0), {_W}, " + EMB.replace("embedding::DOUBLE[] AS v, label FROM embeddings", "list_transform(list_zip(embedding::DOUBLE[], w), lambda z: z[1] * z[2]) AS v, label FROM embeddings, wt")
+
+
+@query("identifiability_score", f"WITH {_WEMB} SELECT round(avg((o.d < w.d)::INT), 6) AS value FROM (SELECT q, min(d) AS d FROM rs GROUP BY q) o JOIN (SELECT q, min(d) AS d FROM rr GROUP BY q) w USING (q)")
 def _(s, d):
     return _r(nn.identifiability(emb(s, d, 1), emb(s, d, 0), "vec_id", "embedding"))
 
 
-@query("prdc_coverage", f"WITH {EMB}, b AS (SELECT q, d AS r FROM rr QUALIFY row_number() OVER (PARTITION BY q ORDER BY d) = 5) SELECT round(avg((m.d <= r)::INT), 6) AS coverage FROM b JOIN (SELECT q, min(d) AS d FROM rs GROUP BY q) m USING (q)")
+@query("prdc", f"""WITH {EMB}, b AS (SELECT q, d AS r FROM rr QUALIFY row_number() OVER (PARTITION BY q ORDER BY d) = 5), c AS (SELECT q, d AS r FROM ss QUALIFY row_number() OVER (PARTITION BY q ORDER BY d) = 5)
+SELECT round((SELECT count(DISTINCT n) FROM rs JOIN b USING (q) WHERE d <= r) / (SELECT count(*) FROM es), 6) AS precision, round((SELECT count(DISTINCT rs.q) FROM rs JOIN c ON rs.n = c.q WHERE d <= r) / (SELECT count(*) FROM er), 6) AS recall,
+round((SELECT count(*) FROM rs JOIN b USING (q) WHERE d <= r) / (SELECT count(*) FROM es) / 5, 6) AS density, (SELECT round(avg((m.d <= r)::INT), 6) FROM b JOIN (SELECT q, min(d) AS d FROM rs GROUP BY q) m USING (q)) AS coverage""")
 def _(s, d):
-    return _r(nn.prdc(emb(s, d, 1), emb(s, d, 0), "vec_id", "embedding"), "coverage")
+    return _r(nn.prdc(emb(s, d, 1), emb(s, d, 0), "vec_id", "embedding"), "precision", "recall", "density", "coverage")
 
 
 # group fairness of given predictions: quality predicts toxic, groups are languages
@@ -296,9 +350,15 @@ def _(s, d):
     return _r(g.agg(gap("pr").alias("statistical_parity"), F.greatest(gap("tpr"), gap("fpr")).alias("equalized_odds"), gap("tpr").alias("equal_opportunity")), "statistical_parity", "equalized_odds", "equal_opportunity")
 
 
-@query("max_mean_discrepancy", f"WITH {SIDES} SELECT model, round(pow((avg(l_quantity) - (SELECT avg(l_quantity) FROM rl)) / (SELECT stddev_pop(l_quantity) FROM rl), 2) + pow((avg(l_discount) - (SELECT avg(l_discount) FROM rl)) / (SELECT stddev_pop(l_discount) FROM rl), 2), 9) AS value FROM cand GROUP BY model")
+_MMD = f"""st AS (SELECT avg(l_quantity) AS mq, stddev_pop(l_quantity) AS sq, avg(l_discount) AS md, stddev_pop(l_discount) AS sd FROM rl),
+pt AS (SELECT s, (l_quantity - mq) / sq AS x, (l_discount - md) / sd AS y, count(*)::DOUBLE AS n FROM (SELECT 'r' AS s, * FROM rl UNION ALL SELECT model, * EXCLUDE (model) FROM cand), st GROUP BY ALL), sz AS (SELECT s, sum(n) AS t FROM pt GROUP BY s),
+kk AS (SELECT a.s AS s1, b.s AS s2, sum(a.n * b.n * exp(-((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) / 4)) AS k FROM pt a, pt b WHERE a.s = b.s OR a.s = 'r' GROUP BY ALL), km AS (SELECT s1, s2, k / u.t / v.t AS k FROM kk JOIN sz u ON u.s = s1 JOIN sz v ON v.s = s2),
+li2 AS (SELECT model, pow((avg(l_quantity) - (SELECT mq FROM st)) / (SELECT sq FROM st), 2) + pow((avg(l_discount) - (SELECT md FROM st)) / (SELECT sd FROM st), 2) AS linear FROM cand GROUP BY model)"""
+
+
+@query("max_mean_discrepancy", f"""WITH {SIDES}, {_MMD} SELECT model, round(greatest(0, (SELECT k FROM km WHERE s1 = 'r' AND s2 = 'r') + (SELECT k FROM km WHERE s1 = model AND s2 = model) - 2 * (SELECT k FROM km WHERE s1 = 'r' AND s2 = model)), 9) AS value, round(linear, 9) AS linear FROM li2""")
 def _(s, d):
-    return f.max_mean_discrepancy(real(s, d), cand(s, d), NUMS).withColumn("value", F.round("value", 9))
+    return f.max_mean_discrepancy(real(s, d), cand(s, d), NUMS).select("model", F.round("value", 9).alias("value"), F.round("linear", 9).alias("linear"))
 
 
 @query("att_discl", f"WITH {EMB} SELECT round(avg((er.label = es.label)::INT), 6) AS value FROM (SELECT q, min_by(n, d) AS n FROM rs GROUP BY q) m JOIN er ON er.vec_id = m.q JOIN es ON es.vec_id = m.n")
@@ -306,6 +366,15 @@ def _(s, d):
     return _r(nn.attribute_disclosure(emb(s, d, 0), emb(s, d, 1), "vec_id", "embedding", "label"))
 
 
+_KNOWN = EMB.replace("embedding::DOUBLE[] AS v, label", "embedding[2:]::DOUBLE[] AS v, embedding[1]::DOUBLE AS label")
+
+
+@query("att_discl_risk", f"WITH {_KNOWN} SELECT round(avg((abs(er.label - es.label) <= (SELECT (max(label) - min(label)) / 30 FROM er))::INT), 6) AS value FROM (SELECT q, min_by(n, d) AS n FROM rs GROUP BY q) m JOIN er ON er.vec_id = m.q JOIN es ON es.vec_id = m.n")
+def _(s, d):
+    x, y = (emb(s, d, i).select("vec_id", F.slice("embedding", 2, 64).alias("known"), F.get("embedding", F.lit(0)).cast("double").alias("asked")) for i in (0, 1))
+    return _r(nn.attribute_disclosure(x, y, "vec_id", "known", "asked", 1 / 30))
+
+
 @query("authenticity", f"WITH {EMB} SELECT round(avg((m.d > w.d)::INT), 6) AS value FROM (SELECT n, min_by(q, d) AS q, min(d) AS d FROM rs GROUP BY n) m JOIN (SELECT q, min(d) AS d FROM rr GROUP BY q) w USING (q)")
 def _(s, d):
     return _r(nn.authenticity(emb(s, d, 0), emb(s, d, 1), "vec_id", "embedding"))
