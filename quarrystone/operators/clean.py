@@ -9,7 +9,9 @@ from __future__ import annotations
 
 from math import ceil, log2
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from quarrystone.operators.order import number_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
@@ -108,8 +110,7 @@ def cast_integer_like(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """(value, code): distinct values in order, numbered from 0."""
-    values = df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct()
-    return values.withColumn("code", F.row_number().over(W.orderBy("value")) - 1)
+    return number_values(df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct())
 
 
 def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -171,6 +172,22 @@ def decode_bits(df: DataFrame, bits: list[str], values: list[str], policy: str =
     return df.withColumn(column, F.get(F.array(*map(F.lit, values)), index.cast("int"))).drop("_code")
 
 
+def decode_diagnostics(df: DataFrame, bits: dict[str, list[str]], sizes: dict[str, int], policy: str = "clip") -> DataFrame:
+    """(column, n_rows, n_categories, n_invalid, invalid_rate, policy) of the columns whose bits make indexes beyond their categories.
+
+    ``bits``: column -> its bit columns, lowest first; ``sizes``: column -> number of categories. All
+    columns are counted in one pass. With policy 'error' any invalid code is an error.
+    """
+    code = lambda c: sum((F.when(F.col(b) > 0.5, 1 << k).otherwise(0) for k, b in enumerate(bits[c])), F.lit(0))
+    one = df.agg(F.count("*").alias("_n"), *(F.count_if(code(c) >= sizes[c]).alias(c) for c in bits))
+    size = F.create_map(*(F.lit(x) for c in bits for x in (c, sizes[c])))[F.col("column")]
+    out = one.unpivot("_n", list(bits), "column", "n_invalid").filter("n_invalid > 0")
+    out = out.select("column", F.col("_n").alias("n_rows"), size.alias("n_categories"), "n_invalid", (F.col("n_invalid") / F.col("_n")).alias("invalid_rate"), F.lit(policy).alias("policy"))
+    if policy == "error":
+        _raise_if_any(out.select("column", "n_invalid"), "invalid codes")
+    return out
+
+
 def scale_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """One row: mean and population deviation (1 if zero or none) of the observed values."""
     sd = lambda c: F.when(F.stddev_pop(c) > 0, F.stddev_pop(c)).otherwise(1.0)

@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
+from quarrystone.functions.session import checkpointed
 from quarrystone.operators.clean import complete_cases, is_numeric, round_columns, with_stats
 from quarrystone.operators.split import apply_mask
 
@@ -49,12 +50,14 @@ def average_draws(draws: DataFrame, key: str, columns: list[str]) -> DataFrame:
     return draws.groupBy(key).agg(*(F.avg(c).alias(c) for c in columns))
 
 
-def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str], checkpoint=None) -> DataFrame:
+def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str], checkpoint=checkpointed, start: DataFrame | None = None) -> DataFrame:
     """One pass: each column with gaps is predicted from the current values of all others.
 
     Numeric columns by boosted trees, categorical ones by a random forest, fitted on observed
-    rows. ``context`` may hold more columns than are filled. ``checkpoint`` cuts the lineage of
-    the filled frame (a function of a DataFrame).
+    rows. ``context`` may hold more columns than are filled. ``checkpoint``, a function of a
+    DataFrame, cuts the lineage of the filled frame after each column, so that no fit runs
+    earlier models again. ``start`` (the same rows without gaps) gives the values to begin with
+    instead of means and modes.
     """
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -62,12 +65,12 @@ def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str],
 
     text = [c for c in dict.fromkeys([*context, *columns]) if not is_numeric(df, c)]
     numeric = [c for c in dict.fromkeys([*context, *columns]) if is_numeric(df, c)]
-    current = mode_fill(mean_fill(df, numeric), text)
+    current = mode_fill(mean_fill(df, numeric), text) if start is None else start.select(*df.columns)
     models = {c: StringIndexer(inputCol=c, outputCol=f"_i_{c}", stringOrderType="alphabetAsc", handleInvalid="keep").fit(current) for c in text}
     work = reduce(lambda x, m: m.transform(x), models.values(), current)
     flags = df.select(F.col(key).alias("_k"), *(F.col(c).isNull().alias(f"_g_{c}") for c in columns))
     work = work.join(flags, F.col(key) == F.col("_k")).drop("_k")
-    work = checkpoint(work) if checkpoint else work
+    work = checkpoint(work)
     coded = lambda c: f"_i_{c}" if c in text else c
     for c in columns:
         inputs = [coded(x) for x in dict.fromkeys([*context, *columns]) if x != c]
@@ -80,94 +83,102 @@ def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str],
         else:
             model = GBTRegressor(labelCol=c, featuresCol="_x", predictionCol="_p", maxIter=10, maxDepth=4, seed=7).fit(seen)
             done = model.transform(v).withColumn(c, F.when(F.col(f"_g_{c}"), F.col("_p")).otherwise(F.col(c)))
-        work = done.select(*work.columns)
-        work = checkpoint(work) if checkpoint else work
+        work = checkpoint(done.select(*work.columns))
     return work.select(*df.columns)
 
 
-def impute(df: DataFrame, key: str, numeric: list[str], categorical: list[str], method: str = "mean", passes: int = 1, refine: list[str] | None = None, checkpoint=None) -> DataFrame:
+def impute(df: DataFrame, key: str, numeric: list[str], categorical: list[str], method: str = "mean", passes: int = 1, refine: list[str] | None = None, checkpoint=checkpointed) -> DataFrame:
     """Fill all gaps; observed cells never change, other columns pass through.
 
-    method 'mean' (means and modes), 'model' (model_fill, ``passes`` times), 'drop' (complete cases).
-    ``refine`` limits the model to some columns; the rest get means and modes.
+    method 'mean' (means and modes), 'model' (model_fill, ``passes`` times, each from what the one
+    before filled), 'drop' (complete cases). ``refine`` limits the model to some columns; the rest
+    get means and modes and serve as context.
     """
     if method == "drop":
         return complete_cases(df)
     filled = mode_fill(mean_fill(df, numeric), categorical)
     if method == "model":
-        columns = refine or [*numeric, *categorical]
-        filled = model_fill(df, key, columns, [*numeric, *categorical], checkpoint)
-        for _ in range(passes - 1):
-            again = filled.join(df.select(F.col(key).alias("_k"), *(F.col(c).isNull().alias(f"_g_{c}") for c in columns)), F.col(key) == F.col("_k")).drop("_k")
-            # the second pass sees the first one's fills as context; only gaps are predicted anew
-            again = again.select(*df.columns, *(f"_g_{c}" for c in columns))
-            for c in columns:
-                gap = again.withColumn(c, F.when(~F.col(f"_g_{c}"), F.col(c))).select(*df.columns)
-                again = again.drop(c).join(model_fill(gap, key, [c], [*numeric, *categorical], checkpoint).select(F.col(key).alias("_k"), c), F.col(key) == F.col("_k")).drop("_k")
-            filled = again.select(*df.columns)
+        for _ in range(passes):
+            filled = model_fill(df, key, refine or [*numeric, *categorical], [*numeric, *categorical], checkpoint, filled)
     return clamp_observed(df, filled, key, [*numeric, *categorical])
 
 
+def polish(df: DataFrame, filled: DataFrame, key: str, numeric: list[str], categorical: list[str], columns: list[str] | None = None, checkpoint=checkpointed) -> DataFrame:
+    """One more pass of the models over a filled frame; observed cells stay."""
+    done = model_fill(df, key, columns or [*numeric, *categorical], [*numeric, *categorical], checkpoint, filled)
+    return clamp_observed(df, done, key, [*numeric, *categorical])
+
+
 def run_imputation(df: DataFrame, split: DataFrame, key: str, numeric: list[str], categorical: list[str], rules: dict[str, int], **how) -> DataFrame:
     """Impute, round, and bring the split back."""
     done = round_columns(impute(df, key, numeric, categorical, **how), rules, numeric)
     return done.join(split.select(key, "split"), key)
 
 
-def long_cells(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(key, column, value) with values as text; one pass over the wide table."""
-    return df.select(key, *(F.col(c).cast("string").alias(c) for c in columns)).unpivot(key, columns, "column", "value")
-
-
 def validate_imputed(original: DataFrame, imputed: DataFrame, key: str, numeric: list[str], categorical: list[str], margin: float = 0.2) -> DataFrame:
-    """(column, n_imputed, n_valid, all_valid): fills within the observed range and a margin, or among observed values."""
+    """(column, n_imputed, n_valid, all_valid): fills within the observed range and a margin, or among observed values.
+
+    Numeric columns are counted in one aggregate; filled categories, counted by value, are looked
+    up among the observed values of their column by an ordinary join.
+    """
     gaps = original.select(F.col(key).alias("_k"), *(F.col(c).isNull().alias(f"_g_{c}") for c in [*numeric, *categorical]))
     both = imputed.join(gaps, F.col(key) == F.col("_k"))
     parts = []
-    for c in numeric:
-        s = original.agg(F.min(c).alias("_lo"), F.max(c).alias("_hi"))
-        ok = F.col(c).between(F.col("_lo") - margin * (F.col("_hi") - F.col("_lo")), F.col("_hi") + margin * (F.col("_hi") - F.col("_lo")))
-        parts.append(both.filter(f"`_g_{c}`").crossJoin(F.broadcast(s)).agg(F.lit(c).alias("column"), F.count("*").alias("n_imputed"), F.count_if(ok).alias("n_valid")))
-    for c in categorical:
-        seen = original.filter(F.col(c).isNotNull()).select(F.col(c).alias("_v")).distinct().withColumn("_ok", F.lit(True))
-        parts.append(both.filter(f"`_g_{c}`").join(F.broadcast(seen), F.col(c) == F.col("_v"), "left").agg(F.lit(c).alias("column"), F.count("*").alias("n_imputed"), F.count_if("_ok").alias("n_valid")))
+    if numeric:
+        s = original.agg(*(x for c in numeric for x in (F.min(c).alias(f"_lo_{c}"), F.max(c).alias(f"_hi_{c}"))))
+        room = lambda c: margin * (F.col(f"_hi_{c}") - F.col(f"_lo_{c}"))
+        ok = lambda c: F.col(f"_g_{c}") & F.col(c).between(F.col(f"_lo_{c}") - room(c), F.col(f"_hi_{c}") + room(c))
+        one = both.crossJoin(F.broadcast(s)).agg(*(F.struct(F.count_if(f"_g_{c}").alias("n_imputed"), F.count_if(ok(c)).alias("n_valid")).alias(c) for c in numeric))
+        parts.append(one.unpivot([], numeric, "column", "s").select("column", "s.*"))
+    if categorical:
+        cells = lambda df, test: df.select(F.explode(F.filter(F.array(*(F.when(test(c), F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))) for c in categorical)), lambda x: x.isNotNull())).alias("_x")).select("_x.*")
+        filled = cells(both, lambda c: F.col(f"_g_{c}")).groupBy("column", "value").agg(F.count("*").alias("n"))
+        seen = cells(original, lambda c: F.col(c).isNotNull()).distinct().withColumn("_ok", F.lit(True))
+        counts = filled.join(seen, ["column", "value"], "left").groupBy("column").agg(F.sum("n").alias("n_imputed"), F.coalesce(F.sum(F.when(F.col("_ok"), F.col("n"))), F.lit(0)).alias("n_valid"))
+        names = original.sparkSession.createDataFrame([(c,) for c in categorical], "column string")
+        parts.append(names.join(counts, "column", "left").fillna(0, ["n_imputed", "n_valid"]))
     return reduce(DataFrame.unionByName, parts).withColumn("all_valid", F.col("n_imputed") == F.col("n_valid"))
 
 
 def validation_report(original: DataFrame, imputed: DataFrame, key: str, numeric: list[str], categorical: list[str], margin: float = 0.2) -> DataFrame:
-    """For each column with gaps: observed and imputed mean and sample deviation, and the checks."""
+    """For each column with gaps: observed and imputed mean and sample deviation (numeric columns), and the checks."""
     checks = validate_imputed(original, imputed, key, numeric, categorical, margin).filter("n_imputed > 0")
-    a, b = long_cells(original, key, [*numeric, *categorical]), long_cells(imputed, key, [*numeric, *categorical])
-    cells = a.withColumnRenamed("value", "was").join(b.withColumnRenamed("value", "now"), [key, "column"])
-    was, now = F.expr("try_cast(was as double)"), F.when(F.col("was").isNull(), F.expr("try_cast(now as double)"))
-    stats = cells.groupBy("column").agg(F.avg(was).alias("obs_mean"), F.stddev_samp(was).alias("obs_std"), F.avg(now).alias("imp_mean"), F.stddev_samp(now).alias("imp_std"))
-    return checks.join(stats, "column")
+    was = original.select(F.col(key).alias("_k"), *(F.col(c).alias(f"_o_{c}") for c in numeric))
+    both = imputed.select(key, *numeric).join(was, F.col(key) == F.col("_k"))
+    new = lambda c: F.when(F.col(f"_o_{c}").isNull(), F.col(c))
+    stats = lambda c: F.struct(F.avg(f"_o_{c}").alias("obs_mean"), F.stddev_samp(f"_o_{c}").alias("obs_std"), F.avg(new(c)).alias("imp_mean"), F.stddev_samp(new(c)).alias("imp_std")).alias(c)
+    one = both.agg(*(stats(c) for c in numeric)).unpivot([], numeric, "column", "s").select("column", "s.*")
+    return checks.join(one, "column", "left")
 
 
 def validation_pass_rate(report: DataFrame) -> DataFrame:
     return report.select("column", F.coalesce(F.col("n_valid") / F.nullif(F.col("n_imputed"), F.lit(0)), F.lit(1.0)).alias("pass_rate"))
 
 
-def masked_cells(truth: DataFrame, imputed: DataFrame, mask: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """(key, column, truth, predicted, masked) of all cells of the columns."""
-    a = long_cells(truth, key, columns).withColumnRenamed("value", "truth")
-    b = long_cells(imputed, key, columns).withColumnRenamed("value", "predicted")
-    m = mask.select(key, "column").withColumn("masked", F.lit(True))
-    return a.join(b, [key, "column"]).join(m, [key, "column"], "left").withColumn("masked", F.coalesce("masked", F.lit(False)))
+def masked_rows(truth: DataFrame, imputed: DataFrame, mask: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """One row for each key: for each column its truth _t_, its fill _p_ and whether the cell was masked _m_."""
+    flags = mask.groupBy(F.col(key).alias("_k")).agg(*(F.bool_or(F.col("column") == c).alias(f"_m_{c}") for c in columns))
+    a = truth.select(key, *(F.col(c).alias(f"_t_{c}") for c in columns))
+    b = imputed.select(F.col(key).alias("_i"), *(F.col(c).alias(f"_p_{c}") for c in columns))
+    rows = a.join(b, F.col(key) == F.col("_i")).join(flags, F.col(key) == F.col("_k"), "left").drop("_i", "_k")
+    return rows.withColumns({f"_m_{c}": F.coalesce(f"_m_{c}", F.lit(False)) for c in columns})
+
 
+def score_numeric(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n_masked, mae, rmse) of ``masked_rows``, in population deviations of the unmasked observed cells; one aggregate for all columns."""
+    def score(c):
+        t, p, m = F.col(f"_t_{c}").cast("double"), F.col(f"_p_{c}").cast("double"), F.col(f"_m_{c}")
+        sd, err = F.stddev_pop(F.when(~m, t)), F.when(m, p - t)
+        scale = F.when(sd > 0, sd).when(F.count(F.when(~m, t)) > 0, 1.0)
+        return F.struct(F.count_if(m).alias("n_masked"), (F.avg(F.abs(err)) / scale).alias("mae"), (F.sqrt(F.avg(err * err)) / scale).alias("rmse")).alias(c)
 
-def score_numeric(cells: DataFrame) -> DataFrame:
-    """(column, n_masked, mae, rmse) over masked cells, in population deviations of the unmasked observed ones."""
-    t, p = F.col("truth").cast("double"), F.col("predicted").cast("double")
-    sd = F.stddev_pop(F.when(~F.col("masked"), t))
-    scale = F.when(sd > 0, sd).when(F.count(F.when(~F.col("masked"), t)) > 0, 1.0)
-    err = F.when(F.col("masked"), p - t)
-    return cells.groupBy("column").agg(F.count_if("masked").alias("n_masked"), (F.avg(F.abs(err)) / scale).alias("mae"), (F.sqrt(F.avg(err * err)) / scale).alias("rmse")).filter("n_masked > 0")
+    return rows.agg(*map(score, columns)).unpivot([], columns, "column", "s").select("column", "s.*").filter("n_masked > 0")
 
 
-def score_categorical(cells: DataFrame) -> DataFrame:
-    """(column, n_masked, accuracy, balanced_accuracy, macro_f1) from confusion counts."""
-    pairs = cells.filter("masked").groupBy("column", "truth", "predicted").agg(F.count("*").alias("n"))
+def score_categorical(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, n_masked, accuracy, balanced_accuracy, macro_f1) of ``masked_rows``, from confusion counts of masked cells."""
+    cells = F.array(*(F.when(F.col(f"_m_{c}"), F.struct(F.lit(c).alias("column"), F.col(f"_t_{c}").cast("string").alias("truth"), F.col(f"_p_{c}").cast("string").alias("predicted"))) for c in columns))
+    pairs = rows.select(F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("_x")).select("_x.*").groupBy("column", "truth", "predicted").agg(F.count("*").alias("n"))
     by_truth = pairs.groupBy("column", F.col("truth").alias("label")).agg(F.sum("n").alias("t"), F.sum(F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0)).alias("hit"))
     by_pred = pairs.groupBy("column", F.col("predicted").alias("label")).agg(F.sum("n").alias("p"))
     labels = by_truth.join(by_pred, ["column", "label"], "full_outer").fillna(0, ["t", "hit", "p"])
@@ -179,14 +190,16 @@ def score_categorical(cells: DataFrame) -> DataFrame:
 
 def score_masked(truth: DataFrame, imputed: DataFrame, mask: DataFrame, key: str, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, DataFrame]:
     """Per-column metrics (column, metric, value), and the summary with the objective."""
-    cells = masked_cells(truth, imputed, mask, key, [*numeric, *categorical])
-    n = score_numeric(cells.filter(F.col("column").isin(numeric))).unpivot("column", ["mae", "rmse"], "metric", "value")
-    c = score_categorical(cells.filter(F.col("column").isin(categorical))).unpivot("column", ["accuracy", "balanced_accuracy", "macro_f1"], "metric", "value")
-    long = n.unionByName(c)
+    rows, parts = masked_rows(truth, imputed, mask, key, [*numeric, *categorical]), []
+    if numeric:
+        parts.append(score_numeric(rows, numeric).unpivot("column", ["mae", "rmse"], "metric", "value"))
+    if categorical:
+        parts.append(score_categorical(rows, categorical).unpivot("column", ["accuracy", "balanced_accuracy", "macro_f1"], "metric", "value"))
+    long = reduce(DataFrame.unionByName, parts)
     macro = lambda m: F.avg(F.when(F.col("metric") == m, F.col("value")))
     summary = long.agg(*(macro(m).alias(f"macro_{m}") for m in ("mae", "rmse", "accuracy", "balanced_accuracy", "macro_f1")))
     both = F.filter(F.array(F.col("macro_rmse"), 1 - F.col("macro_balanced_accuracy")), lambda x: x.isNotNull())
-    return long, summary.withColumn("objective", F.aggregate(both, F.lit(0.0), lambda a, x: a + x) / F.size(both))
+    return long, summary.withColumn("objective", F.when(F.size(both) > 0, F.aggregate(both, F.lit(0.0), lambda a, x: a + x) / F.size(both)))
 
 
 def benchmark_objective(summaries: DataFrame) -> DataFrame:

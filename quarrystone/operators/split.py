@@ -1,14 +1,18 @@
 """Splits, samples and masks, all decided by hashes of row keys and a seed.
 
 A choice of exactly k rows never sorts a whole group in one task: rows are counted by
-slices of their hash, whole slices are taken, and only the slice in which the k-th row
-lies is numbered.
+slices of their hash, slices beyond the k-th row are left out before anything is
+shuffled, and the rest is numbered slice by slice.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from quarrystone.functions.session import small
+
 SLICES = 4096
 
 
@@ -18,21 +22,26 @@ def unit_hash(key: Column, *seed: object) -> Column:
     return (F.conv(F.substring(h, 1, 12), 16, 10).cast("double") + 0.5) / float(1 << 48)
 
 
+def unit_hash_of(text: str) -> float:
+    """The number that ``unit_hash`` gives for a key with its seeds written out (key|seed|seed), for use inside a task."""
+    return (int(hashlib.md5(text.encode()).hexdigest()[:12], 16) + 0.5) / float(1 << 48)
+
+
 def take_smallest(df: DataFrame, group: list[str], order: str, key: str, k) -> DataFrame:
     """For each group the rows with the smallest ``order`` (in [0, 1)).
 
     How many: ``k`` is a table (group, take), or a function from a group's count to that number.
+    The rows are read twice: for the counts of their slices, and to be taken.
     """
     df = df.withColumn("_s", F.floor(F.col(order) * SLICES).cast("int"))
     counts = df.groupBy(*group, "_s").agg(F.count("*").alias("_n"))
     before = W.partitionBy(*group).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    counts = counts.withColumn("take", k(F.sum("_n").over(W.partitionBy(*group)))) if callable(k) else counts.join(F.broadcast(k), group)
-    slices = counts.filter("_b < take").withColumn("_left", F.col("take") - F.col("_b")).drop("_b", "take")
-    rows = df.join(F.broadcast(slices), [*group, "_s"])
-    whole = rows.filter("_n <= _left")
-    last = rows.filter("_n > _left").withColumn("_r", F.row_number().over(W.partitionBy(*group, "_s").orderBy(order, key))).filter("_r <= _left")
-    return whole.unionByName(last.drop("_r")).select(*[c for c in df.columns if c != "_s"])
+    counts = counts.withColumn("take", k(F.sum("_n").over(W.partitionBy(*group)))) if callable(k) else counts.join(k, group)
+    slices = counts.filter("_b < take").select(*group, "_s", (F.col("take") - F.col("_b")).alias("_left"))
+    rows = df.join(small(slices), [*group, "_s"])
+    place = F.row_number().over(W.partitionBy(*group, "_s").orderBy(order, key))
+    return rows.withColumn("_r", place).filter("_r <= _left").select(*[c for c in df.columns if c != "_s"])
 
 
 def split_by_threshold(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -63,19 +72,19 @@ def anti_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(ids.select(key), key, "left_anti")
 
 
-def number_rows(df: DataFrame, key: str, parts: int = 64) -> DataFrame:
-    """Add ``row_no`` from 0, without gaps: numbered within hash parts, shifted by the parts' counts."""
-    df = df.withColumn("_p", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
-    counts = df.groupBy("_p").agg(F.count("*").alias("_n"))
-    shift = counts.select("_p", F.coalesce(F.sum("_n").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    inside = F.row_number().over(W.partitionBy("_p").orderBy(key)) - 1
-    return df.withColumn("_r", inside).join(F.broadcast(shift), "_p").withColumn("row_no", F.col("_r") + F.col("_b")).drop("_p", "_r", "_b")
+def number_rows(df: DataFrame, key: str, seed: object = "rows") -> DataFrame:
+    """Add ``row_no`` from 0, without gaps, in the order of a hash of the key: numbered within slices, shifted by their counts."""
+    rows = df.withColumn("_u", unit_hash(F.col(key).cast("string"), seed)).withColumn("_s", F.floor(F.col("_u") * SLICES).cast("int"))
+    counts = rows.groupBy("_s").agg(F.count("*").alias("_n"))  # SLICES rows
+    shift = counts.select("_s", F.coalesce(F.sum("_n").over(W.orderBy("_s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    inside = F.row_number().over(W.partitionBy("_s").orderBy("_u", key)) - 1
+    return rows.withColumn("_r", inside).join(F.broadcast(shift), "_s").withColumn("row_no", F.col("_r") + F.col("_b")).drop("_u", "_s", "_r", "_b")
 
 
 def bootstrap(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
     """n rows drawn with replacement: hashes of 0..n-1 joined to row numbers; adds ``draw``."""
     numbered = number_rows(df, key)
-    size = numbered.agg(F.count("*").alias("_size"))
+    size = df.agg(F.count("*").alias("_size"))
     draws = df.sparkSession.range(n).withColumnRenamed("id", "draw").crossJoin(F.broadcast(size))
     draws = draws.withColumn("row_no", F.floor(unit_hash(F.col("draw").cast("string"), seed) * F.col("_size"))).drop("_size")
     return draws.join(numbered, "row_no").drop("row_no")
@@ -163,12 +172,17 @@ def proportional_resample(df: DataFrame, target: str, shares: dict[str, float],
     return whole.unionByName(extra).drop("_c", "_u")
 
 
+def normal_hash(key: Column, *seed: object) -> Column:
+    """A standard normal number from hashes of the key and the seed (Box and Muller's form)."""
+    return F.sqrt(-2 * F.ln(unit_hash(key, *seed, "r"))) * F.cos(unit_hash(key, *seed, "a") * 6.283185307179586)
+
+
 def balanced_seed_sample(df: DataFrame, target: str, n: int, key: str, features: list[str], seed: int = 0, jitter: float = 0.01) -> DataFrame:
-    """Equal counts of each class, features moved by Gaussian noise of ``jitter`` deviations."""
+    """Equal counts of each class, features moved by Gaussian noise of ``jitter`` deviations, the same for all copies of a row."""
     classes = [r[0] for r in df.select(F.col(target).cast("string")).distinct().collect()]
     rows = proportional_resample(df, target, {c: 1 / len(classes) for c in classes}, n, key, seed)
     stats = df.agg(*(F.stddev_pop(f).alias(f"_d_{f}") for f in features))
-    return rows.crossJoin(F.broadcast(stats)).withColumns({f: F.col(f) + F.randn(seed + i) * jitter * F.col(f"_d_{f}") for i, f in enumerate(features)}).drop(*(f"_d_{f}" for f in features))
+    return rows.crossJoin(F.broadcast(stats)).withColumns({f: F.col(f) + normal_hash(F.col(key).cast("string"), f, seed) * jitter * F.col(f"_d_{f}") for f in features}).drop(*(f"_d_{f}" for f in features))
 
 
 def sample_column(df: DataFrame, column: str, key: str, n: int, seed: int = 0) -> DataFrame:

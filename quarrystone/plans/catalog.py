@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -15,6 +15,11 @@ LI = f"li AS (SELECT *, {ROW_ID} AS row_id FROM lineitem)"
 LN = f"""ln AS (SELECT {ROW_ID} AS row_id, l_orderkey, l_linenumber, l_partkey, l_suppkey,
   CASE WHEN {_M} = 4 THEN NULL ELSE l_quantity END AS l_quantity, CASE WHEN {_M} < 3 THEN NULL ELSE l_extendedprice END AS l_extendedprice,
   l_discount, l_tax, CASE WHEN {_M} = 5 THEN NULL ELSE l_returnflag END AS l_returnflag, l_linestatus FROM lineitem)"""
+#: Rows that share a key are told apart by a number, so that none is lost where a key has to be unique.
+_TIES = ["l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+_LU = f"(SELECT * EXCLUDE (row_id), row_id || '-' || row_number() OVER (PARTITION BY row_id ORDER BY {', '.join(_TIES)}) AS row_id FROM (SELECT *, {ROW_ID} AS row_id FROM lineitem))"
+LI1 = f"li AS (SELECT * FROM {_LU})"
+LN1 = LN.replace(f"{ROW_ID} AS row_id", "row_id").replace("FROM lineitem", f"FROM {_LU}")
 CAND = """cand AS (SELECT 'cand_a' AS model, * FROM li WHERE l_orderkey % 2 = 1
   UNION ALL SELECT 'cand_b' AS model, * FROM li WHERE l_orderkey % 2 = 1 AND NOT (l_returnflag = 'R' AND l_orderkey % 3 = 0))"""
 REAL = "rl AS (SELECT * FROM li WHERE l_orderkey % 2 = 0)"
@@ -38,8 +43,13 @@ def li(spark, d) -> DataFrame:
     return t(spark, d, "lineitem").withColumn("row_id", F.expr(ROW_ID))
 
 
-def ln(spark, d) -> DataFrame:
-    x = li(spark, d)
+def unique_li(spark, d) -> DataFrame:
+    place = F.row_number().over(W.partitionBy("row_id").orderBy(*_TIES))
+    return li(spark, d).withColumn("row_id", F.concat_ws("-", "row_id", place))
+
+
+def ln(spark, d, rows: DataFrame | None = None) -> DataFrame:
+    x = li(spark, d) if rows is None else rows
     m = F.expr(_M)
     return x.select("row_id", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.when(m != 4, F.col("l_quantity")).alias("l_quantity"), F.when(m >= 3, F.col("l_extendedprice")).alias("l_extendedprice"), "l_discount", "l_tax", F.when(m != 5, F.col("l_returnflag")).alias("l_returnflag"), "l_linestatus")
 

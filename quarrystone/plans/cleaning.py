@@ -113,6 +113,15 @@ def _(s, d):
     return c.decode_bits(p, ["b0", "b1", "b2"], list("abcdef"), "nearest_valid").select("p_partkey", "decoded", "invalid")
 
 
+@query("decode_diagnostics", """SELECT * FROM (SELECT 'brand' AS "column", count(*)::BIGINT AS n_rows, 20 AS n_categories, count(*) FILTER (p_size % 32 >= 20)::BIGINT AS n_invalid, round(avg((p_size % 32 >= 20)::INT), 6) AS invalid_rate, 'clip' AS policy FROM part
+UNION ALL SELECT 'kind', count(*)::BIGINT, 3, count(*) FILTER (p_partkey % 4 >= 3)::BIGINT, round(avg((p_partkey % 4 >= 3)::INT), 6), 'clip' FROM part) WHERE n_invalid > 0""")
+def _(s, d):
+    bit = lambda c, k: F.shiftright(F.col(c).cast("int"), k).bitwiseAND(1)
+    x = t(s, d, "part").select(*(bit("p_size", k).alias(f"b{k}") for k in range(5)), *(bit("p_partkey", k).alias(f"k{k}") for k in range(2)))
+    bits = {"brand": [f"b{k}" for k in range(5)], "kind": ["k0", "k1"], "whole": ["k0"]}
+    return c.decode_diagnostics(x, bits, {"brand": 20, "kind": 3, "whole": 2}).withColumn("invalid_rate", F.round("invalid_rate", 6))
+
+
 @query("standardize", f"WITH {LN}, m AS (SELECT avg(l_quantity) AS a, stddev_pop(l_quantity) AS z FROM ln) SELECT row_id, round((l_quantity - a) / z / 2, 6) AS q FROM ln, m")
 def _(s, d):
     return c.standardize(ln(s, d).select("row_id", F.col("l_quantity").alias("q")), ["q"]).select("row_id", F.round("q", 6).alias("q"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarrystone.operators import impute as im, split as sp
-from quarrystone.plans.catalog import CAND, LI, LN, REAL, cand, li, ln, query, real, t
+from quarrystone.plans.catalog import CAND, LI, LI1 as _LI1, LN, LN1 as _LN1, REAL, cand, li, ln, query, real, t, unique_li
 
 FEATURES = ["l_discount", "l_tax", "l_extendedprice", "l_quantity", "l_returnflag"]
 NUM, CAT = ["l_quantity", "l_extendedprice"], ["l_returnflag"]
@@ -24,11 +24,7 @@ SPLIT = f"""sx AS (SELECT *, {u('row_id', 42)} AS u FROM li), sp AS (SELECT *, C
 
 
 def rolled(s, d):
-    # equal rows may share a key; the first of them stands for all
-    return li(s, d).dropDuplicates(["row_id"])
-
-
-_LI1 = LI.replace("li AS (SELECT *", "li AS (SELECT DISTINCT ON (row_id) *")
+    return unique_li(s, d)
 
 
 @query("train_test_split", f"WITH {_LI1}, {SPLIT} SELECT row_id, split FROM sp")
@@ -57,12 +53,16 @@ def _(s, d):
     return sp.anti_rows(t(s, d, "orders").select("o_orderkey", "o_totalprice"), t(s, d, "lineitem").filter("l_quantity > 45").withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
 
 
-@query("bootstrap", f"""WITH p AS (SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS i, * FROM part), n AS (SELECT count(*) AS n FROM part)
-SELECT count(*)::BIGINT AS n_draws, count(DISTINCT draw)::BIGINT AS n_ids FROM (SELECT unnest(range(n)) AS draw FROM n)""")
+@query("bootstrap", f"""WITH p AS (SELECT row_number() OVER (ORDER BY {u('p_partkey::VARCHAR', 'rows')}, p_partkey) - 1 AS i, p_partkey, p_brand FROM part), n AS (SELECT count(*) AS n FROM part),
+dr AS (SELECT draw, floor({u('draw::VARCHAR', 3)} * n)::BIGINT AS i FROM (SELECT unnest(range(n)) AS draw, n FROM n)) SELECT draw, p_partkey, p_brand FROM dr JOIN p USING (i)""")
 def _(s, d):
     p = t(s, d, "part")
-    b = sp.bootstrap(p.select("p_partkey", "p_brand"), "p_partkey", p.count(), 3)
-    return b.agg(F.count("*").alias("n_draws"), F.count_distinct("draw").alias("n_ids"))
+    return sp.bootstrap(p.select("p_partkey", "p_brand"), "p_partkey", p.count(), 3).select("draw", "p_partkey", "p_brand")
+
+
+@query("number_rows", f"SELECT p_partkey, row_number() OVER (ORDER BY {u('p_partkey::VARCHAR', 'rows')}, p_partkey)::BIGINT - 1 AS row_no FROM part")
+def _(s, d):
+    return sp.number_rows(t(s, d, "part").select("p_partkey"), "p_partkey")
 
 
 @query("augment", f"WITH {LI}, {REAL}, {CAND} SELECT row_id, l_quantity FROM rl UNION ALL SELECT row_id, l_quantity FROM cand")
@@ -75,9 +75,6 @@ def _(s, d):
     return t(s, d, "orders").select("o_orderkey", sp.mask_count(F.col("o_orderkey") % 50, 0.25).alias("k"))
 
 
-_LN1 = LN.replace("ln AS (SELECT ", "ln AS (SELECT DISTINCT ON (row_id) ")
-
-
 def _mask_sql(mechanism: str, seed: int, frac: float = 0.2) -> str:
     parts = []
     for c in FEATURES:
@@ -93,7 +90,7 @@ def _mask_sql(mechanism: str, seed: int, frac: float = 0.2) -> str:
 
 
 def lnu(s, d):
-    return ln(s, d).dropDuplicates(["row_id"])
+    return ln(s, d, unique_li(s, d))
 
 
 def mask(s, d, mechanism="mcar", seed=5):
@@ -139,16 +136,25 @@ def _(s, d):
     return sp.mask_difference(mask(s, d), mask(s, d, seed=6))
 
 
-@query("proportional_resample", "SELECT * FROM (VALUES ('A', 50000::BIGINT), ('N', 30000), ('R', 20000)) AS v(l_returnflag, n)")
+def _resample_sql(want: str, seed: int) -> str:
+    """Rows of each class: all of them as often as they fit into what is wanted, and the smallest hashes for the rest."""
+    return f"""rk AS (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY {u('row_id', seed)}, row_id) AS r, count(*) OVER (PARTITION BY l_returnflag) AS n FROM li),
+wn AS (SELECT rk.*, {want} AS w FROM rk), rs AS (SELECT * FROM (SELECT *, unnest(range(w // n)) AS c FROM wn) UNION ALL SELECT *, -1 FROM wn WHERE r <= w % n)"""
+
+
+@query("proportional_resample", f"WITH {_LI1}, {_resample_sql("CASE l_returnflag WHEN 'A' THEN 50000 WHEN 'N' THEN 30000 ELSE 20000 END", 0)} SELECT row_id, l_returnflag, count(*)::BIGINT AS n FROM rs GROUP BY ALL")
 def _(s, d):
     r = sp.proportional_resample(rolled(s, d).select("row_id", "l_returnflag"), "l_returnflag", {"A": 0.5, "N": 0.3, "R": 0.2}, 100_000, "row_id")
-    return r.groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    return r.groupBy("row_id", "l_returnflag").agg(F.count("*").alias("n"))
+
 
+_NORMAL = f"sqrt(-2 * ln({u('row_id', 'l_quantity', 0, 'r')})) * cos({u('row_id', 'l_quantity', 0, 'a')} * 6.283185307179586)"
 
-@query("balanced_seed_sample", "SELECT * FROM (VALUES ('A', 1000::BIGINT), ('N', 1000), ('R', 1000)) AS v(l_returnflag, n)")
+
+@query("balanced_seed_sample", f"WITH {_LI1}, {_resample_sql('1000', 0)} SELECT row_id, l_returnflag, round(l_quantity + {_NORMAL} * 0.01 * (SELECT stddev_pop(l_quantity) FROM li), 6) AS l_quantity FROM rs")
 def _(s, d):
     r = sp.balanced_seed_sample(rolled(s, d).select("row_id", "l_returnflag", "l_quantity"), "l_returnflag", 3000, "row_id", ["l_quantity"])
-    return r.filter("l_quantity IS NOT NULL").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    return r.select("row_id", "l_returnflag", F.round("l_quantity", 6).alias("l_quantity"))
 
 
 @query("sample_column", f"SELECT p_retailprice FROM part ORDER BY {u('p_partkey::VARCHAR', 1)}, p_partkey LIMIT 500")
@@ -185,13 +191,13 @@ def _(s, d):
     return im.constant_shortcut(ln(s, d).select("row_id", F.when(F.col("l_quantity").isNotNull(), 7).alias("c"), "l_returnflag"), ["c", "l_returnflag"])
 
 
-@query("clamp_observed", f"WITH {LN} SELECT row_id, coalesce(l_quantity, -1) AS l_quantity FROM (SELECT DISTINCT ON (row_id) * FROM ln)")
+@query("clamp_observed", f"WITH {_LN1} SELECT row_id, coalesce(l_quantity, -1) AS l_quantity FROM ln")
 def _(s, d):
     x = lnu(s, d).select("row_id", "l_quantity")
     return im.clamp_observed(x, x.withColumn("l_quantity", F.lit(-1.0)), "row_id", ["l_quantity"])
 
 
-@query("average_draws", f"WITH {LN} SELECT row_id, round(coalesce(l_quantity, 0) + 2, 6) AS q FROM (SELECT DISTINCT ON (row_id) * FROM ln)")
+@query("average_draws", f"WITH {_LN1} SELECT row_id, round(coalesce(l_quantity, 0) + 2, 6) AS q FROM ln")
 def _(s, d):
     x = lnu(s, d).select("row_id", F.coalesce("l_quantity", F.lit(0.0)).alias("q"))
     draws = x.withColumn("q", F.explode(F.array(F.col("q") + 1, F.col("q") + 2, F.col("q") + 3)))
@@ -217,10 +223,13 @@ def _(s, d):
     return im.run_imputation(x, sp.split_by_threshold(x, "row_id", 0.6667, 42), "row_id", NUM, CAT, {"l_extendedprice": 2}).select("row_id", "l_quantity", "l_returnflag", "split")
 
 
-@query("validate_imputed", f"""WITH {_LN1}, {_FILLED}, b AS (SELECT min(oq) - 0.2 * (max(oq) - min(oq)) AS ql, max(oq) + 0.2 * (max(oq) - min(oq)) AS qh, min(oe) - 0.2 * (max(oe) - min(oe)) AS el, max(oe) + 0.2 * (max(oe) - min(oe)) AS eh FROM fl)
+_VALID = f"""WITH {_LN1}, {_FILLED}, b AS (SELECT min(oq) - 0.2 * (max(oq) - min(oq)) AS ql, max(oq) + 0.2 * (max(oq) - min(oq)) AS qh, min(oe) - 0.2 * (max(oe) - min(oe)) AS el, max(oe) + 0.2 * (max(oe) - min(oe)) AS eh FROM fl)
 SELECT *, n_imputed = n_valid AS all_valid FROM (SELECT 'l_quantity' AS "column", count(*)::BIGINT AS n_imputed, count(*) FILTER (l_quantity BETWEEN ql AND qh)::BIGINT AS n_valid FROM fl, b WHERE oq IS NULL
 UNION ALL SELECT 'l_extendedprice', count(*)::BIGINT, count(*) FILTER (l_extendedprice BETWEEN el AND eh)::BIGINT FROM fl, b WHERE oe IS NULL
-UNION ALL SELECT 'l_returnflag', count(*)::BIGINT, count(*) FILTER (l_returnflag IN (SELECT orf FROM fl))::BIGINT FROM fl WHERE orf IS NULL)""")
+UNION ALL SELECT 'l_returnflag', count(*)::BIGINT, count(*) FILTER (l_returnflag IN (SELECT orf FROM fl))::BIGINT FROM fl WHERE orf IS NULL)"""
+
+
+@query("validate_imputed", _VALID)
 def _(s, d):
     return im.validate_imputed(lnu(s, d).select("row_id", *NUM, *CAT), filled(s, d), "row_id", NUM, CAT)
 
@@ -233,9 +242,13 @@ def _(s, d):
     return r.select("column", "n_imputed", *(F.round(c, 4).alias(c) for c in ("obs_mean", "obs_std", "imp_mean")))
 
 
-@query("validation_pass_rate", """SELECT 'l_quantity' AS "column", 1.0::DOUBLE AS pass_rate UNION ALL SELECT 'l_extendedprice', 1.0 UNION ALL SELECT 'l_returnflag', 1.0""")
+@query("validation_pass_rate", f"""WITH {_LN1}, b AS (SELECT min(l_quantity) - 0.2 * (max(l_quantity) - min(l_quantity)) AS lo, max(l_quantity) + 0.2 * (max(l_quantity) - min(l_quantity)) AS hi FROM ln)
+SELECT 'l_quantity' AS "column", round(avg((l_linenumber * 20.0 BETWEEN lo AND hi)::INT), 6) AS pass_rate FROM ln, b WHERE l_quantity IS NULL UNION ALL SELECT 'l_returnflag', round(avg((l_linenumber % 2 = 0)::INT), 6) FROM ln WHERE l_returnflag IS NULL""")
 def _(s, d):
-    return im.validation_pass_rate(im.validate_imputed(lnu(s, d).select("row_id", *NUM, *CAT), filled(s, d), "row_id", NUM, CAT))
+    x = lnu(s, d)
+    fills = {"l_quantity": F.coalesce("l_quantity", F.col("l_linenumber") * 20.0), "l_returnflag": F.coalesce("l_returnflag", F.when(F.col("l_linenumber") % 2 == 0, "A").otherwise("X"))}
+    report = im.validate_imputed(x, x.withColumns(fills), "row_id", ["l_quantity"], ["l_returnflag"])
+    return im.validation_pass_rate(report).withColumn("pass_rate", F.round("pass_rate", 6))
 
 
 # scores: the hidden cells of ln's complete columns, filled with means and modes
@@ -263,13 +276,13 @@ def _score_frames(s, d):
 
 @query("score_numeric", f"""WITH {_LN1}, {_CELLS} SELECT "column", n_masked, round(mae, 6) AS mae, round(rmse, 6) AS rmse FROM num""")
 def _(s, d):
-    r = im.score_numeric(im.masked_cells(*_score_frames(s, d), "row_id", _SCN))
+    r = im.score_numeric(im.masked_rows(*_score_frames(s, d), "row_id", _SCN), _SCN)
     return r.select("column", "n_masked", F.round("mae", 6).alias("mae"), F.round("rmse", 6).alias("rmse"))
 
 
 @query("score_categorical", f"""WITH {_LN1}, {_CELLS} SELECT "column", n_masked, round(accuracy, 6) AS accuracy, round(balanced_accuracy, 6) AS balanced_accuracy, round(macro_f1, 6) AS macro_f1 FROM cat""")
 def _(s, d):
-    r = im.score_categorical(im.masked_cells(*_score_frames(s, d), "row_id", _SCC))
+    r = im.score_categorical(im.masked_rows(*_score_frames(s, d), "row_id", _SCC), _SCC)
     return r.select("column", "n_masked", *(F.round(c, 6).alias(c) for c in ("accuracy", "balanced_accuracy", "macro_f1")))
 
 
