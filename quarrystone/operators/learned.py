@@ -10,8 +10,9 @@ from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembl
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from quarrystone.functions.session import checkpointed
 from quarrystone.operators.clean import is_numeric
-from quarrystone.operators.split import unit_hash
+from quarrystone.operators.split import normal_hash, unit_hash
 
 
 def _features(df: DataFrame, columns: list[str]) -> Pipeline:
@@ -30,10 +31,10 @@ def learner(name: str, n_features: int, n_classes: int = 2):
         return RandomForestClassifier(labelCol="label", numTrees=20, maxDepth=5, seed=7)
     if name == "svm":
         svm = LinearSVC(labelCol="label", maxIter=20)
-        return svm if n_classes == 2 else OneVsRest(classifier=svm, labelCol="label")
+        return svm if n_classes == 2 else OneVsRest(classifier=svm, labelCol="label", parallelism=4)
     if name == "xgb":  # boosted trees are for two classes; more go one against the rest
         gbt = GBTClassifier(labelCol="label", maxIter=10, maxDepth=4, seed=7)
-        return gbt if n_classes == 2 else OneVsRest(classifier=gbt, labelCol="label")
+        return gbt if n_classes == 2 else OneVsRest(classifier=gbt, labelCol="label", parallelism=4)
     raise ValueError(f"unknown learner {name!r}")
 
 
@@ -59,22 +60,22 @@ def f1_difference(real: DataFrame, syn: DataFrame, target: str, columns: list[st
     candidates' other folds; hits are counted over all folds. Micro F1 of single labels is the share of hits.
     """
     index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(real.select(target).unionByName(syn.select(target)))
-    rows = []
     real, syn = (hash_folds(index.transform(x), key, folds).select(*columns, "label", "_fold").persist() for x in (real, syn))
-    for name in names:
-        hits, n = [0, 0], 0
-        for i in range(folds):
-            test = real.filter(F.col("_fold") == i)
-            for side, source in enumerate((real, syn)):
-                train = source.filter(F.col("_fold") != i)
-                prep = _features(train, columns).fit(train)
-                got = learner(name, len(columns), len(index.labels)).fit(prep.transform(train)).transform(prep.transform(test))
-                r = got.agg(F.count_if(F.expr("prediction = label")).alias("hits"), F.count("*").alias("n")).first()
-                hits[side] += r["hits"]
-            n += r["n"]
-        a, b = (h / max(n, 1) for h in hits)
-        rows.append((name, round(a, 6), round(b, 6), round(a - b, 6)))
+    hits, n = {name: [0, 0] for name in names}, 0
+    for i in range(folds):
+        test = real.filter(F.col("_fold") == i)
+        n += test.count()
+        for side, source in enumerate((real, syn)):
+            train = source.filter(F.col("_fold") != i)
+            prep = _features(train, columns).fit(train)  # once for all learners
+            known, asked = (prep.transform(x).select("label", "features").persist() for x in (train, test))
+            for name in names:
+                got = learner(name, len(columns), len(index.labels)).fit(known).transform(asked)
+                hits[name][side] += got.agg(F.count_if(F.expr("prediction = label")).alias("hits")).first()["hits"]
+            known.unpersist(), asked.unpersist()
     real.unpersist(), syn.unpersist()
+    share = lambda h: h / max(n, 1)
+    rows = [(name, round(share(a), 6), round(share(b), 6), round(share(a) - share(b), 6)) for name, (a, b) in hits.items()]
     return real.sparkSession.createDataFrame(rows, "learner string, f1_real double, f1_syn double, value double")
 
 
@@ -144,27 +145,41 @@ def pca_difference(real: DataFrame, syn: DataFrame, columns: list[str], k: int =
     return real.sparkSession.createDataFrame([(round(float(gap), 6), round(float(cos), 6))], "eigenvalue_gap double, cosine double")
 
 
+def rank_correlation(a: list[float], b: list[float]) -> float:
+    """Spearman's correlation with mean ranks for ties; 1 if both have no order, 0 if one of them has none."""
+    import numpy as np
+
+    def ranks(v):
+        v = np.asarray(v, float)
+        return (v[:, None] > v[None, :]).sum(axis=1) + ((v[:, None] == v[None, :]).sum(axis=1) - 1) / 2
+
+    x, y = ranks(a), ranks(b)
+    x, y = x - x.mean(), y - y.mean()
+    size = float(np.sqrt((x * x).sum() * (y * y).sum()))
+    return float((x * y).sum() / size) if size else float((x == y).all())
+
+
 def feature_rank_distance(real: DataFrame, syn: DataFrame, target: str, columns: list[str]) -> DataFrame:
     """Rank correlation of feature importances fitted on real and on candidate rows."""
-    def ranks(df):
+    def importances(df):
         index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(df)
         x = index.transform(_features(df, columns).fit(df).transform(df))
-        v = learner("forest", len(columns)).fit(x).featureImportances.toArray()
-        return [sorted(v).index(i) for i in v]
+        return learner("forest", len(columns)).fit(x).featureImportances.toArray()
 
-    a, b = ranks(real), ranks(syn)
-    n = len(columns)
-    rho = 1 - 6 * sum((x - y) ** 2 for x, y in zip(a, b)) / (n * (n * n - 1))
-    return real.sparkSession.createDataFrame([(round(float(rho), 6),)], "value double")
+    return real.sparkSession.createDataFrame([(round(rank_correlation(importances(real), importances(syn)), 6),)], "value double")
 
 
 def gmm_generate(df: DataFrame, columns: list[str], n: int, k: int = 3, seed: int = 7) -> DataFrame:
-    """n rows from a Gaussian mixture: a component by cumulative weight, then its mean and Cholesky factor."""
+    """n rows from a Gaussian mixture: a component by cumulative weight, then its mean and Cholesky factor.
+
+    Numbers are hashes of the row's id and the seed, so a row doesn't depend on how many tasks make it.
+    """
     import numpy as np
 
-    model = GaussianMixture(k=k, seed=seed, featuresCol="v").fit(VectorAssembler(inputCols=columns, outputCol="v", handleInvalid="skip").transform(df))
+    model = GaussianMixture(k=k, seed=seed, featuresCol="_gmm").fit(VectorAssembler(inputCols=columns, outputCol="_gmm", handleInvalid="skip").transform(df.select(*columns)))
     gaussians = model.gaussiansDF.collect()  # k rows
-    rows = df.sparkSession.range(n).withColumn("_u", F.rand(seed)).withColumns({f"_z{i}": F.randn(seed + 1 + i) for i in range(len(columns))})
+    key = F.col("id").cast("string")
+    rows = df.sparkSession.range(n).withColumn("_u", unit_hash(key, "component", seed)).withColumns({f"_z{i}": normal_hash(key, i, seed) for i in range(len(columns))})
     cuts = np.cumsum(model.weights)
     out = []
     for i, c in enumerate(columns):
@@ -177,6 +192,58 @@ def gmm_generate(df: DataFrame, columns: list[str], n: int, k: int = 3, seed: in
     return rows.select("id", *out)
 
 
+def fold_predictions(real: DataFrame, train: DataFrame, target: str, positive, columns: list[str], key: str, name: str = "linear", folds: int = 5) -> DataFrame:
+    """Real rows with ``hit`` (1 where the target is predicted positive) and ``truth``: each hash fold by a model of ``train``'s other folds."""
+    label = lambda df: df.withColumn("label", F.coalesce((F.col(target) == positive).cast("double"), F.lit(0.0)))
+    real, train = hash_folds(label(real), key, folds), hash_folds(label(train), key, folds)
+    out = None
+    for i in range(folds):
+        known = train.filter(F.col("_fold") != i)
+        prep = _features(known, columns).fit(known)
+        got = learner(name, len(columns)).fit(prep.transform(known)).transform(prep.transform(real.filter(F.col("_fold") == i)))
+        part = got.withColumns({"hit": F.col("prediction"), "truth": F.col("label")}).select(*real.columns, "hit", "truth").drop("label", "_fold")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def fairness_gaps(predicted: DataFrame, group: str, hit: str = "hit", truth: str = "truth") -> DataFrame:
+    """One row: gaps over a group column's values of predicted-positive rates, of true and false positive rates (the larger), and of true positive rates."""
+    h = F.col(hit).cast("double")
+    g = predicted.groupBy(group).agg(F.avg(h).alias("pr"), F.avg(F.when(F.col(truth) == 1, h)).alias("tpr"), F.avg(F.when(F.col(truth) == 0, h)).alias("fpr"))
+    gap = lambda c: F.max(c) - F.min(c)
+    return g.agg(gap("pr").alias("statistical_parity"), F.greatest(gap("tpr"), gap("fpr")).alias("equalized_odds"), gap("tpr").alias("equal_opportunity"))
+
+
+def fairness_metrics(real: DataFrame, syn: DataFrame, target: str, positive, protected: list[str], columns: list[str], key: str, name: str = "linear", folds: int = 5) -> DataFrame:
+    """(metric, value): gaps of candidate-trained models on real rows, for each protected column (sp_, eqo_, eo_) and the largest of each kind."""
+    got = checkpointed(fold_predictions(real, syn, target, positive, columns, key, name, folds))
+    kinds, rows = {"statistical_parity": "sp", "equalized_odds": "eqo", "equal_opportunity": "eo"}, []
+    for g in protected:
+        one = fairness_gaps(got, g).first()
+        rows += [(f"{short}_{target}_{g}", kind, one[kind]) for kind, short in kinds.items()]
+    worst = [(kind, kind, max((v for _, k, v in rows if k == kind and v is not None), default=None)) for kind in kinds]
+    return real.sparkSession.createDataFrame([(m, None if v is None else round(v, 6)) for m, _, v in worst + rows], "metric string, value double")
+
+
+def binary_pass(train: DataFrame, holdout: DataFrame, candidates: DataFrame, target: str, positive: list, negative: list, protected: list[str], columns: list[str], key: str, name: str = "linear") -> DataFrame:
+    """(model, framework, type, metric, value) of the metrics that need two classes, on copies whose target is collapsed to 1 and 0.
+
+    The inputs are left as they are; ``combine.merge_binary_pass`` brings the rows beside the others.
+    """
+    from quarrystone.operators.clean import binary_target
+    from quarrystone.operators.combine import classify_metric
+
+    two = lambda df: binary_target(df, target, positive, negative)
+    train, holdout, rows = two(train), two(holdout), []
+    for model in sorted(r[0] for r in candidates.select("model").distinct().collect()):
+        syn = two(candidates.filter(F.col("model") == model).drop("model"))
+        rows += [(model, r["metric"], r["value"]) for r in fairness_metrics(holdout, syn, target, 1, protected, columns, key, name).collect()]
+        rows.append((model, "auroc_diff", auroc_difference(train, holdout, syn, target, 1, columns).first()["value"]))
+    framework, kind = classify_metric(F.col("metric"))
+    found = train.sparkSession.createDataFrame(rows, "model string, metric string, value double")
+    return found.select("model", framework.alias("framework"), kind.alias("type"), "metric", "value")
+
+
 def relabel_by_classifier(syn: DataFrame, real: DataFrame, target: str, columns: list[str], name: str = "forest") -> DataFrame:
     """Candidates with the class that a model fitted on real rows gives them."""
     index = StringIndexer(inputCol=target, outputCol="label", stringOrderType="alphabetAsc").fit(real)
@@ -236,7 +303,7 @@ def domias(train: DataFrame, holdout: DataFrame, syn: DataFrame, columns: list[s
     return train.sparkSession.createDataFrame([(round(auc, 6),)], "auc double")
 
 
-def auroc_difference(train: DataFrame, holdout: DataFrame, syn: DataFrame, target: str, positive: str, columns: list[str]) -> DataFrame:
+def auroc_difference(train: DataFrame, holdout: DataFrame, syn: DataFrame, target: str, positive, columns: list[str]) -> DataFrame:
     """AUROC on held-out rows of the model fitted on real rows less that of the one fitted on candidates."""
     label = lambda df: df.withColumn("label", (F.col(target) == positive).cast("double"))
     prep = _features(train, columns).fit(train)

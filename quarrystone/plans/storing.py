@@ -6,7 +6,8 @@ import functools
 
 from pyspark.sql import functions as F
 
-from quarrystone.operators import learned as le, provenance as pr, split as sp
+from quarrystone.functions.numeric import base_model, json_array, slug
+from quarrystone.operators import combine as co, evaluate as ev, generate as ge, impute as im, learned as le, provenance as pr, split as sp
 from quarrystone.plans.catalog import LI, li, query, real, cand, t
 from quarrystone.plans.masking import _LN1, _mask_sql, lnu, mask, u
 from quarrystone.plans.reports import SECTIONS, sections
@@ -55,14 +56,40 @@ def _(s, d):
     return s.read.parquet(path).groupBy("model").agg(F.count("*").alias("n"))
 
 
-@query("load_imputed", "SELECT count(*)::BIGINT AS n, 1::BIGINT AS n_different FROM part")
+@query("load_imputed", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'train' ELSE 'test' END AS split, 'seed' AS differing FROM part")
 def _(s, d):
     path, p = so.shared_folder(s), t(s, d, "part").withColumn("split", F.when(F.col("p_partkey") % 2 == 0, "train").otherwise("test"))
     so.write_imputed(p, path, {"seed": 1, "method": "mean"})
     good, _ = so.load_imputed(s, path, {"seed": 1, "method": "mean"})
     bad, diff = so.load_imputed(s, path, {"seed": 2, "method": "mean"})
-    assert bad is None
-    return good.agg(F.count("*").alias("n")).crossJoin(diff.agg(F.count("*").alias("n_different")))
+    if bad is not None:
+        raise AssertionError("splits of another seed were taken")
+    return good.select("p_partkey", "split").crossJoin(diff.select(F.col("field").alias("differing")))
+
+
+@query("load_variable_schema", """SELECT p_brand AS "column", CASE WHEN max(p_size) % 3 = 0 THEN 'ordinal' WHEN max(p_size) % 3 = 1 THEN 'nominal' ELSE 'continuous' END AS kind,
+CASE WHEN max(p_size) % 3 = 0 THEN array_to_string(list(DISTINCT p_type ORDER BY p_type), '|') END AS levels FROM part WHERE p_brand <> (SELECT min(p_brand) FROM part) GROUP BY p_brand""")
+def _(s, d):
+    path, p = so.shared_folder(s), t(s, d, "part")
+    kind = F.when(F.max("p_size") % 3 == 0, "ordinal").when(F.max("p_size") % 3 == 1, "nominal").otherwise("continuous")
+    g = p.groupBy(F.col("p_brand").alias("column")).agg(kind.alias("kind"), F.to_json(F.sort_array(F.collect_set("p_type"))).alias("ordinal_order"))
+    g.withColumn("ordinal_order", F.when(F.col("kind") == "ordinal", F.col("ordinal_order"))).write.option("escape", '"').csv(path, header=True)
+    names = sorted(r[0] for r in p.select("p_brand").distinct().collect())  # the columns of a data set
+    out = so.load_variable_schema(s, path, names, target=names[0])
+    return out.select("column", "kind", F.array_join("ordinal_order", "|").alias("levels"))
+
+
+@query("slug", "SELECT p_partkey, regexp_replace(p_name || '/' || p_type, '[^A-Za-z0-9._-]+', '_', 'g') || '-' || substr(sha256(p_name || '/' || p_type), 1, 12) AS slug, regexp_replace(p_brand || '_hpo', '_hpo$', '') AS base FROM part")
+def _(s, d):
+    name = F.concat("p_name", F.lit("/"), "p_type")
+    return t(s, d, "part").select("p_partkey", slug(name).alias("slug"), base_model(F.concat("p_brand", F.lit("_hpo"))).alias("base"))
+
+
+@query("json_array", "SELECT p_partkey, CASE WHEN p_size % 4 > 0 THEN p_brand || '|' || p_type END AS levels FROM part")
+def _(s, d):
+    good = F.to_json(F.array("p_brand", "p_type"))
+    text = F.when(F.col("p_size") % 4 > 0, good).when(F.col("p_size") % 8 == 0, F.to_json(F.array("p_brand", "p_brand"))).otherwise("[]")
+    return t(s, d, "part").select("p_partkey", F.array_join(json_array(text), "|").alias("levels"))
 
 
 @query("write_mask", f"WITH {_LN1} {_mask_sql('mcar', 5)}")
@@ -87,9 +114,10 @@ def _(s, d):
     return functools.reduce(lambda a, b: a.unionByName(b), parts)
 
 
-@query("dataset_manifest")
+@query("dataset_manifest", f"""WITH {LI}, x AS (SELECT CASE WHEN {u('row_id', 42)} < 0.6667 THEN 'train' ELSE 'test' END AS split FROM li)
+SELECT count(*)::BIGINT AS n_rows, count(*) FILTER (split = 'train')::BIGINT AS n_train, count(*) FILTER (split = 'test')::BIGINT AS n_test, '{{"target": ["l_returnflag"]}}' AS roles, 42 AS seed FROM x""")
 def _(s, d):
-    return so.dataset_manifest(sp.split_by_threshold(li(s, d), "row_id", 0.6667, 42), {"target": ["l_returnflag"]}, 42)
+    return so.dataset_manifest(sp.split_by_threshold(li(s, d), "row_id", 0.6667, 42), {"target": ["l_returnflag"]}, 42).drop("digest")
 
 
 @query("undeclared_columns", "SELECT DISTINCT p_brand AS \"column\" FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size > 49)")
@@ -118,10 +146,12 @@ def _(s, d):
     return pr.changed_files(p.select("path", "sha256"), now)
 
 
-@query("verify_provenance", "SELECT false AS ok, count(*)::BIGINT AS n_different FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand LIKE '%1')")
+@query("verify_provenance", "SELECT 'same' AS case, true AS ok, 0::BIGINT AS n_different FROM (SELECT 1 FROM part LIMIT 1) UNION ALL SELECT 'changed', count(*) = 0, count(*)::BIGINT FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand LIKE '%1') UNION ALL SELECT 'lacking', count(*) = 0, count(*)::BIGINT FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand LIKE '%2')")
 def _(s, d):
     a = t(s, d, "part").groupBy(F.col("p_brand").alias("field")).agg(F.count("*").alias("value"))
-    return pr.verify_provenance(a, a.withColumn("value", F.col("value") + F.when(F.col("field").endswith("1"), 1).otherwise(0)))
+    cases = {"same": a, "changed": a.withColumn("value", F.col("value") + F.when(F.col("field").endswith("1"), 1).otherwise(0)), "lacking": a.filter("field NOT LIKE '%2'")}
+    parts = [pr.verify_provenance(a, b).select(F.lit(k).alias("case"), "ok", "n_different") for k, b in cases.items()]
+    return functools.reduce(lambda x, y: x.unionByName(y), parts)
 
 
 @query("run_registry", "SELECT event_type AS dataset, count(*)::BIGINT AS n FROM events GROUP BY 1")
@@ -190,14 +220,65 @@ def _(s, d):
     return le.gmm_generate(x, _COLS, x.count())
 
 
-@query("model_fill")
+@query("bayes_net_generate")
+def _(s, d):
+    x = li(s, d)
+    return ge.bayes_net_generate(x, [*_COLS, "l_returnflag", "l_linestatus"], x.count())
+
+
+@query("generate_all")
 def _(s, d):
-    from quarrystone.operators import impute as im
+    path, x = so.shared_folder(s), real(s, d).select("row_id", "l_returnflag", *_COLS)
+    specs = [{"name": "mixture", "kind": "mixture", "params": {"k": 2}, "tuned": {"k": 4}}, {"name": "net", "kind": "bayes_net", "source": "masked"}, {"name": "copy", "kind": "bootstrap"}, {"name": "odd", "kind": "unheard"}]
+    log = ge.generate_all({"raw": x, "masked": x.withColumn("l_tax", F.when(F.col("l_tax") > 0, F.col("l_tax")))}, specs, _COLS, x.count(), "row_id", path)
+    sizes = s.read.parquet(path).groupBy("model").agg(F.count("*").alias("n"))
+    return log.join(sizes, "model", "left").select("model", "state", "n")
 
+
+def _config(**more):
+    return ev.Config("row_id", ["l_quantity", "l_discount"], ["l_returnflag", "l_linestatus"], ["l_returnflag", "l_linestatus"], "l_quantity", **more)
+
+
+@query("evaluate")
+def _(s, d):
+    names = ["jensenshannon_dist", "ks_test", "wasserstein_dist", "mi_diff", "corr_diff", "k-anonymization", "k-map", "distinct l-diversity", "hit_rate"]
+    return ev.evaluate(real(s, d), cand(s, d), _config(metrics=names))["combined"]
+
+
+@query("candidate_score")
+def _(s, d):
+    e = t(s, d, "embeddings").select(F.col("vec_id").cast("string").alias("row_id"), "vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(8)), F.col("label").cast("string").alias("kind"))
+    syn = e.filter("vec_id % 2 = 1").withColumn("model", F.lit("odd")).unionByName(e.filter("vec_id % 4 = 0").withColumn("model", F.lit("copies")))
+    return ev.candidate_score(e.filter("vec_id % 2 = 0"), syn, ev.Config("row_id", [f"x{i}" for i in range(8)], ["kind"]))
+
+
+@query("fairness_metrics")
+def _(s, d):
+    r, c = _sides(s, d)
+    return le.fairness_metrics(r, c, "l_linestatus", "F", ["l_returnflag"], ["l_quantity", "l_extendedprice"], "row_id")
+
+
+@query("binary_pass")
+def _(s, d):
+    train, rest, c = _halves(s, d)
+    more = le.binary_pass(train, rest, c.withColumn("model", F.lit("cand_b")), "l_returnflag", ["A", "R"], ["N"], ["l_linestatus"], ["l_quantity", "l_discount"], "row_id")
+    main = t(s, d, "lineitem").groupBy(F.lit("cand_b").alias("model")).agg(F.avg("l_tax").alias("value")).select("model", F.lit("family2").alias("framework"), F.lit("utility").alias("type"), F.lit("auroc_diff").alias("metric"), "value")
+    return co.merge_binary_pass(main, more)
+
+
+@query("model_fill")
+def _(s, d):
     x = lnu(s, d).select("row_id", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
     return im.impute(x, "row_id", ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"], "model", refine=["l_extendedprice", "l_returnflag"])
 
 
+@query("polish")
+def _(s, d):
+    x = lnu(s, d).select("row_id", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
+    num, cat = ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"]
+    return im.polish(x, im.impute(x, "row_id", num, cat), "row_id", num, cat, ["l_quantity", "l_returnflag"])
+
+
 def _halves(s, d):
     r, c = _sides(s, d)
     r = sp.split_by_threshold(r, "row_id", 0.5, 1)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
-import tempfile
 import uuid
+from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from quarrystone.functions.numeric import json_array
+from quarrystone.functions.session import shared_base
 from quarrystone.operators.provenance import fingerprint
 from quarrystone.operators.split import mask_difference
 
@@ -16,9 +18,8 @@ KINDS = ("nominal", "ordinal", "continuous")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that all executors see: below spark.checkpoint.dir, or a temporary one where that's unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    return f"{base}/{uuid.uuid4().hex}"
+    """A new folder that all executors see: below spark.checkpoint.dir, or in local mode a temporary one where that's unset."""
+    return f"{shared_base(spark)}/{uuid.uuid4().hex}"
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -42,7 +43,7 @@ def bind_feature_target(features: DataFrame, targets: DataFrame, key: str) -> Da
 
 def load_variable_schema(spark: SparkSession, path: str, columns: list[str], target: str | None = None) -> DataFrame:
     """(column, kind, ordinal_order array) of a CSV; all faults are raised together."""
-    raw = spark.read.csv(path, header=True, inferSchema=False)
+    raw = spark.read.csv(path, header=True, inferSchema=False, escape='"')
     lacking = [c for c in ("column", "kind", "ordinal_order") if c not in raw.columns]
     if lacking:
         raise ValueError(f"schema lacks columns {lacking}")
@@ -72,14 +73,24 @@ def write_splits(df: DataFrame, path: str) -> None:
     df.write.partitionBy("split").parquet(path)
 
 
-def write_candidate(df: DataFrame, path: str, model: str, force: bool = False) -> bool:
-    """Write a candidate under its model's folder; an existing one stays unless forced. True if written."""
+def _exists(spark: SparkSession, folder: str) -> bool:
+    """Is there a table in the folder?"""
+    try:
+        spark.read.parquet(folder)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
+
+
+def write_candidate(df: DataFrame | Callable[[], DataFrame], path: str, model: str, force: bool = False) -> bool:
+    """Write a candidate under its model's folder; an existing one stays unless forced, and then ``df``, if a function, isn't called. True if written."""
     folder = f"{path}/model={model}"
-    spark = df.sparkSession
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop) and not force:
+    spark = SparkSession.active()
+    if not force and _exists(spark, folder):
         return False
-    df.write.mode("overwrite").parquet(folder)
+    (df() if callable(df) else df).write.mode("overwrite").parquet(folder)
     return True
 
 
