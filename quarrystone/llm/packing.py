@@ -8,8 +8,8 @@ fits with; a pair that fills the sequence, or that no two items could replace; a
 triple likewise), and best-fit decreasing places the rest, whole runs of equal pieces
 at a time. The plan says which ranks of each length go to which sequences; its size is
 bounded by the capacity, not by the data. Pieces find their rank by a salted row
-number: each length has a bucket for every BUCKET_PIECES of its pieces, each numbered
-alone, then shifted by bucket counts.
+number: each length has buckets of its own, so many that all lengths together have
+BUCKETS at most (and one each), each numbered alone, then shifted by bucket counts.
 
 Defined results: null text is an empty document, whose piece is the end id alone.
 Repeated rows are documents of their own; ties between equal lengths go by doc_id.
@@ -30,7 +30,8 @@ from quarrystone.llm._base import checkpointed, table
 from quarrystone.llm.tokens import encoder
 
 CAPACITY, END_ID = 4096, 1
-BUCKET_PIECES = 200_000
+#: Buckets that ranks are taken in, beside one for each length; none is made for fewer pieces than MIN_BUCKET.
+BUCKETS, MIN_BUCKET = 1 << 18, 500
 
 
 def pieces(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -196,10 +197,11 @@ def pack_histogram(counts: dict[int, int], capacity: int = CAPACITY) -> dict[str
     return plan
 
 
-def place(df: DataFrame, capacity: int = CAPACITY, bucket_pieces: int = BUCKET_PIECES) -> DataFrame:
+def place(df: DataFrame, capacity: int = CAPACITY, bucket_pieces: int | None = None) -> DataFrame:
     """Add sequence_id and offset to pieces (doc_id, piece, length, ids_crc32 and maybe more, with lineage cut)."""
     sizes = df.groupBy("length").agg(F.count("*").alias("n")).collect()  # at most `capacity` rows
     histogram = {r["length"]: r["n"] for r in sizes}
+    bucket_pieces = bucket_pieces or max(MIN_BUCKET, -(-sum(histogram.values()) // BUCKETS))
     buckets = df.sparkSession.createDataFrame([(n, -(-m // bucket_pieces)) for n, m in histogram.items()], "length bigint, salts bigint")
     salted = df.join(F.broadcast(buckets), "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.col("salts")).cast("int")).drop("salts")
     counts = checkpointed(salted.groupBy("length", "salt").agg(F.count("*").alias("n")))
