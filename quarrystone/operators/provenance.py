@@ -13,9 +13,34 @@ def fingerprint(df: DataFrame) -> DataFrame:
     return sums.select("n_rows", F.sha2(F.concat_ws("|", F.lit(schema), "n_rows", F.col("s").cast("string"), "x"), 256).alias("digest"))
 
 
+#: Files up to this size are read as one value; larger ones as a stream.
+WHOLE_BYTES = 64 << 20
+
+
 def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """path, bytes and sha256 of files; a file is read by one task."""
-    return spark.read.format("binaryFile").load(path).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    """path, bytes and sha256 of files, empty ones left out. A file is read by one task; one over WHOLE_BYTES piece by piece, where Arrow knows its file system."""
+    import hashlib
+
+    import pyarrow as pa
+    from pyarrow import fs
+
+    files = spark.read.format("binaryFile").load(path)
+    whole = files.filter(F.col("length") <= WHOLE_BYTES).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+
+    def streamed(batches):
+        for b in batches:
+            out = []
+            for name in b.column("path").to_pylist():
+                system, at = fs.FileSystem.from_uri(name.replace("file:/", "file:///", 1) if name.startswith("file:/") and not name.startswith("file://") else name)
+                h = hashlib.sha256()
+                with system.open_input_stream(at, compression=None) as f:
+                    while piece := f.read(1 << 20):
+                        h.update(piece)
+                out.append(h.hexdigest())
+            yield pa.RecordBatch.from_arrays([b.column("path"), b.column("bytes"), pa.array(out, pa.string())], names=["path", "bytes", "sha256"])
+
+    large = files.filter(F.col("length") > WHOLE_BYTES).select("path", F.col("length").alias("bytes"))
+    return whole.unionByName(large.mapInArrow(streamed, "path string, bytes bigint, sha256 string"))
 
 
 def changed_files(recorded: DataFrame, now: DataFrame) -> DataFrame:

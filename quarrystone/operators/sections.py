@@ -56,18 +56,22 @@ def _first_match(line: Column, patterns: list[tuple[int, str]]):
 
 
 _STARS = {3: r"\*\*\*", 2: r"\*\*", 1: r"\*"}
+# The closing markers are spelled out, one pattern for each count, as back-references aren't known to every engine.
 INLINE = [(n, rf"^{s}\s*(.*?):\s*{s}\s*(.+)$") for n, s in _STARS.items()] + [(n, rf"^{s}\s*(.*?)\s*{s}:\s*(.+)$") for n, s in _STARS.items()]
-HASH = [(n, rf"^{'#' * n}\s*(.*)") for n in (6, 5, 4, 3, 2, 1)]
+#: One to six hash signs; what comes after the sixth belongs to the label.
+HASH = r"^(#{1,6})\s*(.*)"
 ASTERISK = [(n, rf"^{s}\s*(.*?)\s*{s}$") for n, s in _STARS.items()]
 
 
 def classify_lines(lines: DataFrame, max_words: int = MAX_HEADER_WORDS) -> DataFrame:
     """Add kind (inline, hash, asterisk, content), marker, marker_count, label, inline_text, case, signature."""
     line = F.col("line")
-    found = {k: _first_match(line, p) for k, p in (("inline", INLINE), ("hash", HASH), ("asterisk", ASTERISK))}
+    found = {"inline": _first_match(line, INLINE), "asterisk": _first_match(line, ASTERISK)}
+    hashes = line.rlike(HASH)
+    found["hash"] = (F.when(hashes, F.length(F.regexp_extract(line, HASH, 1))), F.when(hashes, F.trim(F.regexp_extract(line, HASH, 2))), F.lit(None).cast("string"))
     df = lines.withColumns({f"_{k}_{x}": v for k, m in found.items() for x, v in zip("nlr", m)})
     kind = F.lit("content")
-    for k in ("asterisk", "hash", "inline"):
+    for k in ("asterisk", "hash", "inline"):  # the last one that fits wins
         kind = F.when(F.col(f"_{k}_n").isNotNull() & (word_count(F.col(f"_{k}_l")) <= max_words), k).otherwise(kind)
     df = df.withColumn("kind", kind)
     pick = lambda x: F.coalesce(*(F.when(F.col("kind") == k, F.col(f"_{k}_{x}")) for k in found))
@@ -181,12 +185,30 @@ def parse_sections(df: DataFrame, content: str = "content", id_col: str | None =
     return rows.select("id", *metadata, "start_line", "level", "length", "parents", "parent_types", "content")
 
 
-def has_more_siblings(tokens: DataFrame) -> DataFrame:
+def later_siblings(levels: list[int]) -> list[bool]:
     """For each header: is there a later one of its level before a shallower one?"""
-    later = W.partitionBy("id").orderBy("start_line").rowsBetween(1, W.unboundedFollowing)
+    out, waiting = [False] * len(levels), []  # headers without a successor at their level or above, levels rising
+    for i, level in enumerate(levels):
+        while waiting and levels[waiting[-1]] >= level:
+            j = waiting.pop()
+            out[j] = levels[j] == level
+        waiting.append(i)
+    return out
+
+
+def has_more_siblings(tokens: DataFrame) -> DataFrame:
+    """The headers with ``more``: is there a later one of its level before a shallower one? One pass over each document."""
     heads = tokens.filter("is_header")
-    nexts = F.filter(F.collect_list(F.struct("start_line", "level")).over(later), lambda x: x["level"] <= F.col("level"))
-    return heads.withColumn("more", F.coalesce(F.get(nexts, F.lit(0))["level"] == F.col("level"), F.lit(False)))
+    marked = heads.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start_line", "level"))).alias("h"))
+
+    def run(batches):
+        for b in batches:
+            for i, h in zip(b.column("id"), b.column("h").to_pylist()):
+                more = later_siblings([x["level"] for x in h])
+                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(h), b.schema.field("id").type), pa.array([x["start_line"] for x in h], pa.int32()), pa.array(more, pa.bool_())], names=["id", "start_line", "more"])
+
+    found = marked.mapInArrow(run, f"id {tokens.schema['id'].dataType.simpleString()}, start_line int, more boolean")
+    return heads.join(found, ["id", "start_line"])
 
 
 def section_match(section: str, match: str = "exact") -> Column:
@@ -210,7 +232,7 @@ def fuzzy_ratio(a: Column, b: str) -> Column:
 
 
 def filter_sections(df: DataFrame, sections: list[str], match: str = "exact", threshold: float = 80.0) -> DataFrame:
-    """Rows whose last parent matches any of the sections. Fuzzy ratios are taken on distinct parents."""
+    """Rows whose last parent matches any of the sections. Fuzzy ratios are taken on distinct parents, case as it is."""
     if match not in ("exact", "case_insensitive", "fuzzy") or not 0 <= threshold <= 100:
         raise ValueError("match is exact, case_insensitive or fuzzy; threshold 0 to 100")
     if match != "fuzzy":
@@ -222,7 +244,7 @@ def filter_sections(df: DataFrame, sections: list[str], match: str = "exact", th
     names = df.select(last.alias("_p")).filter("_p IS NOT NULL").distinct()
     test = F.lit(False)
     for s in sections:
-        test = test | (fuzzy_ratio(F.lower("_p"), s.lower()) >= threshold)
+        test = test | (fuzzy_ratio(F.col("_p"), s) >= threshold)
     return df.withColumn("_p", last).join(names.filter(test), "_p", "left_semi").select(*df.columns)
 
 
@@ -286,6 +308,23 @@ def pick_sections(split: DataFrame, names: list[str]) -> DataFrame:
     return top.groupBy("id").pivot("s1", names).agg(F.first("text"))
 
 
+#: Loss lines of training logs (fixed values of the two log formats): epoch and the losses of critic and generator.
+LOSS_LINES = {
+    "critic": r"Epoch:\s*(\d+)\s*\|\s*critic_loss:\s*([-\d.eE+]+)\s*\|\s*generator_loss:\s*([-\d.eE+]+)",
+    "disc": r"Epoch:\s*(\d+)\s*\|\s*disc_loss:\s*([-\d.eE+]+)\s*\|\s*gen_loss:\s*([-\d.eE+]+)",
+}
+
+
+def training_losses(df: DataFrame, text: str = "text", keys: list[str] = ("id",)) -> DataFrame:
+    """(keys, place, epoch, critic_loss, generator_loss) of every loss line of the logs, of either format; numbers that can't be read are null."""
+    parts = []
+    for pattern in LOSS_LINES.values():
+        lines = F.arrays_zip(*(F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(i)).alias(f"g{i}") for i in (1, 2, 3)))
+        rows = df.select(*keys, F.posexplode(lines).alias("place", "m"))
+        parts.append(rows.select(*keys, "place", F.expr("try_cast(m.g1 AS bigint)").alias("epoch"), F.expr("try_cast(m.g2 AS double)").alias("critic_loss"), F.expr("try_cast(m.g3 AS double)").alias("generator_loss")))
+    return parts[0].unionByName(parts[1])
+
+
 def sections_json(df: DataFrame) -> DataFrame:
     """id, json: a document's sections in order."""
     rows = F.sort_array(F.collect_list(F.struct("start_line", "level", "parents", "parent_types", "content")))

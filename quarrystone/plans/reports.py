@@ -35,7 +35,7 @@ def _chain(patterns, what: str) -> str:
 _PLAIN = f"NOT regexp_matches(regexp_replace(label, '[A-Za-z]', '', 'g'), {_q(se._OTHER_WORD)})"
 CASE_SQL = f"""CASE WHEN label IS NULL THEN NULL WHEN NOT regexp_matches(label, '[A-Za-z]') THEN 'mixed_case' WHEN NOT regexp_matches(label, '[a-z]') THEN 'all_caps' WHEN NOT regexp_matches(label, '[A-Z]') THEN 'all_lowercase'
  WHEN {_PLAIN} AND NOT regexp_matches(label, {_q(se._SMALL_START)}) THEN 'title_case' WHEN {_PLAIN} AND regexp_matches(label, '^[A-Z]') AND NOT regexp_matches(substr(label, 2), '[A-Z]') THEN 'sentence_case' ELSE 'mixed_case' END"""
-CLS = f"""{LINES}, k0 AS (SELECT *, {_chain(se.INLINE, 'n')} AS i_n, {_chain(se.INLINE, 'l')} AS i_l, {_chain(se.INLINE, 'r')} AS i_r, {_chain(se.HASH, 'n')} AS h_n, {_chain(se.HASH, 'l')} AS h_l, {_chain(se.ASTERISK, 'n')} AS a_n, {_chain(se.ASTERISK, 'l')} AS a_l FROM ln),
+CLS = f"""{LINES}, k0 AS (SELECT *, {_chain(se.INLINE, 'n')} AS i_n, {_chain(se.INLINE, 'l')} AS i_l, {_chain(se.INLINE, 'r')} AS i_r, CASE WHEN regexp_matches(line, {_q(se.HASH)}) THEN length(regexp_extract(line, {_q(se.HASH)}, 1))::INT END AS h_n, CASE WHEN regexp_matches(line, {_q(se.HASH)}) THEN trim(regexp_extract(line, {_q(se.HASH)}, 2)) END AS h_l, {_chain(se.ASTERISK, 'n')} AS a_n, {_chain(se.ASTERISK, 'l')} AS a_l FROM ln),
 k1 AS (SELECT *, CASE WHEN i_n IS NOT NULL AND {_WORDS.format(x='i_l')} THEN 'inline' WHEN h_n IS NOT NULL AND {_WORDS.format(x='h_l')} THEN 'hash' WHEN a_n IS NOT NULL AND {_WORDS.format(x='a_l')} THEN 'asterisk' ELSE 'content' END AS kind FROM k0),
 k2 AS (SELECT *, CASE kind WHEN 'inline' THEN i_l WHEN 'hash' THEN h_l WHEN 'asterisk' THEN a_l END AS label, CASE kind WHEN 'inline' THEN i_n WHEN 'hash' THEN h_n WHEN 'asterisk' THEN a_n END AS marker_count, CASE WHEN kind = 'hash' THEN '#' WHEN kind <> 'content' THEN '*' END AS marker FROM k1),
 cls AS (SELECT *, {CASE_SQL} AS "case", CASE WHEN kind = 'inline' THEN i_r END AS inline_text FROM k2)"""
@@ -122,7 +122,7 @@ def _(s, d):
 
 @query("filter_sections_fuzzy", f"WITH {SECTIONS} SELECT id, start_line::INT AS start_line, content FROM sec WHERE parents[-1] IN ('REASON FOR VISIT')")
 def _(s, d):
-    return se.filter_sections(sections(s, d), ["reasons for visits"], "fuzzy", 85.0).select("id", "start_line", "content")
+    return se.filter_sections(sections(s, d), ["REASONS FOR VISITS", "HISTORY"], "fuzzy", 85.0).select("id", "start_line", "content")
 
 
 @query("fuzzy_ratio")
@@ -158,9 +158,20 @@ def _(s, d):
     return se.join_by_id(docs, sections(s, d).filter("level = 5 AND id % 2 = 0").select("id", "start_line"))
 
 
-@query("sections_json")
+@query("sections_json", f"WITH {SECTIONS} SELECT id, count(*)::INT AS n, min_by(content, start_line) AS first, max_by(array_to_string(parents, '|'), start_line) AS last_parents FROM sec GROUP BY id")
 def _(s, d):
-    return se.sections_json(sections(s, d))
+    kind = "struct<sections:array<struct<start_line:int,level:int,parents:array<string>,parent_types:array<string>,content:string>>>"
+    rows = se.sections_json(sections(s, d)).select("id", F.from_json("json", kind)["sections"].alias("s"))
+    return rows.select("id", F.size("s").alias("n"), F.get("s", F.lit(0))["content"].alias("first"), F.array_join(F.element_at("s", -1)["parents"], "|").alias("last_parents"))
+
+
+_LOG = "'Epoch: ' || l_linenumber || ' | critic_loss: -' || l_tax || ' | generator_loss: ' || l_discount || '; Epoch: 7 | disc_loss: ' || l_tax || 'e2 | gen_loss: 1'"
+
+
+@query("training_losses", "SELECT l_orderkey AS id, l_linenumber::BIGINT AS epoch, round(-l_tax, 6) AS critic_loss, round(l_discount, 6) AS generator_loss FROM lineitem UNION ALL SELECT l_orderkey, 7, round(l_tax * 100, 6), 1.0 FROM lineitem")
+def _(s, d):
+    x = t(s, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.expr(_LOG).alias("text"))
+    return se.training_losses(x).select("id", "epoch", F.round("critic_loss", 6).alias("critic_loss"), F.round("generator_loss", 6).alias("generator_loss"))
 
 
 _R = "r AS (SELECT doc_id AS id, 'opening' || chr(10) || '**MEDICAL HISTORY**' || chr(10) || text || chr(10) || '# PAST ILLNESS' || chr(10) || 'none **Care** given' || chr(10) || '**RECOMMENDATIONS** rest' AS text FROM documents)"
@@ -212,9 +223,14 @@ def _(s, d):
     return pii.findings_table(found(s, d), ["doc_id"]).groupBy("entity").agg(F.count("*").alias("n"))
 
 
-@query("card_findings")
+_CARD = next(p for e, p, _ in pii.PATTERNS if e == "CREDIT_CARD")
+_DIGITS = "string_split(regexp_replace(text, '[ -]', '', 'g'), '')"
+
+
+@query("card_findings", f"""WITH c AS (SELECT doc_id, unnest(regexp_extract_all(text, {_q('(' + _CARD + ')')}, 1)) AS text FROM documents)
+SELECT doc_id, text FROM c WHERE list_sum(list_transform({_DIGITS}, lambda x, i: CASE WHEN i % 2 = 1 THEN CASE WHEN x::INT * 2 > 9 THEN x::INT * 2 - 9 ELSE x::INT * 2 END ELSE x::INT END)) % 10 = 0""")
 def _(s, d):
-    return pii.findings_table(pii.pattern_findings(docs(s, d), entities=["CREDIT_CARD"]), ["doc_id"])
+    return pii.findings_table(pii.pattern_findings(docs(s, d), entities=["CREDIT_CARD"]), ["doc_id"]).select("doc_id", "text")
 
 
 _DENY = r"(\b(?:that|then|der)\b)"
@@ -225,10 +241,15 @@ def _(s, d):
     return pii.findings_table(pii.deny_list(docs(s, d), ["that", "then", "der"]), ["doc_id"]).select("doc_id", "text", "entity")
 
 
-@query("allow_list", f"WITH {FOUND}, a AS (SELECT DISTINCT text FROM fnd ORDER BY text LIMIT 5) SELECT doc_id, entity, text FROM fnd WHERE text NOT LIKE '1%' OR text NOT IN (SELECT text FROM fnd WHERE entity = 'IP_ADDRESS')")
+@query("allow_list", f"WITH {FOUND} SELECT doc_id, entity, text FROM fnd WHERE text NOT LIKE '1%' OR text NOT IN (SELECT text FROM fnd WHERE entity = 'IP_ADDRESS')")
 def _(s, d):
-    ips = [r[0] for r in pii.findings_table(found(s, d), ["doc_id"]).filter("entity = 'IP_ADDRESS' AND text LIKE '1%'").select("text").distinct().collect()]
-    return pii.findings_table(pii.allow_list(found(s, d), ips), ["doc_id"]).select("doc_id", "entity", "text")
+    rows = pii.findings_table(found(s, d), ["doc_id"])
+    return pii.allow_texts(rows, rows.filter("entity = 'IP_ADDRESS' AND text LIKE '1%'")).select("doc_id", "entity", "text")
+
+
+@query("allow_words", f"WITH {FOUND} SELECT doc_id, entity, text FROM fnd WHERE text NOT IN ('10.0.0.1', '127.0.0.1')")
+def _(s, d):
+    return pii.findings_table(pii.allow_list(found(s, d), ["10.0.0.1", "127.0.0.1"]), ["doc_id"]).select("doc_id", "entity", "text")
 
 
 @query("entity_filter", f"WITH {FOUND} SELECT doc_id, entity, text FROM fnd WHERE score >= 0.35 AND entity IN ('EMAIL_ADDRESS', 'PHONE_NUMBER', 'US_PASSPORT')")
@@ -266,10 +287,24 @@ def _(s, d):
     return r.select("doc_id", F.size(F.filter("pieces", lambda p: p["entity"].isNotNull())).alias("n_found"), F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text"))
 
 
-@query("anonymise_sections")
+@query("anonymise_sections", f"WITH {SECTIONS} SELECT id, start_line::INT AS start_line, content FROM sec WHERE parents[-1] IN ('Name', 'REASON FOR VISIT')")
 def _(s, d):
     x = sections(s, d)
-    return pii.anonymise_sections([se.filter_sections(x, ["Name"]), se.filter_sections(x, ["REASON FOR VISIT"])]).select("id", "start_line", "anonymised", "offsets")
+    rows = pii.anonymise_sections([se.filter_sections(x, ["Name"]), se.filter_sections(x, ["REASON FOR VISIT"])])
+    # with every item put back at its offset the texts are those of the sources
+    parts = F.split("anonymised", "<ANONYMIZED>")
+    texts = F.transform(F.array_sort(F.map_keys("offsets")), lambda k: F.substring(F.col("content"), k + 1, F.col("offsets")[k]["end"] - k))
+    back = F.array_join(F.zip_with(parts, F.concat(texts, F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
+    return rows.select("id", "start_line", back.alias("content"))
+
+
+@query("write_anonymised", f"SELECT doc_id AS id, text AS source, regexp_replace(text, {_q(_EMAIL)}, '<EMAIL_ADDRESS>', 'g') AS anonymised, len(regexp_extract_all(text, {_q('(' + _EMAIL + ')')}, 1))::INT AS n FROM documents")
+def _(s, d):
+    from quarrystone.sources.tables import shared_folder
+
+    path = shared_folder(s)
+    pii.write_anonymised(pii.anonymise(pii.pattern_findings(docs(s, d).withColumnRenamed("doc_id", "id"), entities=["EMAIL_ADDRESS"])), path)
+    return s.read.parquet(path).select("id", "source", "anonymised", F.size("items").alias("n"))
 
 
 @query("corpus_pii_report", "WITH " + FOUND.replace("SELECT doc_id,", "SELECT doc_id, lang, source,") + " SELECT lang, source, entity, count(*)::BIGINT AS n FROM fnd GROUP BY ALL")
