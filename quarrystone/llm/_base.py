@@ -68,13 +68,13 @@ def _give_back() -> None:
         trim(0)
 
 
-def text_slices(batches, column: str):
-    """Cut Arrow batches into runs of rows whose text (or bytes) stays below SLICE_BYTES."""
+def text_slices(batches, column: str, size: int = SLICE_BYTES):
+    """Cut Arrow batches into runs of rows whose text (or bytes) stays below ``size``."""
     for batch in batches:
         lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
         start, total = 0, 0
         for i, n in enumerate(lengths):
-            if i > start and total + n > SLICE_BYTES:
+            if i > start and total + n > size:
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n

@@ -21,10 +21,11 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from quarrystone.llm import _base
 from quarrystone.llm._base import text_bytes, text_slices
 
 CACHE_CHUNKS = 200_000
+#: Larger slices than elsewhere, as a slice encodes each of its chunks once.
+SLICE_BYTES = 2 << 20
 #: Chunks longer than this are encoded but not kept.
 CACHE_BYTES = 64
 
@@ -106,11 +107,11 @@ class ChunkTokenizer:
 
     def encode_long(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode``, for a slice of rows that may be one long text."""
-        if len(column) != 1 or not column[0].is_valid or (raw := column[0].as_buffer()).size <= _base.SLICE_BYTES:
+        if len(column) != 1 or not column[0].is_valid or (raw := column[0].as_buffer()).size <= SLICE_BYTES:
             return self.encode(column)
         raw, ids, start = memoryview(raw), [], 0
         while start < len(raw):
-            space = _SPACE.search(raw, start + _base.SLICE_BYTES)
+            space = _SPACE.search(raw, start + SLICE_BYTES)
             end = space.end() if space else len(raw)
             ids.append(self.encode(pa.array([str(raw[start:end], "utf-8")]))[0])
             start = end
@@ -145,7 +146,7 @@ def encoder(path: str | None, text: str, make):
     def run(batches):
         tokenizer = ChunkTokenizer.of(path)
         for whole in batches:
-            for batch in text_slices([whole], text):
+            for batch in text_slices([whole], text, SLICE_BYTES):
                 yield make(batch, *tokenizer.encode_long(batch.column(text)))
 
     return run

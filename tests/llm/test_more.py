@@ -252,9 +252,7 @@ def test_stages_keep_clashing_columns_and_long_texts(make, spark, tmp_path):
 
 
 def test_a_long_text_is_encoded_in_parts(monkeypatch):
-    from quarrystone.llm import _base
-
-    monkeypatch.setattr(_base, "SLICE_BYTES", 50)
+    monkeypatch.setattr(tokens, "SLICE_BYTES", 50)
     rng = random.Random(37)
     texts = [ops.prose(rng, 200), "x" * 300 + " é" + ops.prose(rng, 60), "<|endoftext|> " + ops.prose(rng, 50), "", None, "z" * 200]
     for t in texts:
