@@ -75,13 +75,13 @@ def _(s, d):
     return t(s, d, "orders").select("o_orderkey", sp.mask_count(F.col("o_orderkey") % 50, 0.25).alias("k"))
 
 
-def _mask_sql(mechanism: str, seed: int, frac: float = 0.2) -> str:
+def _mask_sql(mechanism: str, seed: int, frac: float = 0.2, features: list[str] = FEATURES) -> str:
     parts = []
-    for c in FEATURES:
-        src = None if mechanism == "mcar" else c if mechanism == "mnar" else next(x for x in FEATURES if x != c)
+    for c in features:
+        src = None if mechanism == "mcar" else c if mechanism == "mnar" else next(x for x in features if x != c)
         v = u("row_id", c, seed)
         if src:
-            x = f"(dense_rank() OVER (ORDER BY {src}) - 1)::DOUBLE" if src == "l_returnflag" else f"{src}::DOUBLE"
+            x = f"(dense_rank() OVER (ORDER BY {src}) - 1)::DOUBLE" if src in ("l_returnflag", "l_linestatus") else f"{src}::DOUBLE"
             parts.append(f"""SELECT '{c}' AS "column", row_id, 1 - pow(u0, 1 / (CASE WHEN nn > 0 OR coalesce(sd, 0) = 0 THEN 1.0 ELSE 1 / (1 + exp(-greatest(-4.0, least(4.0, (x - m) / sd)))) END)) AS v FROM (
   SELECT row_id, x, {v} AS u0, avg(x) OVER () AS m, stddev_pop(x) OVER () AS sd, count(*) OVER () - count(x) OVER () AS nn FROM (SELECT row_id, {x} AS x FROM ln WHERE {c} IS NOT NULL))""")
         else:
@@ -306,16 +306,34 @@ def _means(frame):
     return im.mode_fill(im.mean_fill(frame, _SCN), _SCC)
 
 
-@query("masked_benchmark")
+def _objective(mechanism: str, seed: int, fill: str) -> str:
+    """A scalar subquery: the objective of one fill under one mask of the complete columns."""
+    hidden = lambda c: f"""row_id IN (SELECT row_id FROM mk WHERE "column" = '{c}') AS m"""
+    cells = " UNION ALL ".join(f"SELECT '{c}' AS c, {c} AS tr, {hidden(c)} FROM ln" for c in _SCN)
+    number = "avg(CASE WHEN NOT m THEN tr END) OVER (PARTITION BY c)" if fill == "means" else "0.0"
+    level = "(SELECT v FROM lv WHERE NOT m GROUP BY v ORDER BY count(*) DESC, v LIMIT 1)" if fill == "means" else "'F'"
+    return f"""(WITH mk AS ({_mask_sql(mechanism, seed, features=[*_SCN, *_SCC])}), cell AS (SELECT c, tr, m, {number} AS pr FROM ({cells})),
+  num AS (SELECT sqrt(avg((pr - tr) * (pr - tr)) FILTER (m)) / stddev_pop(tr) FILTER (NOT m) AS rmse FROM cell GROUP BY c), lv AS (SELECT l_linestatus AS v, {hidden('l_linestatus')} FROM ln)
+  SELECT (avg(rmse) + 1 - (SELECT avg((v = {level})::INT) FROM (SELECT DISTINCT v FROM lv WHERE m))) / 2 FROM num)"""
+
+
+_BENCHMARK = " UNION ALL ".join(
+    f"SELECT '{fill}' AS candidate, '{m}' AS mechanism, 0 AS mask_index, round({_objective(m, seed, fill)}, 6) AS objective"
+    for fill in ("means", "zeros") for m, seed in (("mcar", 7), ("mnar", 10007))
+)
+
+
+@query("masked_benchmark", f"WITH {_LN1} {_BENCHMARK}")
 def _(s, d):
     x = lnu(s, d).select("row_id", *_SCN, *_SCC)
     masks = sp.mask_grid(x, "row_id", [*_SCN, *_SCC], ["mcar", "mnar"], 1, 7)
     zero = lambda f: f.fillna(0.0, _SCN).fillna("F", _SCC)
-    return im.masked_benchmark(x, "row_id", _SCN, _SCC, masks, {"means": _means, "zeros": zero})
+    return im.masked_benchmark(x, "row_id", _SCN, _SCC, masks, {"means": _means, "zeros": zero}).withColumn("objective", F.round("objective", 6))
 
 
-@query("benchmark_objective")
+@query("benchmark_objective", f"WITH {_LN1} SELECT 'means' AS candidate, round(({_objective('mcar', 7, 'means')} + {_objective('mcar', 8, 'means')}) / 2, 6) AS objective, 2::BIGINT AS n_masks")
 def _(s, d):
     x = lnu(s, d).select("row_id", *_SCN, *_SCC)
     masks = sp.mask_grid(x, "row_id", [*_SCN, *_SCC], ["mcar"], 2, 7)
-    return im.benchmark_objective(im.masked_benchmark(x, "row_id", _SCN, _SCC, masks, {"means": _means}))
+    done = im.masked_benchmark(x, "row_id", _SCN, _SCC, masks, {"means": _means})
+    return im.benchmark_objective(done).withColumn("objective", F.round("objective", 6))

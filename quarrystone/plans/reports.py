@@ -125,7 +125,8 @@ def _(s, d):
     return se.filter_sections(sections(s, d), ["REASONS FOR VISITS", "HISTORY"], "fuzzy", 85.0).select("id", "start_line", "content")
 
 
-@query("fuzzy_ratio")
+# brands differ in their one or two digits only, and those that are 3 are in common with "33"
+@query("fuzzy_ratio", "SELECT p_partkey, round(200 * (6 + length(p_brand) - length(replace(p_brand, '3', ''))) / (length(p_brand) + 8), 6) AS ratio FROM part")
 def _(s, d):
     p = t(s, d, "part")
     return p.select("p_partkey", F.round(se.fuzzy_ratio(F.col("p_brand"), "Brand#33"), 6).alias("ratio"))
