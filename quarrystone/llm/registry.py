@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quarrystone.llm import decontaminate, language_id, line_dedup, packing, quality_fm, quality_rules, simhash, token_counts, toxicity, warc
+from quarrystone.llm import bpe, decontaminate, language_id, line_dedup, merkle, packing, quality_fm, quality_rules, runs, simhash, token_counts, toxicity, warc
 
 MODULES = {
     "op1_token_counts": token_counts,
@@ -15,6 +15,9 @@ MODULES = {
     "op8_line_dedup": line_dedup,
     "op9_quality_rules": quality_rules,
     "op10_decontaminate": decontaminate,
+    "op11_periodic_runs": runs,
+    "op12_byte_bpe": bpe,
+    "op13_merkle": merkle,
 }
 
 
