@@ -157,6 +157,7 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFram
     """
     part, first = spare([*df.columns, name], "part", "first")
     (salt,) = spare([*df.columns, name, part, first], "salt")
+    columns = df.columns
     schema = StructType([*df.schema, StructField(name, LongType()), StructField(part, LongType()), StructField(first, BooleanType())])
 
     def count(batches):
@@ -181,7 +182,7 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFram
                 flags[: sizes[0]] = True
             only = only and len(starts) == 1
             before, current, begun = int(local[-1]) + 1, values[b.num_rows - 1].as_py(), True
-            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in df.columns), pa.array(local, pa.int64()), pa.array(np.full(b.num_rows, own), pa.int64()), pa.array(flags)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*(b.column(n) for n in columns), pa.array(local, pa.int64()), pa.array(np.full(b.num_rows, own), pa.int64()), pa.array(flags)], names=schema.names)
 
     keys = [group, *order]
     salted = df.withColumn(salt, F.monotonically_increasing_id())  # equal rows need not stay together
