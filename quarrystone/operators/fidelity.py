@@ -168,9 +168,8 @@ def _cumulative(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFram
     b = long(syn, "model").select("model", "column", "v", F.lit(0).cast("bigint").alias("a"), F.col("n").alias("b"))
     both = a.unionByName(b).groupBy("model", "column", "v").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     rows = running(both, ["model", "column"], "v", ["a", "b"])
-    whole = both.groupBy("model", "column").agg(F.sum("a").alias("_a"), F.sum("b").alias("_b"))
-    share = lambda c: F.when(F.col(f"_{c}") > 0, F.col(f"cum_{c}") / F.col(f"_{c}")).otherwise(0.0)
-    return rows.join(F.broadcast(whole), ["model", "column"]).select("model", "column", "v", share("a").alias("fa"), share("b").alias("fb"), "next")
+    share = lambda c: F.when(F.col(f"all_{c}") > 0, F.col(f"cum_{c}") / F.col(f"all_{c}")).otherwise(0.0)
+    return rows.select("model", "column", "v", share("a").alias("fa"), share("b").alias("fb"), "next")
 
 
 def ks_test(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from quarrystone.functions.session import checkpointed
+
 BUCKETS = 64
 #: Values looked at to find cut points where they aren't numbers.
 CUT_SAMPLE = 4096
@@ -22,33 +24,47 @@ def _bucketed(rows: DataFrame, keys: list[str], value: str, cuts: DataFrame) ->
 
 
 def running(counts: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
-    """counts with cum_<x> for each of ``sums``, the total of x up to this value within the keys, and ``next``, the value after it.
+    """counts with cum_<x> for each of ``sums``, the total of x up to this value within the keys, all_<x>, their total, and ``next``, the value after it.
 
-    ``counts`` has a row for each (keys, value), the value a double. There are to be no more keys than a table of
-    columns and models has; BUCKETS cut points for each of them go over the driver.
+    ``counts`` has a row for each (keys, value), the value a double; it is computed once. There are to be no more
+    keys than a table of columns and models has; BUCKETS cut points for each of them go over the driver.
     """
+    counts = checkpointed(counts)
     spark, schema = counts.sparkSession, StructType([*(counts.schema[k] for k in keys), StructField("_cuts", ArrayType(counts.schema[value].dataType))])
     points = F.percentile_approx(value, [i / BUCKETS for i in range(1, BUCKETS)], 1000).alias("_cuts")
     cuts = spark.createDataFrame((counts.groupBy(*keys) if keys else counts).agg(points).filter("_cuts IS NOT NULL").collect(), schema)
     rows = _bucketed(counts, keys, value, cuts)
     totals = rows.groupBy(*keys, "_b").agg(*(F.sum(x).alias(f"_t_{x}") for x in sums), F.min(value).alias("_first"))
-    buckets = W.partitionBy(*keys).orderBy("_b")
+    buckets, every = W.partitionBy(*keys).orderBy("_b"), W.partitionBy(*keys)
     before = buckets.rowsBetween(W.unboundedPreceding, -1)
-    shifts = totals.select(*keys, "_b", *(F.coalesce(F.sum(f"_t_{x}").over(before), F.lit(0)).alias(f"_o_{x}") for x in sums), F.lead("_first").over(buckets).alias("_after"))
+    shifts = totals.select(
+        *keys, "_b", *(F.coalesce(F.sum(f"_t_{x}").over(before), F.lit(0)).alias(f"_o_{x}") for x in sums), *(F.sum(f"_t_{x}").over(every).alias(f"all_{x}") for x in sums), F.lead("_first").over(buckets).alias("_after")
+    )  # BUCKETS rows for each key
     inside = W.partitionBy(*keys, "_b").orderBy(value)
     rows = rows.withColumns({f"cum_{x}": F.sum(x).over(inside.rowsBetween(W.unboundedPreceding, 0)) for x in sums} | {"next": F.lead(value).over(inside)})
-    rows = rows.join(shifts, [*keys, "_b"])
+    rows = rows.join(F.broadcast(shifts), [*keys, "_b"])
     rows = rows.withColumns({f"cum_{x}": F.col(f"cum_{x}") + F.col(f"_o_{x}") for x in sums} | {"next": F.coalesce("next", "_after")})
-    return rows.select(*counts.columns, *(f"cum_{x}" for x in sums), "next")
+    return rows.select(*counts.columns, *(f"cum_{x}" for x in sums), *(f"all_{x}" for x in sums), "next")
+
+
+def cumulative(df: DataFrame, order: list[str], amount: str, name: str) -> DataFrame:
+    """df with ``name``, the total of ``amount`` (whole numbers, not null) up to each row in the order of columns that sort, nulls first.
+
+    Rows are range-partitioned, so that no task has more than its range; the ranges' totals (one
+    number for each partition) are broadcast. Rows that are equal in ``order`` follow each other in some way.
+    """
+    ranged = checkpointed(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    shifts = ranged.groupBy("_range").agg(F.sum(amount).alias("_t")).select("_range", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_o"))
+    inside = W.partitionBy("_range").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    return ranged.withColumn(name, F.sum(amount).over(inside)).join(F.broadcast(shifts), "_range").withColumn(name, F.col(name) + F.col("_o")).select(*df.columns, name)
 
 
 def quantiles(df: DataFrame, column: str, shares: list[float], keys: list[str] = ()) -> DataFrame:
     """(keys, share, value): exact quantiles, between two values by linear interpolation; nulls are left out."""
     keys = list(keys)
     counts = df.filter(F.col(column).isNotNull()).groupBy(*keys, F.col(column).cast("double").alias("v")).agg(F.count("*").alias("n"))
-    rows = running(counts, keys, "v", ["n"])
-    sizes = counts.groupBy(*keys).agg(F.sum("n").alias("_all"))
-    rows = rows.join(F.broadcast(sizes), keys) if keys else rows.crossJoin(F.broadcast(sizes))
+    rows = running(counts, keys, "v", ["n"]).withColumnRenamed("all_n", "_all")
     place = lambda s: F.lit(s) * (F.col("_all") - 1)
     asked = lambda s, at, weight: F.struct(F.lit(s).alias("share"), at.cast("bigint").alias("at"), weight.alias("w"))
     ends = F.array(*(x for s in shares for x in (asked(s, F.floor(place(s)), 1 - (place(s) - F.floor(place(s)))), asked(s, F.ceil(place(s)), place(s) - F.floor(place(s))))))

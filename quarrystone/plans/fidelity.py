@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quarrystone.operators import fidelity as f, impute as im, neighbours as nn
+from quarrystone.operators import fidelity as f, impute as im, neighbours as nn, permutation as pt
 from quarrystone.plans.catalog import CAND, LI, REAL, cand, li, query, real, t
 from quarrystone.plans.fairness import _poly
 from quarrystone.plans.masking import _FILLED, _LN1, CAT, NUM, filled, lnu, u
@@ -150,6 +150,20 @@ def _(s, d):
     return _r(f.ks_test(real(s, d), cand(s, d), NUMS))
 
 
+_TV = " UNION ALL ".join(f"""SELECT model, '{c}' AS "column", 'c' AS kind, sum(abs(coalesce(p, 0) - coalesce(q, 0))) / 2 AS statistic FROM (SELECT * FROM (SELECT model, {c} AS v, n / sum(n) OVER () AS p FROM (SELECT {c}, count(*) AS n FROM rl GROUP BY 1), (SELECT DISTINCT model FROM cand)) x
+  FULL JOIN (SELECT model, {c} AS v, count(*) / sum(count(*)) OVER (PARTITION BY model) AS q FROM cand GROUP BY 1, 2) y USING (model, v)) GROUP BY model""" for c in CATS).replace("n / sum(n) OVER ()", "n / sum(n) OVER (PARTITION BY model)")
+
+
+@query("ks_statistics", f"""WITH {CUM} SELECT model, "column", kind, round(statistic, 6) AS statistic FROM (SELECT model, CASE c WHEN 'q' THEN 'l_quantity' ELSE 'l_discount' END AS "column", 'n' AS kind, max(abs(fa - fb)) AS statistic FROM cu GROUP BY ALL UNION ALL {_TV})""")
+def _(s, d):
+    return _r(pt.marginal_statistics(real(s, d), cand(s, d), NUMS, CATS), "statistic")
+
+
+@query("ks_permutation_test")
+def _(s, d):
+    return pt.permutation_test(real(s, d), cand(s, d), NUMS, CATS)
+
+
 @query("wasserstein_dist", f"WITH {CUM} SELECT model, round(sum(abs(fa - fb) * (nx - v)), 6) AS value FROM cu WHERE nx IS NOT NULL GROUP BY model")
 def _(s, d):
     return _r(f.wasserstein_dist(real(s, d), cand(s, d), NUMS))
