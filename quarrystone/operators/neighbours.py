@@ -1,24 +1,28 @@
 """Nearest neighbours and the distance metrics built on them.
 
-``nn_join`` finds exact neighbours. Both sides are dealt to the nearest of some base rows
-(pivots), cells are cut into blocks, and pairs of blocks that can't hold a neighbour, by
-the triangle inequality on the cells' radii, never meet. Two blocks meet in one task in
-Arrow batches: a matrix product around the cell's centre gives distances with a known
-error, whatever lies within that error of the k-th is computed again difference by
-difference, and only the k best go on. No pair of rows ever becomes a row, and the result
-doesn't depend on how rows were dealt. Rows without a vector are left out.
+``nn_join`` finds exact neighbours in two rounds. The searched side is dealt to the nearest of some
+of its rows (pivots) and its cells are cut into blocks. In the first round each asking row meets
+only the cell of its own nearest pivot, which gives it a bound: the k-th distance found there. In the
+second it visits just those other cells that the triangle inequality lets hold something nearer
+(distance to the pivot less the cell's radius, against the row's own bound). Rows that visit a cell
+meet its blocks in one task in Arrow batches: a matrix product around the cell's centre gives
+distances with a known error, whatever lies within that error of the k-th is computed again
+difference by difference, and only the k best go on. No pair of rows ever becomes a row, and the
+result doesn't depend on how rows were dealt. Of equal rows of the searched side only those with
+the k smallest ids take part, as no others can be among the k nearest, so a third of all rows may be
+copies. Rows without a vector are left out.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
 from quarrystone.functions.session import checkpointed
 from quarrystone.operators.order import quantiles
-from quarrystone.operators.split import unit_hash_of
+from quarrystone.operators.split import unit_hash, unit_hash_of
 
 #: Rows of a block: two blocks of 64 doubles stay below 5 MB.
 BLOCK_ROWS = 4096
@@ -87,69 +91,107 @@ def _celled(df: DataFrame, pivots) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _blocked(cells: DataFrame, stats: DataFrame, block_rows: int, names: tuple[str, str, str]) -> DataFrame:
-    """Blocks of a side: (cell and block under names[0], ids, vectors)."""
-    parts = stats.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("_parts"))
-    rows = cells.join(parts, "cell").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
-    return rows.groupBy(F.struct("cell", F.col("_b").alias("b")).alias(names[0])).agg(F.collect_list("id").alias(names[1]), F.collect_list("v").alias(names[2]))
-
-
-def block_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, block_rows: int = BLOCK_ROWS, k: int | None = None, reach: DataFrame | None = None) -> DataFrame:
-    """Pairs of blocks (qs, qv, xs, xv: ids and vectors) that may hold one of the k nearest, or a pair within reach; without both, all pairs.
-
-    ``reach`` (id, reach) gives each row of a its radius instead of k; it then comes with the block as ``qr``.
+def _grouped(rows: DataFrame, cell: str, sizes: dict[int, int], block_rows: int, names: tuple[str, ...], values: tuple[str, ...]) -> DataFrame:
+    """Blocks of about ``block_rows`` rows of a cell: cell under names[0], lists of ``values`` under the other names."""
+    parts = rows.sparkSession.createDataFrame([(c, -(-n // block_rows)) for c, n in sizes.items()], "_cell int, _parts int")  # MAX_PIVOTS rows
+    dealt = rows.join(F.broadcast(parts), F.col(cell) == F.col("_cell")).withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
+    return dealt.groupBy(F.col(cell).alias(names[0]), "_b").agg(*(F.collect_list(v).alias(n) for n, v in zip(names[1:], values))).drop("_b")
+
+
+class Cells:
+    """The searched side, dealt to pivots, in blocks; its cells' radii and sizes are known to the driver (MAX_PIVOTS numbers)."""
+
+    def __init__(self, rows: DataFrame, block_rows: int):
+        self.block_rows, spark = block_rows, rows.sparkSession
+        self.n = rows.count()
+        if self.n <= block_rows:  # one block: nothing to deal
+            self.blocks = rows.withColumn("cell", F.lit(0)).groupBy("cell").agg(F.collect_list("id").alias("xs"), F.collect_list("v").alias("xv"))
+            return
+        chosen = rows.orderBy(F.xxhash64("id"), "id").limit(min(MAX_PIVOTS, -(-self.n // block_rows))).toArrow()
+        self.pivots = spark.sparkContext.broadcast(_matrix(chosen.column("v")))
+        dealt = checkpointed(_celled(rows, self.pivots))
+        stats = dealt.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r")).collect()
+        self.radius, self.size = np.full(len(chosen), -np.inf), np.zeros(len(chosen), np.int64)
+        for r in stats:
+            self.radius[r["cell"]], self.size[r["cell"]] = r["r"], r["n"]
+        self.blocks = _grouped(dealt, "cell", {r["cell"]: r["n"] for r in stats}, block_rows, ("cell", "xs", "xv"), ("id", "v"))
+
+    def visits(self, rows: DataFrame, own: bool | None, least: int | None, counted: bool = False) -> DataFrame:
+        """(id, v, bound, to): the cells that each row (id, v, cell, bound) has to look into.
+
+        ``own``: only the cell of the row's nearest pivot (true), all others (false), or both (null), as far as
+        they can hold something within the bound. A row without a bound takes one under which ``least`` rows lie
+        for certain, or every cell if that's null. ``counted``: instead (to, n), how many rows of a task visit.
+        """
+        pivots, radius, size = self.pivots, self.radius, self.size
+
+        def run(batches):
+            p, total = pivots.value, np.zeros(len(radius), np.int64)
+            for b in batches:
+                v, cell, bounds = _matrix(b.column("v")), b.column("cell").to_numpy(), b.column("bound").to_numpy(zero_copy_only=False)
+                for i in range(0, len(v), 512):
+                    home, bound = cell[i : i + 512], bounds[i : i + 512].astype(float)
+                    if own:
+                        rows, to = np.arange(len(home)), home
+                    else:
+                        near, error = products(v[i : i + 512] - p[0], p - p[0])
+                        low, high = np.sqrt(np.maximum(near - error[:, None], 0)), np.sqrt(near + error[:, None])
+                        for r in np.flatnonzero(np.isnan(bound)):
+                            upper = high[r] + radius
+                            order = np.argsort(upper)
+                            enough = np.flatnonzero(np.cumsum(size[order]) >= least) if least is not None else []
+                            bound[r] = upper[order][enough[0]] if len(enough) else np.inf
+                        slack = 1e-9 * (1 + high)
+                        needed = (low - radius[None, :] <= bound[:, None] + slack) & (size > 0)[None, :]
+                        if own is False:
+                            needed[np.arange(len(home)), home] = False
+                        rows, to = np.nonzero(needed)
+                    if counted:
+                        total += np.bincount(to, minlength=len(radius))
+                        continue
+                    for k in range(0, len(rows), 4096):
+                        part = b.slice(i, 512).take(pa.array(rows[k : k + 4096]))
+                        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("v"), part.column("bound"), pa.array(to[k : k + 4096].astype(np.int32))], names=["id", "v", "bound", "to"])
+            if counted:
+                hit = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[hit])], names=["to", "n"])
+
+        return rows.select("id", "v", "cell", "bound").mapInArrow(run, "to int, n bigint" if counted else "id bigint, v array<double>, bound double, to int")
+
+    def met(self, rows: DataFrame, own: bool | None, least: int | None = None) -> DataFrame:
+        """(qs, qv, qr, xs, xv): blocks of rows that visit a cell (ids, vectors, bounds) beside the blocks of that cell."""
+        sizes = self.visits(rows, own, least, counted=True).groupBy("to").agg(F.sum("n").alias("n")).collect()
+        asking = _grouped(self.visits(rows, own, least).fillna(-1.0, ["bound"]), "to", {r["to"]: r["n"] for r in sizes}, self.block_rows, ("to", "qs", "qv", "qr"), ("id", "v", "bound"))
+        return met_blocks(asking, self.blocks)
+
+    def met_at_once(self, rows: DataFrame) -> DataFrame:
+        """The same for a side of one block and all rows (id, v, and bound if they have one)."""
+        rows = rows.withColumns({"to": F.lit(0), "bound": F.col("bound") if "bound" in rows.columns else F.lit(-1.0)})
+        return met_blocks(_grouped(rows, "to", {0: rows.count()}, self.block_rows, ("to", "qs", "qv", "qr"), ("id", "v", "bound")), self.blocks)
+
+
+def met_blocks(asking: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Each block of asking rows is copied once for each block of its cell; not each row for each row."""
+    return asking.join(blocks, F.col("to") == F.col("cell")).select("qs", "qv", "qr", "xs", "xv")
+
+
+def _unbound(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("bound", F.lit(None).cast("double"))
+
+
+def two_rounds(left: DataFrame, right: DataFrame, block_rows: int, search, least: int | None, bounds) -> DataFrame:
+    """What ``search(blocks)`` finds, in the rows' own cells and then in the cells within their bounds.
+
+    left, right: (id, v). ``bounds(found)`` makes (id, bound) of what the first round found; rows without one
+    fall back on ``least`` (``Cells.visits``). A side of one block needs a single round.
     """
-    left, right = _sides(a, a_id, vector), _sides(b, b_id, vector)
-    n = right.count()
-    spark = a.sparkSession
-    extra = ["qr"] if reach is not None else []
-    if n <= block_rows:  # one cell: there's nothing to prune
-        stats_a, stats_b = (spark.createDataFrame([(0, m)], "cell int, n bigint") for m in (left.count(), n))
-        left, right = (x.withColumn("cell", F.lit(0)) for x in (left, right))
-        left = left if reach is None else left.join(reach, "id")
-        q, x = _blocked(left, stats_a, block_rows, ("q", "qs", "qv")), _blocked(right, stats_b, block_rows, ("x", "xs", "xv"))
-        q = q if reach is None else q.join(_reaches(left, stats_a, block_rows), "q")
-        return q.crossJoin(F.broadcast(x)).select("qs", "qv", *extra, "xs", "xv")  # x is a single block
-    chosen = right.orderBy(F.xxhash64("id"), "id").limit(min(MAX_PIVOTS, -(-n // block_rows))).toArrow()  # MAX_PIVOTS rows
-    pivots = _matrix(chosen.column("v"))
-    shared = spark.sparkContext.broadcast(pivots)
-    left, right = checkpointed(_celled(left, shared)), checkpointed(_celled(right, shared))
-    if reach is not None:
-        left = left.join(reach, "id")
-    of = lambda side, *more: side.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("r"), *more)
-    stats_a, stats_b = of(left, *([F.max("reach").alias("reach")] if reach is not None else [])), of(right)
-    la, lb = ({r["cell"]: r for r in s.collect()} for s in (stats_a, stats_b))  # MAX_PIVOTS rows each
-    pairs = [np.zeros((0, 2), np.int32)]
-    cells_b = np.array(sorted(lb), np.int64)
-    rb, nb = np.array([lb[c]["r"] for c in cells_b]), np.array([lb[c]["n"] for c in cells_b])
-    for c, row in la.items():
-        d = np.sqrt(((pivots[cells_b] - pivots[c]) ** 2).sum(axis=1)) if len(cells_b) else np.zeros(0)
-        slack = 1e-9 * (1 + d.max(initial=0) + row["r"])
-        if reach is None and k is None:
-            bound = np.inf
-        elif reach is None:
-            upper = d + rb + row["r"]
-            order = np.argsort(upper)
-            enough = np.flatnonzero(np.cumsum(nb[order]) >= k + 1)  # one more, as a row may be left out of its own neighbours
-            bound = upper[order][enough[0]] if len(enough) else np.inf
-        else:
-            bound = row["reach"]
-        met = cells_b[d - rb - row["r"] <= bound + slack]
-        pairs.append(np.column_stack([np.full(len(met), c), met]).astype(np.int32))
-    pairs = np.concatenate(pairs)  # MAX_PIVOTS x MAX_PIVOTS at most
-    wanted = spark.createDataFrame(pa.table({"c1": pairs[:, 0], "c2": pairs[:, 1]}))
-    q = _blocked(left, stats_a, block_rows, ("q", "qs", "qv"))
-    q = q if reach is None else q.join(_reaches(left, stats_a, block_rows), "q")
-    x = _blocked(right, stats_b, block_rows, ("x", "xs", "xv"))
-    # the query blocks are copied once for each block they meet, not each row for each row
-    sides = q.join(wanted, F.col("q.cell") == F.col("c1")).join(x, F.col("x.cell") == F.col("c2"))
-    return sides.select("qs", "qv", *extra, "xs", "xv")
-
-
-def _reaches(cells: DataFrame, stats: DataFrame, block_rows: int) -> DataFrame:
-    parts = stats.select("cell", F.ceil(F.col("n") / block_rows).cast("int").alias("_parts"))
-    rows = cells.join(parts, "cell").withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
-    return rows.groupBy(F.struct("cell", F.col("_b").alias("b")).alias("q")).agg(F.map_from_entries(F.collect_list(F.struct("id", "reach"))).alias("qr"))
+    cells = Cells(right, block_rows)
+    if cells.n <= block_rows:
+        return search(cells.met_at_once(left))
+    rows = checkpointed(_celled(left, cells.pivots))
+    first = checkpointed(search(cells.met(_unbound(rows), True)))
+    bounded = rows.join(bounds(first), "id", "left")
+    return first.unionByName(search(cells.met(bounded, False, least)))
 
 
 def nn_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, k: int = 1, exclude_self: bool = False, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -157,7 +199,9 @@ def nn_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, k: in
 
     With ``exclude_self`` a row isn't its own neighbour (equal ids). Ids are numbers and unique.
     """
-    pairs = block_pairs(a, b, a_id, b_id, vector, block_rows, k)
+    asked = k + exclude_self  # one more, as a row may be left out of its own neighbours
+    copies = F.row_number().over(W.partitionBy("v").orderBy("id"))
+    left, right = _sides(a, a_id, vector), checkpointed(_sides(b, b_id, vector).withColumn("_c", copies).filter(F.col("_c") <= asked).drop("_c"))
 
     def best(batches):
         for batch in batches:
@@ -168,22 +212,26 @@ def nn_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, k: in
                     rows, cols, d = nearest(q[s : s + 512], q_id[s : s + 512], x, x_id, k, exclude_self)
                     yield pa.RecordBatch.from_arrays([pa.array(q_id[s : s + 512][rows]), pa.array(x_id[cols]), pa.array(np.sqrt(d))], names=["q", "n", "d"])
 
-    found = pairs.mapInArrow(best, "q bigint, n bigint, d double")
-    merged = found.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "n"))), 1, k).alias("t"))
-    return merged.select(F.col("q").alias(a_id), F.posexplode("t").alias("p", "t")).select(a_id, (F.col("p") + 1).alias("rank"), F.col("t.n").alias(b_id if b_id != a_id else f"{b_id}_near"), F.col("t.d").alias("distance"))
+    ranked = lambda found: found.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "n"))), 1, k).alias("t"))
+    bounds = lambda found: ranked(found).select(F.col("q").alias("id"), F.get("t", F.lit(k - 1))["d"].alias("bound"))
+    found = two_rounds(left, right, block_rows, lambda met: met.mapInArrow(best, "q bigint, n bigint, d double"), asked, bounds)
+    return ranked(found).select(F.col("q").alias(a_id), F.posexplode("t").alias("p", "t")).select(a_id, (F.col("p") + 1).alias("rank"), F.col("t.n").alias(b_id if b_id != a_id else f"{b_id}_near"), F.col("t.d").alias("distance"))
 
 
 def ball_counts(centres: DataFrame, points: DataFrame, key: str, vector: str, radius: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(n, balls): for each point that lies in a ball, how many; ``radius`` (q, r) gives each centre's radius, its edge included."""
-    pairs = block_pairs(centres, points, key, key, vector, block_rows, reach=radius.select(F.col("q").alias("id"), F.col("r").alias("reach")))
+    """(n, balls): for each point that lies in a ball, how many; ``radius`` (q, r) gives each centre's radius, its edge included.
+
+    A centre visits the cells that its ball can reach into.
+    """
+    cells = Cells(_sides(points, key, vector), block_rows)
+    asking, bounds = _sides(centres, key, vector), radius.select(F.col("q").alias("id"), F.col("r").alias("bound"))
+    met = cells.met_at_once(asking.join(bounds, "id")) if cells.n <= block_rows else cells.met(_celled(asking, cells.pivots).join(bounds, "id"), None)
 
     def count(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                q_id, x_id = (batch.column(c)[i].values.to_numpy() for c in ("qs", "xs"))
+                x_id, r = batch.column("xs")[i].values.to_numpy(), batch.column("qr")[i].values.to_numpy()
                 q, x = (_matrix(batch.column(c)[i].values) for c in ("qv", "xv"))
-                reach = dict(batch.column("qr")[i].as_py())
-                r = np.array([reach[k] for k in q_id.tolist()])
                 total = np.zeros(len(x), np.int64)
                 for s in range(0, len(q), 512):
                     near, error = products(q[s : s + 512] - x[0], x - x[0])
@@ -193,7 +241,7 @@ def ball_counts(centres: DataFrame, points: DataFrame, key: str, vector: str, ra
                 hit = total > 0
                 yield pa.RecordBatch.from_arrays([pa.array(x_id[hit]), pa.array(total[hit])], names=["n", "balls"])
 
-    return pairs.mapInArrow(count, "n bigint, balls bigint").groupBy("n").agg(F.sum("balls").alias("balls"))
+    return met.mapInArrow(count, "n bigint, balls bigint").groupBy("n").agg(F.sum("balls").alias("balls"))
 
 
 def relabel_by_neighbour(syn: DataFrame, real: DataFrame, syn_id: str, real_id: str, vector: str, label: str) -> DataFrame:
@@ -227,13 +275,12 @@ def dcr(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
     return m(syn, real, False, "a").crossJoin(m(real, real, True, "b")).select(F.when(F.col("b") > 0, F.col("a") / F.col("b")).alias("value"))
 
 
-def nearest_in_rounds(a: DataFrame, b: DataFrame, key: str, vector: str, share: float, rounds: int, own: bool) -> DataFrame:
+def nearest_in_rounds(a: DataFrame, b: DataFrame, key: str, vector: str, share: float, rounds: int, own: bool, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(i, q, distance): for each round i the nearest row of b among those that the round's hashes choose (a ``share`` of b on average).
 
     With ``own`` both sides are the same table: a row isn't its own neighbour, and only chosen rows ask.
-    All rounds share one pass over the pairs of blocks.
+    All rounds share one search; a row's bound is the farthest of what its rounds found in its own cell.
     """
-    pairs = block_pairs(a, b, key, key, vector)
     chosen = lambda ids: np.array([[unit_hash_of(f"{x}|nnaa|{i}") < share for x in ids.tolist()] for i in range(rounds)]).reshape(rounds, -1)
 
     def best(batches):
@@ -254,7 +301,14 @@ def nearest_in_rounds(a: DataFrame, b: DataFrame, key: str, vector: str, share:
                         found = np.flatnonzero(np.isfinite(d))
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), i, np.int32)), pa.array(q_id[s : s + 512][found]), pa.array(np.sqrt(d[found]))], names=["i", "q", "d"])
 
-    return pairs.mapInArrow(best, "i int, q bigint, d double").groupBy("i", "q").agg(F.min("d").alias("distance"))
+    nearest_of = lambda found: found.groupBy("i", "q").agg(F.min("d").alias("distance"))
+    asked = F.size(F.filter(F.sequence(F.lit(0), F.lit(rounds - 1)), lambda i: unit_hash(F.col("q").cast("string"), "nnaa", i.cast("string")) < share)) if own else F.lit(rounds)
+
+    def bounds(found):  # a row that found nothing in one of its rounds has none
+        one = nearest_of(found).groupBy("q").agg(F.max("distance").alias("bound"), F.count("*").alias("_n"))
+        return one.select(F.col("q").alias("id"), F.when(F.col("_n") == asked, F.col("bound")).alias("bound"))
+
+    return nearest_of(two_rounds(_sides(a, key, vector), _sides(b, key, vector), block_rows, lambda met: met.mapInArrow(best, "i int, q bigint, d double"), None, bounds))
 
 
 def nnaa(syn: DataFrame, real: DataFrame, key: str, vector: str, rounds: int = 30) -> DataFrame:

@@ -90,3 +90,42 @@ def test_disclosure_tolerance(spark):
     syn = table(spark, [[0, 0], [1, 1], [2, 2]]).withColumn("a", F.col("id") * 10.0 + F.col("id"))
     value = lambda t: nn.attribute_disclosure(real, syn, "id", "v", "a", t).first().value
     assert (value(None), value(1 / 20), value(1 / 10)) == (1 / 3, 2 / 3, 1.0)
+
+
+def test_rounds_meet_fewer_blocks_than_all_pairs(spark, monkeypatch):
+    """Unclustered rows of low dimension; a third of the searched side are copies of one row."""
+    rng = np.random.default_rng(5)
+    x, q = rng.uniform(size=(900, 2)), rng.uniform(size=(600, 2))
+    x = np.concatenate([x, np.repeat(x[:1], 450, axis=0)])
+    met, products = [], []
+    real = nn.met_blocks
+
+    def counting(asking, blocks):
+        out = real(asking, blocks)
+        met.append(out.count())
+        products.append(out.select(F.sum(F.size("qs") * F.size("xs"))).first()[0])
+        return out
+
+    monkeypatch.setattr(nn, "met_blocks", counting)
+    got = {}
+    for r in nn.nn_join(table(spark, q).withColumnRenamed("id", "q"), table(spark, x).withColumnRenamed("id", "n"), "q", "n", "v", 2, False, 30).collect():
+        got.setdefault(r.q, []).append((r["rank"], r.n, r.distance))
+    for i, want in brute(q, x, 2).items():
+        assert [g[1] for g in sorted(got[i])] == [w[0] for w in want] and np.allclose([g[2] for g in sorted(got[i])], [w[1] for w in want], atol=1e-12)
+    assert len(met) == 2 and sum(met) < (1350 // 30) * (600 // 30) / 3 and sum(products) < 600 * 1350 / 8
+
+
+@pytest.mark.parametrize("own", [True, False])
+def test_rounds_of_subsets(spark, own):
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(120, 2)), rng.normal(size=(50, 2))
+    share, rounds = 0.3, 4
+    b = table(spark, x)
+    got = {(r.i, r.q): r.distance for r in nn.nearest_in_rounds(b if own else table(spark, q), b, "id", "v", share, rounds, own, 20).collect()}
+    want = {}
+    for i in range(rounds):
+        chosen = [j for j in range(120) if nn.unit_hash_of(f"{j}|nnaa|{i}") < share]
+        for j in chosen if own else range(50):
+            d = [np.linalg.norm((x if own else q)[j] - x[m]) for m in chosen if not (own and m == j)]
+            want[i, j] = min(d)
+    assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-12 for t in want)
