@@ -7,8 +7,9 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-#: Rows that a table may have to be broadcast; larger ones are joined by shuffles.
+#: Rows, and bytes as JSON, that a table may have to be broadcast; larger ones are joined by shuffles.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -28,6 +29,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df, computed once, with a hint to broadcast it if it has no more than ``rows`` rows."""
+    """df, computed once, with a hint to broadcast it if it has no more than ``rows`` rows and BROADCAST_BYTES bytes."""
     df = checkpointed(df)
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    n, size = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and size <= BROADCAST_BYTES else df

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from quarrystone.functions.numeric import erfc
 from quarrystone.functions.session import checkpointed
+from quarrystone.operators.association import associations, by_key, correlation_ratios
 from quarrystone.operators.order import quantiles, running
 
 
@@ -229,11 +230,9 @@ def pair_sums(df: DataFrame, keys: list[str], numeric: list[str]) -> DataFrame:
     def run(batches):
         sums: dict[tuple, list[np.ndarray]] = {}
         for b in batches:
-            of = list(zip(*(b.column(k).to_pylist() for k in keys))) if keys else [()] * b.num_rows
+            known, which = by_key(b, keys)
             kinds = [b.schema.field(k).type for k in keys]
             v = pa.concat_arrays([b.column("_v")]).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, d)
-            known = sorted(set(of), key=str)
-            which = np.array([known.index(x) for x in of]) if len(known) > 1 else np.zeros(len(of), int)
             for i, key in enumerate(known):
                 x = v[which == i]
                 there = ~np.isnan(x)
@@ -257,42 +256,9 @@ def correlations(df: DataFrame, keys: list[str], numeric: list[str]) -> DataFram
     return pair_sums(df, keys, numeric).select(*keys, "i", "j", F.when((n > 1) & (a > tiny * F.col("sxx")) & (b > tiny * F.col("syy")) & (a > 0) & (b > 0), r).otherwise(0.0).alias("r"))
 
 
-def pair_counts(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
-    """(keys, i, j, a, b, n) for i < j: how often values of two columns stand together, all pairs in one grouping; nulls count as a value."""
-    k = len(categorical)
-    cells = F.array(*(F.coalesce(F.col(c).cast("string"), F.lit("\0null")) for c in categorical))
-    rows = df.select(*keys, cells.alias("_c"))
-    places = F.sequence(F.lit(0), F.lit(k - 2))
-    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"), F.get("_c", i).alias("a"), F.get("_c", j).alias("b"))
-    pairs = F.flatten(F.transform(places, lambda i: F.transform(F.sequence(i + 1, F.lit(k - 1)), lambda j: pair(i, j))))
-    return rows.select(*keys, F.explode(pairs).alias("_p")).groupBy(*keys, F.col("_p.i").alias("i"), F.col("_p.j").alias("j"), F.col("_p.a").alias("a"), F.col("_p.b").alias("b")).agg(F.count("*").alias("n"))
-
-
-def _pair_shares(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
-    """Pair counts with shares: p of the pair, pa and pb of its values."""
-    whole, a, b = W.partitionBy(*keys, "i", "j"), W.partitionBy(*keys, "i", "j", "a"), W.partitionBy(*keys, "i", "j", "b")
-    total = F.sum("n").over(whole)
-    return pair_counts(df, keys, categorical).select(*keys, "i", "j", "a", "b", "n", (F.col("n") / total).alias("p"), (F.sum("n").over(a) / total).alias("pa"), (F.sum("n").over(b) / total).alias("pb"))
-
-
 def cramers_v(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
     """(keys, i, j, r): Cramer's V of each pair of categorical columns, 0 where one has a single value."""
-    rows = _pair_shares(df, keys, categorical)
-    # phi squared is the sum of p^2 / (pa pb) less 1; pairs that never occur add nothing to the sum
-    one = rows.groupBy(*keys, "i", "j").agg((F.sum(F.col("p") * F.col("p") / (F.col("pa") * F.col("pb"))) - 1).alias("phi"), (F.least(F.count_distinct("a"), F.count_distinct("b")) - 1).alias("k"))
-    return one.select(*keys, "i", "j", F.when(F.col("k") > 0, F.sqrt(F.greatest(F.col("phi"), F.lit(0.0)) / F.col("k"))).otherwise(0.0).alias("r"))
-
-
-def correlation_ratios(df: DataFrame, keys: list[str], categorical: list[str], numeric: list[str]) -> DataFrame:
-    """(keys, i, j, r): the correlation ratio of each categorical column i and numeric column j."""
-    long = df.select(*keys, *(F.col(c).cast("string").alias(f"_c{i}") for i, c in enumerate(categorical)), *(F.col(c).cast("double").alias(f"_x{j}") for j, c in enumerate(numeric)))
-    cells = F.array(*(F.struct(F.lit(i).alias("i"), F.coalesce(F.col(f"_c{i}"), F.lit("\0null")).alias("a")) for i in range(len(categorical))))
-    sums = [x for j in range(len(numeric)) for x in (F.count(f"_x{j}").alias(f"_n{j}"), F.sum(f"_x{j}").alias(f"_s{j}"), F.sum(F.col(f"_x{j}") * F.col(f"_x{j}")).alias(f"_q{j}"))]
-    rows = long.withColumn("_c", F.explode(cells)).groupBy(*keys, F.col("_c.i").alias("i"), F.col("_c.a").alias("a")).agg(*sums)
-    rows = rows.select(*keys, "i", F.explode(F.array(*(F.struct(F.lit(j).alias("j"), F.col(f"_n{j}").alias("n"), F.col(f"_s{j}").alias("s"), F.col(f"_q{j}").alias("q")) for j in range(len(numeric))))).alias("_y")).select(*keys, "i", "_y.*")
-    one = rows.groupBy(*keys, "i", "j").agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.sum(F.when(F.col("n") > 0, F.col("s") * F.col("s") / F.col("n"))).alias("g"))
-    all_, between = F.col("q") - F.col("s") * F.col("s") / F.col("n"), F.col("g") - F.col("s") * F.col("s") / F.col("n")
-    return one.select(*keys, "i", "j", F.when((F.col("n") > 0) & (all_ > 1e-12 * F.col("q")), F.sqrt(F.greatest(between, F.lit(0.0)) / all_)).otherwise(0.0).alias("r"))
+    return associations(df, keys, categorical, "cramers_v")
 
 
 def _pair_difference(real: DataFrame, syn: DataFrame, value: str = "r") -> DataFrame:
@@ -314,11 +280,7 @@ def corr_diff(real: DataFrame, syn: DataFrame, numeric: list[str], categorical:
 
 def mutual_information(df: DataFrame, keys: list[str], categorical: list[str]) -> DataFrame:
     """(keys, i, j, r): mutual information of each pair of columns over the root of their entropies' product, 0 where one has a single value."""
-    rows = _pair_shares(df, keys, categorical)
-    h = lambda x: -F.sum(F.col("p") * F.ln(x))
-    mi = F.sum(F.col("p") * F.ln(F.col("p") / (F.col("pa") * F.col("pb"))))
-    both = h("pa") * h("pb")
-    return rows.groupBy(*keys, "i", "j").agg(F.when(both > 0, mi / F.sqrt(both)).otherwise(0.0).alias("r"))
+    return associations(df, keys, categorical, "mutual_information")
 
 
 def mi_diff(real: DataFrame, syn: DataFrame, categorical: list[str]) -> DataFrame:

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import numpy as np
+from pyspark.sql import Column, DataFrame, functions as F
 
 from quarrystone.functions.session import checkpointed, small
 from quarrystone.operators.clean import is_numeric
 from quarrystone.operators.fidelity import mutual_information
-from quarrystone.operators.order import quantiles
+from quarrystone.operators.order import cumulative, quantiles
 from quarrystone.operators.split import unit_hash
 
+#: Columns drawn before the lineage of the rows is cut.
+CUT_EVERY = 8
+
 
 def discretise(df: DataFrame, columns: list[str], bins: int = 10) -> tuple[DataFrame, dict[str, list[float]]]:
     """columns as text categories, and the bins' edges: numeric columns of many values by quantile bins (their numbers), others as they are.
@@ -35,38 +39,66 @@ def discretise(df: DataFrame, columns: list[str], bins: int = 10) -> tuple[DataF
 
 def spanning_tree(weights: dict[tuple[int, int], float], n: int) -> list[tuple[int, int | None]]:
     """(node, parent) in an order in which parents come first: the maximum spanning tree, grown from node 0; ties go to the lower pair."""
-    order, left = [(0, None)], set(range(1, n))
-    weight = lambda i, j: weights.get((min(i, j), max(i, j)), 0.0)
-    while left:
-        w, j, i = max(((weight(i, j), -j, -i) for i, _ in order for j in left), key=lambda x: x)
-        order.append((-j, -i))
-        left.discard(-j)
+    w = np.zeros((n, n))
+    for (i, j), x in weights.items():
+        w[i, j] = w[j, i] = x
+    best, parent, left = w[0].copy(), np.zeros(n, int), np.ones(n, bool)
+    order: list[tuple[int, int | None]] = [(0, None)]
+    left[0] = False
+    for _ in range(n - 1):
+        j = int(np.flatnonzero(left)[best[left].argmax()])
+        order.append((j, int(parent[j])))
+        left[j] = False
+        better = (w[j] > best) | ((w[j] == best) & (j < parent))
+        best, parent = np.where(better, w[j], best), np.where(better, j, parent)
     return order
 
 
+def conditional_table(codes: DataFrame, column: str, given: str | None) -> tuple[DataFrame, DataFrame]:
+    """A column's values beside each value of another as ranges of whole numbers, as long as their counts.
+
+    Returns parents (p, base, total, width) and ranges (p, b, lo, hi, value): all ranges lie one after
+    another, those of one parent from base to base + total, and each stands in every bucket b of
+    width numbers from base on that it reaches into. There are up to three times as many rows as
+    pairs of values, none of which holds a list, and a bucket of few ranges for each number drawn.
+    """
+    counts = codes.groupBy((F.lit("") if given is None else F.col(given)).alias("p"), F.col(column).alias("value")).agg(F.count("*").alias("n"))
+    ends = checkpointed(cumulative(counts, ["p", "value"], "n", "hi").withColumn("lo", F.col("hi") - F.col("n")))
+    parents = ends.groupBy("p").agg(F.min("lo").alias("base"), F.sum("n").alias("total"), F.ceil(F.sum("n") / F.count("*")).alias("width"))
+    at = lambda x: F.floor((x - F.col("base")) / F.col("width"))
+    ranges = ends.join(parents, "p").select("p", F.explode(F.sequence(at(F.col("lo")), at(F.col("hi") - 1))).alias("b"), "lo", "hi", "value")
+    return small(parents), small(ranges)
+
+
+def draw_values(rows: DataFrame, parents: DataFrame, ranges: DataFrame, given: Column, u: Column, name: str) -> DataFrame:
+    """rows with ``name``, drawn from the table of their value ``given`` by a number ``u`` in (0, 1); rows whose value has no table go."""
+    known = rows.withColumns({"_p": given, "_u": u}).join(parents.withColumnRenamed("p", "_q"), F.col("_p") == F.col("_q"))
+    place = F.least(F.floor(F.col("_u") * F.col("total")), F.col("total") - 1)
+    known = known.withColumns({"_r": F.col("base") + place, "_b": F.floor(place / F.col("width"))})
+    here = (F.col("_p") == F.col("p")) & (F.col("_b") == F.col("b")) & (F.col("_r") >= F.col("lo")) & (F.col("_r") < F.col("hi"))
+    return known.join(ranges, here).select(*rows.columns, F.col("value").alias(name))
+
+
 def bayes_net_generate(df: DataFrame, columns: list[str], n: int, bins: int = 10, seed: int = 7) -> DataFrame:
     """n rows from a tree-shaped Bayesian network: id and the columns.
 
     Numeric columns are cut at quantiles; the tree is the maximum spanning tree of the pairs'
     mutual information (columns x columns numbers on the driver); conditional tables are groupings.
-    Values are drawn from the root down by joining each row's parent value with its table of
-    cumulative shares and a hash of the row's id; a number lies evenly in its bin. Nulls are
-    drawn like a value.
+    Values are drawn from the root down: a hash of the row's id falls into one of the ranges that
+    its parent value's counts make (``conditional_table``), found by an equality join on buckets of
+    them; a number lies evenly in its bin. Nulls are drawn like a value.
     """
     codes, edges = discretise(df, columns, bins)
     codes = checkpointed(codes.select(*(F.coalesce(c, F.lit("\0null")).alias(c) for c in columns)))
     pairs = mutual_information(codes, [], columns).collect() if len(columns) > 1 else []
     tree = spanning_tree({(r["i"], r["j"]): r["r"] for r in pairs}, len(columns))
     rows, key = df.sparkSession.range(n), F.col("id").cast("string")
-    for node, parent in tree:
-        c, given = columns[node], [] if parent is None else [columns[parent]]
-        counts = codes.groupBy(*given, c).agg(F.count("*").alias("_n"))
-        share = F.sum("_n").over(W.partitionBy(*given).orderBy(c)) / F.sum("_n").over(W.partitionBy(*given))
-        steps = counts.select(*(F.col(g).alias("_p") for g in given), F.struct(share.alias("up"), F.col(c).alias("value")).alias("s"))
-        table = small(steps.groupBy(*["_p"] * len(given)).agg(F.sort_array(F.collect_list("s")).alias("_t")))
-        rows = rows.join(table, F.col(given[0]) == F.col("_p")).drop("_p") if given else rows.crossJoin(table)
-        drawn = F.filter("_t", lambda s: s["up"] >= unit_hash(key, "draw", node, seed))
-        rows = rows.withColumn(c, F.coalesce(F.get(drawn, F.lit(0)), F.element_at("_t", -1))["value"]).drop("_t")
+    for step, (node, parent) in enumerate(tree):
+        given = None if parent is None else columns[parent]
+        tables = conditional_table(codes, columns[node], given)
+        rows = draw_values(rows, *tables, F.lit("") if given is None else F.col(given), unit_hash(key, "draw", node, seed), columns[node])
+        if step % CUT_EVERY == CUT_EVERY - 1:
+            rows = checkpointed(rows)
     out = []
     for i, c in enumerate(columns):
         value = F.when(F.col(c) != "\0null", F.col(c))

@@ -1,6 +1,7 @@
 """Candidates and the evaluation stage: shares, repeatability, failures that stay where they are."""
 
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,26 @@ def test_membership_and_utility_have_the_right_direction(spark, real):
     assert labelled.join(real.select("key", F.col("c").alias("was")), "key").filter("c = was").count() > 360
     over = [r.c for r in le.oversample_then_subsample(real, "c", ["u", "v"], 90).collect()]
     assert len(over) == 90 and abs(over.count("a") / 90 - 2 / 3) < 0.1
+
+
+def test_a_text_column_of_very_many_values(spark):
+    """Every value of the wide column once, a few of the other very often: draws follow the pairs that are there."""
+    n = 1_000_000
+    real = spark.range(0, n, 1, 4).select(F.concat(F.lit("name "), F.col("id").cast("string")).alias("wide"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), F.col("id") % 50)).alias("few"))
+    made = ge.bayes_net_generate(real, ["few", "wide"], 3000)
+    made.persist()
+    number = F.substring("wide", 6, 9).cast("long")
+    right = F.col("few") == F.when(number % 3 == 0, "hot").otherwise(F.concat(F.lit("v"), number % 50))
+    r = made.agg(F.count("*").alias("n"), F.count_if(right).alias("right"), F.count_distinct("wide").alias("d"), F.count_if(F.col("few") == "hot").alias("hot")).first()
+    made.unpersist()
+    assert r.n == r.right == 3000 and r.d > 2950 and abs(r.hot - 1000) < 150
+
+
+def test_ranges_are_found_whatever_the_counts(spark):
+    rows = [("p", "big")] * 500 + [("p", f"x{i}") for i in range(40)] + [("q", "only")] * 7
+    codes = spark.createDataFrame(rows, "g string, c string")
+    parents, ranges = ge.conditional_table(codes, "c", "g")
+    assert {(r.p, r.total) for r in parents.collect()} == {("p", 540), ("q", 7)} and ranges.count() <= 3 * 42
+    asked = spark.range(540).select("id", F.lit("p").alias("g"), ((F.col("id") + 0.5) / 540).alias("u")).unionByName(spark.createDataFrame([(900, "q", 0.999), (901, "none", 0.5)], "id bigint, g string, u double"))
+    got = Counter(r.c for r in ge.draw_values(asked, parents, ranges, F.col("g"), F.col("u"), "c").collect())
+    assert got == Counter({"big": 500, "only": 1} | {f"x{i}": 1 for i in range(40)})
