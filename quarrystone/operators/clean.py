@@ -11,8 +11,11 @@ from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from quarrystone.operators.order import number_values
+from quarrystone.functions.session import BROADCAST_BYTES, BROADCAST_ROWS, checkpointed
+from quarrystone.operators.order import cumulative, number_values
 
+#: Values of the columns of a type that are sorted on the driver rather than by ranges.
+SORTED_HERE = 4096
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
@@ -113,11 +116,46 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     return number_values(df.select(F.col(column).alias("value")).filter("value IS NOT NULL").distinct())
 
 
+def label_tables(df: DataFrame, columns: list[str]) -> list[tuple[list[str], DataFrame]]:
+    """Codes of all columns' values, a table (column, value, code) for each data type; a column goes by its place in ``columns``.
+
+    Values are numbered from 0 in their order. All columns of a type are stacked and numbered in one pass.
+    """
+    out = []
+    for kind in dict.fromkeys(df.schema[c].dataType for c in columns):
+        own = [c for c in columns if df.schema[c].dataType == kind]
+        names = [str(columns.index(c)) for c in own]
+        long = df.select(*(F.col(c).alias(n) for c, n in zip(own, names))).unpivot([], names, "column", "value")
+        values = checkpointed(long.filter("value IS NOT NULL").distinct())
+        few = values.limit(SORTED_HERE + 1).collect()
+        if len(few) <= SORTED_HERE:  # these are all
+            by: dict[str, list] = {}
+            for r in few:
+                by.setdefault(r["column"], []).append(r["value"])
+            rows = [(n, v, i) for n, of in by.items() for i, v in enumerate(sorted(of))]
+            out.append((own, df.sparkSession.createDataFrame(rows, T.StructType().add("column", "string").add("value", kind).add("code", "integer"))))
+            continue
+        placed = cumulative(values.withColumn("_one", F.lit(1).cast("bigint")), ["column", "value"], "_one", "_cum")
+        first = placed.groupBy("column").agg(F.min("_cum").alias("_first"))  # a row for each column
+        out.append((own, checkpointed(placed.join(F.broadcast(first), "column").select("column", "value", (F.col("_cum") - F.col("_first")).cast("int").alias("code")))))
+    return out
+
+
 def label_encode(df: DataFrame, columns: list[str]) -> DataFrame:
-    for c in columns:
-        codes = label_codes(df, c).select(F.col("value").alias("_v"), F.col("code").alias("_c"))
-        df = df.join(codes, F.col(c) == F.col("_v"), "left").withColumn(c, F.col("_c")).drop("_v", "_c")
-    return df
+    """Each value's place among its column's distinct values in order, from 0; null stays null.
+
+    The codes of all columns are made first and from ``df`` itself; then each column is joined with its
+    own, by broadcast up to BROADCAST_ROWS values, so the plan grows by one join a column.
+    """
+    names, rows = df.columns, df
+    for own, codes in label_tables(df, columns):
+        sizes = {r["column"]: (r["n"], r["b"]) for r in codes.groupBy("column").agg(F.count("*").alias("n"), F.sum(F.octet_length(F.col("value").cast("string"))).alias("b")).collect()}
+        for c in own:
+            place = str(columns.index(c))
+            n, size = sizes.get(place, (0, 0))
+            table = codes.filter(F.col("column") == place).select(F.col("value").alias(f"_v_{place}"), F.col("code").alias(f"_c_{place}"))
+            rows = rows.join(F.broadcast(table) if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES else table, F.col(c) == F.col(f"_v_{place}"), "left")
+    return rows.select(*(F.col(f"_c_{columns.index(c)}").alias(c) if c in columns else F.col(c) for c in names))
 
 
 def label_decode(df: DataFrame, maps: dict[str, list]) -> DataFrame:

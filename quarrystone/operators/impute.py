@@ -26,12 +26,27 @@ def mean_fill(df: DataFrame, columns: list[str]) -> DataFrame:
     return with_stats(df, stats).select(*(F.coalesce(F.col(c), F.col(f"_m_{c}")).alias(c) if c in columns else F.col(c) for c in df.columns))
 
 
+def modes(df: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: for each column <its place> the most frequent value, the smallest of them; null where there is none.
+
+    All columns of a type are counted in one grouping of (column, value), so the plan doesn't grow with them.
+    """
+    parts = []
+    for kind in dict.fromkeys(df.schema[c].dataType for c in columns):
+        own = [(i, c) for i, c in enumerate(columns) if df.schema[c].dataType == kind]
+        long = df.select(*(F.col(c).alias(f"_{i}") for i, c in own)).unpivot([], [f"_{i}" for i, _ in own], "column", "value")
+        counts = long.filter("value IS NOT NULL").groupBy("column", "value").agg(F.count("*").alias("n"))
+        here = lambda i, x: F.when(F.col("column") == f"_{i}", x)
+        parts.append(counts.agg(*(F.min_by(here(i, F.col("value")), here(i, F.struct(-F.col("n"), F.col("value")))).alias(f"_t_{i}") for i, _ in own)))
+    return reduce(DataFrame.crossJoin, parts)  # one row each
+
+
 def mode_fill(df: DataFrame, columns: list[str]) -> DataFrame:
     """The most frequent value, the smallest of them, in the gaps of categorical columns."""
-    for c in columns:
-        top = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("_t")).count().agg(F.min_by("_t", F.struct(-F.col("count"), F.col("_t"))).alias("_t"))
-        df = with_stats(df, top).withColumn(c, F.coalesce(F.col(c), F.col("_t"))).drop("_t")
-    return df
+    if not columns:
+        return df
+    place = {c: i for i, c in enumerate(columns)}
+    return with_stats(df, modes(df, columns)).select(*(F.coalesce(F.col(c), F.col(f"_t_{place[c]}")).alias(c) if c in place else F.col(c) for c in df.columns))
 
 
 def constant_shortcut(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -190,7 +205,7 @@ def score_categorical(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def score_masked(truth: DataFrame, imputed: DataFrame, mask: DataFrame, key: str, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, DataFrame]:
     """Per-column metrics (column, metric, value), and the summary with the objective."""
-    rows, parts = masked_rows(truth, imputed, mask, key, [*numeric, *categorical]), []
+    rows, parts = checkpointed(masked_rows(truth, imputed, mask, key, [*numeric, *categorical])), []
     if numeric:
         parts.append(score_numeric(rows, numeric).unpivot("column", ["mae", "rmse"], "metric", "value"))
     if categorical:

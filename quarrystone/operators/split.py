@@ -1,8 +1,8 @@
 """Splits, samples and masks, all decided by hashes of row keys and a seed.
 
-A choice of exactly k rows never sorts a whole group in one task: rows are counted by
-slices of their hash, slices beyond the k-th row are left out before anything is
-shuffled, and the rest is numbered slice by slice.
+A choice of exactly k rows never sorts a group: rows are counted by slices of their hash,
+and only the slice that holds the k-th row is ranked. The row found there is a bound that
+every row is held against where it stands, so nothing else is shuffled.
 """
 
 from __future__ import annotations
@@ -27,21 +27,31 @@ def unit_hash_of(text: str) -> float:
     return (int(hashlib.md5(text.encode()).hexdigest()[:12], 16) + 0.5) / float(1 << 48)
 
 
-def take_smallest(df: DataFrame, group: list[str], order: str, key: str, k) -> DataFrame:
-    """For each group the rows with the smallest ``order`` (in [0, 1)).
+def last_taken(df: DataFrame, group: list[str], order: str, key: str, k) -> DataFrame:
+    """(group, _tu, _tk): order and key of the last of the rows with the smallest ``order`` (in [0, 1)) that each group takes.
 
     How many: ``k`` is a table (group, take), or a function from a group's count to that number.
-    The rows are read twice: for the counts of their slices, and to be taken.
+    Groups that take none have no row. Rows are counted by slices of ``order``; only the slice in
+    which a group's number is reached, one of SLICES, is shuffled and ranked.
     """
     df = df.withColumn("_s", F.floor(F.col(order) * SLICES).cast("int"))
     counts = df.groupBy(*group, "_s").agg(F.count("*").alias("_n"))
     before = W.partitionBy(*group).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)
     counts = counts.withColumn("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     counts = counts.withColumn("take", k(F.sum("_n").over(W.partitionBy(*group)))) if callable(k) else counts.join(k, group)
-    slices = counts.filter("_b < take").select(*group, "_s", (F.col("take") - F.col("_b")).alias("_left"))
-    rows = df.join(small(slices), [*group, "_s"])
-    place = F.row_number().over(W.partitionBy(*group, "_s").orderBy(order, key))
-    return rows.withColumn("_r", place).filter("_r <= _left").select(*[c for c in df.columns if c != "_s"])
+    edge = counts.filter("_b < take").groupBy(*group).agg(F.max("_s").alias("_e"), F.max_by(F.least(F.col("take") - F.col("_b"), F.col("_n")), "_s").alias("_left"))
+    rows = df.join(small(edge), group).filter("_s = _e").select(*group, order, key, "_left")
+    place = F.row_number().over(W.partitionBy(*group).orderBy(order, key))
+    return small(rows.withColumn("_r", place).filter("_r = _left").select(*group, F.col(order).alias("_tu"), F.col(key).alias("_tk")))
+
+
+def _taken(order: str, key: str) -> Column:
+    return (F.col(order) < F.col("_tu")) | ((F.col(order) == F.col("_tu")) & (F.col(key) <= F.col("_tk")))
+
+
+def take_smallest(df: DataFrame, group: list[str], order: str, key: str, k) -> DataFrame:
+    """For each group the rows with the smallest ``order``, as ``last_taken`` counts them; keys are unique within a group and not null."""
+    return df.join(last_taken(df, group, order, key, k), group).filter(_taken(order, key)).select(*df.columns)
 
 
 def split_by_threshold(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -55,8 +65,9 @@ def train_test_split(df: DataFrame, key: str, fraction: float = 0.6667, seed: in
     u = df.withColumns({"_u": unit_hash(F.col(key), seed), "_g": F.col(stratify) if stratify else F.lit(0)})
     u = u.withColumn("_g", F.coalesce(F.col("_g").cast("string"), F.lit("\0")))
     sizes = u.groupBy("_g").agg(F.bround(F.count("*") * F.lit(fraction), 0).cast("bigint").alias("take"))
-    train = take_smallest(u.select(key, "_g", "_u"), group, "_u", key, sizes).select(key, F.lit("train").alias("split"))
-    return df.join(train, key, "left").withColumn("split", F.coalesce("split", F.lit("test")))
+    last = last_taken(u.select(key, "_g", "_u"), group, "_u", key, sizes)
+    split = F.when(F.coalesce(_taken("_u", key), F.lit(False)), "train").otherwise("test")
+    return u.join(last, "_g", "left").withColumn("split", split).select(*(c for c in df.columns if c != "split"), "split")
 
 
 def split_by_membership(imputed: DataFrame, split: DataFrame, key: str) -> DataFrame:

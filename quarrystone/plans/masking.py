@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quarrystone.functions.session import checkpointed
 from quarrystone.operators import impute as im, split as sp
 from quarrystone.plans.catalog import CAND, LI, LI1 as _LI1, LN, LN1 as _LN1, REAL, cand, li, ln, query, real, t, unique_li
 
@@ -29,7 +30,7 @@ def rolled(s, d):
 
 @query("train_test_split", f"WITH {_LI1}, {SPLIT} SELECT row_id, split FROM sp")
 def _(s, d):
-    return sp.train_test_split(rolled(s, d).select("row_id", "l_returnflag"), "row_id", stratify="l_returnflag").select("row_id", "split")
+    return sp.train_test_split(checkpointed(rolled(s, d).select("row_id", "l_returnflag")), "row_id", stratify="l_returnflag").select("row_id", "split")
 
 
 @query("split_by_threshold", f"WITH {LI} SELECT row_id, CASE WHEN {u('row_id', 42)} < 0.6667 THEN 'train' ELSE 'test' END AS split FROM li")
@@ -39,7 +40,7 @@ def _(s, d):
 
 @query("split_by_membership", f"WITH {_LI1}, {SPLIT} SELECT row_id, l_quantity, split FROM sp WHERE l_quantity > 10")
 def _(s, d):
-    x = rolled(s, d)
+    x = checkpointed(rolled(s, d).select("row_id", "l_quantity", "l_returnflag"))
     return sp.split_by_membership(x.filter("l_quantity > 10").select("row_id", "l_quantity"), sp.train_test_split(x.select("row_id", "l_returnflag"), "row_id", stratify="l_returnflag"), "row_id")
 
 
@@ -90,7 +91,7 @@ def _mask_sql(mechanism: str, seed: int, frac: float = 0.2, features: list[str]
 
 
 def lnu(s, d):
-    return ln(s, d, unique_li(s, d))
+    return checkpointed(ln(s, d, unique_li(s, d)))  # numbering rows of equal keys shuffles lineitem, and operators read their input more than once
 
 
 def mask(s, d, mechanism="mcar", seed=5):
