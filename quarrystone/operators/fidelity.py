@@ -309,10 +309,16 @@ def k_anonymization(syn: DataFrame, quasi: list[str]) -> DataFrame:
     return class_sizes(syn, quasi, ["model"]).groupBy("model").agg(F.min("n").alias("value"))
 
 
+def _beside_real(real: DataFrame, classes: DataFrame, quasi: list[str]) -> DataFrame:
+    """classes with _r, how many real rows are of the same class, 0 if none; null is a value like any other."""
+    sizes = class_sizes(real, quasi).select(*(F.col(c).alias(f"_q{i}") for i, c in enumerate(quasi)), F.col("n").alias("_n"))
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(f"_q{i}")) for i, c in enumerate(quasi)))
+    return classes.join(sizes, same, "left").select(*classes.columns, F.coalesce("_n", F.lit(0)).alias("_r"))
+
+
 def k_map(real: DataFrame, syn: DataFrame, quasi: list[str]) -> DataFrame:
-    """The smallest real count behind a class that a candidate uses."""
-    classes = syn.select("model", *quasi).distinct()
-    return classes.join(class_sizes(real, quasi), quasi, "left").groupBy("model").agg(F.min(F.coalesce("n", F.lit(0))).alias("value"))
+    """The smallest real count behind a class that a candidate uses; null is a value."""
+    return _beside_real(real, syn.select("model", *quasi).distinct(), quasi).groupBy("model").agg(F.min("_r").alias("value"))
 
 
 def l_diversity(syn: DataFrame, quasi: list[str], sensitive: str) -> DataFrame:
@@ -320,9 +326,9 @@ def l_diversity(syn: DataFrame, quasi: list[str], sensitive: str) -> DataFrame:
 
 
 def delta_presence(real: DataFrame, syn: DataFrame, quasi: list[str]) -> DataFrame:
-    """The largest ratio of a class' candidate count to its real count."""
-    a, b = class_sizes(real, quasi).withColumnRenamed("n", "r"), class_sizes(syn, quasi, ["model"])
-    return b.join(a, quasi).groupBy("model").agg(F.max(F.col("n") / F.col("r")).alias("value"))
+    """The largest ratio of a class' candidate count to its real count; null is a value. A model whose classes have no real row has none."""
+    both = _beside_real(real, class_sizes(syn, quasi, ["model"]), quasi)
+    return both.groupBy("model").agg(F.max(F.when(F.col("_r") > 0, F.col("n") / F.col("_r"))).alias("value"))
 
 
 def hit_rate(real: DataFrame, syn: DataFrame, categorical: list[str], numeric: list[str], key: str, share: float = 1 / 30, bucketed: int = 3) -> DataFrame:

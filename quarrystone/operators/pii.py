@@ -11,6 +11,7 @@ import re
 from functools import reduce
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 #: (entity, pattern, score); written to mean the same in Python's (ASCII classes) and RE2's syntax.
@@ -38,31 +39,91 @@ def luhn(digits: str) -> bool:
     return (sum(int(d) for d in digits[-1::-2]) + sum(d - 9 if d > 9 else d for d in doubled)) % 10 == 0
 
 
-def search(df: DataFrame, text: str, patterns: list[tuple[str, str, float]], out: str) -> DataFrame:
-    """df with the array ``out`` of all matches, pattern by pattern, each in order of place; a null text has none."""
+#: A word of the context adds so much to a finding's score, which is then no less than the second number (fixed values).
+CONTEXT_GAIN, CONTEXT_LEAST = 0.35, 0.4
+#: Words before and after a finding that are its context.
+CONTEXT_BEFORE, CONTEXT_AFTER = 5, 0
+#: Characters of text searched at once in a task; a longer text is a slice of its own.
+SLICE_CHARS = 1 << 20
+_WORD = re.compile(r"[A-Za-z0-9_]+")
+
+
+def supported(text: str, start: int, end: int, words: frozenset[str], before: int, after: int) -> bool:
+    """Does one of the nearest words before or after a finding, in lower case, belong to ``words``?"""
+    near, width = [], 32 * before
+    while before:  # look back until there are enough words or the text begins
+        low = max(0, start - width)
+        near = _WORD.findall(text, low, start)
+        if low == 0 or len(near) > before:
+            break
+        width *= 4
+    near = near[-before:] if before else []
+    if after:
+        for i, m in enumerate(_WORD.finditer(text, end)):
+            if i == after:
+                break
+            near.append(m[0])
+    return any(w.lower() in words for w in near)
+
+
+def pattern_table(spark, patterns: list[tuple]) -> DataFrame:
+    """(entity, pattern, score, context): patterns as rows, to be stored and joined with others; context may be left out."""
+    rows = [(p[0], p[1], float(p[2]), list(p[3]) if len(p) > 3 and p[3] else None) for p in patterns]
+    return spark.createDataFrame(rows, "entity string, pattern string, score double, context array<string>")
+
+
+def search(df: DataFrame, text: str, patterns: list[tuple] | DataFrame, out: str, before: int = CONTEXT_BEFORE, after: int = CONTEXT_AFTER) -> DataFrame:
+    """df with the array ``out`` of all matches, pattern by pattern, each in order of place; a null text has none.
+
+    A pattern is (entity, regular expression, score) or has a list of context words as well, any of which
+    near a match raises its score; or ``patterns`` is a table like that of ``pattern_table``, of a bounded
+    number of rows.
+    """
     df = df.drop(out)
     names = df.columns
+    if isinstance(patterns, DataFrame):
+        patterns = [tuple(r) for r in patterns.select("entity", "pattern", "score", "context").orderBy("entity", "pattern").collect()]
 
     def run(batches):
-        compiled = [(e, re.compile(p, re.ASCII), float(s)) for e, p, s in patterns]
-        for b in batches:
-            rows = []
-            for t in b.column(text).to_pylist():
-                found = []
-                for e, p, s in compiled:
-                    for m in p.finditer(t or ""):
-                        if m.end() > m.start() and (e != "CREDIT_CARD" or luhn(m[0].translate({32: None, 45: None}))):
-                            found.append({"entity": e, "start": m.start(), "end": m.end(), "score": s, "text": m[0]})
-                rows.append(found)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _FOUND)], names=[*names, out])
+        compiled = [(p[0], re.compile(p[1], re.ASCII), float(p[2]), frozenset(w.lower() for w in p[3]) if len(p) > 3 and p[3] else None) for p in patterns]
+        for whole in batches:
+            sizes = pc.fill_null(pc.binary_length(whole.column(text)), 0).to_numpy(zero_copy_only=False)
+            for start, n in _runs(sizes):
+                b = whole.slice(start, n)
+                rows = []
+                for t in b.column(text).to_pylist():
+                    found = []
+                    for e, p, s, context in compiled:
+                        for m in p.finditer(t or ""):
+                            if m.end() > m.start() and (e != "CREDIT_CARD" or luhn(m[0].translate({32: None, 45: None}))):
+                                raised = context is not None and supported(t, m.start(), m.end(), context, before, after)
+                                score = min(1.0, max(s + CONTEXT_GAIN, CONTEXT_LEAST)) if raised else s
+                                found.append({"entity": e, "start": m.start(), "end": m.end(), "score": score, "text": m[0]})
+                    rows.append(found)
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, _FOUND)], names=[*names, out])
 
     schema = df.limit(0).withColumn(out, F.array().cast(FINDING)).schema
     return df.mapInArrow(run, schema)
 
 
-def pattern_findings(df: DataFrame, text: str = "text", patterns: list[tuple[str, str, float]] = PATTERNS, entities: list[str] | None = None) -> DataFrame:
-    """Add ``findings``; card numbers must pass Luhn's check."""
-    return search(df, text, [p for p in patterns if not entities or "All" in entities or p[0] in entities], "findings")
+def _runs(sizes):
+    """(first row, rows) of slices of about SLICE_CHARS bytes."""
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and total + n > SLICE_CHARS:
+            yield start, i - start
+            start, total = i, 0
+        total += n
+    if start < len(sizes):
+        yield start, len(sizes) - start
+
+
+def pattern_findings(df: DataFrame, text: str = "text", patterns: list[tuple] | DataFrame = PATTERNS, entities: list[str] | None = None) -> DataFrame:
+    """Add ``findings``; card numbers must pass Luhn's check, context words raise scores (``search``)."""
+    if not entities or "All" in entities:
+        return search(df, text, patterns, "findings")
+    known = patterns.filter(F.col("entity").isin(entities)) if isinstance(patterns, DataFrame) else [p for p in patterns if p[0] in entities]
+    return search(df, text, known, "findings")
 
 
 def deny_list(df: DataFrame, words: list[str], text: str = "text", entity: str = "GENERIC_PII") -> DataFrame:

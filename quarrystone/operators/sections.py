@@ -7,6 +7,8 @@ tokens in Arrow batches. A document is the unit of work, so nothing grows past o
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -173,14 +175,16 @@ def header_levels(tokens: DataFrame) -> DataFrame:
 def parse_sections(df: DataFrame, content: str = "content", id_col: str | None = None, metadata: list[str] = (), max_words: int = MAX_HEADER_WORDS) -> DataFrame:
     """Content rows with their headers: id, metadata, start_line, level, length, parents, parent_types, content.
 
-    Without an id column the id is the content's hash. Ids are to be unique.
+    Without an id column the id is the content's hash; then each distinct content is parsed once, and documents
+    of equal content have their rows each. Ids of an id column are to be unique.
     """
     missing = [c for c in [content, *([id_col] if id_col else []), *metadata] if c not in df.columns]
     if missing:
         raise ValueError(f"no such columns: {missing}")
     docs = df.select((F.col(id_col) if id_col else content_id(F.col(content))).alias("id"), F.col(content).alias("content"), *metadata)
-    rows = header_levels(content_blocks(classify_lines(markdown_lines(docs), max_words))).filter("NOT is_header").drop("part", "is_header")
-    if metadata:
+    texts = docs if id_col else docs.select("id", "content").dropDuplicates(["id"])
+    rows = header_levels(content_blocks(classify_lines(markdown_lines(texts), max_words))).filter("NOT is_header").drop("part", "is_header")
+    if metadata or not id_col:
         rows = rows.join(docs.select("id", *metadata), "id")
     return rows.select("id", *metadata, "start_line", "level", "length", "parents", "parent_types", "content")
 
@@ -326,6 +330,43 @@ def training_losses(df: DataFrame, text: str = "text", keys: list[str] = ("id",)
 
 
 def sections_json(df: DataFrame) -> DataFrame:
-    """id, json: a document's sections in order."""
+    """id, json: a document's sections in order, as a flat list; ``sections_tree`` nests them."""
     rows = F.sort_array(F.collect_list(F.struct("start_line", "level", "parents", "parent_types", "content")))
     return df.groupBy("id").agg(F.to_json(F.struct(rows.alias("sections"))).alias("json"))
+
+
+def nested(tokens: list[dict]) -> list[dict]:
+    """A document's tokens in order as a tree: a header holds what follows at deeper levels, a text what it says."""
+    root: list[dict] = []
+    open_: list[tuple[int, list[dict]]] = [(0, root)]
+    for t, (level, _, _) in zip(tokens, fold_levels(tokens)):
+        while len(open_) > 1 and open_[-1][0] >= level:
+            open_.pop()
+        item = {"type": "header" if t["is_header"] else "content", "text": t["content"], "level": level, "line_number": t["start_line"]}
+        if t["is_header"]:
+            item |= {"metadata": {k: t[k] for k in ("marker", "marker_count", "case", "signature")}, "sections": []}
+        open_[-1][1].append(item)
+        if t["is_header"]:
+            open_.append((level, item["sections"]))
+    return root
+
+
+def sections_tree(df: DataFrame, content: str = "content", id_col: str = "id", metadata: list[str] = (), max_words: int = MAX_HEADER_WORDS) -> DataFrame:
+    """id, json: for each document an object of its id, its metadata, and its sections inside one another.
+
+    Null and blank documents have no sections; ids are to be unique. Metadata columns may be of any type.
+    """
+    docs = df.select(F.col(id_col).alias("id"), F.col(content).alias("content"), F.to_json(F.struct(F.col(id_col).alias("id"), *metadata)).alias("meta"))
+    tokens = content_blocks(classify_lines(markdown_lines(docs.select("id", "content")), max_words))
+    fields = ["start_line", "part", "is_header", "content", "marker", "marker_count", "case", "signature", "inline"]
+    lists = tokens.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("tokens"))
+    kind = docs.schema["id"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for meta, toks in zip(b.column("meta").to_pylist(), b.column("tokens").to_pylist()):
+                out.append(json.dumps(json.loads(meta) | {"sections": nested(toks or [])}, ensure_ascii=False))
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.string())], names=["id", "json"])
+
+    return docs.select("id", "meta").join(lists, "id", "left").mapInArrow(run, f"id {kind}, json string")

@@ -272,6 +272,28 @@ def _(s, d):
     return _r(f.delta_presence(real(s, d), cand(s, d), QUASI))
 
 
+_GAPS = "CASE WHEN l_returnflag <> 'N' THEN l_returnflag END"  # a quasi-identifier with nulls on both sides, and a model without any real class
+_GAPPED = f"{SIDES}, rg AS (SELECT {_GAPS} AS f, l_linestatus, l_linenumber FROM rl), cg AS (SELECT model, {_GAPS} AS f, l_linestatus, l_linenumber FROM cand UNION ALL SELECT 'strange', 'X', l_linestatus, l_linenumber FROM cand WHERE model = 'cand_a'), rn AS (SELECT f, l_linestatus, l_linenumber, count(*) AS n FROM rg GROUP BY ALL), cn AS (SELECT model, f, l_linestatus, l_linenumber, count(*) AS n FROM cg GROUP BY ALL)"
+_SAME = "r.f IS NOT DISTINCT FROM c.f AND r.l_linestatus = c.l_linestatus AND r.l_linenumber = c.l_linenumber"
+
+
+def _gapped(s, d):
+    cut = lambda df: df.withColumn("f", F.expr(_GAPS))
+    c = cut(cand(s, d))
+    strange = c.filter("model = 'cand_a'").withColumns({"model": F.lit("strange"), "f": F.lit("X")})
+    return cut(real(s, d)), c.unionByName(strange), ["f", "l_linestatus", "l_linenumber"]
+
+
+@query("k_map_nulls", f"WITH {_GAPPED} SELECT model, min(coalesce(r.n, 0))::BIGINT AS value FROM cn c LEFT JOIN rn r ON {_SAME} GROUP BY model")
+def _(s, d):
+    return f.k_map(*_gapped(s, d))
+
+
+@query("delta_presence_nulls", f"WITH {_GAPPED} SELECT model, round(max(c.n / r.n), 6) AS value FROM cn c LEFT JOIN rn r ON {_SAME} GROUP BY model")
+def _(s, d):
+    return _r(f.delta_presence(*_gapped(s, d)))
+
+
 @query("hit_rate", """WITH o AS (SELECT *, c_custkey % 2 AS side FROM customer), tol AS (SELECT (max(c_acctbal) - min(c_acctbal)) / 30 AS w FROM o WHERE side = 0),
 h AS (SELECT DISTINCT a.c_custkey FROM o a JOIN o b ON a.side = 0 AND b.side = 1 AND a.c_nationkey = b.c_nationkey AND a.c_mktsegment = b.c_mktsegment, tol WHERE abs(a.c_acctbal - b.c_acctbal) <= w)
 SELECT 'm' AS model, round((SELECT count(*) FROM h) / (SELECT count(*) FROM o WHERE side = 0), 6) AS value""")

@@ -166,6 +166,32 @@ def _(s, d):
     return rows.select("id", F.size("s").alias("n"), F.get("s", F.lit(0))["content"].alias("first"), F.array_join(F.element_at("s", -1)["parents"], "|").alias("last_parents"))
 
 
+_BODY = "(body <> '')::INT"
+
+
+@query("sections_tree", f"""WITH {SECTIONS} SELECT id, lang, 2 AS n_top, 'REPORT TITLE' AS title, 'doc_' || id AS name, 2 + {_BODY} AS n_inside, 'Part ' || lang AS part, 'seen by staff' AS note, 'none' AS history, 'end ' || source AS last, 9 + n AS last_line, '*3' AS last_mark FROM d""")
+def _(s, d):
+    x = md(s, d).join(t(s, d, "documents").select(F.col("doc_id").alias("id"), "lang"), "id")
+    tree = se.sections_tree(x, metadata=["lang"])
+    at = lambda p: F.get_json_object("json", f"$.{p}")
+    shallow = tree.select("id", at("lang").alias("lang"), F.json_array_length(at("sections")).alias("n_top"), at("sections[0].text").alias("title"), at("sections[0].sections[0].sections[0].text").alias("name"), at("sections[1].sections").alias("json"))
+    rows = shallow.withColumn("n_inside", F.json_array_length("json")).withColumn("i", F.col("n_inside") - 2)
+    inside = F.get(F.from_json("json", "array<string>"), F.col("i")), F.get(F.from_json("json", "array<string>"), F.col("i") + 1)
+    rows = rows.withColumns({"_part": inside[0], "_deep": inside[1]})
+    of = lambda c, p: F.get_json_object(c, f"$.{p}")
+    return rows.select(
+        "id", "lang", "n_top", "title", "name", "n_inside", of("_part", "text").alias("part"), of("_part", "sections[0].sections[0].text").alias("note"), of("_part", "sections[0].sections[1].sections[0].text").alias("history"),
+        of("_deep", "sections[0].text").alias("last"), of("_deep", "line_number").cast("bigint").alias("last_line"), of("_deep", "metadata.signature").alias("last_mark"),
+    )
+
+
+@query("parse_sections_copies", f"WITH {SECTIONS}, two AS (SELECT * FROM sec UNION ALL SELECT * FROM sec) SELECT start_line::INT AS start_line, level::INT AS level, array_to_string(parents, '|') AS parents, content, count(*)::BIGINT AS n FROM two GROUP BY ALL")
+def _(s, d):
+    x = md(s, d).select("content")
+    rows = se.parse_sections(x.unionByName(x), "content")  # every document twice, without ids
+    return rows.groupBy("start_line", "level", F.array_join("parents", "|").alias("parents"), "content").agg(F.count("*").alias("n"))
+
+
 _LOG = "'Epoch: ' || l_linenumber || ' | critic_loss: -' || l_tax || ' | generator_loss: ' || l_discount || '; Epoch: 7 | disc_loss: ' || l_tax || 'e2 | gen_loss: 1'"
 
 
@@ -224,6 +250,21 @@ def _(s, d):
     return pii.findings_table(found(s, d), ["doc_id"]).groupBy("entity").agg(F.count("*").alias("n"))
 
 
+_NUMBER, _NEAR = r"\b[0-9]{4,}\b", ["of", "and", "the", "token", "der", "la", "Version"]
+#: Everything before a match, put together from the pieces between matches, gives its five words of context.
+_CONTEXT = f"""WITH p AS (SELECT doc_id, string_split_regex(text, {_q(_NUMBER)}) AS ps, regexp_extract_all(text, {_q(_NUMBER)}) AS ms FROM documents WHERE text IS NOT NULL),
+q AS (SELECT doc_id, i, ms[i] AS text, array_to_string(list_transform(range(1, i + 1), lambda k: ps[k] || CASE WHEN k < i THEN ms[k] ELSE '' END), '') AS before FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM p)),
+r AS (SELECT *, list_has_any(list_transform(regexp_extract_all(before, '[A-Za-z0-9_]+')[-5:], lambda w: lower(w)), {[w.lower() for w in _NEAR]}) AS near FROM q)"""
+
+
+@query("pattern_context", f"{_CONTEXT} SELECT doc_id, i::INT AS place, text, 0.2::DOUBLE AS plain, round(CASE WHEN near THEN 0.55 ELSE 0.2 END, 6) AS raised FROM r")
+def _(s, d):
+    on = pii.pattern_table(s, [("NUMBER", _NUMBER, 0.2, _NEAR)])
+    both = pii.search(pii.pattern_findings(docs(s, d), patterns=[("NUMBER", _NUMBER, 0.2)]), "text", on, "with_context")
+    pairs = both.select("doc_id", F.posexplode(F.arrays_zip("findings", "with_context")).alias("p", "f"))
+    return pairs.select("doc_id", (F.col("p") + 1).alias("place"), F.col("f.findings.text").alias("text"), F.col("f.findings.score").alias("plain"), F.round("f.with_context.score", 6).alias("raised"))
+
+
 _CARD = next(p for e, p, _ in pii.PATTERNS if e == "CREDIT_CARD")
 _DIGITS = "string_split(regexp_replace(text, '[ -]', '', 'g'), '')"
 

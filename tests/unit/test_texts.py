@@ -160,3 +160,34 @@ def test_json_reports(spark):
     df = spark.createDataFrame([(1, 4, 2, ["A"], ["#1"], "é\n\"q\""), (1, 2, 1, [], [], "x")], "id int, start_line int, level int, parents array<string>, parent_types array<string>, content string")
     r = json.loads(se.sections_json(df).first().json)
     assert [s["content"] for s in r["sections"]] == ["x", 'é\n"q"'] and re.match("A", r["sections"][1]["parents"][0])
+
+
+def test_context_raises_scores(spark):
+    rows = [(1, "please CALL me at 1234"), (2, "call one two three four five 1234 and 9"), (3, None), (4, "1234 call"), (5, "call " + "-" * 700 + " 1234"), (6, "recall 1234")]
+    df = spark.createDataFrame(rows, "id int, text string")
+    found = {r.id: [round(f.score, 6) for f in r.findings] for r in pii.pattern_findings(df, patterns=[("N", r"[0-9]{4}", 0.01, ["Call"])]).collect()}
+    assert found == {1: [0.4], 2: [0.01], 3: [], 4: [0.01], 5: [0.4], 6: [0.01]}
+    both = {r.id: [round(f.score, 6) for f in r.f] for r in pii.search(df, "text", pii.pattern_table(spark, [("N", r"[0-9]{4}", 0.5, ["call"])]), "f", 5, 1).collect()}
+    assert both == {1: [0.85], 2: [0.5], 3: [], 4: [0.85], 5: [0.85], 6: [0.5]}
+    assert pii.pattern_findings(df, patterns=pii.pattern_table(spark, [("N", r"[0-9]{4}", 0.5), ("X", r"call", 1.0)]), entities=["X"]).selectExpr("sum(size(findings)) n").first().n == 4
+
+
+def test_texts_are_searched_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SLICE_CHARS", 10)
+    df = spark.createDataFrame([(i, "x1 " * i if i else None) for i in range(12)], "id int, text string")
+    assert all(len(r.findings) == r.id for r in pii.pattern_findings(df, patterns=[("D", "[0-9]", 1.0)]).collect())
+
+
+def test_trees(spark):
+    docs = [(1, "# Alpha\nintro\n## Beta\ndeep\n# Gamma\n**Key:** v", 5), (2, None, 6), (3, "  ", None), (4, "no header", 7)]
+    got = {r.id: json.loads(r.json) for r in se.sections_tree(spark.createDataFrame(docs, "id int, content string, m int"), metadata=["m"]).collect()}
+    brief = lambda s: [(x["text"], x["level"], brief(x["sections"])) if x["type"] == "header" else x["text"] for x in s]
+    assert {i: (v["id"], v.get("m"), brief(v["sections"])) for i, v in got.items()} == {
+        1: (1, 5, [("Alpha", 1, ["intro", ("Beta", 2, ["deep"])]), ("Gamma", 1, [("Key", 2, ["v"])])]), 2: (2, 6, []), 3: (3, None, []), 4: (4, 7, ["no header"]),
+    }
+
+
+def test_documents_of_equal_content_keep_their_rows(spark):
+    docs = spark.createDataFrame([("# A\none\ntwo", 1), ("# A\none\ntwo", 2), ("three", 3), (None, 4)], "content string, m int")
+    rows = se.parse_sections(docs, metadata=["m"]).collect()
+    assert sorted((r.m, r.content, r.parents) for r in rows) == [(1, "one\ntwo", ["A"]), (2, "one\ntwo", ["A"]), (3, "three", [])]
