@@ -12,7 +12,8 @@ runs of siblings from there up to the root) as one message and delivers suffixes
 Leaves are numbered within their groups by a range partition over (group, key, digest), so a group
 that holds a third of all rows is spread over as many partitions as it fills; a partition can only
 go on with one group of the one before, so one number for each partition says all. Texts never
-travel: 32-byte digests do. Rounds are checkpointed, each 1/256 of the one before.
+travel: 32-byte digests do, checkpointed first, so that finding the ranges doesn't hash texts again.
+Rounds are checkpointed, each 1/256 of the one before.
 
 Defined results: a null group is a group of its own and comes first, null keys come first in it.
 Rows of equal keys are ordered by their digests, so equal rows are leaves side by side and give equal
@@ -238,7 +239,7 @@ def _risen(nodes: DataFrame) -> list[DataFrame]:
 def build(df: DataFrame, group: str, key: str, digest: str) -> Manifest:
     """The manifest of df's rows by their digests (32 bytes, ``leaf_digest``); columns of df stay with the leaves."""
     (number,) = spare(df.columns, "leaf_number")
-    leaves = numbered(df, group, [key, digest], number)
+    leaves = numbered(checkpointed(df), group, [key, digest], number)
     rounds = _risen(leaves.select(F.col(group).cast("string").alias("g"), F.col(number).alias("i"), F.col(digest).alias("d")))
     names = numbered(rounds[-1].select("g", "d", F.lit("").alias("all")), "all", ["g"], "i")
     return Manifest(leaves, group, digest, number, rounds, _risen(names.select(F.col("all").alias("g"), "i", "d", F.col("g").alias("name"))))
