@@ -54,6 +54,7 @@ def read_features(text: pa.Array, stated: np.ndarray) -> tuple[np.ndarray, np.nd
     starts, ends, at = word_spans(data, offsets, NOT_SPACE)
     rows = len(offsets) - 1
     size = np.diff(offsets)
+    points = np.diff(np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets])  # characters
     h = word_hashes(data, starts, ends)
     row = np.repeat(np.arange(rows), np.diff(at))
     n = np.diff(at)
@@ -85,7 +86,7 @@ def read_features(text: pa.Array, stated: np.ndarray) -> tuple[np.ndarray, np.nd
         "lines": np.log1p(lines) / 8, "line_length": np.log1p(size / np.maximum(lines, 1)) / 10, "distinct": distinct / np.maximum(n, 1),
         "repeats": np.bincount(row, follows, minlength=rows) / np.maximum(n, 1), "dup_lines": 1 - np.bincount(pairs[:, 0].astype(np.int64), minlength=rows) / np.maximum(lines, 1),
         "short_lines": np.bincount(line_row, (line_ends - line_starts) < 30, minlength=rows) / np.maximum(lines, 1),
-        "stated": np.where(np.isnan(stated), 1, np.clip(np.abs(stated - size) / np.maximum(size, 1), 0, 0.9)),
+        "stated": np.where(np.isnan(stated), 1, np.clip(np.abs(stated - points) / np.maximum(points, 1), 0, 0.9)),
     }
     table_ = np.column_stack([np.clip(stats[k], 0, 1) for k in STATS])
     small = np.isin(STATS, ["symbols", "upper", "digits", "stops", "pipes", "shouts", "wide", "repeats", "dup_lines"])
