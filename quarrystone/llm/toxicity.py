@@ -27,6 +27,7 @@ import re
 import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -110,8 +111,9 @@ class Lexicon:
             if n > best.get(start, (0, 0.0))[0]:
                 best[start] = (n, w)
         out = []
+        begins = {at: i for i, at in enumerate(accumulate((len(w) + 1 for w in words), initial=0))} if best else {}  # the space before each word
         for start, (_, w) in sorted(best.items()):
-            i = line.count(" ", 0, start)
+            i = begins[start]
             if self.exceptions:
                 around = {f"{words[i]} {words[i + 1]}" if i + 1 < len(words) else "", f"{words[i - 1]} {words[i]}" if i else ""}
                 if around & self.exceptions:
@@ -153,7 +155,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, sampl
 
 
 def learn(sample: DataFrame, max_entries: int = 5000, min_docs: int = 4) -> Lexicon:
-    """Lexicon, exceptions and curve from rows (text, y)."""
+    """Lexicon, exceptions and curve from rows (text, y), a bounded sample.
+
+    The lexicon keeps the ``max_entries`` entries of the greatest weight at most, and as many exception
+    phrases, whatever the sample holds; like the sample's size that bounds what is sent to the tasks.
+    """
 
     def folded(batches):
         for whole in batches:

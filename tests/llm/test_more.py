@@ -311,3 +311,20 @@ def test_histogram_blocks_carry_over(make):
     n = np.array([i * 7 % 400 for i in range(120)])
     for r in token_counts.length_histogram(make(rows)).collect():
         assert (r.docs_from, r.tokens_from) == ((n >= r.n_tokens).sum(), n[n >= r.n_tokens].sum())
+
+
+def test_hits_of_a_long_text_are_found_in_one_pass():
+    import time
+
+    lexicon = toxicity.Lexicon({" badword ": 1.0, " bad": 0.5}, {"badword fine"})
+    words = ["badword", "ok"] * 80_000 + ["badword", "fine"]
+    began = time.process_time()
+    hits = lexicon.hits(lexicon.automaton(), words)
+    assert time.process_time() - began < 2 and [i for i, _ in hits] == list(range(0, 160_000, 2))
+
+
+def test_stated_length_counts_characters():
+    texts = ["plain words here", "ße öä ü straße größe", "слово за словом и ещё", "", None]
+    slot, _, at = quality_fm.read_features(pa.array(texts, pa.string()), np.array([np.nan if t is None else len(t) for t in texts], float))
+    first = quality_fm._WORD_SLOTS + quality_fm.STATS.index("stated") * quality_fm.BINS
+    assert [first in slot[a:b] for a, b in zip(at[:-1], at[1:])] == [True, True, True, True, False]
