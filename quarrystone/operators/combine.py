@@ -19,13 +19,14 @@ CATALOG = {
     "ks_test": ("family1", "utility", "maximize", False), "max_mean_discrepancy": ("family1", "utility", "minimize", False),
     "wasserstein_dist": ("family1", "utility", "minimize", False), "prdc": ("family1", "utility", "maximize", False), "alpha_precision": ("family1", "utility", "maximize", False),
     "linear_model": ("family1", "utility", "maximize", False), "mlp": ("family1", "utility", "maximize", False), "xgb": ("family1", "utility", "maximize", False),
+    "linear_model_augmentation": ("family1", "utility", "maximize", False), "mlp_augmentation": ("family1", "utility", "maximize", False), "xgb_augmentation": ("family1", "utility", "maximize", False),
     "feat_rank_distance": ("family1", "utility", "maximize", False), "detection_xgb": ("family1", "privacy", "minimize", False), "detection_mlp": ("family1", "privacy", "minimize", False),
     "detection_gmm": ("family1", "privacy", "minimize", False), "detection_linear": ("family1", "privacy", "minimize", False), "delta-presence": ("family1", "privacy", "maximize", False),
     "k-anonymization": ("family1", "privacy", "maximize", False), "k-map": ("family1", "privacy", "maximize", False), "distinct l-diversity": ("family1", "privacy", "maximize", False),
     "identifiability_score": ("family1", "privacy", "minimize", False), "DomiasMIA_prior": ("family1", "privacy", "minimize", False),
     "data_leakage_mlp": ("family1", "privacy", "minimize", False), "data_leakage_xgb": ("family1", "privacy", "minimize", False), "data_leakage_linear": ("family1", "privacy", "minimize", False),
     "dwm": ("family2", "utility", "minimize", False), "pca": ("family2", "utility", "minimize", False), "cio": ("family2", "utility", "maximize", False), "corr_diff": ("family2", "utility", "minimize", False),
-    "mi_diff": ("family2", "utility", "minimize", False), "h_dist": ("family2", "utility", "minimize", False), "p_mse": ("family2", "utility", "minimize", False),
+    "mi_diff": ("family2", "utility", "minimize", False), "ks_tvd": ("family2", "utility", "minimize", False), "frac_ks_sigs": ("family2", "utility", "minimize", False), "h_dist": ("family2", "utility", "minimize", False), "p_mse": ("family2", "utility", "minimize", False),
     "q_mse": ("family2", "utility", "minimize", False), "auroc_diff": ("family2", "utility", "minimize", True), "cls_acc": ("family2", "utility", "minimize", False),
     "nndr": ("family2", "privacy", "maximize", False), "nnaa": ("family2", "privacy", "minimize", False), "dcr": ("family2", "privacy", "maximize", False), "hit_rate": ("family2", "privacy", "minimize", False),
     "eps_risk": ("family2", "privacy", "minimize", False), "mia_recall": ("family2", "privacy", "minimize", False), "mia_precision": ("family2", "privacy", "minimize", False),

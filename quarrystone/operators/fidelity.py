@@ -173,16 +173,24 @@ def _cumulative(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFram
     return rows.select("model", "column", "v", share("a").alias("fa"), share("b").alias("fb"), "next")
 
 
+def ks_of(cumulative: DataFrame) -> DataFrame:
+    c = cumulative.groupBy("model", "column").agg(F.max(F.abs(F.col("fa") - F.col("fb"))).alias("d"))
+    return c.groupBy("model").agg(F.avg(1 - F.col("d")).alias("value"))
+
+
 def ks_test(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
     """1 less the Kolmogorov-Smirnov statistic, averaged over columns."""
-    c = _cumulative(real, syn, numeric).groupBy("model", "column").agg(F.max(F.abs(F.col("fa") - F.col("fb"))).alias("d"))
-    return c.groupBy("model").agg(F.avg(1 - F.col("d")).alias("value"))
+    return ks_of(_cumulative(real, syn, numeric))
+
+
+def wasserstein_of(cumulative: DataFrame) -> DataFrame:
+    area = F.abs(F.col("fa") - F.col("fb")) * (F.col("next") - F.col("v"))
+    return cumulative.groupBy("model").agg(F.coalesce(F.sum(area), F.lit(0.0)).alias("value"))
 
 
 def wasserstein_dist(real: DataFrame, syn: DataFrame, numeric: list[str]) -> DataFrame:
     """The sum over columns of one-dimensional Wasserstein distances."""
-    c = _cumulative(real, syn, numeric)
-    return c.groupBy("model").agg(F.coalesce(F.sum(F.abs(F.col("fa") - F.col("fb")) * (F.col("next") - F.col("v"))), F.lit(0.0)).alias("value"))
+    return wasserstein_of(_cumulative(real, syn, numeric))
 
 
 def data_mismatch(real: DataFrame, syn: DataFrame) -> DataFrame:

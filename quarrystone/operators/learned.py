@@ -6,8 +6,10 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, MultilayerPerceptronClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import PCA, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import PCA, QuantileDiscretizer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from quarrystone.functions.session import checkpointed
@@ -38,14 +40,88 @@ def learner(name: str, n_features: int, n_classes: int = 2):
     raise ValueError(f"unknown learner {name!r}")
 
 
+def mean_auc(scored: DataFrame, n_classes: int) -> float:
+    """Area under the ROC curve of ``probability``, or else ``rawPrediction``, for ``label``; of more than two classes the mean of each against the rest, as far as both are there."""
+    rows = scored.select("label", vector_to_array("probability" if "probability" in scored.columns else "rawPrediction").alias("_raw"))
+    present = {int(r["label"]): r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}  # as many as classes
+    total, found = sum(present.values()), []
+    for k in [1] if n_classes == 2 else range(n_classes):
+        if 0 < present.get(k, 0) < total:
+            one = rows.select((F.col("label") == k).cast("double").alias("label"), F.get("_raw", F.lit(k)).alias("_s"))
+            found.append(BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="_s").evaluate(one))
+    return sum(found) / len(found) if found else float("nan")
+
+
 def train_test_score(train: DataFrame, test: DataFrame, target: str, columns: list[str], name: str) -> DataFrame:
-    """(learner, accuracy, f1) of a model fitted on one table and judged on another."""
+    """(learner, accuracy, f1, auc) of a model fitted on one table and judged on another; auc as ``mean_auc`` has it, null where only one class is there."""
     index = StringIndexer(inputCol=target, outputCol="label", handleInvalid="skip", stringOrderType="alphabetAsc").fit(train)
     prep = _features(train, columns).fit(train)
     a, b = (index.transform(prep.transform(x)) for x in (train, test))
     got = learner(name, len(columns), len(index.labels)).fit(a).transform(b)
-    score = lambda m: MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=m).evaluate(got)
-    return train.sparkSession.createDataFrame([(name, round(score("accuracy"), 6), round(score("f1"), 6))], "learner string, accuracy double, f1 double")
+    got = got.select("label", "prediction", *(c for c in ("probability", "rawPrediction") if c in got.columns)).persist()
+    score = lambda m: round(MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName=m).evaluate(got), 6)
+    auc = round(mean_auc(got, len(index.labels)), 6)
+    row = (name, score("accuracy"), score("f1"), None if auc != auc else auc)
+    got.unpersist()
+    return train.sparkSession.createDataFrame([row], "learner string, accuracy double, f1 double, auc double")
+
+
+#: Quantile bins by which a classifier predicts a number.
+NUMBER_BINS = 10
+
+
+def _number_r2(name: str, known: DataFrame, asked: DataFrame, target: str, n_features: int) -> float | None:
+    """Share of a number's variance on ``asked`` that a model of ``known`` explains, at least 0; null if there is no variance.
+
+    ``mlp`` classifies the known side's quantile bins and predicts their means by its probabilities, as there is no
+    regressor of that kind.
+    """
+    y = F.col(target).cast("double")
+    known, asked = known.filter(y.isNotNull()), asked.filter(y.isNotNull())
+    if name == "mlp":
+        bins = QuantileDiscretizer(numBuckets=NUMBER_BINS, inputCol="_y", outputCol="label", relativeError=0.001).fit(known.withColumn("_y", y))
+        binned = bins.transform(known.withColumn("_y", y))
+        n = len(bins.getSplits()) - 1
+        means = {int(r["label"]): r["m"] for r in binned.groupBy("label").agg(F.avg("_y").alias("m")).collect()}  # NUMBER_BINS rows
+        model = learner("mlp", n_features, n).fit(binned)
+        weights = F.array(*(F.lit(float(means.get(i, 0.0))) for i in range(n)))
+        guess = F.aggregate(F.zip_with(vector_to_array("probability"), weights, lambda p, m: p * m), F.lit(0.0), lambda s, x: s + x)
+        got = model.transform(asked).select(y.alias("y"), guess.alias("g"))
+    else:
+        make = {"linear": lambda: LinearRegression(labelCol="_y", maxIter=20), "xgb": lambda: GBTRegressor(labelCol="_y", maxIter=10, maxDepth=4, seed=7)}[name]
+        got = make().fit(known.withColumn("_y", y)).transform(asked).select(y.alias("y"), F.col("prediction").alias("g"))
+    r = got.agg(F.var_pop("y").alias("v"), F.avg((F.col("y") - F.col("g")) * (F.col("y") - F.col("g"))).alias("e")).first()
+    return None if not r["v"] else max(0.0, 1 - r["e"] / r["v"])
+
+
+def data_leakage(syn: DataFrame, real: DataFrame, sensitive: list[str], columns: list[str], name: str = "linear") -> DataFrame:
+    """(column, kind, learner, value): how well each sensitive column of real rows is told from all other columns by a model fitted on candidates.
+
+    ``columns`` are the known ones; the other sensitive ones count as known, too. The value is the accuracy for a category
+    and the explained share of variance for a number; null where candidates or real rows have no two values to tell apart.
+    Texts are indexed once for all models. Rows with a null among the known numbers are left out.
+    """
+    every = list(dict.fromkeys([*columns, *sensitive]))
+    text = [c for c in every if not is_numeric(syn, c)]
+    index = Pipeline(stages=[StringIndexer(inputCol=c, outputCol=f"_i_{c}", handleInvalid="keep", stringOrderType="alphabetAsc") for c in text]).fit(syn.select(*every))
+    known, asked = (index.transform(x.select(*every)).persist() for x in (syn, real))
+    rows = []
+    for target in sensitive:
+        inputs = [f"_i_{c}" if c in text else c for c in every if c != target]
+        prep = Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="_raw", handleInvalid="skip"), StandardScaler(inputCol="_raw", outputCol="features", withMean=True)]).fit(known)
+        a, b = (prep.transform(x) for x in (known, asked))
+        if target not in text:
+            value = _number_r2(name, a, b, target, len(inputs)) if a.select(target).distinct().limit(2).count() > 1 else None
+            rows.append((target, "number", name, None if value is None else round(float(value), 6)))
+            continue
+        labels = StringIndexer(inputCol=target, outputCol="label", handleInvalid="skip", stringOrderType="alphabetAsc").fit(known)
+        value = None
+        if len(labels.labels) > 1:
+            got = learner(name, len(inputs), len(labels.labels)).fit(labels.transform(a)).transform(labels.transform(b))
+            value = got.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
+        rows.append((target, "category", name, None if value is None else round(value, 6)))
+    known.unpersist(), asked.unpersist()
+    return real.sparkSession.createDataFrame(rows, "column string, kind string, learner string, value double")
 
 
 def hash_folds(df: DataFrame, key: str, folds: int = 5) -> DataFrame:
@@ -311,13 +387,38 @@ def auroc_difference(train: DataFrame, holdout: DataFrame, syn: DataFrame, targe
     return train.sparkSession.createDataFrame([(round(score(train) - score(syn), 6),)], "value double")
 
 
-def grid_trials(specs: list[dict], score, study: str, done: DataFrame) -> list[tuple]:
-    """(study, number, state, value, params) of the specs not done yet; a failing trial is recorded and passed over."""
-    start = done.filter(F.col("study") == study).count()
-    out = []
-    for i, spec in enumerate(specs[start:], start):
+TRIALS = "study string, number int, state string, value double, params map<string,string>"
+
+
+def read_trials(spark, path: str) -> DataFrame:
+    """The trials that a folder holds; none if it isn't there yet."""
+    try:
+        return spark.read.schema(TRIALS).parquet(path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return spark.createDataFrame([], TRIALS)
+
+
+def grid_trials(spark, specs: list[dict], score, study: str, path: str, retry: bool = False) -> DataFrame:
+    """(study, number, state, value, params): score every spec that has no trial yet; less or more is for the reader to prefer.
+
+    Each trial is appended to the folder ``path`` as it ends, so a broken run goes on after the last one. Whatever
+    ``score(spec)`` raises, Spark's own errors included, is recorded as FAIL with its message and passed over; with
+    ``retry`` failed specs are tried again. A spec is known by its parameters, not by its place.
+    """
+    named = lambda spec: tuple(sorted((k, str(v)) for k, v in spec.items()))
+    known = read_trials(spark, path).filter(F.col("study") == study).collect()  # as many as specs
+    done = {tuple(sorted(r["params"].items())) for r in known if r["state"] == "COMPLETE" or not retry}
+    number = 1 + max((r["number"] for r in known), default=-1)
+    for spec in specs:
+        if named(spec) in done:
+            continue
         try:
-            out.append((study, i, "COMPLETE", float(score(spec)), {k: str(v) for k, v in spec.items()}))
-        except (ValueError, ArithmeticError) as e:
-            out.append((study, i, f"FAIL: {e}"[:200], None, {k: str(v) for k, v in spec.items()}))
-    return out
+            state, value = "COMPLETE", float(score(spec))
+        except Exception as e:  # noqa: BLE001  a trial may fail in any way
+            state, value = f"FAIL: {type(e).__name__}: {e}".splitlines()[0][:200], None
+        spark.createDataFrame([(study, number, state, value, dict(named(spec)))], TRIALS).coalesce(1).write.mode("append").parquet(path)
+        done.add(named(spec))
+        number += 1
+    return read_trials(spark, path).filter(F.col("study") == study)

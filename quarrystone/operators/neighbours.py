@@ -265,14 +265,24 @@ def nearest_distance_stats(syn: DataFrame, real: DataFrame, key: str, vector: st
 
 def nndr(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
     """Mean ratio of the nearest to the second nearest distance."""
-    d = distances(syn, real, key, vector, 2).groupBy("q").agg(F.min("distance").alias("a"), F.max("distance").alias("b"))
+    return nndr_of(distances(syn, real, key, vector, 2))
+
+
+def nndr_of(two: DataFrame) -> DataFrame:
+    """The same of (q, rank, distance) to the two nearest."""
+    d = two.groupBy("q").agg(F.min("distance").alias("a"), F.max("distance").alias("b"))
     return d.agg(F.avg(F.when(F.col("b") > 0, F.col("a") / F.col("b")).otherwise(1.0)).alias("value"))
 
 
 def dcr(syn: DataFrame, real: DataFrame, key: str, vector: str) -> DataFrame:
     """Median distance to the closest record, candidate to real over real to real; null if half the real rows have copies."""
-    m = lambda x, y, s, n: quantiles(distances(x, y, key, vector, 1, s), "distance", [0.5]).select(F.col("value").alias(n))
-    return m(syn, real, False, "a").crossJoin(m(real, real, True, "b")).select(F.when(F.col("b") > 0, F.col("a") / F.col("b")).alias("value"))
+    return dcr_of(distances(syn, real, key, vector), distances(real, real, key, vector, 1, True))
+
+
+def dcr_of(closest: DataFrame, own: DataFrame) -> DataFrame:
+    """The same of the distances to the nearest real row, of candidates and of real rows."""
+    m = lambda x, n: quantiles(x, "distance", [0.5]).select(F.col("value").alias(n))
+    return m(closest, "a").crossJoin(m(own, "b")).select(F.when(F.col("b") > 0, F.col("a") / F.col("b")).alias("value"))
 
 
 def nearest_in_rounds(a: DataFrame, b: DataFrame, key: str, vector: str, share: float, rounds: int, own: bool, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -351,19 +361,22 @@ def identifiability(syn: DataFrame, real: DataFrame, key: str, vector: str, weig
     return own.join(other, "q").agg(F.avg((F.col("other") < F.col("own")).cast("double")).alias("value"))
 
 
-def prdc(syn: DataFrame, real: DataFrame, key: str, vector: str, k: int = 5) -> DataFrame:
+def prdc(syn: DataFrame, real: DataFrame, key: str, vector: str, k: int = 5, own: DataFrame | None = None, back: DataFrame | None = None, near: DataFrame | None = None) -> DataFrame:
     """Precision, recall, density and coverage on the balls that reach to each row's k-th neighbour on its own side.
 
     precision: share of candidates in a real ball; recall: share of real rows in a candidate's ball;
     density: real balls around a candidate over k, on average; coverage: share of real balls with a candidate.
+    ``own``, ``back`` and ``near`` (q, rank, distance) are those among real rows, among candidates and from real rows
+    to candidates, where they are known already.
     """
-    ball = lambda df: distances(df, df, key, vector, k, True).groupBy("q").agg(F.max("distance").alias("r"))
-    balls = checkpointed(ball(real))
-    near = distances(real, syn, key, vector).select("q", "distance")
+    radius = lambda d: d.groupBy("q").agg(F.max("distance").alias("r"))
+    ball = lambda df: radius(distances(df, df, key, vector, k, True))
+    balls = checkpointed(ball(real) if own is None else radius(own.filter(F.col("rank") <= k)))
+    near = (distances(real, syn, key, vector) if near is None else near.filter("rank = 1")).select("q", "distance")
     coverage = balls.join(near, "q").agg(F.avg((F.col("distance") <= F.col("r")).cast("double")).alias("coverage"))
     of = lambda df, n: df.agg(F.count("*").alias(n))
     covered = ball_counts(real, syn, key, vector, balls).agg(F.count("*").alias("_in"), F.sum("balls").alias("_balls")).crossJoin(of(syn, "_syn"))
-    back = ball_counts(syn, real, key, vector, ball(syn)).agg(F.count("*").alias("_back")).crossJoin(of(real, "_real"))
+    back = ball_counts(syn, real, key, vector, ball(syn) if back is None else radius(back.filter(F.col("rank") <= k))).agg(F.count("*").alias("_back")).crossJoin(of(real, "_real"))
     share = lambda a, b: F.when(F.col(b) > 0, F.coalesce(F.col(a), F.lit(0)) / F.col(b))
     return covered.crossJoin(back).crossJoin(coverage).select(share("_in", "_syn").alias("precision"), share("_back", "_real").alias("recall"), (share("_balls", "_syn") / k).alias("density"), "coverage")
 

@@ -183,7 +183,7 @@ for _name, _learner in (("linear_model", "linear"), ("mlp", "mlp"), ("xgb", "xgb
 
     def _leak(s, d, name=_learner):
         r, c = _sides(s, d)
-        return le.train_test_score(c, r, "l_linestatus", ["l_quantity", "l_extendedprice", "l_returnflag"], name)
+        return le.data_leakage(c, r, ["l_returnflag", "l_linestatus", "l_quantity"], ["l_extendedprice", "l_discount", "l_tax"], name)
 
     query(_name)(_score)
     query(f"{_name}_augmentation")(_augmented)
@@ -236,20 +236,23 @@ def _(s, d):
 
 
 def _config(**more):
-    return ev.Config("row_id", ["l_quantity", "l_discount"], ["l_returnflag", "l_linestatus"], ["l_returnflag", "l_linestatus"], "l_quantity", **more)
+    return ev.Config(
+        "row_id", ["l_quantity", "l_discount"], ["l_returnflag", "l_linestatus"], ["l_returnflag", "l_linestatus"], "l_quantity",
+        target="l_linestatus", positive="F", protected=["l_returnflag"], attributes=["l_quantity", "l_returnflag"], **more,
+    )
 
 
 @query("evaluate")
 def _(s, d):
-    names = ["jensenshannon_dist", "ks_test", "wasserstein_dist", "mi_diff", "corr_diff", "k-anonymization", "k-map", "distinct l-diversity", "hit_rate"]
-    return ev.evaluate(real(s, d), cand(s, d), _config(metrics=names))["combined"]
+    x = sp.split_by_threshold(real(s, d), "row_id", 0.7, 3)
+    return ev.evaluate(x.filter("split = 'train'"), cand(s, d), _config(), holdout=x.filter("split = 'test'"))["combined"]
 
 
 @query("candidate_score")
 def _(s, d):
-    e = t(s, d, "embeddings").select(F.col("vec_id").cast("string").alias("row_id"), "vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(8)), F.col("label").cast("string").alias("kind"))
+    e = t(s, d, "embeddings").select(F.col("vec_id").cast("string").alias("row_id"), "vec_id", *(F.get("embedding", F.lit(i)).cast("double").alias(f"x{i}") for i in range(64)), F.col("label").cast("string").alias("kind"))
     syn = e.filter("vec_id % 2 = 1").withColumn("model", F.lit("odd")).unionByName(e.filter("vec_id % 4 = 0").withColumn("model", F.lit("copies")))
-    return ev.candidate_score(e.filter("vec_id % 2 = 0"), syn, ev.Config("row_id", [f"x{i}" for i in range(8)], ["kind"]))
+    return ev.candidate_score(e.filter("vec_id % 2 = 0"), syn, ev.Config("row_id", [f"x{i}" for i in range(64)], ["kind"]))
 
 
 @query("fairness_metrics")
@@ -319,10 +322,9 @@ def _(s, d):
 
     x = real(s, d)
     n = x.count()
-    done = s.createDataFrame([], "study string, number int, state string, value double, params map<string,string>")
 
     def score(spec):
         made = le.gmm_generate(x, _COLS, n, spec["k"]).withColumn("model", F.lit("gmm"))
         return fi.wasserstein_dist(x, made, _COLS).first()["value"]
 
-    return s.createDataFrame(le.grid_trials([{"k": 2}, {"k": 3}], score, "gmm", done), done.schema)
+    return le.grid_trials(s, [{"k": 2}, {"k": 3}], score, "gmm", so.shared_folder(s))

@@ -156,3 +156,26 @@ def test_ranges_are_found_whatever_the_counts(spark):
     asked = spark.range(540).select("id", F.lit("p").alias("g"), ((F.col("id") + 0.5) / 540).alias("u")).unionByName(spark.createDataFrame([(900, "q", 0.999), (901, "none", 0.5)], "id bigint, g string, u double"))
     got = Counter(r.c for r in ge.draw_values(asked, parents, ranges, F.col("g"), F.col("u"), "c").collect())
     assert got == Counter({"big": 500, "only": 1} | {f"x{i}": 1 for i in range(40)})
+
+
+def test_all_names_that_roles_allow_and_each_table_once(spark, real, monkeypatch):
+    made = []
+    keep = ev.Base._once
+
+    def counting(self, name, make, where=None):
+        if name not in (self.kept if where is None else where):
+            made.append(name)
+        return keep(self, name, make, where)
+
+    monkeypatch.setattr(ev.Base, "_once", counting)
+    few = ev.Config("key", ["u", "v"], ["c", "e"])
+    whole = ev.Config("key", ["u", "v"], ["c", "e"], ["c"], "v", target="c", positive="a", protected=["e"])
+    named = {*ev.METRICS, *ev.SINGLE}
+    assert set(ev.allowed(whole, True)) == named - ev.ON_REQUEST and not {"k-map", "xgb", "mia_recall", "statistical_parity", "att_discl_risk"} & set(ev.allowed(few, False))
+    names = ["jensenshannon_dist", "h_dist", "chi_squared_test", "ks_test", "wasserstein_dist", "nndr", "dcr", "eps_risk", "close_values_probability", "prdc", "att_discl_risk", "ks_tvd", "frac_ks_sigs", "data_mismatch"]
+    syn = real.withColumn("model", F.lit("copy")).unionByName(real.withColumn("model", F.lit("far")).withColumn("u", F.col("u") + 50))
+    found, errors = ev.measure(real, syn, ev.Config("key", ["u", "v"], ["c", "e"], ["c"], "v", permutations=50), names)
+    assert not errors.collect() and len(made) == len(set(made))
+    value = {(r.model, r.metric): r.value for r in found.collect()}
+    assert len(value) == 2 * len(names)
+    assert value["copy", "close_values_probability"] == 1.0 and value["copy", "ks_test"] == 1.0 and value["far", "ks_test"] < 1.0 and value["far", "frac_ks_sigs"] > value["copy", "frac_ks_sigs"] == 0.0

@@ -3,6 +3,9 @@
 import inspect
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from quarrystone.operators import learned as le
 
 
@@ -53,3 +56,65 @@ def test_mia_and_grid_trials_do_the_operators_whole_job(spark, monkeypatch):
     monkeypatch.setattr(fi, "wasserstein_dist", lambda x, made, c: (sizes.append(made.count()), columns.append(c)) and score(x, made, c))
     assert registry.queries()["grid_trials"](spark, d).count() == 2
     assert sizes == [catalog.real(spark, d).count()] * 2 and columns == [storing._COLS] * 2
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    rng = random.Random(9)
+    rows = []
+    for i in range(300):
+        x = rng.gauss(0, 1)
+        rows.append((f"k{i}", x, 2 * x + rng.gauss(0, 0.2), "abc"[min(2, max(0, int(x + 1.5)))], rng.choice("pq"), rng.gauss(0, 1)))
+    return spark.createDataFrame(rows, "key string, x double, y double, c string, noise string, z double").repartition(3)
+
+
+@pytest.mark.parametrize("name", ["linear", "xgb", "mlp"])
+def test_leakage_of_every_sensitive_column(people, name):
+    """What depends on known columns leaks, what doesn't, doesn't; a constant column has no value."""
+    both = people.withColumn("one", F.lit("o"))
+    syn, rest = both.filter("crc32(key) % 2 = 0"), both.filter("crc32(key) % 2 = 1")
+    got = {r.column: r for r in le.data_leakage(syn, rest, ["y", "c", "noise", "z", "one"], ["x"], name).collect()}
+    assert {c: r.kind for c, r in got.items()} == {"y": "number", "c": "category", "noise": "category", "z": "number", "one": "category"}
+    assert got["y"].value > 0.7 and got["c"].value > 0.7 and got["one"].value is None
+    assert got["noise"].value < 0.7 and got["z"].value < 0.3
+
+
+def test_leakage_of_candidates_without_the_relation(people):
+    shuffled = people.withColumns({"y": F.col("z"), "c": F.lit("a")})
+    other = {r.column: r.value for r in le.data_leakage(shuffled, people, ["y", "c"], ["x"], "linear").collect()}
+    assert other["y"] < 0.3 and other["c"] is None
+
+
+def test_auc_of_two_and_three_classes(people):
+    for target, least in (("c", 0.95), ("noise", 0.0)):
+        r = le.train_test_score(people, people, target, ["x", "y"], "linear").first()
+        assert least <= r.auc <= 1
+    assert le.train_test_score(people, people.filter("c = 'a'"), "c", ["x", "y"], "linear").first().auc is None
+    by_hand = people.select((F.col("noise") == "p").cast("double").alias("label"), "z").collect()
+    pairs = [(a.z > b.z) + 0.5 * (a.z == b.z) for a in by_hand if a.label for b in by_hand if not b.label]
+    from pyspark.ml.functions import array_to_vector
+
+    scored = people.select((F.col("noise") == "p").cast("double").alias("label"), array_to_vector(F.array(-F.col("z"), F.col("z"))).alias("rawPrediction"))
+    assert abs(le.mean_auc(scored, 2) - sum(pairs) / len(pairs)) < 1e-9
+
+
+def test_trials_survive_errors_and_restarts(spark, people, tmp_path):
+    path, calls = str(tmp_path / "trials"), []
+    specs = [{"k": 1}, {"k": 2}, {"k": 3}]
+
+    def score(spec):
+        calls.append(spec["k"])
+        if spec["k"] == 2:
+            people.select(F.raise_error(F.lit("broken"))).collect()  # Spark's own error
+        if spec["k"] == 3 and len(calls) == 3:
+            raise KeyboardInterrupt  # the run is broken off
+        return spec["k"] / 10
+
+    with pytest.raises(KeyboardInterrupt):
+        le.grid_trials(spark, specs, score, "s", path)
+    assert [(r.number, r.state[:4], r.value) for r in le.read_trials(spark, path).orderBy("number").collect()] == [(0, "COMP", 0.1), (1, "FAIL", None)]
+    done = le.grid_trials(spark, specs, score, "s", path).orderBy("number").collect()
+    assert calls == [1, 2, 3, 3] and [(r.number, r.state[:4], r.value, r.params["k"]) for r in done] == [(0, "COMP", 0.1, "1"), (1, "FAIL", None, "2"), (2, "COMP", 0.3, "3")]
+    le.grid_trials(spark, specs, score, "s", path)
+    assert len(calls) == 4
+    assert le.grid_trials(spark, specs, lambda spec: 1.0, "s", path, retry=True).count() == 4 and le.grid_trials(spark, [{"k": 9}], lambda spec: 2.0, "other", path).count() == 1
