@@ -157,7 +157,7 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFram
     the rows that it has before: one number for each partition at most, which is broadcast.
     """
     part, first = spare([*df.columns, name], "part", "first")
-    (salt,) = spare([*df.columns, name, part, first], "salt")
+    salt, n = spare([*df.columns, name, part, first], "salt", "n")
     columns = df.columns
     schema = StructType([*df.schema, StructField(name, LongType()), StructField(part, LongType()), StructField(first, BooleanType())])
 
@@ -189,10 +189,10 @@ def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFram
     salted = df.withColumn(salt, F.monotonically_increasing_id())  # equal rows need not stay together
     placed = salted.repartitionByRange(*keys, salt).sortWithinPartitions(*keys).drop(salt)
     placed = checkpointed(placed.mapInArrow(count, schema))
-    counts = placed.groupBy(group, part).agg(F.max(name).alias("n"))
+    counts = placed.groupBy(group, part).agg(F.max(name).alias(n))
     later = W.partitionBy(group).orderBy(part).rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select(part, F.sum(F.col("n") + 1).over(later).alias("n")).filter("n > 0").withColumn(first, F.lit(True))
-    out = placed.join(F.broadcast(offsets), [part, first], "left").withColumn(name, F.col(name) + F.coalesce("n", F.lit(0)))
+    offsets = counts.select(part, F.sum(F.col(n) + 1).over(later).alias(n)).filter(F.col(n) > 0).withColumn(first, F.lit(True))
+    out = placed.join(F.broadcast(offsets), [part, first], "left").withColumn(name, F.col(name) + F.coalesce(n, F.lit(0)))
     return out.select(*df.columns, name)
 
 
