@@ -178,8 +178,19 @@ def round_columns(df: DataFrame, rules: dict[str, int], columns: list[str] | Non
     return df.withColumns({c: F.bround(c, rules[c]) if c in rules else F.bround(c, 0).cast("bigint") for c in columns if is_numeric(df, c)})
 
 
-def complete_cases(df: DataFrame) -> DataFrame:
-    return df.dropna(how="any")
+def complete_cases(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Rows without a null or NaN in the columns, all by default.
+
+    A condition for each column: from a single one over all of them the optimiser derives new ones for every
+    subset of columns that were computed below, which takes forever from some 20 columns on.
+    """
+    real = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    quoted = lambda c: F.col(f"`{c.replace('`', '``')}`")
+    full = lambda c: quoted(c).isNotNull() & ~F.isnan(quoted(c)) if c in real else quoted(c).isNotNull()
+    tests = [full(c) for c in (df.columns if columns is None else columns)]
+    while len(tests) > 1:  # pair by pair, so that the expression stays flat
+        tests = [x & tests[i + 1] if i + 1 < len(tests) else x for i, x in enumerate(tests) if i % 2 == 0]
+    return df.filter(tests[0]) if tests else df
 
 
 def bit_width(n: int) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from quarrystone.functions.session import checkpointed
 from quarrystone.operators import combine, fidelity as fi, learned as le, neighbours as nn, permutation
-from quarrystone.operators.clean import is_numeric, scale_stats, with_stats
+from quarrystone.operators.clean import complete_cases, is_numeric, scale_stats, with_stats
 
 
 @dataclass
@@ -46,7 +46,7 @@ class Config:
 def vectors(df: DataFrame, stats: DataFrame, key: str, numeric: list[str]) -> DataFrame:
     """key (bigint hash of the key) and v, the numeric columns on the scale of ``stats``; rows with a null are left out."""
     z = F.array(*((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}") for c in numeric))
-    return with_stats(df.dropna(subset=numeric), stats).select(F.xxhash64(key).alias("key"), z.alias("v"))
+    return with_stats(complete_cases(df, numeric), stats).select(F.xxhash64(key).alias("key"), z.alias("v"))
 
 
 class Base:

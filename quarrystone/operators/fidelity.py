@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from quarrystone.functions.numeric import erfc
 from quarrystone.functions.session import checkpointed
 from quarrystone.operators.association import associations, by_key, correlation_ratios
+from quarrystone.operators.clean import complete_cases
 from quarrystone.operators.order import quantiles, running
 
 
@@ -379,7 +380,7 @@ def max_mean_discrepancy(real: DataFrame, syn: DataFrame, numeric: list[str], bl
 
     # sides are named 'r' and 'c' with the model's name
     sides = real.select(F.lit("r").alias("side"), *numeric).unionByName(syn.select(F.concat(F.lit("c"), F.col("model").cast("string")).alias("side"), *numeric))
-    points = sides.dropna(subset=numeric).crossJoin(F.broadcast(s)).select("side", F.array(*(z(c).cast("double") for c in numeric)).alias("v")).groupBy("side", "v").agg(F.count("*").alias("n"))
+    points = complete_cases(sides, numeric).crossJoin(F.broadcast(s)).select("side", F.array(*(z(c).cast("double") for c in numeric)).alias("v")).groupBy("side", "v").agg(F.count("*").alias("n"))
     sizes = checkpointed(points.groupBy("side").agg(F.sum("n").alias("rows"), F.ceil(F.count("*") / block_rows).cast("int").alias("blocks")))  # a row for each side
     dealt = points.join(F.broadcast(sizes.select("side", "blocks")), "side")
     blocks = dealt.withColumn("b", F.pmod(F.xxhash64("v"), F.col("blocks")).cast("int")).groupBy("side", "b").agg(F.collect_list("v").alias("v"), F.collect_list("n").alias("n"))

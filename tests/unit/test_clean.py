@@ -86,3 +86,16 @@ def test_numeric_functions(spark):
     assert got == [f"{v:.4g}" for v in vals]
     df = spark.createDataFrame([('["a","b"]',), ('["a","a"]',), ("[]",), ("x",)], "t string")
     assert [r[0] for r in df.select(json_array(F.col("t"))).collect()] == [["a", "b"], None, None, None]
+
+
+def test_complete_cases_of_many_computed_columns(spark):
+    wide = spark.range(10).select("id", *(F.when(F.col("id") != i % 10, F.col("id") * 1.5).alias(f"c {i}.x") for i in range(8)))
+    rows = [r.id for r in c.complete_cases(wide).collect()]
+    assert rows == [8, 9]
+    lists = spark.range(6).select(F.array(*(F.when((F.col("id") != 3) | (F.lit(i) != 40), F.col("id") + i) for i in range(64))).alias("v"), "id")
+    cells = lists.select("id", *(F.get("v", F.lit(i)).cast("double").alias(f"x{i}") for i in range(64)))
+    full = c.complete_cases(cells, [f"x{i}" for i in range(64)]).select("id", *(F.col(f"x{i}").alias(f"y{i}") for i in range(64)))
+    assert sorted(r.id for r in full.filter("y0 IS NOT NULL").collect()) == [0, 1, 2, 4, 5]
+    odd = spark.createDataFrame([(1.0, 1), (float("nan"), 2), (None, 3), (2.0, None)], "a double, b int")
+    assert [tuple(r) for r in c.complete_cases(odd).collect()] == [(1.0, 1)]
+    assert c.complete_cases(odd, []).count() == 4
