@@ -42,6 +42,8 @@ from quarrystone.llm._base import SLICE_BYTES, table, text_slices
 
 NAMESPACE = uuid.UUID("6f1c1f2e-7f43-5d0b-9a55-3a8f6c1d2b10")
 DATE = "2000-01-01T00:00:00Z"
+#: Bytes of a record's head at most, when files are read.
+MAX_HEAD = 1 << 20
 _DROP = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|title)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _BLOCK = re.compile(r"</?(?:p|div|br|li|ul|ol|h[1-6]|tr|table|section|article|header|footer|nav|blockquote|pre|hr|dd|dt|title)\b[^>]*>", re.I)
 _TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
@@ -226,35 +228,61 @@ def _file_system(path: str) -> tuple[fs.FileSystem, str]:
 
 
 def read_records(stream):
-    """The records of an open WARC file, plain or gzipped, one by one and without their closing line ends."""
-    unzip, held, ended, size = None, bytearray(), False, 1 << 20
+    """The records of an open WARC file, plain or gzipped, one by one and without their closing line ends.
+
+    What is held is the record and a megabyte: gzip members go through a decoder of a bounded output, and a
+    search for the end of a head goes on where the last one stopped. A head of more than MAX_HEAD bytes, a
+    damaged member or a record that the file cuts short is an error that names the place in the data.
+    """
+    unzip, packed, held, searched, passed, size = None, b"", bytearray(), 0, 0, 1 << 20
 
     def more() -> bool:
-        """Another piece of the file; several gzip members follow one another."""
-        nonlocal unzip, ended
-        piece = stream.read(size)
-        ended = not piece
-        if unzip is None:
-            unzip = zlib.decompressobj(31) if piece[:2] == b"\x1f\x8b" else False
-        while piece and unzip:
-            held.extend(unzip.decompress(piece))
-            piece = unzip.unused_data
-            if piece:
+        """Up to a megabyte more of the data, or false at its end; several gzip members follow one another."""
+        nonlocal unzip, packed
+        while True:
+            packed = packed or stream.read(size)
+            if unzip is None:
+                unzip = zlib.decompressobj(31) if packed[:2] == b"\x1f\x8b" else False
+            if not unzip:
+                held.extend(packed)
+                found, packed = bool(packed), b""
+                return found
+            if unzip.eof and packed:
                 unzip = zlib.decompressobj(31)
-        held.extend(piece if not unzip else b"")
-        return not ended
+            if not packed:
+                if not unzip.eof:
+                    raise ValueError(f"the gzip member ends early after {passed + len(held)} bytes")
+                return False
+            try:
+                made = unzip.decompress(packed, size)
+            except zlib.error as e:
+                raise ValueError(f"damaged gzip member after {passed + len(held)} bytes: {e}") from e
+            packed = unzip.unconsumed_tail or unzip.unused_data
+            if made:
+                held.extend(made)
+                return True
 
     while True:
-        while (end := held.find(b"\r\n\r\n")) < 0 and more():
-            pass
+        while (end := held.find(b"\r\n\r\n", searched)) < 0:
+            searched = max(0, len(held) - 3)
+            if searched > MAX_HEAD:
+                raise ValueError(f"no end of a head within {MAX_HEAD} bytes from {passed} on")
+            if not more():
+                break
         if end < 0:
+            if held.strip():
+                raise ValueError(f"a head without an end from {passed} on")
             return
         n = re.search(rb"(?i)\r\ncontent-length:[ \t]*(\d+)", bytes(held[:end]))
         stop = end + 4 + (int(n[1]) if n else 0)
         while len(held) < stop + 4 and more():
             pass
+        if len(held) < stop:
+            raise ValueError(f"the record from {passed} on is cut short")
         yield bytes(held[:stop])
+        passed += min(stop + 4, len(held))
         del held[: stop + 4]
+        searched = 0
 
 
 class WarcFile(InputPartition):
