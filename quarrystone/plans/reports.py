@@ -305,9 +305,49 @@ def _(s, d):
     return r.select("doc_id", "entity", F.round("score", 6).alias("score"))
 
 
-@query("resolve_overlaps")
+def _placed(patterns) -> str:
+    """Findings with their places: what stands before the k-th match is put together from the parts between matches."""
+    return "placed AS (" + " UNION ALL ".join(
+        f"SELECT doc_id, '{e}' AS entity, {s}::DOUBLE AS score, ms[k] AS text, (list_sum(list_transform(ps[:k], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[:k - 1], lambda x: length(x))), 0))::INT AS start "
+        f"FROM (SELECT doc_id, string_split_regex(text, {_q(p)}) AS ps, regexp_extract_all(text, {_q('(' + p + ')')}, 1) AS ms, unnest(range(1, len(regexp_extract_all(text, {_q(p)})) + 1)) AS k FROM documents)"
+        for e, p, s in patterns
+    ) + ")"
+
+
+def _resolved(patterns) -> str:
+    """The best finding is taken first, then each next one that meets none of those taken."""
+    return f"""WITH RECURSIVE {_placed(patterns)},
+ranked AS (SELECT *, (start + length(text))::INT AS stop, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, length(text) DESC, start, entity) AS i FROM placed),
+chosen AS (
+  SELECT doc_id, i, [struct_pack(a := start, z := stop, i := i)] AS kept FROM ranked WHERE i = 1
+  UNION ALL
+  SELECT r.doc_id, r.i, CASE WHEN len(list_filter(c.kept, lambda k: k.a < r.stop AND r.start < k.z)) > 0 THEN c.kept ELSE list_append(c.kept, struct_pack(a := r.start, z := r.stop, i := r.i)) END
+  FROM chosen c JOIN ranked r ON r.doc_id = c.doc_id AND r.i = c.i + 1),
+final AS (SELECT doc_id, unnest(list_transform(arg_max(kept, i), lambda k: k.i)) AS i FROM chosen GROUP BY doc_id)
+SELECT r.doc_id, r.entity, r.start, r.stop AS "end", r.score, r.text FROM ranked r JOIN final USING (doc_id, i)"""
+
+
+def _best(df):
+    return pii.findings_table(df.withColumn("findings", pii.resolve_overlaps(F.col("findings"))), ["doc_id"])
+
+
+@query("placed_findings", f"WITH {_placed(_SQLP)} SELECT doc_id, entity, start, (start + length(text))::INT AS \"end\", score, text FROM placed")
+def _(s, d):
+    return pii.findings_table(found(s, d), ["doc_id"])
+
+
+@query("resolve_overlaps", _resolved(_SQLP))
+def _(s, d):
+    return _best(found(s, d))
+
+
+#: Patterns that meet the built-in ones, with higher, equal and lower scores.
+_MEETING = [*_SQLP, ("NUMBERS", "[0-9]+(?:[.-][0-9]+)*", 0.3), ("LOCAL_PART", "[A-Za-z0-9._]+@", 1.0), ("HOST", "[a-z0-9]+[.][a-z]+", 0.7), ("AREA", "[0-9]{3}[ .-][0-9]{3}", 0.4)]
+
+
+@query("resolve_overlaps_meeting", _resolved(_MEETING))
 def _(s, d):
-    return found(s, d).select("doc_id", pii.resolve_overlaps(F.col("findings")).alias("findings")).select("doc_id", F.explode("findings").alias("f")).select("doc_id", "f.*")
+    return _best(pii.pattern_findings(docs(s, d), patterns=_MEETING))
 
 
 _EMAIL = next(p for e, p, _ in pii.PATTERNS if e == "EMAIL_ADDRESS")
