@@ -257,7 +257,7 @@ q AS (SELECT doc_id, i, ms[i] AS text, array_to_string(list_transform(range(1, i
 r AS (SELECT *, list_has_any(list_transform(regexp_extract_all(before, '[A-Za-z0-9_]+')[-5:], lambda w: lower(w)), {[w.lower() for w in _NEAR]}) AS near FROM q)"""
 
 
-@query("pattern_context", f"{_CONTEXT} SELECT doc_id, i::INT AS place, text, 0.2::DOUBLE AS plain, round(CASE WHEN near THEN 0.55 ELSE 0.2 END, 6) AS raised FROM r")
+@query("pattern_context", f"{_CONTEXT} SELECT doc_id, i::INT AS place, text, 0.2::DOUBLE AS plain, CASE WHEN near THEN 0.55 ELSE 0.2 END::DOUBLE AS raised FROM r")
 def _(s, d):
     on = pii.pattern_table(s, [("NUMBER", _NUMBER, 0.2, _NEAR)])
     both = pii.search(pii.pattern_findings(docs(s, d), patterns=[("NUMBER", _NUMBER, 0.2)]), "text", on, "with_context")
