@@ -2,7 +2,8 @@
 
 Lines and blocks are plain expressions and windows within a document; only the level
 rules, which carry state from header to header, run as a small fold over a document's
-tokens in Arrow batches. A document is the unit of work, so nothing grows past one.
+headers in Arrow batches; content stays on Spark's side. A document is the unit of work,
+so nothing grows past one.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 MAX_HEADER_WORDS = 12
@@ -149,27 +151,49 @@ def fold_levels(tokens: list[dict]) -> list[tuple[int, list[str], list[str]]]:
     return out
 
 
-_SECTION = "id {0}, start_line int, part int, is_header boolean, level int, length int, parents array<string>, parent_types array<string>, content string"
+#: What the level rules read of a token; of content only that it is there.
+_FOLD = ["is_header", "label", "marker", "marker_count", "case", "signature", "inline"]
+_LEVELS = pa.list_(pa.struct([("level", pa.int32()), ("parents", pa.list_(pa.string())), ("kinds", pa.list_(pa.string()))]))
+#: Tokens that are Python objects at once; a longer document is folded by itself.
+FOLD_TOKENS = 20_000
+#: The same where contents come along.
+TREE_TOKENS = 1_000
+
+
+def token_slices(tokens: pa.Array, most: int = FOLD_TOKENS):
+    """Slices of an array of lists with about ``most`` elements each, one list at least."""
+    ends, start = pa.compute.cumulative_sum(pa.compute.fill_null(pa.compute.list_value_length(tokens), 0)).to_pylist(), 0
+    for i, end in enumerate(ends):
+        if i + 1 == len(ends) or ends[i + 1] - (ends[start - 1] if start else 0) > most:
+            yield tokens.slice(start, i + 1 - start)
+            start = i + 1
+
+
+def _fold_batch(tokens: pa.Array) -> pa.Array:
+    parts = []
+    for part in token_slices(tokens):
+        docs = ([t | {"content": t["label"]} for t in toks] for toks in part.to_pylist())
+        parts.append(pa.array([[{"level": level, "parents": parents, "kinds": kinds} for level, parents, kinds in fold_levels(doc)] for doc in docs], _LEVELS))
+    return pa.concat_arrays(parts) if parts else pa.array([], _LEVELS)
 
 
 def header_levels(tokens: DataFrame) -> DataFrame:
-    """All tokens with level, parents and parent_types."""
-    kind = tokens.schema["id"].dataType.simpleString()
+    """All tokens with level, parents and parent_types.
+
+    Python sees the headers and where content stands between them, never content itself; that waits on Spark's side.
+    """
     fields = ["start_line", "part", "is_header", "content", "marker", "marker_count", "case", "signature", "inline"]
     docs = tokens.groupBy("id").agg(F.sort_array(F.collect_list(F.struct(*fields))).alias("tokens"))
-    names = ["id", "start_line", "part", "is_header", "level", "length", "parents", "parent_types", "content"]
-
-    def run(batches):
-        for b in batches:
-            cols: list[list] = [[] for _ in names]
-            for i, toks in zip(b.column("id").to_pylist(), b.column("tokens").to_pylist()):
-                for t, (level, parents, kinds) in zip(toks, fold_levels(toks)):
-                    for col, x in zip(cols, (i, t["start_line"], t["part"], t["is_header"], level, len(t["content"]), parents, kinds, t["content"])):
-                        col.append(x)
-            types = [b.schema.field("id").type, pa.int32(), pa.int32(), pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, ty) for c, ty in zip(cols, types)], names=names)
-
-    return docs.mapInArrow(run, _SECTION.format(kind))
+    label = lambda t: F.when(t["is_header"], t["content"]).alias("label")
+    slim = F.transform("tokens", lambda t: F.struct(*(label(t) if f == "label" else t[f].alias(f) for f in _FOLD)))
+    fold = F.arrow_udf(_fold_batch, "array<struct<level: int, parents: array<string>, kinds: array<string>>>")
+    both = F.arrays_zip("tokens", "levels")
+    rows = docs.withColumn("levels", fold(slim)).select("id", F.explode(both).alias("_x"))
+    t, level = F.col("_x.tokens"), F.col("_x.levels")
+    return rows.select(
+        "id", t["start_line"].alias("start_line"), t["part"].alias("part"), t["is_header"].alias("is_header"), level["level"].alias("level"),
+        F.length(t["content"]).alias("length"), level["parents"].alias("parents"), level["kinds"].alias("parent_types"), t["content"].alias("content"),
+    )
 
 
 def parse_sections(df: DataFrame, content: str = "content", id_col: str | None = None, metadata: list[str] = (), max_words: int = MAX_HEADER_WORDS) -> DataFrame:
@@ -364,9 +388,12 @@ def sections_tree(df: DataFrame, content: str = "content", id_col: str = "id", m
 
     def run(batches):
         for b in batches:
-            out = []
-            for meta, toks in zip(b.column("meta").to_pylist(), b.column("tokens").to_pylist()):
-                out.append(json.dumps(json.loads(meta) | {"sections": nested(toks or [])}, ensure_ascii=False))
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(out, pa.string())], names=["id", "json"])
+            at = 0
+            for part in token_slices(b.column("tokens"), TREE_TOKENS):
+                rows, out = b.slice(at, len(part)), []
+                for meta, toks in zip(rows.column("meta").to_pylist(), part.to_pylist()):
+                    out.append(json.dumps(json.loads(meta) | {"sections": nested(toks or [])}, ensure_ascii=False))
+                yield pa.RecordBatch.from_arrays([rows.column("id"), pa.array(out, pa.string())], names=["id", "json"])
+                at += len(part)
 
     return docs.select("id", "meta").join(lists, "id", "left").mapInArrow(run, f"id {kind}, json string")

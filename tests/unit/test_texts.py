@@ -5,6 +5,7 @@ import json
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -191,3 +192,22 @@ def test_documents_of_equal_content_keep_their_rows(spark):
     docs = spark.createDataFrame([("# A\none\ntwo", 1), ("# A\none\ntwo", 2), ("three", 3), (None, 4)], "content string, m int")
     rows = se.parse_sections(docs, metadata=["m"]).collect()
     assert sorted((r.m, r.content, r.parents) for r in rows) == [(1, "one\ntwo", ["A"]), (2, "one\ntwo", ["A"]), (3, "three", [])]
+
+
+def test_levels_leave_content_outside_python(spark):
+    long = "word " * 5000
+    docs = [(i, f"# Head {i}\n{long}\n## Sub\n**Name:** x{i}\n{long}") for i in range(30)] + [(99, None)]
+    tokens = se.content_blocks(se.classify_lines(se.markdown_lines(spark.createDataFrame(docs, "id int, content string"))))
+    out = se.header_levels(tokens)
+    plan = out._jdf.queryExecution().toString()
+    assert "MapInArrow" not in plan and "ArrowEvalPython" in plan
+    rows = {(r.id, r.start_line, r.part): r for r in out.collect()}
+    assert len(rows) == 30 * 6
+    assert (rows[3, 2, 0].level, rows[3, 2, 0].parents, rows[3, 2, 0].length) == (2, ["Head 3"], len(long) - 1)
+    assert (rows[3, 4, 1].parents, rows[3, 4, 1].content, rows[3, 5, 0].parents) == (["Head 3", "Sub", "Name"], "x3", ["Head 3", "Sub"])
+
+
+def test_token_slices_cover_all_lists():
+    lists = [[1] * 5, [], None, [1] * 30, [1], [1]]
+    parts = [p.to_pylist() for p in se.token_slices(pa.array(lists, pa.list_(pa.int32())), 8)]
+    assert sum(parts, []) == lists and max(sum(len(x or []) for x in p[:-1]) for p in parts) <= 8
