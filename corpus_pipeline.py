@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from quarrystone.llm import decontaminate, language_id, line_dedup, packing, shingle_dedup
+from quarrystone.llm import decontaminate, language_id, line_dedup, packing, shingle_dedup, simhash
 from quarrystone.llm._base import checkpointed, held_out, spare, table
 
 #: A document stays if this share of its letters is in one language.
@@ -46,10 +46,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays: five-word shingles at a Jaccard similarity of 0.8 or more.
 
-    It's the one with the smallest id; null texts, empty texts and texts without words are one
+    Pairs are found by op2's fingerprints within 3 bits, and by bands of minima those that differ in more; whole
+    sets of shingles decide on both. It's the one with the smallest id; null texts, empty texts and texts without words are one
     group. Of repeated rows (id and text) one stays.
     """
-    return shingle_dedup.drop_near_duplicates(docs)
+    return shingle_dedup.drop_near_duplicates(docs, radius=simhash.RADIUS)
 
 
 def remove_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

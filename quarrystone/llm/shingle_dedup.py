@@ -11,9 +11,10 @@ Places with the same nodes are one place. Within a place only a spanning forest
 true links is put out. Places whose sets have over PLACE_BYTES are cut into blocks that
 meet pairwise, so that no task holds more than two blocks.
 
-This stands in for fingerprints in the pipeline's near-duplicate stage: at a Jaccard
-similarity of 0.8 two 64-bit fingerprints differ in some ten bits, and no allotment of
-thresholds over 64 bits finds such pairs without comparing most of all others.
+The pipeline's near-duplicate stage finds pairs by op2's fingerprints first, which reach
+those of few differing bits only, and by bands the rest: at a Jaccard similarity of 0.8 two
+64-bit fingerprints differ in some ten bits, and no allotment of thresholds over 64 bits
+finds such pairs without comparing most of all others. The sets decide on both.
 
 Words are longest runs without ASCII white space, A-Z lowered. A text of fewer words
 than a shingle is one shingle; null texts, empty texts and texts without words are copies
@@ -29,6 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
+from quarrystone.llm import simhash
 from quarrystone.llm._base import ASCII_LOWER, NOT_SPACE, _powers, checkpointed, text_bytes, text_slices, window_hashes, word_hashes, word_spans
 from quarrystone.llm.components import connected_components
 from quarrystone.llm.simhash import keep_first
@@ -141,13 +143,15 @@ def _link(batches):
     yield from flush()
 
 
-def near_links(nodes: DataFrame, texts: DataFrame, place_bytes: int = PLACE_BYTES) -> DataFrame:
+def near_links(nodes: DataFrame, texts: DataFrame, place_bytes: int = PLACE_BYTES, more: DataFrame | None = None) -> DataFrame:
     """Edges (a, b) between nodes that connect whatever meets in a band and is similar.
 
     ``nodes``: node, ver and bands, one row for each node; ``texts``: ver and text. Both with their lineage cut.
+    ``more`` (node, band, value): further places, of bands beyond BANDS - 1.
     """
     place = ["band", "value"]
     placed = nodes.select("node", F.posexplode("bands").alias(*place))
+    placed = placed if more is None else placed.unionByName(more)
     counts = placed.groupBy(*place).agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"), F.min("node").alias("low")
     ).filter("n > 1")
@@ -165,15 +169,36 @@ def near_links(nodes: DataFrame, texts: DataFrame, place_bytes: int = PLACE_BYTE
     return met.join(sets.select("node", "shingles"), "node").repartition(*key).sortWithinPartitions(*key).mapInArrow(_link, "a bigint, b bigint")
 
 
-def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ver (Spark's xxhash64 of the text) and root (a node that names the component) for every row."""
+def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int | None = None) -> DataFrame:
+    """doc_id, ver (Spark's xxhash64 of the text) and root (a node that names the component) for every row.
+
+    With a ``radius``, pairs whose fingerprints differ in that many bits or fewer, as ``simhash.near_links`` finds them, are
+    held against the whole sets beside those that bands bring together. Texts pass once through both.
+    """
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("ver", F.xxhash64(F.coalesce("text", F.lit(""))))
-    docs = checkpointed(signatures(rows))
+    marked = rows if radius is None else simhash.fingerprints(rows.withColumn("body", F.col("text")), "body")
+    docs = checkpointed(signatures(marked))
     nodes = checkpointed(docs.groupBy("node").agg(F.min("ver").alias("ver"), F.first("bands").alias("bands")))
-    roots = connected_components(near_links(nodes, rows.select("ver", "text")))
+    more = None if radius is None else fingerprint_places(docs, radius)
+    roots = connected_components(near_links(nodes, rows.select("ver", "text"), more=more))
     return docs.join(roots, "node", "left").select("doc_id", "ver", F.coalesce("root", "node").alias("root"))
 
 
-def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprint_places(docs: DataFrame, radius: int = simhash.RADIUS) -> DataFrame:
+    """(node, band, value): a place for each link between nodes of one fingerprint, and of fingerprints within ``radius``.
+
+    ``docs``: node and fp, with their lineage cut. Nodes without shingles link by being equal, and have no place.
+    """
+    held = docs.filter(F.size("bands") > 0).select("node", "fp").distinct()
+    prints = checkpointed(held.groupBy("fp").agg(F.min("node").alias("low")))
+    same = held.join(prints, "fp").filter("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b"))
+    end = lambda name: prints.select(F.col("fp").alias(name), F.col("low").alias(f"_{name}"))
+    near = simhash.near_links(prints.select("fp"), radius).join(end("a"), "a").join(end("b"), "b")
+    near = near.select(F.least("_a", "_b").alias("a"), F.greatest("_a", "_b").alias("b"))
+    pairs = checkpointed(same.unionByName(near).distinct())
+    return pairs.select(F.explode(F.array("a", "b")).alias("node"), F.lit(BANDS).alias("band"), F.xxhash64("a", "b").alias("value"))
+
+
+def drop_near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius: int | None = None) -> DataFrame:
     """One document of each component stays, as ``simhash.keep_first`` says; columns as before."""
-    return keep_first(df, components(df, doc_id, text), doc_id, text)
+    return keep_first(df, components(df, doc_id, text, radius), doc_id, text)

@@ -3,6 +3,7 @@
 import random
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,3 +69,23 @@ def test_blocks_don_t_change_components(make, place_bytes):
     got = {r.doc_id: roots.get(r.node, r.node) for r in sig.collect()}
     pairs = {(c, got[d]) for (d, _), c in zip(rows, label)}
     assert len(pairs) == len({c for c, _ in pairs}) == len({g for _, g in pairs})
+
+
+def test_stage_finds_pairs_by_fingerprints(spark, make, monkeypatch):
+    """Without bands, near copies within 3 bits still go; sets that are too far apart stay, whatever their fingerprints."""
+    from quarrystone.llm import simhash
+
+    rng = random.Random(8)
+    words = [rng.choice(WORDS) for _ in range(900)]
+    other = [*words[:-1], "changed"]
+    rows = [(2, " ".join(words)), (1, " ".join(other)), (3, "a b a b"), (4, "a b a b a b"), (5, ""), (6, None), (7, "something else altogether")]
+    a, b = simhash._fingerprints(pa.array([rows[0][1], rows[1][1]]), 3).tolist()
+    assert (a ^ b).bit_count() <= 3
+    label, _ = brute(rows)
+    low = {}
+    for (d, _), c in zip(rows, label):
+        low[c] = min(d, low.get(c, d))
+    whole = shingle_dedup.near_links
+    monkeypatch.setattr(shingle_dedup, "near_links", lambda nodes, *rest, **more: whole(nodes.withColumn("bands", F.expr("slice(bands, 1, 0)")), *rest, **more))
+    out = corpus_pipeline.dedup_documents(spark, make(rows), "").collect()
+    assert sorted(r.doc_id for r in out) == sorted(low.values()) and 2 not in low.values()
