@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quarrystone.operators import learned as le
+from quarrystone.operators import learned as le, mixture
 
 
 def test_mixture_detection_sees_outlying_rows(spark):
@@ -118,3 +118,20 @@ def test_trials_survive_errors_and_restarts(spark, people, tmp_path):
     le.grid_trials(spark, specs, score, "s", path)
     assert len(calls) == 4
     assert le.grid_trials(spark, specs, lambda spec: 1.0, "s", path, retry=True).count() == 4 and le.grid_trials(spark, [{"k": 9}], lambda spec: 2.0, "other", path).count() == 1
+
+
+def test_mixture_rounds_equal_mllib(spark, monkeypatch):
+    """Same start, same rounds, same end, over many small blocks; the data are read by one pass for the blocks."""
+    from pyspark.ml.clustering import GaussianMixture
+    from pyspark.ml.feature import VectorAssembler
+
+    monkeypatch.setattr(mixture, "BLOCK_NUMBERS", 64)
+    rng = random.Random(6)
+    rows = [(rng.gauss(0, 1) + 40 * (i % 3), rng.gauss(0, 2) - 30 * (i % 3), float(i % 5)) for i in range(900)]
+    x = VectorAssembler(inputCols=["a", "b", "c"], outputCol="v").transform(spark.createDataFrame(rows, "a double, b double, c double").repartition(3, "a"))
+    want = GaussianMixture(k=3, seed=7, featuresCol="v").fit(x)
+    parts, likelihood, n = mixture.fit(x, "v", 3)
+    assert n == want.summary.numIter and likelihood == pytest.approx(want.summary.logLikelihood, rel=1e-9)
+    for (w, mean, cov), v, g in zip(parts, want.weights, want.gaussiansDF.collect()):
+        assert w == pytest.approx(v, rel=1e-6)
+        assert list(mean) == pytest.approx(list(g["mean"]), rel=1e-6, abs=1e-9) and cov.ravel().tolist() == pytest.approx(g["cov"].toArray().ravel().tolist(), rel=1e-6, abs=1e-9)
