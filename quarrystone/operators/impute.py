@@ -225,8 +225,9 @@ def masked_benchmark(df: DataFrame, key: str, numeric: list[str], categorical: l
     """(candidate, mechanism, mask_index, objective): hide, impute and score for every pair not done yet.
 
     ``candidates``: name -> function of the masked frame. The grid (a handful of rows) drives one
-    job for each pair; results are small.
+    job for each pair; results are small. Masks are made once for all pairs and candidates.
     """
+    masks = checkpointed(masks)
     grid = [tuple(r) for r in masks.select("mechanism", "mask_index").distinct().orderBy("mechanism", "mask_index").collect()]
     frame = df.select(key, *numeric, *categorical)
     parts = []

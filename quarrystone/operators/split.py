@@ -166,8 +166,10 @@ def apply_mask(df: DataFrame, mask: DataFrame, key: str) -> DataFrame:
 
 
 def mask_difference(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Cells in one mask only; empty if a stored mask is what its seed makes."""
-    return a.exceptAll(b).unionByName(b.exceptAll(a))
+    """Cells in one mask only, as often as they are there more; empty if a stored mask is what its seed makes. Each mask is made once."""
+    sides = a.withColumn("_d", F.lit(1)).unionAll(b.withColumn("_d", F.lit(-1)))
+    more = sides.groupBy(*a.columns).agg(F.abs(F.sum("_d")).cast("int").alias("_d")).filter("_d > 0")
+    return more.withColumn("_d", F.explode(F.array_repeat(F.lit(0), F.col("_d")))).drop("_d")
 
 
 def proportional_resample(df: DataFrame, target: str, shares: dict[str, float], n: int, key: str, seed: int = 0) -> DataFrame:

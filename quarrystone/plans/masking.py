@@ -94,8 +94,8 @@ def lnu(s, d):
     return checkpointed(ln(s, d, unique_li(s, d)))  # numbering rows of equal keys shuffles lineitem, and operators read their input more than once
 
 
-def mask(s, d, mechanism="mcar", seed=5):
-    return sp.artificial_mask(lnu(s, d), "row_id", [*FEATURES, "l_linestatus"], ["l_linestatus"], 0.2, mechanism, seed)
+def mask(s, d, mechanism="mcar", seed=5, rows=None):
+    return sp.artificial_mask(lnu(s, d) if rows is None else rows, "row_id", [*FEATURES, "l_linestatus"], ["l_linestatus"], 0.2, mechanism, seed)
 
 
 @query("artificial_mask", f"WITH {_LN1} {_mask_sql('mcar', 5)}")
@@ -118,7 +118,8 @@ ms AS (SELECT row_id, {', '.join(f'CASE WHEN coalesce(m_{c}, false) THEN NULL EL
 
 
 def masked(s, d):
-    return sp.apply_mask(lnu(s, d).select("row_id", *FEATURES), mask(s, d), "row_id")
+    rows = lnu(s, d)
+    return sp.apply_mask(rows.select("row_id", *FEATURES), mask(s, d, rows=rows), "row_id")
 
 
 @query("apply_mask", f"WITH {_LN1}, {_APPLY} SELECT * FROM ms")
@@ -134,7 +135,8 @@ def _(s, d):
 
 @query("mask_difference", f"WITH {_LN1}, a AS ({_mask_sql('mcar', 5)}), b AS ({_mask_sql('mcar', 6)}) (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL (SELECT * FROM b EXCEPT ALL SELECT * FROM a)")
 def _(s, d):
-    return sp.mask_difference(mask(s, d), mask(s, d, seed=6))
+    rows = lnu(s, d)
+    return sp.mask_difference(mask(s, d, rows=rows), mask(s, d, seed=6, rows=rows))
 
 
 def _resample_sql(want: str, seed: int) -> str:

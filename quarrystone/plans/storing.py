@@ -95,8 +95,9 @@ def _(s, d):
 @query("write_mask", f"WITH {_LN1} {_mask_sql('mcar', 5)}")
 def _(s, d):
     path = so.shared_folder(s)
-    so.write_mask(mask(s, d), path)
-    return so.read_mask(s, path, mask(s, d))
+    rows = lnu(s, d)
+    so.write_mask(mask(s, d, rows=rows), path)
+    return so.read_mask(s, path, mask(s, d, rows=rows))
 
 
 @query("write_sections", f"WITH {SECTIONS} SELECT id, start_line::INT AS start_line, content FROM sec")

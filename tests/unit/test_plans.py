@@ -70,3 +70,11 @@ def test_exactly_k_and_only_the_edge_is_ranked(spark, monkeypatch, slices):
     assert split.columns == ["key", "g", "split"]
     plan = split._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "Window" not in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+
+
+def test_mask_difference_makes_each_mask_once(spark):
+    a = spark.createDataFrame([("x", "1"), ("x", "1"), ("x", "2"), (None, "3")], "column string, key string")
+    b = spark.createDataFrame([("x", "1"), ("y", "2"), (None, "3")], a.schema)
+    got = sp.mask_difference(a, b)
+    assert sorted(map(tuple, got.collect())) == [("x", "1"), ("x", "2"), ("y", "2")] and got.columns == a.columns
+    assert nodes(got)[1] == 2
