@@ -11,7 +11,7 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from quarrystone.functions.session import small
+from quarrystone.functions.session import checkpointed, small
 
 SLICES = 4096
 
@@ -109,52 +109,65 @@ def mask_count(n: Column, fraction: float) -> Column:
     return F.when(n < 2, 0).otherwise(F.least(F.greatest(F.lit(1), F.bround(n * F.lit(fraction), 0)), n - 1)).cast("bigint")
 
 
-def artificial_mask(df: DataFrame, key: str, features: list[str], sensitive: list[str] = (), fraction: float = 0.2, mechanism: str = "mcar", seed: int = 0) -> DataFrame:
-    """(column, key) of observed cells to hide, a fixed share of each non-sensitive column.
+def _hidden(df: DataFrame, key: str, features: list[str], sensitive: list[str], fraction: float, masks: list[tuple[str, int, int]]) -> DataFrame:
+    """(mechanism, mask_index, column, key) of the cells that each of ``masks`` (mechanism, mask_index, seed) hides, all in the same passes.
 
-    mar weights rows by the logistic of the clipped z-score of the first other numeric feature,
-    mnar by that of the column itself (text by its sorted codes); where that feature is
-    constant or incomplete, weights are even. Weighted draws without replacement order rows by
-    1 - u^(1/w), u the row's hash.
+    Means and deviations are computed once and kept: a sum made again may differ in its last bit, and then
+    the row at the bound would lie on the other side of it. A cell's hash is made after the explode, in one
+    compiled expression for all columns and masks.
     """
-    if mechanism not in ("mcar", "mar", "mnar"):
-        raise ValueError(f"unknown mechanism {mechanism!r}")
+    for m, _, _ in masks:
+        if m not in ("mcar", "mar", "mnar"):
+            raise ValueError(f"unknown mechanism {m!r}")
     from quarrystone.operators.clean import is_numeric, label_encode
 
     columns, numeric = [c for c in features if c not in sensitive], [x for x in features if is_numeric(df, x)]
-    source = {c: None if mechanism == "mcar" else c if mechanism == "mnar" else next((x for x in numeric if x != c), None) for c in columns}
-    text = [x for x in {*source.values()} - {None} if x not in numeric]
+    source = {(m, c): None if m == "mcar" else c if m == "mnar" else next((x for x in numeric if x != c), None) for m in dict.fromkeys(m for m, _, _ in masks) for c in columns}
+    text = sorted({*source.values()} - {None, *numeric})
+    weighed = {k: i for i, k in enumerate(k for k, x in source.items() if x)}
     rows = df.select(key, *features)
     if text:
         rows = label_encode(rows.withColumns({f"_code_{x}": F.col(x) for x in text}), [f"_code_{x}" for x in text])
-    value = lambda c: F.col(f"_code_{source[c]}" if source[c] in text else source[c])
-    seen = lambda c, x: F.when(F.col(c).isNotNull(), x)
-    stats = [x for c in columns if source[c] for x in (F.avg(seen(c, value(c))).alias(f"_m_{c}"), F.stddev_pop(seen(c, value(c))).alias(f"_d_{c}"), F.count_if(F.col(c).isNotNull() & value(c).isNull()).alias(f"_n_{c}"))]
-    if stats:
-        rows = rows.crossJoin(F.broadcast(rows.agg(*stats)))
+    value = lambda k: F.col(f"_code_{source[k]}" if source[k] in text else source[k])
+    if weighed:
+        seen = lambda k: F.when(F.col(k[1]).isNotNull(), value(k))
+        stats = [x for k, i in weighed.items() for x in (F.avg(seen(k)).alias(f"_m_{i}"), F.stddev_pop(seen(k)).alias(f"_d_{i}"), F.count_if(F.col(k[1]).isNotNull() & value(k).isNull()).alias(f"_n_{i}"))]
+        rows = rows.crossJoin(F.broadcast(checkpointed(rows.agg(*stats))))
+
+    def exponent(k):
+        i = weighed.get(k)
+        if i is None:
+            return F.lit(None).cast("double")
+        z = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (value(k) - F.col(f"_m_{i}")) / F.col(f"_d_{i}")))
+        even = (F.col(f"_n_{i}") > 0) | (F.coalesce(F.col(f"_d_{i}"), F.lit(0.0)) == 0)
+        return 1 / F.when(even, 1.0).otherwise(1 / (1 + F.exp(-z)))
+
+    names = [(m, i, c, f"{c}|{seed}") for m, i, seed in masks for c in columns]
+    rows = rows.select(key, *(F.col(c).isNotNull().alias(f"_o_{j}") for j, c in enumerate(columns)), *(exponent(k).alias(f"_e_{i}") for k, i in weighed.items()))
+    power = lambda m, c: F.col(f"_e_{weighed[m, c]}") if (m, c) in weighed else F.lit(None).cast("double")
+    cells = F.array(*(F.struct(F.lit(at).alias("_c"), F.lit(t).alias("_t"), F.col(f"_o_{columns.index(c)}").alias("_o"), power(m, c).alias("_e")) for at, (m, _, c, t) in enumerate(names)))
+    u = unit_hash(F.col(key), F.col("_t"))
+    cells = rows.select(key, F.explode(cells).alias("_x")).select(key, "_x.*").filter("_o")
+    cells = cells.select("_c", key, F.when(F.col("_e").isNull(), u).otherwise(1 - F.pow(u, F.col("_e"))).alias("_u"))
+    out = take_smallest(cells, ["_c"], "_u", key, lambda n: mask_count(n, fraction))
+    name = lambda at: F.get(F.array(*(F.lit(x[at]) for x in names)), F.col("_c"))
+    return out.select(name(0).alias("mechanism"), name(1).alias("mask_index"), name(2).alias("column"), key)
+
 
-    def place(c):
-        u = unit_hash(F.col(key), c, seed)
-        if not source[c]:
-            return u
-        z = F.greatest(F.lit(-4.0), F.least(F.lit(4.0), (value(c) - F.col(f"_m_{c}")) / F.col(f"_d_{c}")))
-        even = (F.col(f"_n_{c}") > 0) | (F.coalesce(F.col(f"_d_{c}"), F.lit(0.0)) == 0)
-        return 1 - F.pow(u, 1 / F.when(even, 1.0).otherwise(1 / (1 + F.exp(-z))))
+def artificial_mask(df: DataFrame, key: str, features: list[str], sensitive: list[str] = (), fraction: float = 0.2, mechanism: str = "mcar", seed: int = 0) -> DataFrame:
+    """(column, key) of observed cells to hide, a fixed share of each non-sensitive column.
 
-    cells = F.array(*(F.when(F.col(c).isNotNull(), F.struct(F.lit(c).alias("column"), place(c).alias("_u"))) for c in columns))
-    out = rows.select(key, F.explode(F.filter(cells, lambda x: x.isNotNull())).alias("_x")).select("_x.column", key, "_x._u")
-    return take_smallest(out, ["column"], "_u", key, lambda n: mask_count(n, fraction)).select("column", key)
+    mar weights rows by the logistic of the clipped z-score of the first other numeric feature,
+    mnar by that of the column itself (text by its sorted codes); where that feature is
+    constant or incomplete, weights are even. Weighted draws without replacement order rows by
+    1 - u^(1/w), u the row's hash.
+    """
+    return _hidden(df, key, features, sensitive, fraction, [(mechanism, 0, seed)]).select("column", key)
 
 
 def mask_grid(df: DataFrame, key: str, features: list[str], mechanisms: list[str], n_masks: int, seed: int = 0, fraction: float = 0.2, sensitive: list[str] = ()) -> DataFrame:
     """(mechanism, mask_index, column, key); the seed is base + 10000 x mechanism + mask."""
-    out = None
-    for i, m in enumerate(mechanisms):
-        for k in range(n_masks):
-            part = artificial_mask(df, key, features, sensitive, fraction, m, seed + 10_000 * i + k)
-            part = part.select(F.lit(m).alias("mechanism"), F.lit(k).alias("mask_index"), "column", key)
-            out = part if out is None else out.unionByName(part)
-    return out
+    return _hidden(df, key, features, sensitive, fraction, [(m, k, seed + 10_000 * i + k) for i, m in enumerate(mechanisms) for k in range(n_masks)])
 
 
 def apply_mask(df: DataFrame, mask: DataFrame, key: str) -> DataFrame:
