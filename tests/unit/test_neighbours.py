@@ -129,3 +129,36 @@ def test_rounds_of_subsets(spark, own):
             d = [np.linalg.norm((x if own else q)[j] - x[m]) for m in chosen if not (own and m == j)]
             want[i, j] = min(d)
     assert got.keys() == want.keys() and all(abs(got[t] - want[t]) < 1e-12 for t in want)
+
+
+def test_copies_of_rows_are_met_once(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    real, syn = (rng.integers(0, 6, (n, 2)).astype(float) for n in (900, 500))
+    tables = table(spark, syn, 5000), table(spark, real)
+    met, pairs = nn.met_blocks, []
+
+    def counting(asking, blocks):
+        out = met(asking, blocks).persist()
+        pairs.append(out.agg(F.sum(F.size("qs").cast("bigint") * F.size("xs"))).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(nn, "met_blocks", counting)
+    d = lambda a, b: np.sqrt(((a[:, None] - b[None]) ** 2).sum(-1))
+    rr, rs, ss = d(real, real), d(real, syn), d(syn, syn)
+    for x in (rr, ss):
+        np.fill_diagonal(x, np.inf)
+    r5, s5 = np.sort(rr, axis=1)[:, 4], np.sort(ss, axis=1)[:, 4]
+    inside = rs <= r5[:, None]
+    want = inside.any(axis=0).mean(), (rs <= s5[None, :]).any(axis=1).mean(), inside.sum() / len(syn) / 5, (rs.min(axis=1) <= r5).mean()
+    balls = spark.createDataFrame([(i, float(r)) for i, r in enumerate(r5)], "q bigint, r double")
+    got = nn.distinct_ball_counts(tables[1], tables[0], "id", "v", balls)
+    assert got.agg(F.sum("copies")).first()[0] == round(want[0] * len(syn)) and sum(pairs) <= 36 * 36
+    np.testing.assert_allclose(tuple(nn.prdc(*tables, "id", "v").first()), want)
+    share, rounds, scores = 500 / 900, 30, []
+    pairs.clear()
+    for i in range(rounds):
+        on = np.array([nn.unit_hash_of(f"{j}|nnaa|{i}") < share for j in range(900)])
+        first, second = (rs.min(axis=1) > np.where(on[None, :], rr, np.inf).min(axis=1))[on], rs[on].min(axis=0) > ss.min(axis=1)
+        scores.append((first.mean() + second.mean()) / 2)
+    assert abs(nn.nnaa(*tables, "id", "v").first().value - np.mean(scores)) < 1e-12
+    assert sum(pairs) < 36 * 900 * 2  # never rows against rows
