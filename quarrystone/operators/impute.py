@@ -74,17 +74,29 @@ def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str],
     earlier models again. ``start`` (the same rows without gaps) gives the values to begin with
     instead of means and modes.
     """
+    if start is None:
+        every = dict.fromkeys([*context, *columns])
+        current = mode_fill(mean_fill(_marked(df, columns), [c for c in every if is_numeric(df, c)]), [c for c in every if not is_numeric(df, c)])
+    else:
+        flags = _marked(df, columns).select(F.col(key).alias("_k"), *(f"_g_{c}" for c in columns))
+        current = start.select(*df.columns).join(flags, F.col(key) == F.col("_k")).drop("_k")
+    return _refilled(current, columns, context, checkpoint).select(*df.columns)
+
+
+def _marked(df: DataFrame, columns: list[str]) -> DataFrame:
+    """df with _g_<column>, whether the cell is a gap."""
+    return df.withColumns({f"_g_{c}": F.col(c).isNull() for c in columns})
+
+
+def _refilled(current: DataFrame, columns: list[str], context: list[str], checkpoint) -> DataFrame:
+    """``model_fill`` of a frame without gaps that says by _g_<column> where they were; no join, as the flags go with the rows."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import StringIndexer, VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
-    text = [c for c in dict.fromkeys([*context, *columns]) if not is_numeric(df, c)]
-    numeric = [c for c in dict.fromkeys([*context, *columns]) if is_numeric(df, c)]
-    current = mode_fill(mean_fill(df, numeric), text) if start is None else start.select(*df.columns)
+    text = [c for c in dict.fromkeys([*context, *columns]) if not is_numeric(current, c)]
     models = {c: StringIndexer(inputCol=c, outputCol=f"_i_{c}", stringOrderType="alphabetAsc", handleInvalid="keep").fit(current) for c in text}
     work = reduce(lambda x, m: m.transform(x), models.values(), current)
-    flags = df.select(F.col(key).alias("_k"), *(F.col(c).isNull().alias(f"_g_{c}") for c in columns))
-    work = work.join(flags, F.col(key) == F.col("_k")).drop("_k")
     work = checkpoint(work)
     coded = lambda c: f"_i_{c}" if c in text else c
     for c in columns:
@@ -99,7 +111,7 @@ def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str],
             model = GBTRegressor(labelCol=c, featuresCol="_x", predictionCol="_p", maxIter=10, maxDepth=4, seed=7).fit(seen)
             done = model.transform(v).withColumn(c, F.when(F.col(f"_g_{c}"), F.col("_p")).otherwise(F.col(c)))
         work = checkpoint(done.select(*work.columns))
-    return work.select(*df.columns)
+    return work.select(*current.columns)
 
 
 def impute(df: DataFrame, key: str, numeric: list[str], categorical: list[str], method: str = "mean", passes: int = 1, refine: list[str] | None = None, checkpoint=checkpointed) -> DataFrame:
@@ -111,11 +123,12 @@ def impute(df: DataFrame, key: str, numeric: list[str], categorical: list[str],
     """
     if method == "drop":
         return complete_cases(df)
-    filled = mode_fill(mean_fill(df, numeric), categorical)
+    columns = refine or [*numeric, *categorical]
+    filled = mode_fill(mean_fill(_marked(df, columns) if method == "model" else df, numeric), categorical)
     if method == "model":
         for _ in range(passes):
-            filled = model_fill(df, key, refine or [*numeric, *categorical], [*numeric, *categorical], checkpoint, filled)
-    return clamp_observed(df, filled, key, [*numeric, *categorical])
+            filled = _refilled(filled, columns, [*numeric, *categorical], checkpoint)
+    return filled.select(*df.columns)
 
 
 def polish(df: DataFrame, filled: DataFrame, key: str, numeric: list[str], categorical: list[str], columns: list[str] | None = None, checkpoint=checkpointed) -> DataFrame:

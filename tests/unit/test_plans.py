@@ -112,3 +112,22 @@ def test_only_rows_of_repeated_keys_are_numbered(spark, tmp_path):
         got = {(r.l_orderkey, r.l_quantity): r.row_id.rsplit("-", 1)[1] for r in out.collect()}
         assert got == {(1, 1.0): "1", (1, 2.0): "2", (2, 5.0): "1", (3, 4.0): "1"} if name == "some" else got == {(1, 2.0): "1", (2, 5.0): "1"}
         assert ("Window" in out._jdf.queryExecution().executedPlan().toString()) == (name == "some")
+
+
+def test_fills_join_no_rows_and_keep_observed_cells(spark):
+    rows = [(None if i == 5 else i, None if i % 5 == 0 else float(i % 7), None if i % 4 == 0 else float(i % 3), None if i % 6 == 0 else "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, x double, y double, t string")
+    for how in ({}, {"method": "model", "passes": 2}, {"method": "model", "refine": ["x", "t"]}):
+        joins = []
+
+        def kept(frame):
+            joins.append(frame._jdf.queryExecution().optimizedPlan().toString())
+            return frame.localCheckpoint()
+
+        out = im.impute(df, "id", ["x", "y"], ["t"], checkpoint=kept, **how)
+        joins.append(out._jdf.queryExecution().optimizedPlan().toString())
+        assert not any("Join Inner" in p or "Join LeftOuter" in p for p in joins)
+        got = {r.id: r for r in out.collect()}
+        assert len(got) == 60 and out.columns == df.columns
+        for i, x, y, t in rows:  # a row without a key is filled, too
+            assert all(g is not None and o in (None, g) for o, g in zip((x, y, t), got[i][1:]))
