@@ -19,9 +19,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+#: Whole texts that go to a Python worker at once where ``checkpointed`` is told so. Spark's own 10,000 are tens of megabytes,
+#: held by the executor and, twice, by the worker of each task that runs.
+TEXT_ROWS = 1000
+
+
+def checkpointed(df: DataFrame, batch_rows: int | None = None) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in the cluster's shared folder.
 
+    With ``batch_rows`` no Arrow batch has more rows while df is made.
+
     The folder is the session's ``spark.checkpoint.dir``. Where that is unset, a
     temporary folder serves a session in local mode; elsewhere it's an error.
     """
@@ -31,7 +38,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
         if not folder and not re.fullmatch(r"local(\[.*\])?", context.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint(eager=True)
+    if batch_rows is None:
+        return df.checkpoint(eager=True)
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = conf.get(key)
+    if 0 < int(before) <= batch_rows:
+        return df.checkpoint(eager=True)
+    conf.set(key, str(batch_rows))
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        conf.set(key, before)
 
 
 def spare(columns: list[str], *names: str) -> list[str]:

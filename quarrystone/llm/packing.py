@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from quarrystone.llm._base import checkpointed, table
+from quarrystone.llm._base import TEXT_ROWS, checkpointed, table
 from quarrystone.llm.tokens import encoder
 
 CAPACITY, END_ID = 4096, 1
@@ -236,12 +236,12 @@ def place(df: DataFrame, capacity: int = CAPACITY, bucket_pieces: int | None = N
 
 def pack(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
-    return place(checkpointed(pieces(df, doc_id, text, path, capacity, end_id)), capacity)
+    return place(checkpointed(pieces(df, doc_id, text, path, capacity, end_id), TEXT_ROWS), capacity)
 
 
 def sequences(df: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The packed sequences: sequence_id, ids, and the doc_ids in order. Every row's pieces are there once, whatever its id."""
-    placed = place(checkpointed(pieces(df, doc_id, text, path, capacity, end_id, with_ids=True)), capacity)
+    placed = place(checkpointed(pieces(df, doc_id, text, path, capacity, end_id, with_ids=True), TEXT_ROWS), capacity)
     rows = placed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "ids", "doc_id"))).alias("p"))
     return rows.select("sequence_id", F.flatten("p.ids").alias("ids"), F.col("p.doc_id").alias("doc_ids"))
 

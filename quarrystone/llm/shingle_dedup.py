@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from quarrystone.llm import simhash
-from quarrystone.llm._base import ASCII_LOWER, NOT_SPACE, _powers, checkpointed, text_bytes, text_slices, window_hashes, word_hashes, word_spans
+from quarrystone.llm._base import ASCII_LOWER, NOT_SPACE, TEXT_ROWS, _powers, checkpointed, text_bytes, text_slices, window_hashes, word_hashes, word_spans
 from quarrystone.llm.components import connected_components
 from quarrystone.llm.simhash import keep_first
 
@@ -69,10 +69,15 @@ def band_values(sets: list[np.ndarray]) -> np.ndarray:
     return (minima.reshape(BANDS, ROWS, -1) * _powers(ROWS)[None, :, None]).sum(axis=1, dtype=np.uint64).T
 
 
-def signatures(rows: DataFrame) -> DataFrame:
-    """rows without text but with node (a hash of the shingle set) and its band values (none for an empty set)."""
+def signatures(rows: DataFrame, fingerprint: bool = False) -> DataFrame:
+    """rows without text but with node (a hash of the shingle set) and its band values (none for an empty set).
+
+    ``fingerprint`` adds fp, as ``simhash.fingerprints`` has it, in the same pass: a pass of its own would hold
+    the texts in a second Python worker beside this one.
+    """
     keep = [f for f in rows.schema.fields if f.name != "text"]
     schema = type(rows.schema)([*keep]).add("node", "long").add("bands", ArrayType(LongType()))
+    schema = schema.add("fp", "long") if fingerprint else schema
 
     def compute(batches):
         for whole in batches:
@@ -83,7 +88,8 @@ def signatures(rows: DataFrame) -> DataFrame:
                 values = band_values(full).ravel() if full else np.zeros(0, np.uint64)
                 ends = np.cumsum([0] + [BANDS * (len(s) > 0) for s in sets])
                 bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in keep), pa.array(node.view(np.int64)), bands], names=schema.names)
+                more = [pa.array(simhash._fingerprints(b.column("text"), simhash.SHINGLE).view(np.int64))] if fingerprint else []
+                yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in keep), pa.array(node.view(np.int64)), bands, *more], names=schema.names)
 
     return rows.select(*[f.name for f in keep], "text").mapInArrow(compute, schema)
 
@@ -159,7 +165,7 @@ def near_links(nodes: DataFrame, texts: DataFrame, place_bytes: int = PLACE_BYTE
     met = checkpointed(placed.join(once, place))
     asked = nodes.select("node", "ver").join(met.select("node").distinct(), "node")
     sets = texts.join(asked, "ver").select("node", "text").dropDuplicates(["node"])
-    sets = checkpointed(sets.mapInArrow(_sets, "node bigint, bytes bigint, shingles binary"))
+    sets = checkpointed(sets.mapInArrow(_sets, "node bigint, bytes bigint, shingles binary"), TEXT_ROWS)
     met = met.join(sets.select("node", "bytes"), "node")
     blocks = met.groupBy(*place).agg(F.ceil(F.sum("bytes") / place_bytes).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
@@ -176,8 +182,7 @@ def components(df: DataFrame, doc_id: str = "doc_id", text: str = "text", radius
     held against the whole sets beside those that bands bring together. Texts pass once through both.
     """
     rows = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("ver", F.xxhash64(F.coalesce("text", F.lit(""))))
-    marked = rows if radius is None else simhash.fingerprints(rows.withColumn("body", F.col("text")), "body")
-    docs = checkpointed(signatures(marked))
+    docs = checkpointed(signatures(rows, radius is not None), TEXT_ROWS)
     nodes = checkpointed(docs.groupBy("node").agg(F.min("ver").alias("ver"), F.first("bands").alias("bands")))
     more = None if radius is None else fingerprint_places(docs, radius)
     roots = connected_components(near_links(nodes, rows.select("ver", "text"), more=more))

@@ -26,6 +26,8 @@ from quarrystone.llm._base import text_bytes, text_slices
 CACHE_CHUNKS = 200_000
 #: Larger slices than elsewhere, as a slice encodes each of its chunks once.
 SLICE_BYTES = 2 << 20
+#: New chunks that go through the tokenizer at once; what it returns for each takes a kilobyte or so.
+ENCODE_CHUNKS = 4_000
 #: Chunks longer than this are encoded but not kept.
 CACHE_BYTES = 64
 
@@ -131,8 +133,8 @@ class ChunkTokenizer:
                     new.append(i)
                 else:
                     ids[i] = seen[chunks[i]] = x
-        for k in range(0, len(new), 20_000):
-            part = new[k : k + 20_000]
+        for k in range(0, len(new), ENCODE_CHUNKS):
+            part = new[k : k + ENCODE_CHUNKS]
             for i, e in zip(part, self.tokenizer.encode_batch_fast([chunks[i] for i in part], add_special_tokens=False)):
                 ids[i] = np.array(e.ids, np.uint32).tobytes()
                 if len(chunks[i]) <= CACHE_BYTES:
@@ -145,8 +147,7 @@ def encoder(path: str | None, text: str, make):
 
     def run(batches):
         tokenizer = ChunkTokenizer.of(path)
-        for whole in batches:
-            for batch in text_slices([whole], text, SLICE_BYTES):
-                yield make(batch, *tokenizer.encode_long(batch.column(text)))
+        for batch in text_slices(batches, text, SLICE_BYTES):
+            yield make(batch, *tokenizer.encode_long(batch.column(text)))
 
     return run

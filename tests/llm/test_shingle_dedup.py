@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quarrystone.llm import shingle_dedup
+from quarrystone.llm import shingle_dedup, simhash
 from quarrystone.llm._base import checkpointed
 from quarrystone.llm.components import connected_components
 
@@ -89,3 +89,16 @@ def test_stage_finds_pairs_by_fingerprints(spark, make, monkeypatch):
     monkeypatch.setattr(shingle_dedup, "near_links", lambda nodes, *rest, **more: whole(nodes.withColumn("bands", F.expr("slice(bands, 1, 0)")), *rest, **more))
     out = corpus_pipeline.dedup_documents(spark, make(rows), "").collect()
     assert sorted(r.doc_id for r in out) == sorted(low.values()) and 2 not in low.values()
+
+
+def test_texts_pass_through_one_worker(make, spark):
+    """Fingerprints and bands come from one pass, and texts go to it in batches that the session's setting doesn't change."""
+    df = make([(i, t) for i, t in edited(random.Random(2))]).select("doc_id", "text")
+    found = shingle_dedup.signatures(df.withColumn("ver", F.xxhash64("text")), True)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = simhash.fingerprints(df).collect()
+    assert sorted(str((r["doc_id"], r["fp"])) for r in found.collect()) == sorted(str((r["doc_id"], r["fp"])) for r in want)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    sizes = spark.range(0, 100, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint")
+    assert max(r["n"] for r in checkpointed(sizes, 7).collect()) == 7 and spark.conf.get(key) == before
