@@ -135,3 +135,12 @@ def test_mixture_rounds_equal_mllib(spark, monkeypatch):
     for (w, mean, cov), v, g in zip(parts, want.weights, want.gaussiansDF.collect()):
         assert w == pytest.approx(v, rel=1e-6)
         assert list(mean) == pytest.approx(list(g["mean"]), rel=1e-6, abs=1e-9) and cov.ravel().tolist() == pytest.approx(g["cov"].toArray().ravel().tolist(), rel=1e-6, abs=1e-9)
+
+
+def test_leakage_takes_equal_rows_once(spark, monkeypatch):
+    """Boosted trees see each distinct candidate with its number, and tell the same."""
+    rows = spark.createDataFrame([(float(i), float(i % 5), float(i % 5)) for i in range(60)], "x double, k double, y double")
+    seen, fit = [], le._number_r2
+    monkeypatch.setattr(le, "_number_r2", lambda name, known, *more: (seen.append(known.count()), fit(name, known, *more))[1])
+    value = lambda syn: le.data_leakage(syn, rows, ["y"], ["x", "k"], "xgb").first()["value"]
+    assert value(rows.unionByName(rows).unionByName(rows)) == value(rows) and seen == [60, 60]
