@@ -204,7 +204,7 @@ SINGLE = {
 
 #: Metrics on neighbours; the rest of SINGLE fits models.
 NEIGHBOURLY = {"nearest_syn_neighbor_distance", "close_values_probability", "distant_values_probability", "prdc", "alpha_precision", "identifiability_score", "eps_risk", "nndr", "nnaa", "dcr", "att_discl_risk"}
-#: Computed only where named: 40 fits for each candidate.
+#: Computed only where named: 40 models for each candidate.
 ON_REQUEST = {"cls_acc"}
 
 
