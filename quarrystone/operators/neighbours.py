@@ -4,8 +4,10 @@
 of its rows (pivots) and its cells are cut into blocks. In the first round each asking row meets
 only the cell of its own nearest pivot, which gives it a bound: the k-th distance found there. In the
 second it visits just those other cells that the triangle inequality lets hold something nearer
-(distance to the pivot less the cell's radius, against the row's own bound). Rows that visit a cell
-meet its blocks in one task in Arrow batches: a matrix product around the cell's centre gives
+(distance to the pivot less the cell's radius, against the row's own bound). For that, rows lie in blocks
+of their own cells, with the cells that each has to visit as bits; a block is read beside the blocks of all
+cells that one of its rows visits (a product of two checkpoints, so no vector is shuffled again for each visit),
+and a task merges what it finds for a row. Blocks meet in Arrow batches: a matrix product around the cell's centre gives
 distances with a known error, whatever lies within that error of the k-th is computed again
 difference by difference, and only the k best go on. No pair of rows ever becomes a row, and the
 result doesn't depend on how rows were dealt. Of equal rows of the searched side only those with
@@ -28,6 +30,8 @@ from quarrystone.operators.split import unit_hash, unit_hash_of
 BLOCK_ROWS = 4096
 #: Pivots at most, so that they can be broadcast (0.5 MB at 64 doubles) and their pairs looked at on the driver.
 MAX_PIVOTS = 1024
+#: Parts of the asking and of the searched side, each of which meets each; more of the latter where one would have over PART_BLOCKS blocks.
+ASKING_PARTS, SEARCHED_PARTS, PART_BLOCKS = 32, 8, 64
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -52,13 +56,13 @@ def exact(q: np.ndarray, x: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> n
     return out
 
 
-def nearest(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int, exclude_self: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of q, row of x, squared distance) of the k nearest rows of x, ties by x_id."""
+def nearest(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: int, exclude_self: bool, bound: np.ndarray | float = np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row of q, row of x, squared distance) of the k nearest rows of x, ties by x_id; none that are surely farther than ``bound``."""
     centre = x[0]
     near, error = products(q - centre, x - centre)
     if exclude_self:
         near[q_id[:, None] == x_id[None, :]] = np.inf
-    limit = np.partition(near, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1] + 2 * error
+    limit = np.minimum(np.partition(near, min(k, len(x)) - 1, axis=1)[:, min(k, len(x)) - 1], bound * bound * (1 + 1e-9)) + 2 * error
     rows, cols = np.nonzero((near <= limit[:, None]) & np.isfinite(near))
     d = exact(q, x, rows, cols)
     order = np.lexsort((x_id[cols], d, rows))
@@ -92,11 +96,26 @@ def _celled(df: DataFrame, pivots) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def _grouped(rows: DataFrame, cell: str, sizes: dict[int, int], block_rows: int, names: tuple[str, ...], values: tuple[str, ...]) -> DataFrame:
-    """Blocks of about ``block_rows`` rows of a cell: cell under names[0], lists of ``values`` under the other names."""
+def _grouped(rows: DataFrame, cell: str, sizes: dict[int, int], block_rows: int, names: tuple[str, ...], values: tuple[str, ...], more: list = ()) -> DataFrame:
+    """Blocks of about ``block_rows`` rows of a cell: cell under names[0], lists of ``values`` under the other names, and the aggregates ``more``."""
     parts = rows.sparkSession.createDataFrame([(c, -(-n // block_rows)) for c, n in sizes.items()], "_cell int, _parts int")  # MAX_PIVOTS rows
     dealt = rows.join(F.broadcast(parts), F.col(cell) == F.col("_cell")).withColumn("_b", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int"))
-    return dealt.groupBy(F.col(cell).alias(names[0]), "_b").agg(*(F.collect_list(v).alias(n) for n, v in zip(names[1:], values))).drop("_b")
+    return dealt.groupBy(F.col(cell).alias(names[0]), "_b").agg(*(F.collect_list(v).alias(n) for n, v in zip(names[1:], values)), *more).drop("_b")
+
+
+class Meeting:
+    """Asking rows of a block that visit a cell (ids, vectors, bounds, tags) beside a block of that cell (ids, vectors, tags); ``block`` tells asking blocks apart."""
+
+    def __init__(self, batch: pa.RecordBatch, r: int):
+        self.q_id, self.bound, self.q_tag, self.x_id, self.x_tag = (batch.column(c)[r].values.to_numpy(zero_copy_only=False) for c in ("qs", "qr", "qt", "xs", "xt"))
+        self.q, self.x = (_matrix(batch.column(c)[r].values) for c in ("qv", "xv"))
+        self.block = batch.column("qb")[r].as_py()
+
+    @staticmethod
+    def of(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                yield Meeting(batch, r)
 
 
 class Cells:
@@ -115,55 +134,71 @@ class Cells:
         self.radius, self.size = np.full(len(chosen), -np.inf), np.zeros(len(chosen), np.int64)
         for r in stats:
             self.radius[r["cell"]], self.size[r["cell"]] = r["r"], r["n"]
-        self.blocks = _grouped(dealt, "cell", {r["cell"]: r["n"] for r in stats}, block_rows, ("cell", "xs", "xv", "xt"), ("id", "v", "tag"))
+        self.blocks = checkpointed(_grouped(dealt, "cell", {r["cell"]: r["n"] for r in stats}, block_rows, ("cell", "xs", "xv", "xt"), ("id", "v", "tag")))
 
-    def visits(self, rows: DataFrame, own: bool | None, least: int | None, counted: bool = False) -> DataFrame:
-        """(id, v, tag, bound, to): the cells that each row (id, v, tag, cell, bound) has to look into.
+    def visits(self, rows: DataFrame, own: bool | None, least: int | None) -> DataFrame:
+        """(id, v, tag, bound, cell, to): the cells that each row (id, v, tag, cell, bound) has to look into, as bits of 64-bit words.
 
-        ``own``: only the cell of the row's nearest pivot (true), all others (false), or both (null), as far as
+        ``own``: all cells but that of the row's nearest pivot (false), or that one, too (null), as far as
         they can hold something within the bound. A row without a bound takes one under which ``least`` rows lie
-        for certain, or every cell if that's null. ``counted``: instead (to, n), how many rows of a task visit.
+        for certain, or every cell if that's null. Rows that visit none are left out.
         """
         pivots, radius, size = self.pivots, self.radius, self.size
 
         def run(batches):
-            p, total = pivots.value, np.zeros(len(radius), np.int64)
+            p = pivots.value
             for b in batches:
                 v, cell, bounds = _matrix(b.column("v")), b.column("cell").to_numpy(), b.column("bound").to_numpy(zero_copy_only=False)
                 for i in range(0, len(v), 512):
                     home, bound = cell[i : i + 512], bounds[i : i + 512].astype(float)
-                    if own:
-                        rows, to = np.arange(len(home)), home
-                    else:
-                        near, error = products(v[i : i + 512] - p[0], p - p[0])
-                        low, high = np.sqrt(np.maximum(near - error[:, None], 0)), np.sqrt(near + error[:, None])
-                        for r in np.flatnonzero(np.isnan(bound)):
-                            upper = high[r] + radius
-                            order = np.argsort(upper)
-                            enough = np.flatnonzero(np.cumsum(size[order]) >= least) if least is not None else []
-                            bound[r] = upper[order][enough[0]] if len(enough) else np.inf
-                        slack = 1e-9 * (1 + high)
-                        needed = (low - radius[None, :] <= bound[:, None] + slack) & (size > 0)[None, :]
-                        if own is False:
-                            needed[np.arange(len(home)), home] = False
-                        rows, to = np.nonzero(needed)
-                    if counted:
-                        total += np.bincount(to, minlength=len(radius))
-                        continue
-                    for k in range(0, len(rows), 4096):
-                        part = b.slice(i, 512).take(pa.array(rows[k : k + 4096]))
-                        yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "v", "tag", "bound")), pa.array(to[k : k + 4096].astype(np.int32))], names=["id", "v", "tag", "bound", "to"])
-            if counted:
-                hit = np.flatnonzero(total)
-                yield pa.RecordBatch.from_arrays([pa.array(hit.astype(np.int32)), pa.array(total[hit])], names=["to", "n"])
-
-        return rows.select("id", "v", "tag", "cell", "bound").mapInArrow(run, "to int, n bigint" if counted else "id bigint, v array<double>, tag bigint, bound double, to int")
+                    near, error = products(v[i : i + 512] - p[0], p - p[0])
+                    low, high = np.sqrt(np.maximum(near - error[:, None], 0)), np.sqrt(near + error[:, None])
+                    for r in np.flatnonzero(np.isnan(bound)):
+                        upper = high[r] + radius
+                        order = np.argsort(upper)
+                        enough = np.flatnonzero(np.cumsum(size[order]) >= least) if least is not None else []
+                        bound[r] = upper[order][enough[0]] if len(enough) else np.inf
+                    slack = 1e-9 * (1 + high)
+                    needed = np.zeros((len(home), -(-len(radius) // 64) * 64), bool)
+                    needed[:, : len(radius)] = (low - radius[None, :] <= bound[:, None] + slack) & (size > 0)[None, :]
+                    if own is False:
+                        needed[np.arange(len(home)), home] = False
+                    words = np.packbits(needed, axis=1, bitorder="little").view("<i8")
+                    to = pa.ListArray.from_arrays(pa.array(np.arange(len(home) + 1, dtype=np.int32) * words.shape[1]), pa.array(words.ravel()))
+                    part = b.slice(i, 512)
+                    all_rows = pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "v", "tag", "bound", "cell")), to], names=["id", "v", "tag", "bound", "cell", "to"])
+                    yield all_rows.filter(pa.array(needed.any(axis=1)))
+
+        return rows.select("id", "v", "tag", "cell", "bound").mapInArrow(run, "id bigint, v array<double>, tag bigint, bound double, cell int, to array<bigint>")
+
+    def homes(self, sizes: dict[int, int], most: int) -> tuple[dict[int, int], dict[int, int]]:
+        """cell -> group, and group -> rows: cells put together along a chain of near pivots while they hold no more than ``most`` of the rows counted in ``sizes``."""
+        p = self.pivots.value - self.pivots.value[0]
+        left, at, group, homes, held = set(sizes), min(sizes, default=0), -1, {}, {}
+        while left:
+            rest = np.array(sorted(left))
+            at = int(rest[products(p[at : at + 1], p[rest])[0][0].argmin()])
+            left.remove(at)
+            if group < 0 or held[group] + sizes[at] > most:
+                group += 1
+            homes[at], held[group] = group, held.get(group, 0) + sizes[at]
+        return homes, held
 
     def met(self, rows: DataFrame, own: bool | None, least: int | None = None) -> DataFrame:
-        """(qs, qv, qr, qt, xs, xv, xt): blocks of rows that visit a cell (ids, vectors, bounds, tags) beside the blocks of that cell."""
-        sizes = self.visits(rows, own, least, counted=True).groupBy("to").agg(F.sum("n").alias("n")).collect()
-        asking = _grouped(self.visits(rows, own, least).fillna(-1.0, ["bound"]), "to", {r["to"]: r["n"] for r in sizes}, self.block_rows, ("to", "qs", "qv", "qr", "qt"), ("id", "v", "bound", "tag"))
-        return met_blocks(asking, self.blocks)
+        """(qb, qs, qv, qr, qt, xs, xv, xt): blocks of asking rows (number, ids, vectors, bounds, tags) beside the blocks of cells that they visit.
+
+        In the first round (``own`` true) rows meet their own cell only, by a join; ``visits`` says what else they meet,
+        in blocks twice as large, as each of them is read for many cells.
+        """
+        sizes = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # MAX_PIVOTS rows
+        if own:
+            return met_blocks(_grouped(rows.fillna(-1.0, ["bound"]), "cell", sizes, self.block_rows, ("to", "qs", "qv", "qr", "qt"), ("id", "v", "bound", "tag")), self.blocks)
+        homes, held = self.homes(sizes, 2 * self.block_rows)
+        homes = rows.sparkSession.createDataFrame(list(homes.items()), "cell int, home int")  # MAX_PIVOTS rows
+        rows = self.visits(rows, own, least).fillna(-1.0, ["bound"]).join(F.broadcast(homes), "cell").withColumn("one", F.struct("id", "v", "bound", "tag", "to"))
+        wanted = F.array(*(F.bit_or(F.get("to", F.lit(i))) for i in range(-(-len(self.radius) // 64)))).alias("wanted")
+        searched = max(SEARCHED_PARTS, -(-sum(-(-int(n) // self.block_rows) for n in self.size) // PART_BLOCKS))
+        return met_blocks(checkpointed(_grouped(rows, "home", held, 2 * self.block_rows, ("group", "rows"), ("one",), [wanted])).coalesce(ASKING_PARTS), self.blocks.coalesce(searched))
 
     def met_at_once(self, rows: DataFrame) -> DataFrame:
         """The same for a side of one block and all rows (id, v, and bound if they have one)."""
@@ -172,8 +207,12 @@ class Cells:
 
 
 def met_blocks(asking: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Each block of asking rows is copied once for each block of its cell; not each row for each row."""
-    return asking.join(blocks, F.col("to") == F.col("cell")).select("qs", "qv", "qr", "qt", "xs", "xv", "xt")
+    """Each block of asking rows is read beside each block of its cell, or of the cells ``wanted`` of any of its rows; not each row beside each row."""
+    if "wanted" not in asking.columns:
+        return asking.join(blocks, F.col("to") == F.col("cell")).select(F.get("qs", F.lit(0)).alias("qb"), "qs", "qv", "qr", "qt", "xs", "xv", "xt")
+    visits = lambda bits: F.getbit(F.get(bits, F.floor(F.col("cell") / 64).cast("int")), F.col("cell") % 64) == 1
+    pairs = asking.hint("shuffle_replicate_nl").join(blocks, visits(F.col("wanted"))).withColumn("of", F.filter("rows", lambda r: visits(r["to"])))
+    return pairs.select(F.get("rows", F.lit(0))["id"].alias("qb"), *(F.col(f"of.{c}").alias(n) for n, c in (("qs", "id"), ("qv", "v"), ("qr", "bound"), ("qt", "tag"))), "xs", "xv", "xt")
 
 
 def _unbound(rows: DataFrame) -> DataFrame:
@@ -205,13 +244,29 @@ def nn_join(a: DataFrame, b: DataFrame, a_id: str, b_id: str, vector: str, k: in
     left, right = _sides(a, a_id, vector), checkpointed(_sides(b, b_id, vector).withColumn("_c", copies).filter(F.col("_c") <= asked).drop("_c"))
 
     def best(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                q_id, x_id = (batch.column(c)[r].values.to_numpy() for c in ("qs", "xs"))
-                q, x = (_matrix(batch.column(c)[r].values) for c in ("qv", "xv"))
-                for s in range(0, len(q), 512):
-                    rows, cols, d = nearest(q[s : s + 512], q_id[s : s + 512], x, x_id, k, exclude_self)
-                    yield pa.RecordBatch.from_arrays([pa.array(q_id[s : s + 512][rows]), pa.array(x_id[cols]), pa.array(np.sqrt(d))], names=["q", "n", "d"])
+        block, kept = None, None  # the nearest (asking id, id, squared distance) of a block's rows, which meet one block after another
+        out = lambda: pa.RecordBatch.from_arrays([pa.array(x) for x in (kept[0], kept[1], np.sqrt(kept[2]))], names=["q", "n", "d"])
+        for m in Meeting.of(batches):
+            if m.block != block:
+                if block is not None:
+                    yield out()
+                block, kept, last = m.block, (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), np.zeros(0, bool)
+            bound = np.where(m.bound < 0, np.inf, m.bound)
+            if last.any():
+                full, far = kept[0][last], np.sqrt(kept[2][last])
+                at = np.minimum(np.searchsorted(full, m.q_id), len(full) - 1)
+                bound = np.where(full[at] == m.q_id, np.minimum(bound, far[at]), bound)
+            found = [kept]
+            for s in range(0, len(m.q), 512):
+                rows, cols, d = nearest(m.q[s : s + 512], m.q_id[s : s + 512], m.x, m.x_id, k, exclude_self, bound[s : s + 512])
+                found.append((m.q_id[s : s + 512][rows], m.x_id[cols], d))
+            kept = tuple(map(np.concatenate, zip(*found)))
+            order = np.lexsort((kept[1], kept[2], kept[0]))
+            kept = tuple(x[order] for x in kept)
+            place = np.arange(len(order)) - np.searchsorted(kept[0], kept[0])
+            kept, last = tuple(x[place < k] for x in kept), (place == k - 1)[place < k]
+        if block is not None:
+            yield out()
 
     ranked = lambda found: found.groupBy("q").agg(F.slice(F.sort_array(F.collect_list(F.struct("d", "n"))), 1, k).alias("t"))
     bounds = lambda found: ranked(found).select(F.col("q").alias("id"), F.get("t", F.lit(k - 1))["d"].alias("bound"))
@@ -232,18 +287,15 @@ def distinct_ball_counts(centres: DataFrame, points: DataFrame, key: str, vector
     met = cells.met_at_once(checkpointed(balls)) if cells.n <= block_rows else cells.met(_celled_with_bound(balls, cells.pivots), None)
 
     def count(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                x_id, copies, r, times = (batch.column(c)[i].values.to_numpy() for c in ("xs", "xt", "qr", "qt"))
-                q, x = (_matrix(batch.column(c)[i].values) for c in ("qv", "xv"))
-                total = np.zeros(len(x), np.int64)
-                for s in range(0, len(q), 512):
-                    near, error = products(q[s : s + 512] - x[0], x - x[0])
-                    rows, cols = np.nonzero(near <= (r[s : s + 512] ** 2 + 2 * error + 1e-12 * r[s : s + 512] ** 2)[:, None])
-                    inside = np.sqrt(exact(q[s : s + 512], x, rows, cols)) <= r[s : s + 512][rows]
-                    np.add.at(total, cols[inside], times[s : s + 512][rows[inside]])
-                hit = total > 0
-                yield pa.RecordBatch.from_arrays([pa.array(x_id[hit]), pa.array(copies[hit]), pa.array(total[hit])], names=["n", "copies", "balls"])
+        for m in Meeting.of(batches):
+            q, x, r, total = m.q, m.x, m.bound, np.zeros(len(m.x), np.int64)
+            for s in range(0, len(q), 512):
+                near, error = products(q[s : s + 512] - x[0], x - x[0])
+                rows, cols = np.nonzero(near <= (r[s : s + 512] ** 2 + 2 * error + 1e-12 * r[s : s + 512] ** 2)[:, None])
+                inside = np.sqrt(exact(q[s : s + 512], x, rows, cols)) <= r[s : s + 512][rows]
+                np.add.at(total, cols[inside], m.q_tag[s : s + 512][rows[inside]])
+            hit = total > 0
+            yield pa.RecordBatch.from_arrays([pa.array(m.x_id[hit]), pa.array(m.x_tag[hit]), pa.array(total[hit])], names=["n", "copies", "balls"])
 
     return met.mapInArrow(count, "n bigint, copies bigint, balls bigint").groupBy("n", "copies").agg(F.sum("balls").alias("balls"))
 
@@ -346,31 +398,29 @@ def nearest_tagged(left: DataFrame, right: DataFrame, rounds: int, own: bool, bl
     serve all rounds; only where a round has none of them, or the last is too near to be sure, the whole block is looked at.
     """
     def best(batches):
-        for batch in batches:
-            for r in range(batch.num_rows):
-                q_id, x_id, q_tag, x_tag = (batch.column(c)[r].values.to_numpy() for c in ("qs", "xs", "qt", "xt"))
-                q, x = (_matrix(batch.column(c)[r].values) for c in ("qv", "xv"))
-                m = min(RANKED, len(x))
-                for s in range(0, len(q), 512):
-                    part, at = q[s : s + 512], np.arange(len(q[s : s + 512]))[:, None]
-                    near, error = products(part - x[0], x - x[0])
-                    if own:
-                        near[q_id[s : s + 512, None] == x_id[None, :]] = np.inf
-                    first = np.argpartition(near, m - 1, axis=1)[:, :m]
-                    close = near[at, first]
-                    edge = close.max(axis=1) - 2 * error if m < len(x) else np.full(len(part), np.inf)
-                    d = exact(part, x, np.repeat(at[:, 0], m), first.ravel()).reshape(len(part), m)
-                    d[~np.isfinite(close)] = np.inf
-                    for i in range(rounds):
-                        asks, gives = (q_tag[s : s + 512] >> i) & 1 > 0, (x_tag >> i) & 1 > 0
-                        low = np.where(gives[first] & asks[:, None], d, np.inf).min(axis=1)
-                        rest = np.flatnonzero(asks & ~(low <= edge))
-                        if len(rest):
-                            here = np.where(gives[None, :], near[rest], np.inf)
-                            rows, cols = np.nonzero((here <= here.min(axis=1)[:, None] + 2 * error[rest, None]) & np.isfinite(here))
-                            np.minimum.at(low, rest[rows], exact(part, x, rest[rows], cols))
-                        found = np.flatnonzero(np.isfinite(low))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), i, np.int32)), pa.array(q_id[s : s + 512][found]), pa.array(np.sqrt(low[found]))], names=["i", "q", "d"])
+        for met in Meeting.of(batches):
+            q_id, x_id, q_tag, x_tag, q, x = met.q_id, met.x_id, met.q_tag, met.x_tag, met.q, met.x
+            m = min(RANKED, len(x))
+            for s in range(0, len(q), 512):
+                part, at = q[s : s + 512], np.arange(len(q[s : s + 512]))[:, None]
+                near, error = products(part - x[0], x - x[0])
+                if own:
+                    near[q_id[s : s + 512, None] == x_id[None, :]] = np.inf
+                first = np.argpartition(near, m - 1, axis=1)[:, :m]
+                close = near[at, first]
+                edge = close.max(axis=1) - 2 * error if m < len(x) else np.full(len(part), np.inf)
+                d = exact(part, x, np.repeat(at[:, 0], m), first.ravel()).reshape(len(part), m)
+                d[~np.isfinite(close)] = np.inf
+                for i in range(rounds):
+                    asks, gives = (q_tag[s : s + 512] >> i) & 1 > 0, (x_tag >> i) & 1 > 0
+                    low = np.where(gives[first] & asks[:, None], d, np.inf).min(axis=1)
+                    rest = np.flatnonzero(asks & ~(low <= edge))
+                    if len(rest):
+                        here = np.where(gives[None, :], near[rest], np.inf)
+                        rows, cols = np.nonzero((here <= here.min(axis=1)[:, None] + 2 * error[rest, None]) & np.isfinite(here))
+                        np.minimum.at(low, rest[rows], exact(part, x, rest[rows], cols))
+                    found = np.flatnonzero(np.isfinite(low))
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(found), i, np.int32)), pa.array(q_id[s : s + 512][found]), pa.array(np.sqrt(low[found]))], names=["i", "q", "d"])
 
     nearest_of = lambda found: found.groupBy("i", "q").agg(F.min("d").alias("distance"))
     asked = left.select(F.col("id").alias("q"), F.bit_count("tag").alias("_asked"))

@@ -162,3 +162,28 @@ def test_copies_of_rows_are_met_once(spark, monkeypatch):
         scores.append((first.mean() + second.mean()) / 2)
     assert abs(nn.nnaa(*tables, "id", "v").first().value - np.mean(scores)) < 1e-12
     assert sum(pairs) < 36 * 900 * 2  # never rows against rows
+
+
+def test_visits_of_many_cells_shuffle_no_vectors(spark):
+    """Over 64 cells, so that visits take two words of bits: what meets is read from checkpoints, and all neighbours are found."""
+    rng = np.random.default_rng(8)
+    x, q = rng.uniform(size=(700, 3)), rng.uniform(-0.5, 1.5, size=(90, 3))
+    a, b = (table(spark, v).select(F.col("id").cast("bigint").alias("id"), "v", F.lit(0).cast("bigint").alias("tag")) for v in (q, x))
+    cells = nn.Cells(b, 8)
+    assert len(cells.radius) > 64
+    met = cells.met(nn._unbound(nn._celled(a, cells.pivots)), None, 3)
+    assert "Exchange" not in met._jdf.queryExecution().executedPlan().toString()
+    assert met.select(F.explode("qs")).distinct().count() == 90
+    got = {}
+    for r in nn.nn_join(table(spark, q).withColumnRenamed("id", "q"), table(spark, x).withColumnRenamed("id", "n"), "q", "n", "v", 3, False, 8).collect():
+        got.setdefault(r.q, []).append((r["rank"], r.n, r.distance))
+    for i, want in brute(q, x, 3).items():
+        assert [g[1] for g in sorted(got[i])] == [w[0] for w in want] and np.allclose([g[2] for g in sorted(got[i])], [w[1] for w in want], atol=1e-12)
+
+
+def test_homes_hold_all_cells_and_no_more_rows_than_asked(spark):
+    cells = nn.Cells(nn._sides(table(spark, np.random.default_rng(9).uniform(size=(400, 2))), "id", "v"), 10)
+    sizes = {c: 3 + c % 5 for c in range(1, len(cells.radius))} | {0: 50}
+    homes, held = cells.homes(sizes, 20)
+    assert homes.keys() == sizes.keys() and sum(held.values()) == sum(sizes.values()) and all(n <= 20 or n == 50 for n in held.values())
+    assert len(held) < len(sizes) / 2 and cells.homes({}, 20) == ({}, {})
