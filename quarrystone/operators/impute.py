@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, functions as F
 
 from quarrystone.functions.session import checkpointed
+from quarrystone.operators import counted
 from quarrystone.operators.clean import complete_cases, is_numeric, round_columns, with_stats
 from quarrystone.operators.split import apply_mask
 
@@ -68,11 +70,9 @@ def average_draws(draws: DataFrame, key: str, columns: list[str]) -> DataFrame:
 def model_fill(df: DataFrame, key: str, columns: list[str], context: list[str], checkpoint=checkpointed, start: DataFrame | None = None) -> DataFrame:
     """One pass: each column with gaps is predicted from the current values of all others.
 
-    Numeric columns by boosted trees, categorical ones by a random forest, fitted on observed
-    rows. ``context`` may hold more columns than are filled. ``checkpoint``, a function of a
-    DataFrame, cuts the lineage of the filled frame after each column, so that no fit runs
-    earlier models again. ``start`` (the same rows without gaps) gives the values to begin with
-    instead of means and modes.
+    Numbers and categories by boosted trees, fitted on observed rows. ``context`` may hold more columns than
+    are filled. ``checkpoint``, a function of a DataFrame, cuts the lineage of what models are fitted on after
+    each column. ``start`` (the same rows without gaps) gives the values to begin with instead of means and modes.
     """
     if start is None:
         every = dict.fromkeys([*context, *columns])
@@ -88,53 +88,89 @@ def _marked(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({f"_g_{c}": F.col(c).isNull() for c in columns})
 
 
-def _refilled(current: DataFrame, columns: list[str], context: list[str], checkpoint) -> DataFrame:
-    """``model_fill`` of a frame without gaps that says by _g_<column> where they were; no join, as the flags go with the rows."""
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import StringIndexer, VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    text = [c for c in dict.fromkeys([*context, *columns]) if not is_numeric(current, c)]
-    models = {c: StringIndexer(inputCol=c, outputCol=f"_i_{c}", stringOrderType="alphabetAsc", handleInvalid="keep").fit(current) for c in text}
-    work = reduce(lambda x, m: m.transform(x), models.values(), current)
-    work = checkpoint(work)
-    coded = lambda c: f"_i_{c}" if c in text else c
-    for c in columns:
-        inputs = [coded(x) for x in dict.fromkeys([*context, *columns]) if x != c]
-        v = VectorAssembler(inputCols=inputs, outputCol="_x").transform(work)
-        seen = v.filter(f"NOT `_g_{c}`")
+#: Models whose fills are put into the rows before their lineage is cut.
+CUT_EVERY = 8
+
+
+def _refilled(current: DataFrame, columns: list[str], context: list[str], checkpoint, passes: int = 1) -> DataFrame:
+    """``model_fill``, ``passes`` times, of a frame without gaps that says by _g_<column> where they were; no join, as the flags go with the rows.
+
+    Rows are counted by what models see of them and by where their gaps were (``counted``), in one pass; models are fitted
+    on these counts, whose fills follow along, and put into the rows in the end, which are neither shuffled nor kept. A
+    column without gaps needs no model, one without an observed cell stays as it is, and one with a single value is filled with it.
+    """
+    every = list(dict.fromkeys([*context, *columns]))
+    text = [c for c in every if not is_numeric(current, c)]
+    numbers = [c for c in every if c not in text]
+    code, gap = (lambda c: f"_b_{c}"), (lambda c: F.col(f"_g_{c}"))
+    names, work, attributes, labels = current.columns, current, {}, {}
+    if text:
+        index = StringIndexer(inputCols=text, outputCols=[code(c) for c in text], stringOrderType="alphabetAsc", handleInvalid="keep").fit(current)
+        work, labels = index.transform(work), dict(zip(text, index.labelsArray))
+        attributes = {code(c): work.schema[code(c)].metadata for c in text}
+    seen = [F.when(~gap(c), F.col(c)).alias(c) if c in columns else F.col(c) for c in numbers]
+    cuts = counted.cut_points(current.select(*seen), numbers)
+    for c in numbers:
+        work = counted.interval(work, c, code(c), cuts[c])
+    sums = [F.sum(F.when(~gap(c), F.col(c).cast("double"))).alias(f"_s_{c}") for c in columns if c in numbers]
+    cells = checkpoint(work.groupBy(*map(code, every), *(f"_g_{c}" for c in columns)).agg(F.count("*").alias("n"), *sums))
+    kinds = [F.struct(F.sum(F.when(gap(c), F.col("n"))).alias("gaps"), F.min(F.when(~gap(c), F.col(code(c)))).alias("low"), F.max(F.when(~gap(c), F.col(code(c)))).alias("high")).alias(f"{i}") for i, c in enumerate(columns)]
+    kinds = dict(zip(columns, cells.agg(*kinds).first()))
+
+    def filled(df, c, model):
+        """df with the model's fills in the code of a column, and in the column where df has it."""
+        inputs, told = [code(x) for x in every if x != c], df.columns
+        df = df.withColumn("_p", F.lit(model)) if isinstance(model, float) else model.transform(counted.assembled(df, inputs, attributes))
         if c in text:
-            model = RandomForestClassifier(labelCol=coded(c), featuresCol="_x", predictionCol="_p", numTrees=10, maxDepth=5, seed=7).fit(seen)
-            labels = F.array(*map(F.lit, models[c].labels))
-            done = model.transform(v).withColumn(c, F.when(F.col(f"_g_{c}"), F.get(labels, F.col("_p").cast("int"))).otherwise(F.col(c)))
+            value, new = F.get(F.array(*map(F.lit, labels[c])), F.col("_p").cast("int")), F.col("_p")
+        else:
+            value, new, df = F.col("_p"), F.col("_q"), counted.interval(df, "_p", "_q", cuts[c])
+        own = {c: F.when(gap(c), value).otherwise(F.col(c))} if c in told else {}
+        return df.withColumns({code(c): F.when(gap(c), new).otherwise(F.col(code(c)))} | own).select(*told)
+
+    done = 0
+    for c in [c for _ in range(passes) for c in columns]:
+        kind = kinds[c]
+        if not kind["gaps"] or kind["low"] is None:
+            continue
+        inputs, known = [code(x) for x in every if x != c], cells.filter(~gap(c))
+        if c not in text:
+            model = counted.fit(known.groupBy(*inputs).agg((F.sum(f"_s_{c}") / F.sum("n")).alias("_y"), F.sum("n").alias("n")), inputs, attributes, None)
+        elif kind["low"] == kind["high"]:
+            model = kind["low"]
         else:
-            model = GBTRegressor(labelCol=c, featuresCol="_x", predictionCol="_p", maxIter=10, maxDepth=4, seed=7).fit(seen)
-            done = model.transform(v).withColumn(c, F.when(F.col(f"_g_{c}"), F.col("_p")).otherwise(F.col(c)))
-        work = checkpoint(done.select(*work.columns))
-    return work.select(*current.columns)
+            model = counted.fit(known.groupBy(*inputs, F.col(code(c)).alias("_y")).agg(F.sum("n").alias("n")), inputs, attributes, len(labels[c]))
+        cells, work, done = checkpoint(filled(cells, c, model)), filled(work, c, model), done + 1
+        if done % CUT_EVERY == 0:
+            work = checkpoint(work)
+    return work.select(*names)
 
 
-def impute(df: DataFrame, key: str, numeric: list[str], categorical: list[str], method: str = "mean", passes: int = 1, refine: list[str] | None = None, checkpoint=checkpointed) -> DataFrame:
+def impute(df: DataFrame, key: str, numeric: list[str], categorical: list[str], method: str = "mean", passes: int = 1, refine: list[str] | None = None, checkpoint=checkpointed, marked: bool = False) -> DataFrame:
     """Fill all gaps; observed cells never change, other columns pass through.
 
     method 'mean' (means and modes), 'model' (model_fill, ``passes`` times, each from what the one
     before filled), 'drop' (complete cases). ``refine`` limits the model to some columns; the rest
-    get means and modes and serve as context.
+    get means and modes and serve as context. ``marked`` adds _g_<column>, whether the cell was a gap,
+    which lets ``polish`` go on without joins.
     """
     if method == "drop":
         return complete_cases(df)
     columns = refine or [*numeric, *categorical]
-    filled = mode_fill(mean_fill(_marked(df, columns) if method == "model" else df, numeric), categorical)
+    flagged = [*numeric, *categorical] if marked else columns if method == "model" else []
+    filled = mode_fill(mean_fill(_marked(df, flagged) if flagged else df, numeric), categorical)
     if method == "model":
-        for _ in range(passes):
-            filled = _refilled(filled, columns, [*numeric, *categorical], checkpoint)
-    return filled.select(*df.columns)
+        filled = _refilled(filled, columns, [*numeric, *categorical], checkpoint, passes)
+    return filled.select(*df.columns, *(f"_g_{c}" for c in flagged if marked))
 
 
 def polish(df: DataFrame, filled: DataFrame, key: str, numeric: list[str], categorical: list[str], columns: list[str] | None = None, checkpoint=checkpointed) -> DataFrame:
-    """One more pass of the models over a filled frame; observed cells stay."""
-    done = model_fill(df, key, columns or [*numeric, *categorical], [*numeric, *categorical], checkpoint, filled)
-    return clamp_observed(df, done, key, [*numeric, *categorical])
+    """One more pass of the models over a filled frame; observed cells stay. A frame that ``impute`` marked isn't joined to df."""
+    every = [*numeric, *categorical]
+    if all(f"_g_{c}" in filled.columns for c in every):
+        return _refilled(filled, columns or every, every, checkpoint).select(*df.columns)
+    done = model_fill(df, key, columns or every, every, checkpoint, filled)
+    return clamp_observed(df, done, key, every)
 
 
 def run_imputation(df: DataFrame, split: DataFrame, key: str, numeric: list[str], categorical: list[str], rules: dict[str, int], **how) -> DataFrame:

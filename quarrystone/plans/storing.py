@@ -274,7 +274,7 @@ def _(s, d):
 @query("model_fill")
 def _(s, d):
     x = lnu(s, d).select("row_id", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
-    return im.impute(x, "row_id", ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"], "model", refine=["l_extendedprice", "l_returnflag"])
+    return im.impute(x, "row_id", ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"], "model")
 
 
 @query("polish")
