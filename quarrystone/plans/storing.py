@@ -281,7 +281,7 @@ def _(s, d):
 def _(s, d):
     x = lnu(s, d).select("row_id", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag")
     num, cat = ["l_quantity", "l_extendedprice", "l_discount"], ["l_returnflag"]
-    return im.polish(x, im.impute(x, "row_id", num, cat), "row_id", num, cat, ["l_quantity", "l_returnflag"])
+    return im.polish(x, im.impute(x, "row_id", num, cat, "model", marked=True), "row_id", num, cat)
 
 
 def _halves(s, d):
