@@ -1,21 +1,25 @@
-"""Boosted trees on counted rows.
+"""Boosted trees and forests on counted rows.
 
 Trees see a number by at most BINS intervals, as MLlib's do, and a category by its code. Rows of equal
 intervals and codes are alike to them, so they are counted once, with the sums of what is predicted, and
 MLlib fits the counts as weights: the same sums decide a split, whatever the number of rows behind them.
+Forests draw rows with replacement, for which a weight is no substitute, so they are grown here (``folds``).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, functions as F
 
+from quarrystone.functions.session import checkpointed
+from quarrystone.operators import folds
+from quarrystone.operators.folds import BINS, FOREST_DEPTH, SEED, TREES, Trees
 from quarrystone.operators.order import running
 
-BINS = 32
-
 
 def cut_points(df: DataFrame, columns: list[str]) -> dict[str, list[float]]:
     """At most BINS - 1 cuts of each numeric column: between all values where those are few, or else where another share of the rows is full."""
@@ -64,3 +68,60 @@ def fit(cells: DataFrame, inputs: list[str], attributes: dict, classes: int | No
         return model.fit(x)
     finally:
         x.unpersist()
+
+
+def kind_cells(rows: DataFrame, columns: list[str], cuts: dict[str, list[float]], kinds: int) -> tuple[DataFrame, folds.Shape]:
+    """(number, bins, counts), blocks of distinct rows of intervals with the number of rows of each ``kind`` (a whole number below ``kinds``), and their shape."""
+    shape, names = folds.Shape(len(columns), 1, -(-kinds // 2)), [f"_{i}" for i in range(len(columns))]
+    for c, n in zip(columns, names):
+        rows = interval(rows, c, n, cuts[c])
+    counts = rows.groupBy(*(F.col(n).cast("tinyint").alias(n) for n in names), F.col("kind").cast("int").alias("kind")).agg(F.count("*").alias("n"))
+    cells = counts.groupBy(*names).agg(F.collect_list(F.struct("kind", "n")).alias("of"))
+    parts = rows.sparkSession.sparkContext.defaultParallelism
+
+    def dense(batches):
+        from pyspark import TaskContext
+
+        for j, b in enumerate(batches):
+            if b.num_rows:
+                lists = b.column("of")
+                at, of = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy()), lists.flatten()
+                counts = np.zeros((b.num_rows, 2 * shape.folds))
+                counts[at, of.field("kind").to_numpy()] = of.field("n").to_numpy()
+                bins = np.stack([b.column(n).to_numpy().astype(np.uint8) for n in names], axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array([(TaskContext.get().partitionId() << 32) + j]), pa.array([bins.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())], names=["number", "bins", "counts"])
+
+    dealt = cells.repartition(parts, *names).sortWithinPartitions(*names)
+    return checkpointed(dealt.mapInArrow(dense, "number bigint, bins binary, counts binary")), shape
+
+
+def forest(cells: DataFrame, shape: folds.Shape, member: np.ndarray, label: np.ndarray, labels: int) -> Trees:
+    """TREES trees a set (tree * sets + set), each of the set's rows drawn with replacement; a node looks at the root of the columns' number of them, and Gini impurity decides.
+
+    ``member`` (set, kind) says which kinds of rows a set has, ``label`` the label of each kind.
+    """
+    sets, kinds, d = *member.shape, shape.columns
+    trees, rng = Trees.of(TREES * sets, FOREST_DEPTH, labels), np.random.default_rng(SEED)
+    columns = rng.random((TREES * sets, trees.feature.shape[1], d)).argsort(axis=2)[..., : int(np.ceil(np.sqrt(d)))]
+    into = np.eye(labels)[label]
+
+    def weights(number, bins, counts):
+        counts = counts.reshape(len(counts), -1)[:, :kinds]
+        some = counts.nonzero()
+        for t in range(TREES):
+            drawn = np.zeros(counts.shape)
+            drawn[some] = np.random.default_rng([SEED, t, number]).poisson(counts[some])
+            for s in range(sets):
+                yield t * sets + s, (drawn * member[s]) @ into
+
+    def score(sums):
+        n = sums.sum(axis=-1)
+        return np.where(n > 0, (sums**2).sum(axis=-1) / np.maximum(n, 1e-300), 0)
+
+    folds._grow(cells, shape, trees, FOREST_DEPTH, labels, columns, weights, score, lambda sums: sums / max(sums.sum(), 1e-300))
+    return trees
+
+
+def said(trees: Trees, sets: int, s: int, bins: np.ndarray) -> np.ndarray:
+    """The label that the forest of a set gives each row of intervals (column, row)."""
+    return sum(trees.value[t, trees.reached(t, bins, FOREST_DEPTH)] for t in range(s, TREES * sets, sets)).argmax(axis=1)
