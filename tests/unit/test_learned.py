@@ -3,6 +3,7 @@
 import inspect
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -206,3 +207,30 @@ def test_lbfgs_ends_at_the_least():
     except StopIteration as e:
         at = e.value
     assert at == pytest.approx([1, 1, 1], abs=1e-3)
+
+
+def test_attack_and_relabelling_count_rows_once(spark, monkeypatch):
+    """Forests of all rounds grow together on counted rows; no learner reads the rows, and rows without a number are left out."""
+    rng = random.Random(8)
+    rows = [(f"k{i}", rng.gauss(0, 1) + 9 * (i % 2), rng.choice("pq") if i % 2 else "r", "ab"[i % 2]) for i in range(600)]
+    df = spark.createDataFrame([*rows, ("none", None, "p", "a")], "key string, x double, t string, y string").repartition(3).cache()
+    monkeypatch.setattr(le, "learner", None)
+    members, others = df.filter("y = 'a'"), df.filter("y = 'b'")
+    r = le.membership_attack(members, others, members, ["x", "t"], "key").first()
+    assert (r.mia_recall, r.mia_precision) == (1.0, 1.0)
+    mixed = le.membership_attack(df, df, df, ["x", "t"], "key", 3).first()
+    assert mixed.mia_recall > 0.9 and 0.55 < mixed.mia_precision < 0.8
+    got = {r.key: r.y for r in le.relabel_by_classifier(df.withColumn("y", F.lit("?")), df, "y", ["x", "t"]).collect()}
+    assert got == {k: y for k, _, _, y in rows}
+
+
+def test_mixture_takes_equal_rows_once(spark):
+    from pyspark.ml.feature import VectorAssembler
+
+    rng = random.Random(9)
+    rows = [(rng.gauss(0, 1) + 8 * (i % 2), rng.gauss(0, 2)) for i in range(200)]
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(spark.createDataFrame(rows * 3 + rows[:50], "a double, b double").repartition(3))
+    blocks = mixture._blocks(df, "v").collect()
+    assert sum(len(r.x) for r in blocks) == 200 * 16
+    s = sum(mixture.sums(np.frombuffer(r.x).reshape(-1, r.width).T, np.frombuffer(r.n), [(1.0, np.zeros(2), np.eye(2))]) for r in blocks)
+    assert s[1] == 650 and s[3:5] == pytest.approx(np.sum(rows * 3 + rows[:50], axis=0))
