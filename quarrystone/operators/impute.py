@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from quarrystone.functions.session import checkpointed
 from quarrystone.operators import counted
 from quarrystone.operators.clean import complete_cases, is_numeric, round_columns, with_stats
-from quarrystone.operators.split import apply_mask
+from quarrystone.operators.split import Hidden, apply_mask
 
 
 def missing_count(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -254,7 +254,12 @@ def score_categorical(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def score_masked(truth: DataFrame, imputed: DataFrame, mask: DataFrame, key: str, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, DataFrame]:
     """Per-column metrics (column, metric, value), and the summary with the objective."""
-    rows, parts = checkpointed(masked_rows(truth, imputed, mask, key, [*numeric, *categorical])), []
+    return _scores(checkpointed(masked_rows(truth, imputed, mask, key, [*numeric, *categorical])), numeric, categorical)
+
+
+def _scores(rows: DataFrame, numeric: list[str], categorical: list[str]) -> tuple[DataFrame, DataFrame]:
+    """``score_masked`` of ``masked_rows``."""
+    parts = []
     if numeric:
         parts.append(score_numeric(rows, numeric).unpivot("column", ["mae", "rmse"], "metric", "value"))
     if categorical:
@@ -270,21 +275,35 @@ def benchmark_objective(summaries: DataFrame) -> DataFrame:
     return summaries.groupBy("candidate").agg(F.avg("objective").alias("objective"), F.count("*").alias("n_masks"))
 
 
-def masked_benchmark(df: DataFrame, key: str, numeric: list[str], categorical: list[str], masks: DataFrame, candidates: dict, done: set[tuple] = frozenset()) -> DataFrame:
+def masked_benchmark(df: DataFrame, key: str, numeric: list[str], categorical: list[str], masks: DataFrame | Hidden, candidates: dict, done: set[tuple] = frozenset()) -> DataFrame:
     """(candidate, mechanism, mask_index, objective): hide, impute and score for every pair not done yet.
 
     ``candidates``: name -> function of the masked frame. The grid (a handful of rows) drives one
-    job for each pair; results are small. Masks are made once for all pairs and candidates.
+    job for each pair; results are small. Masks are made once for all pairs and candidates. With masks as bits of the
+    rows (``split.hidden_grid`` of df), truth and bits go through a fill that keeps other columns, and nothing is joined; rows are kept once.
     """
-    masks = checkpointed(masks)
-    grid = [tuple(r) for r in masks.select("mechanism", "mask_index").distinct().orderBy("mechanism", "mask_index").collect()]
-    frame = df.select(key, *numeric, *categorical)
-    parts = []
+    columns, parts = [*numeric, *categorical], []
+    if isinstance(masks, Hidden):
+        grid = sorted({x[:2] for x in masks.names})
+        frame = checkpointed(masks.rows.select(key, *columns, "_hidden"))
+    else:
+        masks = checkpointed(masks)
+        grid = [tuple(r) for r in masks.select("mechanism", "mask_index").distinct().orderBy("mechanism", "mask_index").collect()]
+        frame = df.select(key, *columns)
     for name, fill in candidates.items():
         for mechanism, i in grid:
             if (name, mechanism, i) in done:
                 continue
-            mask = masks.filter((F.col("mechanism") == mechanism) & (F.col("mask_index") == i))
-            _, summary = score_masked(frame, fill(apply_mask(frame, mask, key)), mask, key, numeric, categorical)
+            if isinstance(masks, Hidden):
+                hidden = {c: masks.bit(mechanism, i, c) for c in columns}
+                kept = {f"_true_{c}": F.col(c) for c in columns} | {f"_hides_{c}": hidden[c] for c in columns}
+                filled = fill(frame.select(key, *(F.when(~hidden[c], F.col(c)).alias(c) for c in columns), *(x.alias(n) for n, x in kept.items())))
+                if missing := set(kept) - set(filled.columns):
+                    raise ValueError(f"the fill {name!r} drops columns: {sorted(missing)}")
+                scored = [x for c in columns for x in (F.col(f"_true_{c}").alias(f"_t_{c}"), F.col(c).alias(f"_p_{c}"), F.col(f"_hides_{c}").alias(f"_m_{c}"))]
+                _, summary = _scores(filled.select(*scored), numeric, categorical)
+            else:
+                mask = masks.filter((F.col("mechanism") == mechanism) & (F.col("mask_index") == i))
+                _, summary = score_masked(frame, fill(apply_mask(frame, mask, key)), mask, key, numeric, categorical)
             parts.append(summary.select(F.lit(name).alias("candidate"), F.lit(mechanism).alias("mechanism"), F.lit(i).alias("mask_index"), "objective"))
     return reduce(DataFrame.unionByName, parts)

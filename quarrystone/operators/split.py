@@ -8,6 +8,7 @@ every row is held against where it stands, so nothing else is shuffled.
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -109,12 +110,12 @@ def mask_count(n: Column, fraction: float) -> Column:
     return F.when(n < 2, 0).otherwise(F.least(F.greatest(F.lit(1), F.bround(n * F.lit(fraction), 0)), n - 1)).cast("bigint")
 
 
-def _hidden(df: DataFrame, key: str, features: list[str], sensitive: list[str], fraction: float, masks: list[tuple[str, int, int]]) -> DataFrame:
-    """(mechanism, mask_index, column, key) of the cells that each of ``masks`` (mechanism, mask_index, seed) hides, all in the same passes.
+def _weighed(df: DataFrame, key: str, features: list[str], sensitive: list[str], masks: list[tuple[str, int, int]]):
+    """df with what the draws of each of ``masks`` (mechanism, mask_index, seed) look at, the cells' names (mechanism, mask_index, column, text of the hash),
+    and for each of them its column of observed cells and that of its exponent, or none.
 
     Means and deviations are computed once and kept: a sum made again may differ in its last bit, and then
-    the row at the bound would lie on the other side of it. A cell's hash is made after the explode, in one
-    compiled expression for all columns and masks.
+    the row at the bound would lie on the other side of it.
     """
     for m, _, _ in masks:
         if m not in ("mcar", "mar", "mnar"):
@@ -143,17 +144,67 @@ def _hidden(df: DataFrame, key: str, features: list[str], sensitive: list[str],
         return 1 / F.when(even, 1.0).otherwise(1 / (1 + F.exp(-z)))
 
     names = [(m, i, c, f"{c}|{seed}") for m, i, seed in masks for c in columns]
-    rows = rows.select(key, *(F.col(c).isNotNull().alias(f"_o_{j}") for j, c in enumerate(columns)), *(exponent(k).alias(f"_e_{i}") for k, i in weighed.items()))
+    rows = rows.select(key, *features, *(F.col(c).isNotNull().alias(f"_o_{j}") for j, c in enumerate(columns)), *(exponent(k).alias(f"_e_{i}") for k, i in weighed.items()))
     power = lambda m, c: F.col(f"_e_{weighed[m, c]}") if (m, c) in weighed else F.lit(None).cast("double")
-    cells = F.array(*(F.struct(F.lit(at).alias("_c"), F.lit(t).alias("_t"), F.col(f"_o_{columns.index(c)}").alias("_o"), power(m, c).alias("_e")) for at, (m, _, c, t) in enumerate(names)))
-    u = unit_hash(F.col(key), F.col("_t"))
+    return rows, names, [(F.col(f"_o_{columns.index(c)}"), power(m, c)) for m, _, c, _ in names]
+
+
+def _draw(u: Column, exponent: Column) -> Column:
+    return F.when(exponent.isNull(), u).otherwise(1 - F.pow(u, exponent))
+
+
+def _cells(rows: DataFrame, key: str, names: list, looks: list) -> DataFrame:
+    """(_c, key, _u): the observed cells' draws. A cell's hash is made after the explode, in one compiled expression for all columns and masks."""
+    cells = F.array(*(F.struct(F.lit(at).alias("_c"), F.lit(t).alias("_t"), o.alias("_o"), e.alias("_e")) for at, ((_, _, _, t), (o, e)) in enumerate(zip(names, looks))))
     cells = rows.select(key, F.explode(cells).alias("_x")).select(key, "_x.*").filter("_o")
-    cells = cells.select("_c", key, F.when(F.col("_e").isNull(), u).otherwise(1 - F.pow(u, F.col("_e"))).alias("_u"))
-    out = take_smallest(cells, ["_c"], "_u", key, lambda n: mask_count(n, fraction))
+    return cells.select("_c", key, _draw(unit_hash(F.col(key), F.col("_t")), F.col("_e")).alias("_u"))
+
+
+def _hidden(df: DataFrame, key: str, features: list[str], sensitive: list[str], fraction: float, masks: list[tuple[str, int, int]]) -> DataFrame:
+    """(mechanism, mask_index, column, key) of the cells that each of ``masks`` (mechanism, mask_index, seed) hides, all in the same passes."""
+    rows, names, looks = _weighed(df, key, features, sensitive, masks)
+    out = take_smallest(_cells(rows, key, names, looks), ["_c"], "_u", key, lambda n: mask_count(n, fraction))
     name = lambda at: F.get(F.array(*(F.lit(x[at]) for x in names)), F.col("_c"))
     return out.select(name(0).alias("mechanism"), name(1).alias("mask_index"), name(2).alias("column"), key)
 
 
+@dataclass
+class Hidden:
+    """Rows with a bit of ``_hidden`` for each hidden cell of several masks: ``names`` has a (mechanism, mask_index, column) for each bit."""
+
+    rows: DataFrame
+    names: list[tuple[str, int, str]]
+
+    def bit(self, mechanism: str, i: int, column: str) -> Column:
+        """Whether a mask hides a row's cell."""
+        name = (mechanism, i, column)
+        return F.getbit("_hidden", F.lit(self.names.index(name))) == 1 if name in self.names else F.lit(False)
+
+
+def hidden_grid(df: DataFrame, key: str, features: list[str], mechanisms: list[str], n_masks: int, seed: int = 0, fraction: float = 0.2, sensitive: list[str] = ()) -> Hidden:
+    """The masks of ``mask_grid`` as bits of the rows that they hide cells of: no mask is a table, and no row is shuffled or joined.
+
+    Bounds of the masks' columns (a row for each) go over the driver.
+    """
+    masks = _seeds(mechanisms, n_masks, seed)
+    rows, names, looks = _weighed(df, key, features, sensitive, masks)
+    if len(names) > 63:
+        raise ValueError("a row's hidden cells are bits of one number: 63 at most")
+    last = {r["_c"]: r for r in last_taken(_cells(rows, key, names, looks), ["_c"], "_u", key, lambda n: mask_count(n, fraction)).collect()}
+
+    def hides(at):
+        (o, e), end = looks[at], last[at]
+        u = _draw(unit_hash(F.col(key), names[at][3]), e)
+        return o & ((u < end["_tu"]) | ((u == end["_tu"]) & (F.col(key) <= end["_tk"])))
+
+    bits = sum((F.when(hides(at), F.lit(1 << at)).otherwise(F.lit(0)).cast("bigint") for at in last), F.lit(0).cast("bigint"))
+    return Hidden(rows.select(key, *features, bits.alias("_hidden")), [x[:3] for x in names])
+
+
+def _seeds(mechanisms: list[str], n_masks: int, seed: int) -> list[tuple[str, int, int]]:
+    return [(m, k, seed + 10_000 * i + k) for i, m in enumerate(mechanisms) for k in range(n_masks)]
+
+
 def artificial_mask(df: DataFrame, key: str, features: list[str], sensitive: list[str] = (), fraction: float = 0.2, mechanism: str = "mcar", seed: int = 0) -> DataFrame:
     """(column, key) of observed cells to hide, a fixed share of each non-sensitive column.
 
@@ -167,7 +218,7 @@ def artificial_mask(df: DataFrame, key: str, features: list[str], sensitive: lis
 
 def mask_grid(df: DataFrame, key: str, features: list[str], mechanisms: list[str], n_masks: int, seed: int = 0, fraction: float = 0.2, sensitive: list[str] = ()) -> DataFrame:
     """(mechanism, mask_index, column, key); the seed is base + 10000 x mechanism + mask."""
-    return _hidden(df, key, features, sensitive, fraction, [(m, k, seed + 10_000 * i + k) for i, m in enumerate(mechanisms) for k in range(n_masks)])
+    return _hidden(df, key, features, sensitive, fraction, _seeds(mechanisms, n_masks, seed))
 
 
 def apply_mask(df: DataFrame, mask: DataFrame, key: str) -> DataFrame:

@@ -329,7 +329,7 @@ _BENCHMARK = " UNION ALL ".join(
 @query("masked_benchmark", f"WITH {_LN1} {_BENCHMARK}")
 def _(s, d):
     x = lnu(s, d).select("row_id", *_SCN, *_SCC)
-    masks = sp.mask_grid(x, "row_id", [*_SCN, *_SCC], ["mcar", "mnar"], 1, 7)
+    masks = sp.hidden_grid(x, "row_id", [*_SCN, *_SCC], ["mcar", "mnar"], 1, 7)
     zero = lambda f: f.fillna(0.0, _SCN).fillna("F", _SCC)
     return im.masked_benchmark(x, "row_id", _SCN, _SCC, masks, {"means": _means, "zeros": zero}).withColumn("objective", F.round("objective", 6))
 

@@ -131,3 +131,21 @@ def test_fills_join_no_rows_and_keep_observed_cells(spark):
         assert len(got) == 60 and out.columns == df.columns
         for i, x, y, t in rows:  # a row without a key is filled, too
             assert all(g is not None and o in (None, g) for o, g in zip((x, y, t), got[i][1:]))
+
+
+def test_masks_as_bits_hide_the_same_cells_without_joins(spark):
+    rng = random.Random(4)
+    rows = [(f"k{i}", None if i % 9 == 0 else rng.gauss(0, 1), float(rng.randrange(5)), rng.choice("aab") if i % 7 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "key string, x double, y double, t string").repartition(3)
+    how = (df, "key", ["x", "y", "t"], ["mar", "mcar", "mnar"], 2, 5)
+    bits, cells = sp.hidden_grid(*how), sp.mask_grid(*how)
+    plan = bits.rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan.replace("hashpartitioning(_c", "")
+    hidden = {(m, i, c, r["key"]) for r in bits.rows.collect() for at, (m, i, c) in enumerate(bits.names) if r["_hidden"] >> at & 1}
+    assert hidden == {tuple(r) for r in cells.collect()} and len(hidden) > 1000
+    fills = {"means": lambda f: im.mode_fill(im.mean_fill(f, ["x", "y"]), ["t"])}
+    score = lambda masks: {tuple(r)[:3]: round(r["objective"], 9) for r in im.masked_benchmark(df, "key", ["x", "y"], ["t"], masks, fills).collect()}
+    found = score(bits)
+    assert found == score(cells) and len(found) == 6
+    with pytest.raises(ValueError):
+        im.masked_benchmark(df, "key", ["x", "y"], ["t"], bits, {"drops": lambda f: f.select("key", "x", "y", "t")})
