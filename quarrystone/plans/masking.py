@@ -337,6 +337,6 @@ def _(s, d):
 @query("benchmark_objective", f"WITH {_LN1} SELECT 'means' AS candidate, round(({_objective('mcar', 7, 'means')} + {_objective('mcar', 8, 'means')}) / 2, 6) AS objective, 2::BIGINT AS n_masks")
 def _(s, d):
     x = lnu(s, d).select("row_id", *_SCN, *_SCC)
-    masks = sp.mask_grid(x, "row_id", [*_SCN, *_SCC], ["mcar"], 2, 7)
+    masks = sp.hidden_grid(x, "row_id", [*_SCN, *_SCC], ["mcar"], 2, 7)
     done = im.masked_benchmark(x, "row_id", _SCN, _SCC, masks, {"means": _means})
     return im.benchmark_objective(done).withColumn("objective", F.round("objective", 6))
