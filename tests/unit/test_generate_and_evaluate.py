@@ -179,3 +179,15 @@ def test_all_names_that_roles_allow_and_each_table_once(spark, real, monkeypatch
     value = {(r.model, r.metric): r.value for r in found.collect()}
     assert len(value) == 2 * len(names)
     assert value["copy", "close_values_probability"] == 1.0 and value["copy", "ks_test"] == 1.0 and value["far", "ks_test"] < 1.0 and value["far", "frac_ks_sigs"] > value["copy", "frac_ks_sigs"] == 0.0
+
+
+def test_the_registered_evaluation_leaves_no_name_out(spark, monkeypatch):
+    """All names, those on fitted models too, with real rows held out from the candidates' side of the comparison."""
+    from quarrystone.plans import catalog, registry
+
+    data, asked = "/root/testdata/sf0.001", {}
+    monkeypatch.setattr(ev, "evaluate", lambda r, c, config, more=None, holdout=None: asked.update(real=r, config=config, holdout=holdout) or {"combined": None})
+    registry.queries()["evaluate"](spark, data)
+    assert sorted(asked["config"].metrics) == sorted([*ev.METRICS, *ev.SINGLE])
+    ids = lambda df: [r.row_id for r in df.select("row_id").collect()]
+    assert sorted(ids(asked["real"]) + ids(asked["holdout"])) == sorted(ids(catalog.real(spark, data))) and not set(ids(asked["real"])) & set(ids(asked["holdout"]))
