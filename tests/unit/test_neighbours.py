@@ -1,5 +1,8 @@
 """Exact neighbours against brute force, whatever the blocks are."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +190,26 @@ def test_homes_hold_all_cells_and_no_more_rows_than_asked(spark):
     homes, held = cells.homes(sizes, 20)
     assert homes.keys() == sizes.keys() and sum(held.values()) == sum(sizes.values()) and all(n <= 20 or n == 50 for n in held.values())
     assert len(held) < len(sizes) / 2 and cells.homes({}, 20) == ({}, {})
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_copies_ask_once(spark, monkeypatch, same):
+    """Equal rows of the asking side find what each finds by itself."""
+    rng = random.Random(12)
+    rows = [(i, [float(rng.randrange(4)), float(rng.randrange(3)) if i % 50 else -0.0]) for i in range(300)] + [(300, None), (301, [9.5, 1.0])]
+    a = spark.createDataFrame(rows, "k long, v array<double>").repartition(3).cache()
+    b = a if same else spark.createDataFrame([(1000 + i, [rng.random() * 4, rng.random() * 3]) for i in range(40)], a.schema)
+    asked, join = [], nn._nn_join
+    monkeypatch.setattr(nn, "_nn_join", lambda x, *more: (asked.append(x.count()), join(x, *more))[1])
+    got = {(r.q, r["rank"]): r.distance for r in nn.distances(a, b, "k", "v", 3, same).collect()}
+    assert asked == [len({tuple(v) for _, v in rows if v})]
+    other = rows if same else [(r.k, r.v) for r in b.collect()]
+    for i, v in rows:
+        if v:
+            d = sorted(math.dist(v, w) for j, w in other if w and not (same and i == j))
+            assert [got[i, n + 1] for n in range(3)] == pytest.approx(d[:3])
+    assert len(got) == 301 * 3
+    if not same:
+        one = {(r.k, r["rank"]): r.n for r in nn.nn_join(a, b.withColumnRenamed("k", "n"), "k", "n", "v", 2).collect()}
+        each = {(r.k, r["rank"]): r.n for r in join(a, b.withColumnRenamed("k", "n"), "k", "n", "v", 2, False, 4096).collect()}
+        assert one == each
