@@ -234,3 +234,22 @@ def test_mixture_takes_equal_rows_once(spark):
     assert sum(len(r.x) for r in blocks) == 200 * 16
     s = sum(mixture.sums(np.frombuffer(r.x).reshape(-1, r.width).T, np.frombuffer(r.n), [(1.0, np.zeros(2), np.eye(2))]) for r in blocks)
     assert s[1] == 650 and s[3:5] == pytest.approx(np.sum(rows * 3 + rows[:50], axis=0))
+
+
+def test_scores_of_equal_rows_are_those_of_rows(spark, monkeypatch):
+    """Learners that take weights fit each distinct row once, and every row counts in what is told right."""
+    rows = [(float(i % 4), float(i % 3), "ab"[(i * i) % 7 % 2]) for i in range(420)]
+    df = spark.createDataFrame(rows, "x double, y double, c string").repartition(3)
+    fitted, learner = [], le.learner
+
+    def watched(*a):
+        model = learner(*a)
+        fit = model.fit
+        model.fit = lambda data: (fitted.append(data.count()), fit(data))[1]
+        return model
+
+    monkeypatch.setattr(le, "learner", watched)
+    r = le.train_test_score(df, df.filter("x < 2"), "c", ["x", "y"], "linear").first()
+    assert fitted == [len(set(rows))]
+    monkeypatch.setattr(le, "WEIGHTED", ())
+    assert le.train_test_score(df, df.filter("x < 2"), "c", ["x", "y"], "linear").first() == r and fitted[1] == 420
